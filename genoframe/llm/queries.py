@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import mixing
+from genoframe.llm import bpe, mixing
+
+#: The public vocabularies' folder is found on each machine; every path is a parameter of the operators.
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +21,24 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes", first.alias("position"))
 
 
-QUERIES = {"op2_mixing": op2_mixing}
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _vocabulary(BYTE_BPE)
+    both = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {"op2_mixing": op2_mixing, "op3_bpe": op3_bpe}
 
 #: One demand inverse for each parity of a source's place: time steps of a quarter, weights 4 3 2 1 or 1 2 3 4 (integral 2.5).
 _OP2_SQL = r"""
