@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import bpe, mixing
+from genoframe.llm import bpe, embedding_dedup, minhash, mixing
+from genoframe.llm.scratch import Scratch
 
 #: The public vocabularies' folder is found on each machine; every path is a parameter of the operators.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -38,7 +39,15 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_bpe": op3_bpe}
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), Scratch(spark, "op6"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op10"))
+
+
+QUERIES = {"op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op6_minhash": op6_minhash, "op10_embedding_dedup": op10_embedding_dedup}
 
 #: One demand inverse for each parity of a source's place: time steps of a quarter, weights 4 3 2 1 or 1 2 3 4 (integral 2.5).
 _OP2_SQL = r"""
@@ -65,4 +74,27 @@ SELECT doc_id, size, source_size, target, size * passes AS taken, passes,
 FROM q
 """
 
-ORACLES = {"op2_mixing": _OP2_SQL}
+#: Exact all-pairs shingle similarity and reachability.
+_OP6_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, shingle FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, id) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.id FROM r JOIN e ON e.a = r.doc_id),
+c AS (SELECT doc_id, min(id) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+"""
+
+_OP10_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(vec_id, id) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.id FROM r JOIN l ON l.a = r.vec_id)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = r.vec_id) AS n_links, min(id) AS component_id, vec_id = min(id) AS kept FROM r GROUP BY vec_id
+"""
+
+ORACLES = {"op2_mixing": _OP2_SQL, "op6_minhash": _OP6_SQL, "op10_embedding_dedup": _OP10_SQL}
