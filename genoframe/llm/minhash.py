@@ -53,7 +53,7 @@ def densified(doc: np.ndarray, value: np.ndarray, n_docs: int) -> np.ndarray:
         sig[rows[hit], cols[hit]] = sig[rows[hit], near[hit]]
         rows, cols = rows[~hit], cols[~hit]
     starts = np.flatnonzero(np.diff(rows, prepend=-1))
-    for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
+    for a, b in zip(starts, np.append(starts, len(rows))[1:], strict=True):
         there = np.flatnonzero(filled[rows[a]])
         sig[rows[a], cols[a:b]] = sig[rows[a], there[np.argmin(_rank[cols[a:b]][:, there], axis=1)]]
     return sig
