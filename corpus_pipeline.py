@@ -1,8 +1,58 @@
-"""Corpus pipeline; its stages are added as their operators are."""
+"""From raw documents to training ids: quality, language, near-duplicates, source mixing, encoding."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from genoframe.llm import bpe, langid, minhash, mixing, quality
+from genoframe.llm.queries import BYTE_BPE, PIECES, vocabulary
+from genoframe.llm.scratch import Scratch
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted to all documents it is given, does not take for junk."""
+    return quality.keep(docs, quality.train(docs))
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the labelled languages; without letters or any certainty they go."""
+    path = vocabulary(PIECES)
+    return langid.keep(docs, path, *langid.train(docs, path))
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest doc_id; rows without an id stay."""
+    flags = minhash.near_duplicates(docs.where("doc_id IS NOT NULL"), Scratch(spark, "dedup"))
+    named = docs.join(flags.where("kept").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, in the order of the curriculum."""
+    mixed = mixing.mix(docs, carry=tuple(c for c in docs.columns if c not in ("doc_id", "source")))
+    return mixing.curriculum(mixed).select(*docs.columns)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, ids, n_tokens`` of every document."""
+    return bpe.encode(docs, vocabulary(BYTE_BPE)).withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [("quality", quality_stage), ("language", language_stage), ("dedup", dedup_stage), ("mixing", mixing_stage), ("encoding", encoding_stage)]
+
+#: The classifiers, the sketches and the encoder have no form in SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages to documents; each stage's result is written and read again before the next."""
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
+    for name, stage in STAGES[:-1]:
+        docs = scratch.put(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            scratch.drop(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)

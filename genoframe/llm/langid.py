@@ -179,34 +179,64 @@ def predict(docs: DataFrame, path: str, languages: list[str], p: np.ndarray) ->
     shared = docs.sparkSession.sparkContext.broadcast(p)  # pieces of the fixed vocabulary x languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, table = pieces(path), shared.value
-        place: dict[str, int] = {}
-        scores = np.zeros((MEMO_WORDS, max(len(languages), 1)))
+        scorer = _Scorer(path, languages, shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)
-                texts = [words(t) for t in batch.column(1).to_pylist()] if languages else [[]] * batch.num_rows
-                new = list({w for t in texts for w in t} - place.keys())
-                if len(place) + len(new) > MEMO_WORDS:
-                    place.clear()
-                    new = list({w for t in texts for w in t})
-                    if len(new) > len(scores):
-                        scores = np.zeros((len(new), len(languages)))
-                if new:
-                    first = len(place)
-                    for k in range(0, len(new), 20_000):
-                        scores[first + k : first + k + len(new[k : k + 20_000])] = Lattice(own, new[k : k + 20_000]).scores(table)
-                    place.update(zip(new, range(first, first + len(new)), strict=True))
-                names, sure = [], []
-                for t in texts:
-                    if not t:
-                        names.append(UNDETERMINED)
-                        sure.append(0.0)
-                        continue
-                    total = scores[np.fromiter(map(place.__getitem__, t), np.int64, len(t))].sum(0)
-                    best = int(total.argmax())
-                    names.append(languages[best])
-                    sure.append(float(1.0 / np.exp(total - total[best]).sum()))
+                names, sure = scorer(batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(sure, pa.float64())], schema.fieldNames())
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def keep(docs: DataFrame, path: str, languages: list[str], p: np.ndarray, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` in a learned language with a score of ``least`` or more, with all their columns."""
+    at_text = docs.columns.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(p)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(path, languages, shared.value)
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(at, BATCH)
+                names, sure = scorer(batch.column(at_text).to_pylist())
+                yield batch.filter(pa.array([n != UNDETERMINED and s >= least for n, s in zip(names, sure, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+class _Scorer:
+    """Languages of lists of texts; words' scores are kept for the next list."""
+
+    def __init__(self, path: str, languages: list[str], p: np.ndarray):
+        self.own, self.languages, self.p = pieces(path), languages, p
+        self.place: dict[str, int] = {}
+        self.scores = np.zeros((MEMO_WORDS, max(len(languages), 1)))
+
+    def _learn(self, texts: list[list[str]]) -> None:
+        new = list({w for t in texts for w in t} - self.place.keys())
+        if len(self.place) + len(new) > MEMO_WORDS:
+            self.place.clear()
+            new = list({w for t in texts for w in t})
+            if len(new) > len(self.scores):
+                self.scores = np.zeros((len(new), len(self.languages)))
+        first = len(self.place)
+        for k in range(0, len(new), 20_000):
+            some = new[k : k + 20_000]
+            self.scores[first + k : first + k + len(some)] = Lattice(self.own, some).scores(self.p)
+        self.place.update(zip(new, range(first, first + len(new)), strict=True))
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        found = [words(t) if self.languages else [] for t in texts]
+        self._learn(found)
+        names, sure = [], []
+        for t in found:
+            if not t:
+                names.append(UNDETERMINED)
+                sure.append(0.0)
+                continue
+            total = self.scores[np.fromiter(map(self.place.__getitem__, t), np.int64, len(t))].sum(0)
+            best = int(total.argmax())
+            names.append(self.languages[best])
+            sure.append(float(1.0 / np.exp(total - total[best]).sum()))
+        return names, sure

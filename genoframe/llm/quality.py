@@ -179,6 +179,12 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> np.ndarr
     return _fit_linear(rows, cols.flatten().to_numpy(), values.flatten().to_numpy().astype(float), target.to_numpy())
 
 
+def _quality(w: wa.Words, weights: np.ndarray, n: int) -> np.ndarray:
+    rows, cols, values = _features(w)
+    z = np.bincount(rows, values * weights[cols], n) + weights[-1]
+    return np.where(np.diff(w.bounds) > 0, 1 / (1 + np.exp(np.clip(z, -700, 700))), 0.0)
+
+
 def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataFrame:
     """``doc_id, quality, kept`` for every row of ``docs(doc_id, text)``; a map without shuffle.
 
@@ -190,10 +196,21 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in wa.chunks(batch.column(1)):
-                w = wa.words(data, offsets)
-                rows, cols, values = _features(w)
-                z = np.bincount(rows, values * weights[cols], end - first) + weights[-1]
-                good = np.where(np.diff(w.bounds) > 0, 1 / (1 + np.exp(np.clip(z, -700, 700))), 0.0)
+                good = _quality(wa.words(data, offsets), weights, end - first)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(good), pa.array(good >= threshold)], schema.fieldNames())
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def keep(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` of quality ``threshold`` or more, with all their columns; a map without shuffle."""
+    names = docs.columns
+    at = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in wa.chunks(batch.column(at)):
+                good = _quality(wa.words(data, offsets), weights, end - first)
+                yield batch.slice(first, end - first).filter(pa.array(good >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -26,14 +26,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes", first.alias("position"))
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _vocabulary(BYTE_BPE)
+    path = vocabulary(BYTE_BPE)
     both = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
     return both.select(
         "doc_id",
@@ -57,7 +57,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, path = _table(spark, sf_dir, "documents"), _vocabulary(PIECES)
+    docs, path = _table(spark, sf_dir, "documents"), vocabulary(PIECES)
     out = langid.predict(docs, path, *langid.train(docs, path))
     return out.select("doc_id", F.coalesce(~langid.learns(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 

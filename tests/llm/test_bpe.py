@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from genoframe.llm import bpe, queries
 
 tokenizers = pytest.importorskip("tokenizers")
-PATH = queries._vocabulary(queries.BYTE_BPE)
+PATH = queries.vocabulary(queries.BYTE_BPE)
 
 
 @pytest.fixture(scope="module")
