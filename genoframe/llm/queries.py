@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import bpe, embedding_dedup, hilbert, html, langid, minhash, mixing, quality
+from genoframe.llm import bpe, embedding_dedup, hilbert, html, langid, lm, minhash, mixing, quality
 from genoframe.llm.scratch import Scratch
 
 #: The public vocabularies' folder is found on each machine; every path is a parameter of the operators.
@@ -56,6 +56,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs))
 
 
+def op8_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"), Scratch(spark, "op8"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = _table(spark, sf_dir, "documents"), vocabulary(PIECES)
     out = langid.predict(docs, path, *langid.train(docs, path))
@@ -66,7 +70,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op10"))
 
 
-QUERIES = {"op1_html": op1_html, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op5_hilbert_ann": op5_hilbert_ann, "op6_minhash": op6_minhash, "op7_quality": op7_quality, "op9_language_id": op9_language_id, "op10_embedding_dedup": op10_embedding_dedup}
+QUERIES = {"op1_html": op1_html, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op5_hilbert_ann": op5_hilbert_ann, "op6_minhash": op6_minhash, "op7_quality": op7_quality, "op8_ngram_lm": op8_ngram_lm, "op9_language_id": op9_language_id, "op10_embedding_dedup": op10_embedding_dedup}
 
 #: One demand inverse for each parity of a source's place: time steps of a quarter, weights 4 3 2 1 or 1 2 3 4 (integral 2.5).
 _OP2_SQL = r"""
