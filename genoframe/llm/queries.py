@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import bpe, embedding_dedup, hilbert, html, langid, lm, minhash, mixing, quality
+from genoframe.llm import bpe, embedding_dedup, hilbert, html, langid, lm, minhash, mixing, quality, warc
 from genoframe.llm.scratch import Scratch
 
 #: The public vocabularies' folder is found on each machine; every path is a parameter of the operators.
@@ -43,6 +43,32 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def revisit_records(pages: DataFrame) -> DataFrame:
+    """Two captures of every page: a full response, and a later or sometimes earlier not-modified revisit of another
+    spelling of its address; every fifth revisit has a changed entity tag, every seventh none, every 35th no validator."""
+    i, at = F.col("page_id"), (F.col("page_id") * 7919) % 1000003
+    tag, since = F.md5(F.coalesce("html", F.lit("")).cast("binary")), (at - at % 3600).cast("string")
+    second = at + (i * 31) % 5000 - 500
+    full = F.create_map(*map(F.lit, ("content-type", "text/html", "cache-control", "max-age=60")), F.lit("etag"), tag, F.lit("last-modified"), since, F.lit("content-length"), F.coalesce(F.octet_length("html"), F.lit(0)).cast("string"))
+    tags = F.when(i % 7 == 0, F.lit(None)).when(i % 5 == 0, F.lit("changed")).otherwise(F.concat(F.lit("W/"), tag))
+    again = F.create_map(F.lit("cache-control"), F.concat(F.lit("max-age="), (i % 100).cast("string")), F.lit("date"), second.cast("string"), F.lit("content-length"), F.lit("0"), F.lit("etag"), tags, F.lit("last-modified"), F.when(i % 35 != 0, since))
+    rows = pages.select(
+        F.explode(
+            F.array(
+                F.struct((i * 2).alias("record_id"), F.lit("response").alias("kind"), F.col("url").alias("url"), at.alias("at"), full.alias("headers")),
+                F.struct((i * 2 + 1).alias("record_id"), F.lit("revisit").alias("kind"), F.concat("url", F.when(F.col("url").contains("?"), "&").otherwise("?"), F.lit("utm_source=again#top")).alias("url"), second.alias("at"), F.map_filter(again, lambda _, v: v.isNotNull()).alias("headers")),
+            )
+        ).alias("r")
+    )
+    return rows.select("r.*")
+
+
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.resolve(revisit_records(_table(spark, sf_dir, "pages")))
+    listed = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))), "; ")
+    return out.select("record_id", "canonical_url", "at", "status", "target_id", listed.alias("headers"))
+
+
 def op5_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, Scratch(spark, "op5"))
 
@@ -70,7 +96,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op10"))
 
 
-QUERIES = {"op1_html": op1_html, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op5_hilbert_ann": op5_hilbert_ann, "op6_minhash": op6_minhash, "op7_quality": op7_quality, "op8_ngram_lm": op8_ngram_lm, "op9_language_id": op9_language_id, "op10_embedding_dedup": op10_embedding_dedup}
+QUERIES = {"op1_html": op1_html, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op4_warc_revisits": op4_warc_revisits, "op5_hilbert_ann": op5_hilbert_ann, "op6_minhash": op6_minhash, "op7_quality": op7_quality, "op8_ngram_lm": op8_ngram_lm, "op9_language_id": op9_language_id, "op10_embedding_dedup": op10_embedding_dedup}
 
 #: One demand inverse for each parity of a source's place: time steps of a quarter, weights 4 3 2 1 or 1 2 3 4 (integral 2.5).
 _OP2_SQL = r"""
@@ -97,6 +123,27 @@ SELECT doc_id, size, source_size, target, size * passes AS taken, passes,
 FROM q
 """
 
+_OP4_SQL = r"""
+WITH p AS (SELECT page_id AS i, url, coalesce(html, '') AS html, page_id * 7919 % 1000003 AS "at" FROM pages),
+x AS (SELECT *, md5(html) AS tag, CAST("at" - "at" % 3600 AS VARCHAR) AS since, "at" + i * 31 % 5000 - 500 AS second FROM p),
+u AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^(?i:[a-z][a-z0-9+.-]*:)?//(?:[^/?@]*@)?', '') AS bare FROM x),
+q AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), '^(?:www|m)\.', ''), ':(?:80|443)$', '')
+        || regexp_replace(regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/index\.html?$', '/'), '/+$', '') AS place,
+      array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda e: e <> '' AND NOT regexp_matches(e, '^(?:utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)(?:=|$)'))), '&') AS params FROM u),
+c AS (SELECT *, CASE WHEN params = '' THEN nullif(place, '') ELSE place || '?' || params END AS canonical_url FROM q),
+full_ AS (SELECT canonical_url AS target_url, "at" AS target_at, max(i * 2) AS target_id FROM c WHERE canonical_url IS NOT NULL GROUP BY ALL),
+again AS (SELECT i * 2 + 1 AS record_id, canonical_url, second AS "at", i, since, CASE WHEN i % 7 = 0 THEN NULL WHEN i % 5 = 0 THEN 'changed' ELSE 'W/' || tag END AS etag, CASE WHEN i % 35 <> 0 THEN since END AS modified FROM c),
+j AS (SELECT a.*, f.target_id FROM again a ASOF LEFT JOIN full_ f ON a.canonical_url = f.target_url AND a."at" > f.target_at),
+k AS (SELECT j.*, c.tag AS stored_tag, c.since AS stored_since, c.html,
+      CASE WHEN target_id IS NULL THEN 'no_earlier_response' WHEN etag IS NULL AND modified IS NULL THEN 'no_validator'
+           WHEN etag IS NOT NULL AND regexp_replace(etag, '^W/', '') = c.tag THEN 'resolved' WHEN etag IS NULL AND modified = c.since THEN 'resolved'
+           ELSE 'validator_mismatch' END AS status FROM j LEFT JOIN c ON target_id = c.i * 2)
+SELECT record_id, canonical_url, "at", status, CASE WHEN status = 'resolved' THEN target_id END AS target_id,
+  CASE WHEN status = 'resolved' THEN concat_ws('; ', 'cache-control: max-age=' || i % 100, 'content-length: ' || strlen(html), 'content-type: text/html', 'date: ' || "at", 'etag: ' || coalesce(etag, stored_tag), 'last-modified: ' || stored_since)
+  ELSE concat_ws('; ', 'cache-control: max-age=' || i % 100, 'content-length: 0', 'date: ' || "at", 'etag: ' || etag, 'last-modified: ' || modified) END AS headers
+FROM k
+"""
+
 #: Exact all-pairs shingle similarity and reachability.
 _OP6_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -120,4 +167,4 @@ r(vec_id, id) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.id F
 SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = r.vec_id) AS n_links, min(id) AS component_id, vec_id = min(id) AS kept FROM r GROUP BY vec_id
 """
 
-ORACLES = {"op2_mixing": _OP2_SQL, "op6_minhash": _OP6_SQL, "op10_embedding_dedup": _OP10_SQL}
+ORACLES = {"op2_mixing": _OP2_SQL, "op4_warc_revisits": _OP4_SQL, "op6_minhash": _OP6_SQL, "op10_embedding_dedup": _OP10_SQL}
