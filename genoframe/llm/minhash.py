@@ -3,10 +3,10 @@
 1. A map computes each text's distinct 5-word shingles and a signature of ``BINS`` bins from one hash of each shingle;
    an empty bin takes the value of the first filled bin in its own random order (optimal densification).
 2. Texts with the same set collapse into one class.
-3. Bands of ``ROWS`` bins make buckets. In each, edges lead from two centres, the same for all bands of
-   a group, to the members: two edges a member instead of all pairs.
-4. Edges are confirmed on full sets. What stays in different components of one bucket is then compared in
-   pairs, with the bounds of set sizes and of the triangle inequality to the centres: no link of a bucket is lost to the stars.
+3. Bands of ``ROWS`` bins make buckets. In each, edges lead from one centre, the same for all bands of
+   a group, to the members: an edge a member instead of all pairs.
+4. Edges are confirmed on full sets. Texts that meet another component in a bucket are then joined exactly, by prefix
+   and position filters on their full sets, so that no link is lost to the stars.
 5. Components of the confirmed links.
 
 A pair of similarity 0.75 shares a bucket with probability 1 - (1 - 0.75^5)^48 > 0.999997.
@@ -113,15 +113,17 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def _star_edges(buckets: DataFrame, scratch: Scratch) -> DataFrame:
-    """``a, b``: from the first member of each bucket in either of two global random orders to all its members."""
-    place = [F.struct(F.xxhash64("rep", F.lit(k)).alias("place"), F.col("rep").alias("centre"), F.col("n").alias("centre_n")) for k in range(2)]
-    centres = buckets.groupBy("key").agg(*[F.min(p).alias(f"c{k}") for k, p in enumerate(place)], F.count(F.lit(1)).alias("members")).where("members > 1")
-    centres = scratch.put(centres.select("key", "c0.centre", "c0.centre_n", F.col("c1.centre").alias("other"), F.col("c1.centre_n").alias("other_n")), "centres")
-    member = buckets.join(centres, "key")
-    sides = F.array(*[F.struct(F.col(c).alias("a"), F.col(f"{x}_n").alias("a_n")) for c, x in (("centre", "centre"), ("other", "other"))])
-    edges = member.select("rep", "n", F.explode(F.array_distinct(sides)).alias("s")).where(F.col("s.a") != F.col("rep")).where(_sizes_allow(F.col("s.a_n"), F.col("n")))
-    return edges.select(F.least("s.a", "rep").alias("a"), F.greatest("s.a", "rep").alias("b")).distinct()
+def _star_edges(shared: DataFrame) -> DataFrame:
+    """``a, b``: from the centre of each bucket to all its members whose sizes allow a link.
+
+    The centre is the member with the most neighbours, over all its buckets; in a group of mutated copies that is the text that
+    is most like the others, and it is the same in all the group's buckets.
+    """
+    degree = shared.groupBy("rep").agg(F.sum("members").alias("degree"))
+    rows = shared.join(degree, "rep")
+    centre = rows.groupBy("key").agg(F.max(F.struct("degree", F.xxhash64("rep").alias("tie"), F.col("rep").alias("centre"), F.col("n").alias("centre_n"))).alias("c"))
+    edges = shared.join(centre.select("key", "c.centre", "c.centre_n"), "key").where("centre <> rep").where(_sizes_allow(F.col("centre_n"), F.col("n")))
+    return edges.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -153,18 +155,21 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         marked.where("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes"
     )
     buckets = classes.where("rep IS NOT NULL").select(F.explode("bands").alias("key"), "rep", "n")
-    pairs = scratch.put(_star_edges(buckets, scratch), "stars")
+    several = scratch.put(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "several")
+    shared = scratch.put(buckets.join(several, "key"), "shared")
+    pairs = scratch.put(_star_edges(shared), "stars")
     sets = _sets_of(docs, pairs, scratch)
     tested = scratch.put(_confirmed(pairs, sets), "tested")
+    scratch.drop(sets, several)
     linked = F.col("shared") * 100 >= F.col("union_size") * PERCENT
     links = tested.where(linked).select("a", "b")
     found = scratch.put(connected_components(links, scratch), "components")
-    rest = scratch.put(_pairs_left(buckets, found, tested, scratch), "left")
-    scratch.drop(sets)
-    if not rest.isEmpty():
-        more = scratch.put(_confirmed(rest, _sets_of(docs, rest, scratch)).where(linked).select("a", "b"), "more")
-        if not more.isEmpty():
-            found = scratch.put(connected_components(links.unionByName(more), scratch), "components")
+    split = scratch.put(_split(shared, found), "split")
+    sets = _sets_of(docs, split.select(F.col("rep").alias("a"), F.col("rep").alias("b")), scratch)
+    rest = scratch.put(_pairs_left(split, sets, tested, scratch), "left")
+    more = scratch.put(_confirmed(rest, sets).where(linked).select("a", "b"), "more")
+    if not more.isEmpty():
+        found = scratch.put(connected_components(links.unionByName(more), scratch), "components")
     named = classes.join(found, F.col("rep") == F.col("id"), "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
     named = scratch.put(named, "named")
     out = marked.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
@@ -172,11 +177,29 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _pairs_left(buckets: DataFrame, found: DataFrame, tested: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs that share a bucket, lie in different components, may be similar by size and have not been tested."""
-    placed = buckets.join(found, F.col("rep") == F.col("id"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+def _split(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """``rep, component`` of what meets another component in some bucket."""
+    placed = shared.join(found, F.col("rep") == F.col("id"), "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    rows = scratch.put(placed.join(split, "key", "left_semi"), "split")
-    left, right = (rows.select("key", F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("component").alias(f"c_{x}")) for x in "ab")
-    cross = left.join(right, "key").where("a < b AND c_a <> c_b").where(_sizes_allow(F.col("n_a"), F.col("n_b")))
+    return placed.join(split, "key", "left_semi").select("rep", "component").distinct()
+
+
+def _pairs_left(split: DataFrame, sets: DataFrame, tested: DataFrame, scratch: Scratch) -> DataFrame:
+    """``a, b``: all untested pairs of different components that can be similar, by prefixes and positions.
+
+    Each set is ordered from rare to frequent shingles. Two similar sets share a shingle among the first 25% of each, and
+    the first one they share leaves enough of both behind it. So a passage that many texts share makes no pairs:
+    it stands at the end of every set. Shingles that no other set has only shift the positions.
+    """
+    sized = sets.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    often = scratch.put(sized.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1"), "often")
+    rank = F.expr("row_number() OVER (PARTITION BY doc_id ORDER BY f, s)")
+    inside = F.expr("count(1) OVER (PARTITION BY doc_id)")
+    placed = sized.join(often, "s").select("doc_id", "s", "n", (F.col("n") - inside + rank).alias("at"))
+    prefix = placed.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
+    prefix = scratch.put(prefix.join(split, F.col("doc_id") == F.col("rep")).select("s", "rep", "component", "n", "at"), "prefix")
+    left, right = (prefix.select("s", F.col("rep").alias(x), F.col("component").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"), F.col("at").alias(f"at_{x}")) for x in "ab")
+    most = 1 + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    able = most * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
+    cross = left.join(right, (left.s == right.s) & (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & able & _sizes_allow(F.col("n_a"), F.col("n_b")))
     return cross.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
