@@ -45,14 +45,14 @@ _PARTS = {
     "vals": "SELECT value, row_number() OVER (ORDER BY value) - 1 AS at_, count(*) OVER () AS n FROM events WHERE value IS NOT NULL",
     "dist": "SELECT range AS i, value FROM range(1000) JOIN vals ON vals.at_ = range * n // 1000",
     "quant": "SELECT vec_id, xs, ys, greatest((SELECT count(*) FROM dist WHERE value < abs(xs) * 20), (SELECT count(*) FROM dist WHERE value < abs(ys) * 20)) / 1000.0::DOUBLE AS quantile FROM sums",
-    "m": "SELECT user_id, event_type AS model_id, avg(value) / 100 - 1 AS logfc, count(*) / 30::DOUBLE AS q, max(value) > 300 AS in_peak FROM events GROUP BY ALL",
+    "m": "SELECT user_id, event_type AS model_id, avg(value) / 97 - 1 AS logfc, count(*) / 30::DOUBLE AS q, max(value) > 300 AS in_peak FROM events GROUP BY ALL",
     "flag": "SELECT *, coalesce(abs(logfc) >= 0.25 AND q >= 0.05 AND (in_peak OR (NOT in_peak AND logfc > 0)), false) AS pri FROM m",
     "fam0": FAM_SQL,
     "fam": "SELECT record, member, dp, gq, record % 2 = 0 AS phased, CASE WHEN dp >= 3 THEN [a1, a2] END AS gt FROM fam0",
     "calls": "SELECT *, coalesce(list_contains(gt, alt_index), false) AS has, coalesce(gt[1] = 0 AND gt[2] = 0 AND dp >= 10 AND gq >= 20, false) AS sure, CASE WHEN gt IS NULL THEN './.' WHEN phased THEN gt[1] || '|' || gt[2] ELSE gt[1] || '/' || gt[2] END AS txt, 'I' || member AS who FROM fam, (VALUES (1), (2)) AS a(alt_index)",
     "inh": "SELECT record, alt_index, CASE WHEN bool_or(member = 2 AND has) AND bool_or(member = 3 AND has) THEN 'BIPARENTAL' WHEN bool_or(member = 2 AND has) THEN 'MATERNAL' WHEN bool_or(member = 3 AND has) THEN 'PATERNAL' WHEN bool_or(member = 2 AND sure) AND bool_or(member = 3 AND sure) THEN 'PARENTS_REFERENCE' ELSE 'UNRESOLVED' END AS inheritance FROM calls GROUP BY ALL",
     "carried": "SELECT record, alt_index FROM calls WHERE member = 1 AND has",
-    "res": "SELECT record_ordinal, alt_index, 'R' || record_ordinal AS result_variant_id, round(l_extendedprice / 1000, 2) AS score, CASE WHEN l_partkey % 4 <> 0 THEN 'G' || l_partkey % 50 END AS gene FROM o WHERE error_code IS NULL AND record_ordinal % 7 <> 0",
+    "res": "SELECT record_ordinal, alt_index, 'R' || record_ordinal AS result_variant_id, l_extendedprice AS score, CASE WHEN l_partkey % 4 <> 0 THEN 'G' || l_partkey % 50 END AS gene FROM o WHERE error_code IS NULL AND record_ordinal % 7 <> 0",
     "aug": "SELECT o.record_ordinal, o.alt_index, o.alt, o.error_code, res.result_variant_id, res.score, res.gene, CASE WHEN o.error_code IS NOT NULL THEN 'UNSUPPORTED' WHEN res.result_variant_id IS NOT NULL THEN 'SCORED' ELSE 'NO_RESULT' END AS status FROM o LEFT JOIN res ON o.record_ordinal = res.record_ordinal AND o.alt_index = res.alt_index",
     "near0": "SELECT DISTINCT chrom, pos FROM v",
     "near": "SELECT p.chrom, p.pos, gene_id, start_, CASE WHEN p.pos BETWEEN start_ AND end_ THEN 0 ELSE least(abs(p.pos - start_), abs(p.pos - end_)) END AS d FROM near0 p JOIN g ON g.chrom = p.chrom",

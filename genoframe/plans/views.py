@@ -140,7 +140,7 @@ class Views:
         """One row per user and model (event type): fold change, quantile, whether in a peak."""
         e = self.table("events")
         return e.groupBy("user_id", F.col("event_type").alias("model_id")).agg(
-            (F.avg("value") / 100 - 1).alias("logfc"), (F.count(F.lit(1)) / 30).alias("active_allele_quantile"), (F.max("value") > 300).alias("in_peak")
+            (F.avg("value") / 97 - 1).alias("logfc"), (F.count(F.lit(1)) / 30).alias("active_allele_quantile"), (F.max("value") > 300).alias("in_peak")
         )
 
     @property
@@ -159,7 +159,7 @@ class Views:
     @property
     def results(self) -> DataFrame:
         """Results of supported occurrences, by ordinal; every seventh is lost."""
-        return self.ordered_occurrences.where("error_code IS NULL AND record_ordinal % 7 <> 0").select("record_ordinal", "alt_index", F.concat(F.lit("R"), F.col("record_ordinal").cast("string")).alias("result_variant_id"), F.round(F.col("l_extendedprice") / 1000, 2).alias("score"), F.when(F.col("l_partkey") % 4 != 0, F.concat(F.lit("G"), (F.col("l_partkey") % 50).cast("string"))).alias("gene"))
+        return self.ordered_occurrences.where("error_code IS NULL AND record_ordinal % 7 <> 0").select("record_ordinal", "alt_index", F.concat(F.lit("R"), F.col("record_ordinal").cast("string")).alias("result_variant_id"), F.col("l_extendedprice").alias("score"), F.when(F.col("l_partkey") % 4 != 0, F.concat(F.lit("G"), (F.col("l_partkey") % 50).cast("string"))).alias("gene"))
 
     @property
     def ordered_occurrences(self) -> DataFrame:
