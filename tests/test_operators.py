@@ -1,0 +1,288 @@
+"""Hand-computed cases of operators."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from genoframe.functions import alleles, scoring, sequence, text
+from genoframe.operators import augment, family, folds, ingest, intervals, lookups, ordinal, prioritize, regions, validate
+
+
+def one(spark, expr, **values):
+    names = list(values)
+    frame = spark.createDataFrame([tuple(values.values())], ", ".join(f"{n} {t}" for n, t in zip(names, (_type(v) for v in values.values()), strict=True))) if values else spark.range(1)
+    return frame.select(expr.alias("x")).first().x
+
+
+def _type(v):
+    if isinstance(v, list):
+        return f"array<{_type(v[0])}>"
+    return {bool: "boolean", int: "long", float: "double", str: "string"}[type(v)]
+
+
+@pytest.mark.parametrize(
+    ("ref", "alt", "code"),
+    [("A", "*", "SPANNING_DELETION"), ("A", "<DEL>", "SYMBOLIC_ALT"), ("A", "A]chr1:5]", "BREAKEND"), ("A", "A", "REF_EQUALS_ALT"), ("A", ".", "MISSING_ALT"), ("A", "", "MISSING_ALT"), ("A", "T", None), ("*", "*", "SPANNING_DELETION")],
+)
+def test_error_codes(spark, ref, alt, code):
+    assert one(spark, alleles.alt_error_code(F.col("ref"), F.col("alt")), ref=ref, alt=alt) == code
+    assert one(spark, alleles.is_sequence_alt(F.col("ref"), F.col("alt")), ref=ref, alt=alt) == (code is None)
+
+
+@pytest.mark.parametrize(("ref", "alt", "kind"), [("A", "T", "SNV"), ("A", "TT", "insertion"), ("AA", "T", "deletion"), ("AA", "TT", "substitution")])
+def test_variant_types(spark, ref, alt, kind):
+    assert one(spark, alleles.variant_type(F.col("ref"), F.col("alt")), ref=ref, alt=alt) == kind
+
+
+def test_target_mask(spark):
+    rows = spark.createDataFrame([(1, None, "PENDING", [0, 2]), (2, None, "PENDING", [0, 2]), (1, None, "PENDING", None), (2, "BREAKEND", "UNSUPPORTED", [0, 1])], "alt_index int, error_code string, status string, gt array<int>")
+    got = [(r.error_code, r.status) for r in ingest.mask_target(rows).collect()]
+    assert got == [("NOT_CARRIED_BY_TARGET", "UNSUPPORTED"), (None, "PENDING"), ("NOT_CARRIED_BY_TARGET", "UNSUPPORTED"), ("BREAKEND", "UNSUPPORTED")]
+
+
+def test_duplicates_raise(spark):
+    with pytest.raises(ingest.DuplicateKeys):
+        ingest.require_unique(spark.createDataFrame([("a",), ("a",)], "variant_id string"), "variant_id")
+
+
+REGIONS = "chrom string, start long, end long, feature string, biotype string, gene_id string"
+
+
+def annotated(spark, variants, rows):
+    v = spark.createDataFrame(variants, "chrom string, pos long, ref string")
+    return {(r.chrom, r.pos): r for r in regions.annotate(v, spark.createDataFrame(rows, REGIONS)).collect()}
+
+
+def test_labels_and_edges(spark):
+    rows = [("chr1", 100, 200, "cds", "protein_coding", "G1"), ("chr1", 90, 210, "exon", "protein_coding", "G1"), ("chr1", 195, 205, "splice_donor", "protein_coding", "G2"), ("chr2", 1, 5_000_000, "intron", "lncRNA", "G3"), ("chr2", 50, 60, "exon", "lncRNA", None)]
+    got = annotated(spark, [("chr1", 100, "A"), ("chr1", 200, "A"), ("chr1", 99, "A"), ("chr1", 99, "AT"), ("chr1", 211, "A"), ("chr2", 4_999_999, "AA"), ("chr2", 55, "A"), ("chr9", 1, "A")], rows)
+    assert got["chr1", 100].labels == ["cds", "exonic"] and got["chr1", 100].is_coding
+    assert got["chr1", 200].labels == ["splice_site", "cds", "splice_region", "exonic"] and got["chr1", 200].gene_ids == ["G1", "G2"]
+    assert got["chr1", 211].labels == ["intergenic"] and got["chr9", 1].primary == "intergenic"
+    assert got["chr2", 4_999_999].labels == ["intronic"]
+    assert got["chr2", 55].labels == ["noncoding_gene", "intronic"] and got["chr2", 55].gene_ids == ["G3"]
+
+
+def test_span_of_a_deletion_reaches_in(spark):
+    got = annotated(spark, [("chr1", 98, "ATC")], [("chr1", 100, 200, "promoter", "x", "G")])
+    assert got["chr1", 98].in_promoter and not got["chr1", 98].is_coding
+
+
+def test_routing(spark):
+    rows = spark.createDataFrame([(1, ["splice_site", "cds"]), (2, ["intergenic"]), (3, ["promoter"])], "id int, labels array<string>")
+    got = {(r.id, r.category) for r in regions.route(rows, tuple(regions.CATEGORIES)).select("id", "category").collect()}
+    assert got == {(1, "splice"), (1, "splice_site"), (1, "coding"), (1, "genic"), (2, "intergenic"), (3, "promoter")}
+    assert {r.category: r.n for r in regions.route_counts(regions.route(rows)).collect()}["intronic"] == 0
+    with pytest.raises(ValueError, match="unknown"):
+        regions.route(rows, ("coding", "nowhere"))
+
+
+def test_overlap_join_is_the_predicate(spark):
+    import random
+
+    rng = random.Random(3)
+    make = lambda n, wide: [("c%d" % rng.randrange(3), a := rng.randrange(5_000_000), a + rng.choice([0, 3, 500, wide])) for _ in range(n)]
+    left, right = make(300, 20_000), make(300, 4_000_000)
+    lf = spark.createDataFrame([(i, *x) for i, x in enumerate(left)], "i int, chrom string, ls long, le long")
+    rf = spark.createDataFrame([(i, *x) for i, x in enumerate(right)], "j int, chrom string, rs long, re long")
+    got = sorted((r.i, r.j) for r in intervals.overlap_join(lf, rf, ("chrom", "ls", "le"), ("chrom", "rs", "re")).select("i", "j").collect())
+    assert got == sorted((i, j) for i, a in enumerate(left) for j, b in enumerate(right) if a[0] == b[0] and a[1] <= b[2] and b[1] <= a[2])
+
+
+def test_nearest_is_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    genes = [("c%d" % (k % 2), a := rng.randrange(1, 40_000), a + rng.randrange(300), f"G{k:03d}") for k in range(60)] + [("c9", 5, 9, "G9")]
+    points = [("c%d" % rng.randrange(2), rng.randrange(1, 42_000)) for _ in range(200)] + [("c9", 7), ("c9", 2), ("none", 3)]
+    got = {}
+    for r in intervals.nearest(spark.createDataFrame(points, "chrom string, pos long"), spark.createDataFrame(genes, "chrom string, start long, end long, id string"), 5, 1 << 10).collect():
+        got.setdefault((r.chrom, r.pos), []).append((r["rank"], r.id, r.distance))
+    for c, p in set(points):
+        ranked = sorted((0 if s <= p <= e else min(abs(p - s), abs(p - e)), i, s) for g, s, e, i in genes if g == c)[:5]
+        assert sorted(got.get((c, p), [])) == [(k, i, d if p > s else -d) for k, (d, i, s) in enumerate(ranked, 1)]
+
+
+def test_first_overlap_ties(spark):
+    v = spark.createDataFrame([("c", 10, "A", 10), ("c", 99, "A", 99)], "chrom string, pos long, ref string, v_end long")
+    e = spark.createDataFrame([("c", 5, 20, "E2"), ("c", 5, 12, "E1"), ("c", 6, 11, "E0")], "chrom string, start long, end long, accession string")
+    got = {r.pos: r.accession for r in intervals.first_overlap(v, e, ["chrom", "pos", "ref"], ["accession"], ["start", "end", "accession"], ("chrom", "pos", "v_end"), ("chrom", "start", "end")).collect()}
+    assert got == {10: "E1", 99: None}
+
+
+def test_per_base(spark):
+    r = spark.createDataFrame([(1, "c", 3, 6)], "id int, chrom string, start long, end long")
+    t = spark.createDataFrame([("c", 4, 2.5), ("c", 6, 1.0), ("d", 3, 9.0)], "chrom string, pos long, value double")
+    assert intervals.per_base(r, t).first()["values"] == [None, 2.5, None, 1.0]
+
+
+EXONS = "tx string, chrom string, start long, end long, strand string"
+
+
+def test_gene_model(spark):
+    exons = spark.createDataFrame([("t", "c", 100, 200, "+"), ("t", "c", 221, 300, "+"), ("u", "c", 10, 20, "-"), ("u", "c", 24, 30, "-"), ("w", "c", 1, 5, "+"), ("w", "c", 6, 9, "+")], EXONS)
+    gaps = regions.introns(exons)
+    assert {(r.tx, r.start, r.end) for r in gaps.collect()} == {("t", 201, 220), ("u", 21, 23)}
+    assert {(r.tx, r.kind, r.start, r.end) for r in regions.splice_sites(gaps).collect()} == {("t", "splice_donor", 201, 202), ("t", "splice_acceptor", 219, 220), ("u", "splice_acceptor", 21, 22), ("u", "splice_donor", 22, 23)}
+    assert {(r.tx, r.side, r.start, r.end) for r in regions.splice_regions(gaps).collect()} == {("t", "left", 198, 208), ("t", "right", 213, 223), ("u", "left", 18, 23), ("u", "right", 21, 26)}
+    genes = spark.createDataFrame([("a", "c", 1000, 2000, "+"), ("b", "c", 1000, 2000, "-"), ("d", "c", 50, 90, "+"), ("e", "c", 1000, 2000, ".")], "gene_id string, chrom string, start long, end long, strand string")
+    assert {(r.gene_id, r.start, r.end) for r in regions.promoters(genes).collect()} == {("a", 500, 1100), ("b", 1900, 2500), ("d", 1, 150), ("e", 1900, 2500)}
+
+
+def test_gff_names(spark):
+    rows = [("gene", "ID=gene:G1;Name=ABC;biotype=protein_coding"), ("ncRNA_gene", "ID=gene:G2;biotype=lncRNA"), ("mRNA", "ID=transcript:T1;Parent=gene:G1;biotype=nonsense"), ("lnc_RNA", "ID=transcript:T2;Parent=gene:G2"), ("mRNA", "ID=transcript:T3;Parent=gene:G9"), ("exon", "Parent=transcript:T1")]
+    got = {r.tx: (r.gene_id, r.biotype, r.name) for r in regions.transcripts_of(spark.createDataFrame(rows, "feature string, attributes string")).collect()}
+    assert got == {"T1": ("G1", "protein_coding", "ABC"), "T2": ("G2", "lncRNA", None), "T3": ("G9", None, None)}
+
+
+def test_validation_cascade(spark):
+    genome = spark.createDataFrame([("chr1", "ACGT" * 50), ("chrM", "ACGT" * 50)], "contig string, seq string")
+    cases = [
+        ("1", 101, "A", "T", None, "PENDING"), ("chrM", 101, "A", "T", "INVALID_CHROMOSOME", "FAILED"), ("chr2", 101, "A", "T", "INVALID_CHROMOSOME", "FAILED"), ("chr1", 101, "N", "T", "INVALID_REFERENCE", "FAILED"),
+        ("chr1", 101, "A", "t", "INVALID_ALTERNATE", "FAILED"), ("chr1", 101, "C", "T", "REF_MISMATCH", "REF_MISMATCH"), ("chr1", 5, "A", "T", "REF_MISMATCH", "REF_MISMATCH"), ("chr1", 101, "ACGT", "A", None, "PENDING"),
+        ("chr1", 193, "A", "T", "ALT_LENGTH_MISMATCH", "FAILED"), ("chr1", 101, "A", "TTTTTTTTTTTT", "ALT_LENGTH_MISMATCH", "FAILED"),
+    ]
+    v = spark.createDataFrame([(i, *c[:4]) for i, c in enumerate(cases)], "i int, chrom string, pos long, ref string, alt string")
+    got = {r.i: (r.error_code, r.status) for r in validate.validate(v, genome, 20).collect()}
+    assert got == {i: c[4:] for i, c in enumerate(cases)}
+
+
+def test_allele_windows(spark):
+    seq = "ACGTACGTAC"
+    w = lambda pos, ref, alt, width: [one(spark, x, s=seq, p=pos, r=ref, a=alt) for x in sequence.allele_windows(F.col("s"), F.col("p"), F.col("r"), F.col("a"), width)]
+    assert w(5, "A", "G", 4) == ["GTAC", "GTGC"]
+    assert w(1, "A", "G", 6) == ["NNNACG", "NNNGCG"]
+    assert w(10, "C", "GG", 6) == ["GTACNN", "GTAGGN"]
+    assert w(5, "a", "gg", 5) == ["GTACG", "GTGGC"]
+    err = lambda pos, ref, alt: one(spark, sequence.allele_window_error(F.col("s"), F.col("p"), F.col("r"), F.col("a")), s=seq, p=pos, r=ref, a=alt)
+    assert [err(5, "A", "G"), err(5, "C", "G"), err(5, "A", "<X>"), err(0, "A", "G"), err(5, "", "G")] == [None, "REF_MISMATCH", "INVALID_ALLELE", "INVALID_POSITION", "EMPTY_ALLELE"]
+
+
+def test_sequence_pieces(spark):
+    assert one(spark, sequence.one_hot(F.col("s")), s="aN") == [[1, 0, 0, 0], [0, 0, 0, 0]]
+    assert one(spark, sequence.center_slice(F.col("s"), 10, 4), s="0123456789") == "3456"
+    assert one(spark, sequence.attribution_sequence(F.array(*[F.array(*map(F.lit, r)) for r in ([0.0, 0.5, 0.0, 0.0], [0.0, 0.0, 0.0, 0.0], [0.0, 0.0, 0.0, -1.0])]))) == "CAT"
+
+
+def test_scores(spark):
+    jsd = lambda a, b: one(spark, scoring.jensen_shannon_distance(F.col("a"), F.col("b")), a=a, b=b)
+    assert jsd([1.0, 2.0, 3.0], [1.0, 2.0, 3.0]) == pytest.approx(0)
+    assert jsd([1000.0, 0.0], [0.0, 1000.0]) == pytest.approx(1)
+    assert one(spark, scoring.log2_fold_change(F.col("a"), F.col("b")), a=0.0, b=math.log(8)) == pytest.approx(3)
+    dist = [float(i) for i in range(1000)]
+    q = lambda r, a: one(spark, scoring.active_allele_quantile(F.col("d"), F.col("r"), F.col("a")), d=dist, r=r, a=a)
+    assert [q(200.0, 5.0), q(0.0, 350.0), q(4.5, 1.0), q(-1.0, -2.0), q(5000.0, 0.0)] == [0.2, 0.35, 0.005, 0.0, 1.0]
+    assert one(spark, scoring.max_abs(F.col("a")), a=[-3.0, float("nan"), 2.0]) == 3.0
+    profile = one(spark, scoring.counts_profile(F.col("a"), F.lit(math.log(10.0))), a=[0.0, 0.0])
+    assert profile == pytest.approx([5.0, 5.0])
+    assert one(spark, scoring.profile_l1(F.col("a"), F.col("b")), a=[1.0, 2.0], b=[0.0, 4.0]) == 3.0
+
+
+def test_folds(spark):
+    rows = spark.createDataFrame([("v", f, float(f), 2.0 ** f) for f in range(3)] + [("w", 0, 1.0, 1.0), ("w", 1, float("nan"), 1.0), ("w", 2, 3.0, 1.0)], "id string, fold int, x double, x_pval double")
+    got = {r.id: r for r in folds.average(rows, ["id"], ["x", "x_pval"], 3).collect()}
+    assert (got["v"].x, got["v"].x_pval, got["v"].n_folds) == (1.0, pytest.approx(2.0), 3)
+    assert got["w"].x is None
+    assert {r.id: r.m for r in rows.groupBy("id").agg(folds.mean_of_present(F.col("x")).alias("m")).collect()}["w"] == 2.0
+    lost = rows.where("NOT (id = 'w' AND fold = 1) AND NOT (id = 'v' AND fold = 0)")
+    assert {tuple(r) for r in folds.membership(lost, "fold", "id", 0).collect()} == {(1, "missing", "w"), (1, "extra", "v"), (2, "extra", "v")}
+    with pytest.raises(folds.FoldMismatch):
+        folds.require_same_members(lost, "fold", "id", 0)
+
+
+def test_distribution(spark):
+    df = spark.range(2500).select((F.col("id") * 7919 % 2500).cast("double").alias("x"))
+    got = sorted(tuple(r) for r in folds.distribution(df, "x").collect())
+    assert got == [(i, float(i * 2500 // 1000)) for i in range(1000)]
+    with pytest.raises(ValueError, match="1000"):
+        folds.distribution(df.limit(999), "x")
+
+
+def test_prioritisation(spark):
+    f = lambda l, q, peak, prom: one(spark, prioritize.is_prioritized(F.lit(l).cast("double"), F.lit(q).cast("double"), F.lit(peak).cast("boolean"), F.lit(prom).cast("boolean")))
+    assert f(0.3, 0.1, True, False) and f(-0.3, 0.1, True, False) and f(0.3, 0.1, False, False)
+    assert not f(-0.3, 0.1, False, False) and f(-0.3, 0.1, False, True) and not f(0.2, 0.1, True, True) and not f(0.3, 0.01, True, True)
+    assert not f(float("nan"), 0.1, True, True) and not f(None, 0.1, True, True) and not f(0.3, float("nan"), True, True)
+
+
+def test_pivot_and_top(spark):
+    s = "variant_id string, model_id string, logfc double, active_allele_quantile double, in_peak boolean"
+    rows = [("v1", "b", -0.9, 0.01, True), ("v1", "a", 0.5, 0.5, True), ("v2", "a", 0.1, 0.5, True), ("v2", "b", -0.1, 0.5, True), (None, "a", 1.0, 0.5, True)]
+    wide = prioritize.pivot(spark.createDataFrame(rows, s), ["variant_id"], ["a", "b"])
+    got = {r.variant_id: r for r in prioritize.top_model(prioritize.prioritize(wide, ["a", "b"]), ["a", "b"]).collect()}
+    assert (got["v1"].prioritized, got["v1"].prioritized_b, got["v1"].top_model, got["v1"].top_logfc) == (True, False, "a", 0.5)
+    assert (got["v2"].prioritized, got["v2"].top_model) == (False, "a") and got[None].logfc_b is None
+    with pytest.raises(ingest.DuplicateKeys):
+        prioritize.pivot(spark.createDataFrame(rows + rows[:1], s), ["variant_id"], ["a", "b"])
+
+
+def test_lookups(spark):
+    v = spark.createDataFrame([("1", 5, "A", "T"), ("1", 6, "A", "TT")], "chrom string, pos long, ref string, alt string")
+    t = spark.createDataFrame([("1", 5, "A", "T", "t2", 0.7), ("1", 5, "A", "T", "t1", 0.2)], "chrom string, pos long, ref string, alt string, tx string, score double")
+    joined = lookups.left_lookup(v, t, ["tx"]).withColumn("id", F.concat_ws(":", *lookups.ALLELE))
+    assert lookups.lookup_stats(joined, "tx", "id").first().asDict() == {"matched_rows": 2, "matched_variants": 1, "output_rows": 3}
+    got = {r.pos: (r.kind, r.score) for r in lookups.two_table_lookup(v, t, t, "score", "tx").collect()}
+    assert got == {5: ("SNV", 0.2), 6: ("INDEL", None)}
+    listed = spark.createDataFrame([(1, [("eu", 0.1), ("eu", 0.12349)]), (2, [("eu", None)]), (3, None)], "k int, l array<struct<population:string,frequency:double>>")
+    flat = lookups.flatten_frequencies(listed, "l", ["eu", "as"])
+    assert {r.k: (r.af_eu, r.af_as) for r in flat.collect()} == {1: (0.123, 0.0), 2: (0.0, 0.0), 3: (0.0, 0.0)}
+    known = lookups.frequency_lookup(spark.createDataFrame([(1,), (9,)], "k int"), flat, ["k"])
+    assert {r.k: (r.in_ot, r.af_eu) for r in known.collect()} == {1: (True, 0.123), 9: (False, 0.0)}
+
+
+def test_family(spark):
+    rows = [("r", 1, 1, "P", "SP", "PROBAND", "AFFECTED", [0, 1], True, [5, 6], 11, 30), ("r", 1, 2, "M", "SM", "MOTHER", "UNAFFECTED", [0, 1], False, None, 9, None), ("r", 1, 3, "D", "SD", "FATHER", "UNAFFECTED", [0, 0], False, None, 30, 60), ("r", 1, 4, "S", "SS", "SIBLING", "AFFECTED", [1, None], False, None, 20, 20), ("q", 1, 1, "P", "SP", "PROBAND", "AFFECTED", [0, 0], True, None, 11, 30)]
+    calls = spark.createDataFrame(rows, "record string, alt_index int, member int, individual string, sample string, relationship string, affected string, gt array<int>, phased boolean, ad array<int>, dp int, gq int")
+    got = family.evidence(calls, ["record", "alt_index"]).collect()
+    assert len(got) == 1
+    r = got[0]
+    assert (r.inheritance, r.affected_carriers, r.unaffected_carriers, r.shared_siblings, r.quality_flags) == ("MATERNAL", "P,S", "M", "S", "M:LOW_DP,M:LOW_GQ")
+    assert (r.proband_gt, r.proband_ad, r.mother_ad, r.father_gt) == ("0|1", "5,6", "", "0/0") and '"gq":null' in r.member_genotypes_json
+    sure = lambda gt, dp, gq: one(spark, family.confident_reference(F.lit(gt).cast("array<int>"), F.lit(dp).cast("int"), F.lit(gq).cast("int")))
+    assert sure([0, 0], 10, 20) and not sure([0, 0], 9, 20) and not sure([0, 1], 10, 20) and not sure([0, 0], None, 20)
+    assert one(spark, family.inheritance(*[F.lit(x).cast("boolean") for x in (False, False, True, True)])) == "PARENTS_REFERENCE"
+
+
+def test_relationships(spark):
+    rows = [("p", "m", "f"), ("m", None, "0"), ("f", "", None), ("s", "m", "f"), ("h", "m", "x")]
+    tree = spark.createDataFrame(rows, "person string, mother string, father string").withColumn("own", F.col("person") == "p")
+    assert {r.person: r.relationship for r in family.relationships(tree, "own").collect()} == {"p": "PROBAND", "m": "MOTHER", "f": "FATHER", "s": "SIBLING", "h": "RELATIVE"}
+
+
+def test_texts(spark):
+    assert one(spark, text.format_gt(F.array(F.lit(0), F.lit(None).cast("int")), F.lit(False))) == "0/."
+    assert one(spark, text.motif_name(F.lit("pos_1_patterns.ATF3#1_232"))) == "ATF3#1"
+    first = lambda x: one(spark, text.first_gene(F.lit(x)))
+    assert [first('[{"gene_name":"A"}]'), first('[{"symbol":"B"}]'), first('["C"]'), first("D {"), first("[]"), first('[{"gene_id":"E","name":""}]')] == ["A", "B", "C", "D {", None, "E"]
+    entry = lambda *x: one(spark, text.model_score_entry(F.lit(2), F.lit("M0001"), *[F.lit(v).cast(t) for v, t in zip(x, ("double", "double", "double", "boolean", "boolean"), strict=True)]))
+    assert entry(0.5, None, 0.25, True, False) == "2|M0001|0.5|.|0.25|1|0" and entry(*[None] * 5) is None
+
+
+def test_augment(spark):
+    occ = spark.createDataFrame([(0, 1), (0, 2), (1, 1)], "record_ordinal long, alt_index int")
+    res = spark.createDataFrame([(1, 1, "c"), (0, 2, None), (0, 1, "a")], "record_ordinal long, alt_index int, REGION string")
+    rows = augment.per_record(augment.merge(occ, res), ["REGION"])
+    assert {r.record_ordinal: r.REGION for r in rows.collect()} == {0: "a,.", 1: "c"}
+    with pytest.raises(augment.Misaligned):
+        augment.merge(occ, res.where("record_ordinal = 0"))
+    with pytest.raises(augment.Misaligned):
+        augment.merge(occ.where("record_ordinal = 0"), res)
+    s = lambda a, b: one(spark, augment.status(F.lit(a).cast("string"), F.lit(b).cast("string")))
+    assert [s("PENDING", "x"), s("PENDING", None), s(None, "x"), s("CACHED", None)] == ["SCORED", "NO_RESULT", "FAILED", "CACHED"]
+    models = [{"model_id": "1", "name": "Liver", "column_prefix": "liv"}, {"model_id": "2", "name": "Brain", "column_prefix": "bra", "short_id": "X"}]
+    assert [one(spark, augment.top_short_id(F.lit(n), models)) for n in ("Liver", "bra", "none")] == ["M0001", "X", None]
+    head = ["##fileformat=VCFv4.2", "#CHROM\tPOS"]
+    twice = augment.header_lines(augment.header_lines(head, "GF1"), "GF1")
+    assert twice == augment.header_lines(head, "GF1") and len(twice) == 16
+    with pytest.raises(augment.HeaderConflict):
+        augment.header_lines(['##INFO=<ID=GF1_STATUS,Number=1,Type=String,Description="x">', *head], "GF1")
+    assert one(spark, augment.without_own_info(F.lit("AC=1;GF1_STATUS=X;DB"), "GF1")) == "AC=1;DB"
+
+
+def test_ordinals(spark):
+    df = spark.createDataFrame([(k * 37 % 1000, k) for k in range(1000)], "a long, b long").repartition(7)
+    got = {r.a: r.record_ordinal for r in ordinal.with_ordinal(df, ["a", "b"]).collect()}
+    assert got == {a: a for a in range(1000)}
+    late = ordinal.descents(spark.createDataFrame([(0, 1, 5), (1, 1, 4), (2, 2, 1), (3, 1, 9), (4, 1, 9)], "o long, r int, p int"), "o", "r", "p")
+    assert sorted(r.o for r in late.collect()) == [1, 3]
