@@ -25,7 +25,7 @@ from genoframe.llm.scratch import Scratch
 from genoframe.llm.tiles import map_runs
 
 CURVES, DIMENSIONS, BITS = 8, 3, 10
-SLICES, REACH = 32, 3
+SLICES, REACH, SLICE_ROWS = 32, 3, 4
 #: Rows and queries that meet in one task at most.
 ROW_BLOCK, QUERY_BLOCK = 4096, 1024
 
@@ -148,7 +148,9 @@ def nearest(df: DataFrame, is_query, scratch: Scratch, k: int = 20) -> DataFrame
     keyed = scratch.put(_keyed(rows, longest or 1.0), "keyed")
     places = keyed.select("vec_id", "dim", F.posexplode("keys").alias("curve", "key"))
     cuts = F.percentile_approx("key", [i / SLICES for i in range(1, SLICES)], 10_000)
-    bounds = {(r.dim, r.curve): r.cuts for r in places.groupBy("dim", "curve").agg(cuts.alias("cuts")).collect()}
+    # slices hold SLICE_ROWS times k rows at least: a table of few rows has fewer slices
+    every_nth = lambda n: max(1, -(-SLICES * SLICE_ROWS * k // n))
+    bounds = {(r.dim, r.curve): r.cuts[every_nth(r.n) - 1 :: every_nth(r.n)] for r in places.groupBy("dim", "curve").agg(cuts.alias("cuts"), F.count(F.lit(1)).alias("n")).collect()}
     if not bounds:
         schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
         return df.sparkSession.createDataFrame([], schema)
