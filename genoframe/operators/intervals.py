@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Sizes of nested bins, as powers of two: 1 kb to 1 Gb; an interval that crosses a border of the largest fits none.
 LEVELS = (10, 13, 16, 19, 22, 25, 30, 62)
+NO_LEVEL = -1
 
 
 def _level_bin(start: Column, end: Column) -> tuple[Column, Column]:
@@ -41,17 +42,35 @@ def overlap_join(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "
     return out if how == "left_semi" else out.drop(held["_level"]).drop(held["_bin"]).drop("_chrom")
 
 
+def overlaps_or_none(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end")) -> DataFrame:
+    """The pairs of ``overlap_join``, and one row with nulls from the right and a null ``hit`` for every left row.
+
+    An aggregate by the left's key then sees every left row in one pass, without a second join for those that overlap nothing.
+    """
+    lc, ls, le = left_on
+    rc, rs, re_ = right_on
+    level, place = _level_bin(F.col(rs).cast("long"), F.col(re_).cast("long"))
+    held = right.where(F.col(rs) <= F.col(re_)).withColumn("_held", level).withColumn("_place", place).withColumnRenamed(rc, "_chrom").withColumn("hit", F.lit(True))
+    every, none = F.array(*[F.lit(b) for b in (*LEVELS, NO_LEVEL)]), F.array(F.lit(NO_LEVEL))
+    looked = left.withColumn("_level", F.explode(F.when(F.col(ls) <= F.col(le), every).otherwise(none)))
+    shift = lambda c: F.expr(f"shiftright(cast(`{c}` as bigint), _level)")
+    bins = F.when(F.col("_level") == NO_LEVEL, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(shift(ls), shift(le)))
+    looked = looked.withColumn("_bin", F.explode(bins))
+    on = (looked["_level"] == held["_held"]) & (looked["_bin"] == held["_place"]) & (looked[lc] == held["_chrom"]) & (F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le))
+    return looked.join(held, on, "left").where(F.col("hit") | (F.col("_level") == NO_LEVEL)).drop("_level", "_bin", "_held", "_place", "_chrom")
+
+
 def overlaps_any(left: DataFrame, right: DataFrame, key: list[str], name: str, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end")) -> DataFrame:
-    """Distinct ``key`` of the left rows and whether any right interval overlaps one; keys are not null."""
-    hits = overlap_join(left, right.select(*right_on), left_on, right_on, "left_semi").select(*key).distinct().withColumn(name, F.lit(True))
-    return left.select(*key).distinct().join(hits, key, "left").select(*key, F.coalesce(name, F.lit(False)).alias(name))
+    """Distinct ``key`` of the left rows and whether any right interval overlaps one."""
+    met = overlaps_or_none(left, right.select(*[F.col(c).alias(f"_{c}") for c in right_on]), left_on, tuple(f"_{c}" for c in right_on))
+    return met.groupBy(*key).agg(F.coalesce(F.bool_or("hit"), F.lit(False)).alias(name))
 
 
 def first_overlap(left: DataFrame, right: DataFrame, key: list[str], payload: list[str], order: list[str], left_on, right_on) -> DataFrame:
     """For each distinct left ``key`` the payload of the overlapping right interval that comes first in ``order``; null if none."""
-    ids = left.select(*key, *left_on).distinct()
-    best = overlap_join(ids, right, left_on, right_on).groupBy(*key).agg(F.min(F.struct(*order, *[c for c in payload if c not in order])).alias("_best"))
-    return ids.join(best, key, "left").select(*key, *[F.col("_best")[c].alias(c) for c in payload])
+    met = overlaps_or_none(left, right, left_on, right_on)
+    best = F.min(F.when(F.col("hit"), F.struct(*order, *[c for c in payload if c not in order])))
+    return met.groupBy(*key).agg(best.alias("_best")).select(*key, *[F.col("_best")[c].alias(c) for c in payload])
 
 
 def nearest(points: DataFrame, intervals: DataFrame, k: int = 5, slice_: int = 1 << 20) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoframe.operators.intervals import overlap_join
+from genoframe.operators.intervals import overlaps_or_none
 
 #: Labels from most to least severe.
 SEVERITY = ("splice_site", "cds", "splice_region", "five_prime_utr", "three_prime_utr", "exonic", "noncoding_gene", "intronic", "promoter", "intergenic")
@@ -47,12 +47,11 @@ def annotate(variants: DataFrame, regions: DataFrame) -> DataFrame:
     v = variants.select("chrom", "pos", "ref").distinct()
     spans = v.withColumn("v_end", F.col("pos") + F.length("ref") - 1)
     r = regions.select("chrom", "start", "end", labels_of(F.col("feature"), F.col("biotype")).alias("found"), "gene_id")
-    hits = overlap_join(spans, r, ("chrom", "pos", "v_end"), ("chrom", "start", "end"))
-    known = F.lit(list(SEVERITY))
-    some = hits.groupBy("chrom", "pos", "ref").agg(F.array_distinct(F.flatten(F.collect_set("found"))).alias("_all"), F.array_sort(F.collect_set("gene_id")).alias("gene_ids"))
-    labels = F.filter(known, lambda x: F.array_contains("_all", x))
-    some = some.withColumn("labels", F.when(F.size(labels) > 0, labels).otherwise(F.array(F.lit("intergenic")))).drop("_all")
-    out = v.join(some, ["chrom", "pos", "ref"], "left").select("chrom", "pos", "ref", F.coalesce("labels", F.array(F.lit("intergenic"))).alias("labels"), F.coalesce("gene_ids", F.array().cast("array<string>")).alias("gene_ids"))
+    met = overlaps_or_none(spans, r, ("chrom", "pos", "v_end"), ("chrom", "start", "end"))
+    some = met.groupBy("chrom", "pos", "ref").agg(F.array_distinct(F.flatten(F.collect_set("found"))).alias("_all"), F.array_sort(F.collect_set("gene_id")).alias("gene_ids"))
+    labels = F.filter(F.lit(list(SEVERITY)), lambda x: F.array_contains("_all", x))
+    out = some.select("chrom", "pos", "ref", labels.alias("_found"), "gene_ids")
+    out = out.select("chrom", "pos", "ref", F.when(F.size("_found") > 0, F.col("_found")).otherwise(F.array(F.lit("intergenic"))).alias("labels"), "gene_ids")
     has = lambda x: F.array_contains("labels", x)
     return out.withColumn("primary", F.element_at("labels", 1)).withColumn("is_coding", has("cds")).withColumn("in_promoter", has("promoter"))
 
