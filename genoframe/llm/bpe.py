@@ -9,6 +9,7 @@ end gives exactly the ids that merging in rank order gives, in time linear in th
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,11 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from genoframe.llm.workers import tidy
 
 #: Fixed value: how byte-level vocabularies split text before merging.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bounds of the memory that a worker keeps; beyond them it forgets and computes anew.
-MEMO_ENTRIES, MEMO_LENGTH, PAIR_ENTRIES = 300_000, 48, 1_000_000
+MEMO_ENTRIES, MEMO_LENGTH, PAIR_ENTRIES = 200_000, 48, 300_000
 #: Documents in a returned Arrow batch.
 BATCH = 256
 NEVER = 1 << 60
@@ -94,16 +96,24 @@ class PrefixEncoder:
 
     def encode_piece(self, piece: str) -> list[int]:
         data = piece.encode("utf-8").decode("latin-1")
-        last: list = [None] * (len(data) + 1)
-        compatible = self.compatible
+        n = len(data)
+        last, sizes = [-1] * n, [0] * n  # of the prefix that ends with each place
+        known, compatible = self.compatible_pairs.get, self.compatible
         for end, (token, size) in self.automaton.iter(data):
-            if last[end + 1] is None and (size == end + 1 or compatible(last[end + 1 - size], token)):
-                last[end + 1] = token
-        ids, at = [], len(data)
-        while at:
+            if last[end] < 0:
+                start = end - size
+                if start >= 0:
+                    before = last[start]
+                    ok = known((before, token))
+                    if not (compatible(before, token) if ok is None else ok):
+                        continue
+                last[end], sizes[end] = token, size
+        ids, at = [], n - 1
+        while at >= 0:
             ids.append(last[at])
-            at -= len(self.bytes_of[last[at]])
-        return ids[::-1]
+            at -= sizes[at]
+        ids.reverse()
+        return ids
 
     def encode_bytes(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers; special tokens' strings become their ids."""
@@ -125,16 +135,19 @@ class PrefixEncoder:
 
 
 class _Memo(dict):
-    """Ids of pieces met before, as bytes."""
+    """Ids of pieces met before, as bytes. Of two generations the older one is forgotten when the newer is full."""
 
     def __init__(self, encoder: PrefixEncoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encoder.encode_piece(piece), "<i4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("i", self.encoder.encode_piece(piece)).tobytes()
         if len(piece) <= MEMO_LENGTH:
             if len(self) >= MEMO_ENTRIES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -168,7 +181,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<i4")))
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], [id_col, "ids"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
 
 
 def decode(coded: DataFrame, vocabulary: str, id_col: str = "doc_id") -> DataFrame:
@@ -187,4 +200,4 @@ def decode(coded: DataFrame, vocabulary: str, id_col: str = "doc_id") -> DataFra
                 texts = [b"".join(table[ids[a:b]]).decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), column, pa.array(texts, pa.string())], [id_col, "ids", "decoded"])
 
-    return coded.select(id_col, "ids").mapInArrow(run, schema)
+    return coded.select(id_col, "ids").mapInArrow(tidy(run), schema)
