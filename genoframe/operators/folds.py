@@ -36,9 +36,9 @@ def membership(folds: DataFrame, fold: str, key: str, first) -> DataFrame:
     """``fold, side, key`` of every variant that a fold lacks (``missing``) or has beyond the first fold (``extra``)."""
     ids = folds.select(fold, key).distinct()
     base = ids.where(F.col(fold) == first).select(key)
-    others = ids.select(fold).distinct().where(F.col(fold) != first)
-    # a row per fold and variant of the first fold is what every fold must have; folds are few
-    expected = base.crossJoin(F.broadcast(others))
+    # folds are few: their names come to the driver, ids do not
+    others = sorted(r[0] for r in ids.select(fold).distinct().collect() if r[0] != first)
+    expected = base.withColumn(fold, F.explode(F.lit(others) if others else F.array().cast(f"array<{ids.schema[fold].dataType.simpleString()}>")))
     missing = expected.join(ids, [fold, key], "left_anti").select(fold, F.lit("missing").alias("side"), key)
     extra = ids.where(F.col(fold) != first).join(base, key, "left_anti").select(fold, F.lit("extra").alias("side"), key)
     return missing.unionByName(extra)
