@@ -1,8 +1,9 @@
-"""Command line: ``python -m genoframe.cli preprocess|annotate|summarize|regions ...``"""
+"""Command line: ``python -m genoframe.cli preprocess|annotate|lookup|summarize|export|regions ...``"""
 
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +31,24 @@ def _arguments() -> argparse.ArgumentParser:
     folds = jobs.add_parser("summarize", help="average fold scores; folds as -f PATH, repeated")
     folds.add_argument("-f", "--fold", action="append", required=True)
     folds.add_argument("out")
+    look = jobs.add_parser("lookup", help="left join a variant table with a score table partitioned by chromosome; prints statistics")
+    for name in ("variants", "table", "out"):
+        look.add_argument(name)
+    exp = jobs.add_parser("export", help="merge bucketed results into the input VCF")
+    for name in ("vcf", "buckets", "models", "manifest", "out"):
+        exp.add_argument(name)
+    exp.add_argument("--prefix", default="GF1")
+    exp.add_argument("--no-model-scores", action="store_true")
     table = jobs.add_parser("regions", help="build the region table from exon and gene tables (Parquet)")
     for name in ("exons", "genes", "out"):
         table.add_argument(name)
     return top
 
 
+def _whole(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first().value
+
+
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> None:
     a = _arguments().parse_args(args)
     spark = spark or SparkSession.builder.appName("genoframe").getOrCreate()
@@ -46,6 +59,13 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         sinks.write_jsonl(pipelines.annotate(readers.read_variants(spark, a.variants), *tables), a.out)
     elif a.job == "summarize":
         sinks.write_tsv(pipelines.summarize_folds(spark, a.fold).orderBy(F.col("variant_id")), a.out, header=True)
+    elif a.job == "lookup":
+        rows, stats = pipelines.lookup_scores(spark, readers.read_variants(spark, a.variants), a.table)
+        sinks.write_tsv(rows, a.out, header=True)
+        print(json.dumps(stats))
+    elif a.job == "export":
+        models = json.loads(_whole(spark, a.models))
+        pipelines.export_vcf(spark, a.vcf, a.buckets, models["models"] if isinstance(models, dict) else models, sinks.read_manifest(spark, a.manifest), a.out, a.prefix, not a.no_model_scores)
     else:
         regions.region_table(spark.read.parquet(a.exons), spark.read.parquet(a.genes)).write.mode("overwrite").parquet(a.out)
 

@@ -8,8 +8,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.functions import alleles, scoring
-from genoframe.operators import family, folds, ingest, intervals, lookups, prioritize, regions, validate
+from genoframe.functions import alleles, scoring, text
+from genoframe.operators import augment, family, folds, ingest, intervals, lookups, prioritize, regions, validate
 from genoframe.sources import readers, sinks
 
 #: Populations of the frequency table, and the annotation's names for them.
@@ -148,3 +148,70 @@ def family_evidence(spark: SparkSession, path: str, context: dict) -> DataFrame:
     out = ingest.with_canonical_id(family.evidence(calls, keys), name="canonical_variant_id")
     roles = [f"{r}_{x}" for r in ("proband", "mother", "father") for x in ("id", "sample", "gt", "ad", "dp", "gq")]
     return out.select("canonical_variant_id", *keys[2:], *roles, "inheritance", "affected_carriers", "unaffected_carriers", "shared_siblings", "quality_flags", "member_genotypes_json")
+
+
+def annotation_fields(results: DataFrame, models: list[dict], model_scores: bool = True) -> DataFrame:
+    """``record_ordinal`` and a text for each INFO field, from result rows; columns that the results lack are null.
+
+    Rows without a result have a status and an error only.
+    """
+    there = set(results.columns)
+    get = lambda c: F.col(c) if c in there else F.lit(None).cast("string")
+    number = lambda c: get(c).cast("double")
+    models = augment.short_ids(models)
+    has = F.col("result_variant_id").isNotNull()
+    of = {
+        "PRIORITIZED": F.coalesce(get("prioritized").cast("boolean"), F.lit(False)).cast("int"),
+        "MAX_ABS_LOGFC": scoring.max_abs(F.array(*[number(f"{m['column_prefix']}_logfc") for m in models])) if models else F.lit(None).cast("double"),
+        "TOP_MODEL": augment.top_short_id(get("most_active_celltype"), models),
+        "REGION": get("region_type"), "NEAREST_GENE": text.first_gene(get("nearest_genes")), "CCRE": get("ccre"), "GNOMAD_AF": number("af_global"),
+        "CADD_PHRED": number("cadd_phred"), "AM_SCORE": number("am_pathogenicity"), "AM_CLASS": get("am_class"), "REVEL": number("revel_score"),
+    }
+    rows = results.select("record_ordinal", "alt_index", augment.status(get("status"), F.col("result_variant_id")).alias("STATUS"), get("error_code").alias("ERROR"), *[F.when(has, c).alias(f) for f, c in of.items()])
+    out = augment.per_record(rows, ["STATUS", "ERROR", *of])
+    if not model_scores or not models:
+        return out
+
+    def entry(m: dict):
+        p = m["column_prefix"]
+        return text.model_score_entry(F.col("alt_index"), F.lit(m["short_id"]), *[number(f"{p}_{x}") for x in ("logfc", "jsd", "active_allele_quantile")], *[get(f"{p}_{x}").cast("boolean") for x in ("in_peak", "prioritized")])
+
+    entries = F.when(has, F.array_compact(F.array(*[entry(m) for m in models]))).otherwise(F.array().cast("array<string>"))
+    ordered = F.array_sort(F.collect_list(F.struct("alt_index", entries.alias("e"))))
+    scores = results.groupBy("record_ordinal").agg(F.array_join(F.flatten(F.transform(ordered, lambda r: r["e"])), ",").alias("_e"))
+    return out.join(scores.select("record_ordinal", F.nullif("_e", F.lit("")).alias("MODEL_SCORE")), "record_ordinal")
+
+
+def export_vcf(spark: SparkSession, vcf: str, buckets: str, models: list[dict], manifest: dict, out: str, prefix: str, model_scores: bool = True) -> dict:
+    """Writes the input VCF with the results' fields; the input must be the manifest's, and every allele must have one result row."""
+    digest = spark.read.format("binaryFile").load(vcf).select(F.sha2("content", 256).alias("sha256")).first().sha256
+    if digest != manifest["input_sha256"]:
+        raise augment.Misaligned(f"{vcf} is not the file that was ingested")
+    header, records = readers.read_vcf_records(spark, vcf)
+    keys = ingest.split_alts(records.where("alt_raw <> '.'")).select(*augment.KEY)
+    n_records, n_alts = records.count(), keys.count()
+    if (n_records, n_alts) != (manifest["record_count"], manifest["alt_occurrence_count"]):
+        raise augment.Misaligned(f"{n_records} records and {n_alts} alleles; the manifest has {manifest['record_count']} and {manifest['alt_occurrence_count']}")
+    results = ingest.require_unique(readers.read_buckets(spark, buckets).drop("bucket"), *augment.KEY)
+    merged = augment.merge(keys, results)
+    sinks.write_augmented_vcf(augment.header_lines(header, prefix), records, annotation_fields(merged, models, model_scores), out, prefix)
+    written = spark.read.text(out).where("NOT startswith(value, '#')").count()
+    if written != n_records:
+        raise augment.Misaligned(f"{written} records were written of {n_records}")
+    done = {"records": n_records, "alleles": n_alts, "input_sha256": digest}
+    sinks.write_manifest(spark, f"{out}.manifest.json", done)
+    return done
+
+
+def lookup_scores(spark: SparkSession, variants: DataFrame, root: str) -> tuple[DataFrame, dict]:
+    """(variant rows with the scores of every matching transcript, statistics) from a table partitioned by chromosome.
+
+    The chromosomes asked for are pushed to the scan as partition filters; the input's own chromosome text is kept.
+    """
+    asked = variants.withColumn("chrom", alleles.with_chr(F.col("chr")))
+    chromosomes = sorted(r.chrom for r in asked.select("chrom").where("chrom IS NOT NULL").distinct().collect())
+    columns = ["genome", "uniprot_id", "transcript_id", "protein_variant", "am_pathogenicity", "am_class"]
+    table = lookups.prune_partitions(spark.read.parquet(root), chromosomes).select(F.col("CHROM").alias("chrom"), F.col("POS").cast("long").alias("pos"), F.col("REF").alias("ref"), F.col("ALT").alias("alt"), *columns)
+    joined = lookups.left_lookup(asked, table, columns)
+    stats = lookups.lookup_stats(ingest.with_canonical_id(joined), "transcript_id", "canonical_id").first().asDict()
+    return joined.select(*variants.columns, *columns), stats

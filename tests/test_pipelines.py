@@ -88,3 +88,35 @@ def test_region_table(spark, tmp_path):
     cli.main(["regions", str(tmp_path / "e"), str(tmp_path / "g"), str(tmp_path / "t")], spark)
     got = {r.feature: r.n for r in spark.read.parquet(str(tmp_path / "t")).groupBy("feature").agg(F.count("*").alias("n")).collect()}
     assert got == {"exon": 2, "intron": 1, "splice_donor": 1, "splice_acceptor": 1, "splice_region": 2, "promoter": 1}
+
+
+def test_export(spark, tmp_path):
+    import hashlib
+
+    from genoframe.operators import augment
+
+    vcf = lines(tmp_path / "s.vcf", "##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO", "chr1\t5\trs\tA\tC,G\t.\tPASS\tDB", "chr1\t9\t.\tT\t*\t.\tPASS\t.")
+    digest = hashlib.sha256((tmp_path / "s.vcf").read_bytes()).hexdigest()
+    schema = "record_ordinal long, alt_index int, status string, error_code string, result_variant_id string, prioritized boolean, most_active_celltype string, region_type string, nearest_genes string, liv_logfc double, liv_in_peak boolean, bra_logfc double"
+    first = [(1, 1, "UNSUPPORTED", "SPANNING_DELETION", None, None, None, None, None, None, None, None), (0, 2, "PENDING", None, None, None, None, None, None, 9.0, None, None)]
+    second = [(0, 1, "PENDING", None, "r1", True, "Brain", "cds", '[{"gene_name":"N"}]', -0.5, True, 0.25)]
+    spark.createDataFrame(first, schema).write.parquet(str(tmp_path / "b/bucket=10"))
+    spark.createDataFrame(second, schema).write.parquet(str(tmp_path / "b/bucket=2"))
+    models = lines(tmp_path / "m.json", json.dumps({"models": [{"model_id": "1", "name": "Liver", "column_prefix": "liv"}, {"model_id": "2", "name": "Brain", "column_prefix": "bra"}]}))
+    sinks.write_manifest(spark, str(tmp_path / "i.json"), good := {"input_sha256": digest, "record_count": 2, "alt_occurrence_count": 3})
+    cli.main(["export", vcf, str(tmp_path / "b"), models, str(tmp_path / "i.json"), str(tmp_path / "o")], spark)
+    rows = [r.value for r in readers._text(spark, str(tmp_path / "o")).orderBy("line").collect() if not r.value.startswith("#")]
+    assert rows[0].split("\t")[7] == "DB;GF1_STATUS=SCORED,NO_RESULT;GF1_PRIORITIZED=1,.;GF1_MAX_ABS_LOGFC=0.5,.;GF1_TOP_MODEL=M0002,.;GF1_REGION=cds,.;GF1_NEAREST_GENE=N,.;GF1_MODEL_SCORE=1|M0001|-0.5|.|.|1|.,1|M0002|0.25|.|.|.|."
+    assert rows[1].split("\t")[7] == "GF1_STATUS=UNSUPPORTED;GF1_ERROR=SPANNING_DELETION"
+    for wrong in ({"input_sha256": "0"}, {"record_count": 3}):
+        with pytest.raises(augment.Misaligned):
+            pipelines.export_vcf(spark, vcf, str(tmp_path / "b"), [], good | wrong, str(tmp_path / "x"), "GF1")
+
+
+def test_lookup(spark, tmp_path):
+    table = spark.createDataFrame([("chr1", 5, "A", "T", "hg38", "P", t, "V1A", 0.5, "ambiguous") for t in ("T1", "T2")] + [("chr2", 5, "A", "T", "hg38", "P", "T3", "V1A", 0.5, "benign")], "CHROM string, POS int, REF string, ALT string, genome string, uniprot_id string, transcript_id string, protein_variant string, am_pathogenicity double, am_class string")
+    sinks.write_hive(table, str(tmp_path / "t"))
+    v = readers.read_tsv(spark, lines(tmp_path / "v.tsv", "1\t5\tA\tT\tx", "chr1\t6\tA\tT\t"))
+    rows, stats = pipelines.lookup_scores(spark, v, str(tmp_path / "t"))
+    assert stats == {"matched_rows": 2, "matched_variants": 1, "output_rows": 3}
+    assert sorted((r.chr, r.pos, r.transcript_id or "") for r in rows.collect()) == [("1", 5, "T1"), ("1", 5, "T2"), ("chr1", 6, "")]
