@@ -22,6 +22,7 @@ from genoframe.llm import wordarrays as wa
 from genoframe.llm.components import connected_components
 from genoframe.llm.scratch import Scratch
 from genoframe.llm.tiles import map_runs
+from genoframe.llm.workers import tidy
 
 MISS = 1e-5
 BLOCK = 1024
@@ -79,7 +80,7 @@ def hashed(df: DataFrame, bits: int, tables: int) -> DataFrame:
                     schema.fieldNames(),
                 )
 
-    return df.where("label IS NOT NULL").select("vec_id", "embedding", F.xxhash64("label").alias("label")).mapInArrow(run, schema)
+    return df.where("label IS NOT NULL").select("vec_id", "embedding", F.xxhash64("label").alias("label")).mapInArrow(tidy(run), schema)
 
 
 def _forest(adjacent: np.ndarray) -> np.ndarray:

@@ -23,6 +23,7 @@ from genoframe.llm import wordarrays as wa
 from genoframe.llm.embedding_dedup import vectors
 from genoframe.llm.scratch import Scratch
 from genoframe.llm.tiles import map_runs
+from genoframe.llm.workers import tidy
 
 CURVES, DIMENSIONS, BITS = 8, 3, 10
 SLICES, REACH, SLICE_ROWS = 32, 3, 4
@@ -80,7 +81,7 @@ def _usable(df: DataFrame) -> DataFrame:
             at = pa.array(rows)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([len(v) for v in vs], pa.int32()), pa.array(norm, pa.float64()), batch.column(1).take(at)], schema.fieldNames())
 
-    return df.where("vec_id IS NOT NULL").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(run, schema)
+    return df.where("vec_id IS NOT NULL").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(tidy(run), schema)
 
 
 def _keyed(rows: DataFrame, longest: float) -> DataFrame:
@@ -96,7 +97,7 @@ def _keyed(rows: DataFrame, longest: float) -> DataFrame:
                 keys = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * CURVES, pa.int32()), pa.array(curve_keys(v, longest, ids[at]).ravel()))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(dims[at]), here, keys], schema.fieldNames())
 
-    return rows.select("vec_id", "dim", "v").mapInArrow(run, schema)
+    return rows.select("vec_id", "dim", "v").mapInArrow(tidy(run), schema)
 
 
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:

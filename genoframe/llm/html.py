@@ -17,6 +17,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from genoframe.llm.workers import tidy
 
 #: Pages in a returned Arrow batch.
 BATCH = 512
@@ -219,4 +220,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 texts = [main_text(x) for x in batch.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], schema.fieldNames())
 
-    return pages.select(id_col, url_col, html_col).mapInArrow(run, schema)
+    return pages.select(id_col, url_col, html_col).mapInArrow(tidy(run), schema)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from genoframe.llm.workers import tidy
 
 #: Labelled texts a language, about, from which the piece probabilities are fitted; a hash of doc_id picks them.
 SAMPLE_TEXTS = 400
@@ -161,7 +162,7 @@ def train(docs: DataFrame, path: str, sample_texts: int = SAMPLE_TEXTS) -> tuple
             seen = Counter((lang, w) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for w in words(text))
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(seen.values(), pa.int64())], ["lang", "word", "n"])
 
-    rows = picked.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
+    rows = picked.select("lang", "text").mapInArrow(tidy(count), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
     place = {lang: k for k, lang in enumerate(languages)}
     counted: dict[str, np.ndarray] = {}
     for lang, word, n in zip(*(c.to_pylist() for c in rows.columns), strict=True):
@@ -186,7 +187,7 @@ def predict(docs: DataFrame, path: str, languages: list[str], p: np.ndarray) ->
                 names, sure = scorer(batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(sure, pa.float64())], schema.fieldNames())
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def keep(docs: DataFrame, path: str, languages: list[str], p: np.ndarray, least: float = 0.5) -> DataFrame:
@@ -202,7 +203,7 @@ def keep(docs: DataFrame, path: str, languages: list[str], p: np.ndarray, least:
                 names, sure = scorer(batch.column(at_text).to_pylist())
                 yield batch.filter(pa.array([n != UNDETERMINED and s >= least for n, s in zip(names, sure, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 class _Scorer:

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from genoframe.llm import wordarrays as wa
 from genoframe.llm.components import connected_components
 from genoframe.llm.scratch import Scratch
+from genoframe.llm.workers import tidy
 
 SHINGLE_WORDS, PERCENT = 5, 75
 BANDS, ROWS = 48, 5
@@ -92,7 +93,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 np.cumsum(np.where(size, BANDS, 0), out=ends[1:])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array(size, pa.int64()), *named, _listed(ends, keys[some].ravel())], schema.fieldNames())
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -106,7 +107,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 bounds = np.searchsorted(doc, np.arange(end - first + 1))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), _listed(bounds, value)], schema.fieldNames())
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def _sizes_allow(a: Column, b: Column) -> Column:

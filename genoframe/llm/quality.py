@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from genoframe.llm import wordarrays as wa
+from genoframe.llm.workers import tidy
 
 #: Documents, about, whose posteriors fit the linear scorer; a hash of doc_id picks them.
 SAMPLE_DOCUMENTS = 8000
@@ -94,7 +95,7 @@ def _patterns(docs: DataFrame) -> DataFrame:
                     total[int(p)] = total.get(int(p), 0) + int(c)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["pattern", "documents"])
 
-    return docs.select("text").mapInArrow(run, "pattern long, documents long").groupBy("pattern").agg(F.sum("documents").alias("documents"))
+    return docs.select("text").mapInArrow(tidy(run), "pattern long, documents long").groupBy("pattern").agg(F.sum("documents").alias("documents"))
 
 
 def expectation_maximisation(vote: np.ndarray, count: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
@@ -171,7 +172,7 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> np.ndarr
                 yield pa.RecordBatch.from_arrays([*lists, pa.array(target, pa.float64())], ["cols", "values", "target"])
 
     picked = docs.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1_000_000)) < share * 1_000_000).select("text")
-    sample = picked.mapInArrow(run, "cols array<int>, values array<float>, target double").where("size(cols) > 0").toArrow()
+    sample = picked.mapInArrow(tidy(run), "cols array<int>, values array<float>, target double").where("size(cols) > 0").toArrow()
     cols, values, target = (sample[c].combine_chunks() for c in ("cols", "values", "target"))
     if not len(target):
         return np.zeros(BUCKETS + 1)
@@ -199,7 +200,7 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataF
                 good = _quality(wa.words(data, offsets), weights, end - first)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(good), pa.array(good >= threshold)], schema.fieldNames())
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
 
 def keep(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataFrame:
@@ -213,4 +214,4 @@ def keep(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5) -> DataFr
                 good = _quality(wa.words(data, offsets), weights, end - first)
                 yield batch.slice(first, end - first).filter(pa.array(good >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

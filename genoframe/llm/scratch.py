@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows that a step hands to Python at once: texts are long, and what is in flight counts twice, there and in the JVM.
+BATCH_ROWS = 2000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,7 +34,13 @@ class Scratch:
         """Writes ``df`` as Parquet and reads it again."""
         self._next += 1
         path = f"{self.root}/{self._next:03d}-{label}"
-        df.write.parquet(path)
+        conf = self.spark.conf
+        rows = conf.get(ARROW_ROWS)
+        conf.set(ARROW_ROWS, str(min(BATCH_ROWS, int(rows))) if int(rows) > 0 else str(BATCH_ROWS))
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.set(ARROW_ROWS, rows)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

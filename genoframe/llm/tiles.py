@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from genoframe.llm.workers import tidy
 
 
 def map_runs(df: DataFrame, key: str, apply: Callable[[pa.Table], list[pa.Array] | None], schema: T.StructType) -> DataFrame:
@@ -37,4 +38,4 @@ def map_runs(df: DataFrame, key: str, apply: Callable[[pa.Table], list[pa.Array]
         if held:
             yield from done()
 
-    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
+    return df.repartition(key).sortWithinPartitions(key).mapInArrow(tidy(run), schema)

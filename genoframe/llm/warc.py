@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from genoframe.llm.workers import tidy
 
 SLICES = 4096
 #: Fields of a 304 answer that replace the stored ones; query parameters that name no content.
@@ -179,4 +180,4 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         columns[4] = [list(x.items()) for x in columns[4]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORDS)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(tidy(run), RECORDS)

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled in one go; a longer single text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _rng = np.random.default_rng(20240607)
@@ -56,11 +56,13 @@ class Words(NamedTuple):
 
 def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows with about CHUNK_BYTES of text; null is empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
     n = len(column)
     if not n:
         return
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + n + 1]
+    if column.null_count:
+        column = pc.fill_null(column, "")
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], width)[column.offset : column.offset + n + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None and column.buffers()[2].size else np.zeros(0, np.uint8)
     first = 0
     while first < n:
