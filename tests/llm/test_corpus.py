@@ -197,6 +197,23 @@ def test_model_is_its_definition(spark, monkeypatch, block):
     assert sum(p("w1", w) for w in c) + p("w1", "unknown!") == pytest.approx(1)
 
 
+def test_hot_context_with_one_successor_in_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HOT", 16)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 40)
+    learned = [k for k in range(400) if zlib.crc32(str(k).encode()) % 7 != 2][:200]
+    held = [k for k in range(400) if zlib.crc32(str(k).encode()) % 7 == 2][:30]
+    rows = [(k, f"the cat w{j % 20}") for j, k in enumerate(learned)] + [(k, f"the w{j % 20}") for j, k in enumerate(held)]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(rows, schema), Scratch(spark, "t")).collect()}
+    # 800 tokens: the, cat and the end are hot; each of 20 words comes 10 times and is always the last of its text
+    low, last, end = 10 - 0.5, (10 - 0.75) / 10, (200 - 0.5) / 800
+    for k in held:
+        start = 0.7 * 200 / 200 + 0.3 * end
+        unseen = 0.3 * low / 800
+        final = last + 0.75 / 10 * end
+        assert got[k] == pytest.approx(sum(map(math.log10, (start, unseen, final))), abs=1e-3)
+
+
 def test_model_without_training(spark):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
     got = lm.score(spark.createDataFrame([(None, "a b"), (None, None)], schema), Scratch(spark, "t")).collect()
