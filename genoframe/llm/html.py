@@ -4,7 +4,8 @@ A page is read as blocks of text, each with its root-to-leaf path of tags. Text
 aggregated for each path and smoothed along the page; paths fuse into the container that holds them, and an
 article or main element fuses all that is inside it. Blocks of containers whose score reaches a share of the
 best one's are the content. What by its element, role or class is a menu, header, footer, sidebar, notice, advert,
-form, script, style or reader comment never takes part.
+form, script, style or reader comment never takes part; but a name alone does not leave out an element that holds the
+page's article or main element, or all but a small part of its score.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ KERNEL = (0.25, 0.5, 0.25)
 LINKED = 0.6
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)""", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _PUNCTUATION = re.compile(r"[.,;:!?。、，；：！？]")
 RAW = frozenset(("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"))
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
@@ -44,6 +45,15 @@ SKIPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription sidebar sidenav aside menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments commentlist respond reply replies disqus share sharing social related recommended widget toolbar pagination pager login signup search".split()
 )
 HEADER_NAMES = frozenset(("header", "topbar"))
+COMMENT_NAMES = frozenset("comment comments commentlist respond reply replies disqus".split())
+#: Names that no share of the score outweighs.
+SURE_NAMES = COMMENT_NAMES | frozenset("ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr".split())
+#: A name of several words is that of its last word (but no widget), or of its first word if the others are parts of one ...
+PARTS = frozenset(
+    "area bar block body bottom box button buttons col column container content form group icons inner item items left link links list outer panel placeholder policy posts primary region right secondary section slot text title top unit wrap wrapper".split()
+)
+#: ... and says nothing of the element when it tells a state.
+STATES = frozenset("disable disabled enable enabled has have hide is js no non not show toggle with without".split())
 #: Start tags that end an open element of the same family, down to the listed borders.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -55,6 +65,12 @@ class Block(NamedTuple):
     container: tuple[str, ...]
     root: int  # number of the outermost article or main element around it, 0 outside
     linked: int  # characters within links
+    named: int  # number of the innermost element around it that has a name of SKIPPED_NAMES, 0 outside
+
+
+class _Named(NamedTuple):
+    around: int  # number of the named element around it
+    sure: bool
 
 
 class _Open(NamedTuple):
@@ -64,27 +80,89 @@ class _Open(NamedTuple):
     root: int
     link: bool
     header: bool
+    named: int
 
 
-def _skips(tag: str, attributes: str, above: _Open | None) -> tuple[bool, str, bool]:
-    """(whether the element is left out, its label in paths, whether it is a header within an article)."""
-    found = {k.lower(): v.strip("\"'").lower() for k, v in _NAMES.findall(attributes)} if attributes.strip() else {}
-    names = set(re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}")) - {""}
+def _names(found: dict[str, str]) -> set[str]:
+    """What the class and id of an element call it."""
+    out = set()
+    for token in f"{found.get('class', '')} {found.get('id', '')}".split():
+        words = [w for w in re.split(r"[^a-z0-9]+", token) if w]
+        if len(words) == 1:
+            out.add(words[0])
+        elif words and words[0] not in STATES:
+            if words[-1] != "widget":
+                out.add(words[-1])
+            if all(w in PARTS or w in SKIPPED_NAMES for w in words[1:]):
+                out.add(words[0])
+    return out
+
+
+def _skips(tag: str, attributes: str, above: _Open | None) -> tuple[bool, str, bool, frozenset[str]]:
+    """(whether the element is left out, its label in paths, whether it is a header within an article, names that may leave it out)."""
+    found: dict[str, str] = {}
+    for k, v in _ATTRIBUTE.findall(attributes):
+        found.setdefault(k.lower(), v.strip("\"'").lower())  # the first of a name holds
+    names = _names(found)
+    none: frozenset[str] = frozenset()
     label = tag + "".join(f".{n}" for n in found.get("class", "").split()) + (f"#{found['id']}" if found.get("id") else "")
     if above is not None and above.skipped and not (above.header and tag in HEADINGS):
-        return True, label, above.header
+        return True, label, above.header, none
     if tag == "header":
-        return True, label, bool(above and above.root)
-    if tag in ("html", "body", "article", "main") and not (tag == "article" and names & {"comment", "comments", "reply"}):
-        return tag in SKIPPED, label, False
+        return True, label, bool(above and above.root), none
+    if tag in ("html", "body", "article", "main"):
+        return False, label, False, frozenset(names & {"comment", "comments", "reply"}) if tag == "article" else none
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-    named = bool(names & SKIPPED_NAMES) or (bool(names & HEADER_NAMES) and tag in ("div", "section", "table", "td"))
-    return tag in SKIPPED or hidden or named or found.get("role") in SKIPPED_ROLES, label, False
+    named = frozenset(names & (SKIPPED_NAMES | HEADER_NAMES if tag in ("div", "section", "table", "td") else SKIPPED_NAMES))
+    return tag in SKIPPED or hidden or found.get("role") in SKIPPED_ROLES, label, False, named
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of text that may be content, in page order."""
+    out, named, homes = _read(page)
+    if not any(b.named for b in out):
+        return out
+    kept = _outweighed(out, named, homes)
+    return [b for b in out if kept[b.named]]
+
+
+def _outweighed(found: list[Block], named: list[_Named], homes: list[tuple[str, int]]) -> list[bool]:
+    """Which named elements, by number, are read all the same.
+
+    Those that hold a main element, or an article where none is outside of named elements, or so much of the score of the
+    page that what is outside of named elements stays below the threshold; and all named elements around them are read too.
+    """
+    n = len(named)
+    sure = [x.sure for x in named]
+    # articles and main elements, scores, characters and linked characters: of each named element alone
+    own = [[0.0] * 5 for _ in range(n)]
+    for root in {b.root for b in found if b.root}:
+        tag, home = homes[root]
+        own[home][0] += 1
+        own[home][1] += tag == "main"
+    for k in range(1, n):
+        sure[k] |= sure[named[k].around]
+    if not all(sure[1:]):
+        for b, score in zip(found, _block_scores(found), strict=True):
+            if not sure[b.named]:
+                own[b.named] = [x + y for x, y in zip(own[b.named], (0, 0, score, len(b.text), b.linked), strict=True)]
+    inside, outside = [x.copy() for x in own], [[0.0] * 5 for _ in range(n)]
+    for k in range(n - 1, 0, -1):
+        inside[named[k].around] = [x + y for x, y in zip(inside[named[k].around], inside[k], strict=True)]
+    kept = [True] * n
+    for k in range(1, n):
+        around = named[k].around
+        outside[k] = [x + y for x, y in zip(outside[around], own[around], strict=True)]
+        articles, mains, score, chars, linked = inside[k]
+        most = not sure[k] and chars > 0 and outside[k][2] < THRESHOLD * score and linked < LINKED * chars
+        kept[k] = kept[around] and (mains > 0 or (articles > 0 and not outside[k][0]) or most)
+    return kept
+
+
+def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]]]:
+    """(blocks; named elements by number; tag and named element around it of each article and main element by number)."""
     out: list[Block] = []
+    named, homes = [_Named(0, False)], [("", 0)]
     stack: list[_Open] = []
     parts: list[str] = []
     roots = linked = 0
@@ -98,7 +176,7 @@ def blocks(page: str) -> list[Block]:
                 depth = len(stack)
                 while depth and (stack[depth - 1].tag in LEAF or stack[depth - 1].tag not in BLOCK):
                     depth -= 1
-                out.append(Block(text, path, path[:depth], stack[-1].root if stack else 0, linked))
+                out.append(Block(text, path, path[:depth], stack[-1].root if stack else 0, linked, stack[-1].named if stack else 0))
             parts.clear()
         linked = 0
 
@@ -159,27 +237,28 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         above = stack[-1] if stack else None
-        skipped, label, header = _skips(tag, m[3] or m[6] or "", above)
-        root = above.root if above else 0
-        if tag in ("article", "main") and not root and not skipped:
+        skipped, label, header, names = _skips(tag, m[3] or m[6] or "", above)
+        root, within = (above.root, above.named) if above else (0, 0)
+        if names and not skipped:
+            named.append(_Named(within, bool(names & SURE_NAMES)))
+            within = len(named) - 1
+        if tag in ("article", "main") and not root and not skipped and not names:
             roots += 1
             root = roots
+            homes.append((tag, within))
         if tag in RAW:
             end = _RAW_END[tag].search(page, at)
             at = end.start() if end else n
             if end:
                 at = page.find(">", end.end()) + 1 or n
             continue
-        stack.append(_Open(tag, label, skipped, root, tag == "a" or bool(above and above.link), header))
+        stack.append(_Open(tag, label, skipped, root, tag == "a" or bool(above and above.link), header, within))
     flush()
-    return out
+    return out, named, homes
 
 
-def main_text(page: str | None) -> str:
-    """The blocks of the selected containers, white space within each turned into one space, joined by line ends."""
-    found = blocks(page or "")
-    if not found:
-        return ""
+def _block_scores(found: list[Block]) -> list[float]:
+    """Characters times punctuation marks of each block's path, smoothed along the page; article and main elements weigh more."""
     length: dict[tuple, list[float]] = {}
     for b in found:
         own = length.setdefault(b.path, [0, 0, 0])
@@ -190,10 +269,18 @@ def main_text(page: str | None) -> str:
     ratio = [tuple(x / length[b.path][2] for x in length[b.path][:2]) for b in found]
     padded = [ratio[0], *ratio, ratio[-1]]
     smooth = [tuple(sum(k * padded[i + j][x] for j, k in enumerate(KERNEL)) for x in (0, 1)) for i in range(len(found))]
+    return [(chars * (1.0 + marks) + 1e-6) * (SEMANTIC if b.root else 1.0) for b, (chars, marks) in zip(found, smooth, strict=True)]
+
+
+def main_text(page: str | None) -> str:
+    """The blocks of the selected containers, white space within each turned into one space, joined by line ends."""
+    found = blocks(page or "")
+    if not found:
+        return ""
     group = [("root", b.root) if b.root else b.container for b in found]
     score: dict[tuple, float] = {}
-    for g, b, (chars, marks) in zip(group, found, smooth, strict=True):
-        score[g] = score.get(g, 0.0) + (chars * (1.0 + marks) + 1e-6) * (SEMANTIC if b.root else 1.0)
+    for g, own in zip(group, _block_scores(found), strict=True):
+        score[g] = score.get(g, 0.0) + own
     share = {g: 0.0 for g in score}
     size = dict.fromkeys(score, 1)
     for g, b in zip(group, found, strict=True):

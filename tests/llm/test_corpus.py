@@ -90,6 +90,29 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "with-comments", "page navbar-fixed", "content-widget", "search-result", "sidebar", "page menu"])
+def test_a_name_does_not_cost_the_article(name):
+    for key in ("class", "id"):
+        assert html.main_text(f"<div {key}='{name}'><nav>n</nav><article><p>One.</p></article></div><div class='ad'>Buy, now!</div>") == "One."
+    body = "<p>Long text of the page, with marks, and more. And then some.</p>" * 3
+    assert html.main_text(f"<body><div class='{name}'>{body}</div><div class=cookie-bar>Yes.</div>").count("marks") == 3
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div data-id='comments'><p>One.</p></div>", "One."), ("<div title='hidden gems'><p>One.</p></div>", "One."), ("<p data-state='hidden'>One.</p>", "One."), ("<p data-x=hidden data-role='navigation'>One.</p>", "One."),
+        ("<p>Two.</p><p class=x HIDDEN>x</p><p title='a > b' hidden=''>x</p>", "Two."),
+        ("<article><p>One.</p></article><div class='related-posts'><article><p>Two.</p></article></div><div class='sidebar-left'><p>x</p></div>", "One."),
+        ("<article><p>One.</p><section id=comments>" + "<article class='comment odd'><p>Well, well, well. Yes.</p></article>" * 40 + "</section></article>", "One."),
+        ("<div class=elementor-widget><p>One, two.</p></div><div class=elementor-widget><p>Three, four.</p></div>", "One, two.\nThree, four."),
+        ("<div class=ad>Buy.</div><div class='site-footer'><a href=x>all of it</a></div>", ""),
+    ],
+)
+def test_names_and_attributes(page, text):
+    assert html.main_text(page) == text
+
+
 def test_long_pages_are_linear():
     assert len(html.main_text("<article>" + "<p>word, word." * 50_000)) == 50_000 * 12 - 1
     assert html.main_text("<" * 20_000).count("<") == 20_000
