@@ -2,8 +2,9 @@
 
 A page is read as blocks of text, each with its root-to-leaf path of tags. Text lengths and punctuation are
 aggregated for each path and smoothed along the page; paths fuse into the container that holds them, and an
-article or main element fuses all that is inside it. Blocks of containers whose score reaches a share of the
-best one's are the content. What by its element, role or class is a menu, header, footer, sidebar, notice, advert,
+article or main element fuses all that is inside it. All articles and main elements are content; so are containers whose
+score, in all or a block, reaches a share of the best one's and, on pages without an article or main element, whatever lies within the element
+around all of those (around the best one at least), short as it may be, unless it consists of links. What by its element, role or class is a menu, header, footer, sidebar, notice, advert,
 form, script, style or reader comment never takes part; but a name alone does not leave out an element that holds the
 page's article or main element, or all but a small part of its score.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -286,8 +288,15 @@ def main_text(page: str | None) -> str:
     for g, b in zip(group, found, strict=True):
         share[g] += b.linked
         size[g] += len(b.text)
-    best = max(score.values())
-    inside = {g for g in score if score[g] >= THRESHOLD * best and (g[:1] == ("root",) or share[g] / size[g] < LINKED)}
+    best = max(score, key=lambda g: score[g])
+    inside = {g for g in score if g[:1] == ("root",) or (score[g] >= THRESHOLD * score[best] and share[g] / size[g] < LINKED)}
+    if inside and not any(b.root for b in found):
+        around = max(inside, key=lambda g: score[g])[:-1]
+        for g in inside:
+            around = around[: next((k for k, (x, y) in enumerate(zip(around, g)) if x != y), min(len(around), len(g)))]
+        inside |= {g for g in score if g[: len(around)] == around and share[g] / size[g] < LINKED}
+    number = Counter(group)
+    inside |= {g for g in score if score[g] / number[g] >= THRESHOLD * score[best] / number[best] and share[g] / size[g] < LINKED}
     return "\n".join(b.text for g, b in zip(group, found, strict=True) if g in inside)
 
 

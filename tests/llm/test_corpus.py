@@ -113,6 +113,19 @@ def test_names_and_attributes(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("n", [3, 300])
+def test_short_parts_of_long_pages_stay(n):
+    long = "<p>A long paragraph, with marks; and with more of them, too: yes.</p>" * n
+    text = "\n".join(["A long paragraph, with marks; and with more of them, too: yes."] * n)
+    short = "<h2>Notes</h2><p>One short paragraph</p>"
+    for page in (f"<div id=content>{long}<section id=notes>{short}</section></div>", f"<body><div id=content>{long}</div><section id=notes>{short}</section></body>", f"<article>{long}</article><article>{short}</article>"):
+        assert html.main_text(page) == text + "\nNotes\nOne short paragraph"
+    assert html.main_text(f"<body><div class=intro><p>In short, it is so.</p></div><div class=wrap><div class=text>{long}</div></div></body>") == f"In short, it is so.\n{text}"
+    parts = f"<div class=intro><p>Read on</p></div><div class=body>{long}</div><div class=end><p>The end</p></div><div class=list><a href=x>all links here</a></div>"
+    for page in (parts, f"<body>{parts}</body>", f"<body><div class=page>{parts}</div></body>"):
+        assert html.main_text(page) == f"Read on\n{text}\nThe end"
+
+
 def test_long_pages_are_linear():
     assert len(html.main_text("<article>" + "<p>word, word." * 50_000)) == 50_000 * 12 - 1
     assert html.main_text("<" * 20_000).count("<") == 20_000
