@@ -85,11 +85,12 @@ class Lattice:
         depth = self.to - base[self.word]
         self.steps = np.searchsorted(depth, np.arange(1, length.max() + 2)) if len(listed) else np.zeros(1, int)
 
-    def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(values of the nodes, log scale of each word's end); long words are scaled on the way."""
+    def forward(self, p: np.ndarray, each: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(values of the nodes, log scale of each word's end, or of each node); long words are scaled on the way."""
         alpha = np.zeros((self.nodes, p.shape[1]))
         alpha[self.base] = 1
-        scale = np.zeros(len(self.base))
+        scale = np.zeros((len(self.base), p.shape[1]))
+        nodes = np.zeros(alpha.shape) if each else None
         for step in range(1, len(self.steps)):
             s = slice(self.steps[step - 1], self.steps[step])
             gain = alpha[self.start[s]] * p[self.piece[s]]
@@ -101,31 +102,34 @@ class Lattice:
             if step % SCALE_STEP == 0:
                 long = np.flatnonzero(self.length > step)
                 recent = self.base[long][:, None] + np.arange(step - LONGEST + 1, step + 1)
-                most = alpha[recent].max(axis=(1, 2))
+                most = alpha[recent].max(axis=1)
                 most[most == 0] = 1
-                alpha[recent] /= most[:, None, None]
+                alpha[recent] /= most[:, None]
                 scale[long] += np.log(most)
-        return alpha, scale
+                if nodes is not None:  # up to the last node that the next step for scaling may leave as it is
+                    ahead = np.minimum(np.arange(step - LONGEST + 1, step + SCALE_STEP + 1), self.length[long][:, None])
+                    nodes[self.base[long][:, None] + ahead] = scale[long][:, None]
+        return alpha, scale if nodes is None else nodes
 
     def scores(self, p: np.ndarray) -> np.ndarray:
         alpha, scale = self.forward(p)
-        return np.log(np.maximum(alpha[self.base + self.length], 1e-300)) + scale[:, None]
+        return np.log(np.maximum(alpha[self.base + self.length], 1e-300)) + scale
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece, for words that need no scaling."""
-        alpha, _ = self.forward(p)
+        """Expected uses of each piece; the backward values of a node have the inverse of its scale."""
+        alpha, scale = self.forward(p, True)
         beta = np.zeros_like(alpha)
         beta[self.base + self.length] = counts / np.maximum(alpha[self.base + self.length], 1e-300)
         for step in range(len(self.steps) - 1, 0, -1):
             s = slice(self.steps[step - 1], self.steps[step])
-            np.add.at(beta, self.start[s], beta[self.to[s]] * p[self.piece[s]])
-        use = alpha[self.start] * p[self.piece] * beta[self.to]
+            np.add.at(beta, self.start[s], beta[self.to[s]] * p[self.piece[s]] * np.exp(scale[self.start[s]] - scale[self.to[s]]))
+        use = alpha[self.start] * p[self.piece] * beta[self.to] * np.exp(scale[self.start] - scale[self.to])
         return np.column_stack([np.bincount(self.piece, use[:, k], len(p)) for k in range(p.shape[1])])
 
 
 def fit(own: Pieces, counted: dict[str, np.ndarray], languages: int) -> np.ndarray:
     """Piece probabilities (pieces x languages) from counts of each word in each language."""
-    listed = sorted(w for w in counted if len(w) < SCALE_STEP)
+    listed = sorted(counted)
     p = np.full((len(own.sizes), languages), 1.0 / len(own.sizes))
     for _ in range(ROUNDS):
         uses = np.zeros_like(p)

@@ -43,6 +43,36 @@ def test_expected_uses_add_up():
     assert np.isclose((uses[:, 0] * own.sizes).sum(), 3 * 6 + 2 * 3)
 
 
+def test_expected_uses_of_long_words():
+    own = langid.pieces(PATH)
+    p = np.random.default_rng(5).random((len(own.sizes), 2))
+    p[:, 1] **= 4
+    p /= p.sum(0)
+    listed = ["there" * n for n in (4, 5, 8, 9, 10, 12)] + ["漢q" * 19, "the"]
+    counts = np.arange(1.0, 17).reshape(8, 2)
+    whole = langid.Lattice(own, listed)
+    got = whole.expected(p, counts)
+    # without scaling, as words of this length still need none
+    alpha, beta = np.zeros((whole.nodes, 2)), np.zeros((whole.nodes, 2))
+    alpha[whole.base] = 1
+    for k in range(len(whole.to)):
+        alpha[whole.to[k]] += alpha[whole.start[k]] * p[whole.piece[k]]
+    beta[whole.base + whole.length] = counts / alpha[whole.base + whole.length]
+    for k in reversed(range(len(whole.to))):
+        beta[whole.start[k]] += beta[whole.to[k]] * p[whole.piece[k]]
+    wanted = np.zeros_like(p)
+    np.add.at(wanted, whole.piece, alpha[whole.start] * p[whole.piece] * beta[whole.to])
+    assert np.allclose(got, wanted, rtol=1e-9)
+    long = langid.Lattice(own, ["there漢" * 900, "on"]).expected(p, np.array([[3.0, 0.0], [2.0, 1.0]]))
+    assert np.allclose(own.sizes @ long, [3 * 5401 + 2 * 3, 3])
+
+
+def test_all_words_are_learned():
+    own = langid.pieces(PATH)
+    p = langid.fit(own, {"漢" * 30: np.array([400.0, 0.0]), "the" * 12: np.array([0.0, 2.0])}, 2)
+    assert p[-1, 0] > 0.2 > 1e-3 > p[-1, 1]
+
+
 def test_language_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = queries.op9_language_id(spark, sf_dir).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
