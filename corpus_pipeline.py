@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.llm import bpe, langid, minhash, mixing, quality
@@ -21,11 +21,26 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return langid.keep(docs, path, *langid.train(docs, path))
 
 
+def _row_key() -> Column:
+    """A number for each id and text, in the order of ids; rows without an id come last and are known by their text alone."""
+    digest = [F.pmod(h, F.lit(10**18)).cast("decimal(38,0)") for h in (F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))]
+    scale = F.lit(10**18).cast("decimal(19,0)")
+    named = (F.col("doc_id").cast("decimal(19,0)") * scale).cast("decimal(38,0)") + digest[0]
+    nameless = F.lit(str(10**37)).cast("decimal(38,0)") + (digest[0].cast("decimal(18,0)") * scale).cast("decimal(38,0)") + digest[1]
+    return F.coalesce(named.cast("decimal(38,0)"), nameless.cast("decimal(38,0)"))
+
+
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest doc_id; rows without an id stay."""
-    flags = minhash.near_duplicates(docs.where("doc_id IS NOT NULL"), Scratch(spark, "dedup"))
-    named = docs.join(flags.where("kept").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """One row of each group of near-duplicates, that of the smallest doc_id, one without an id if none has one.
+
+    Rows that share an id but not a text are told apart; rows with neither an id nor a word all stay.
+    """
+    blank = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
+    keyed = docs.where(~blank).withColumn("_row", _row_key())
+    flags = minhash.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), Scratch(spark, "dedup"))
+    kept = flags.where("kept").select(F.col("doc_id").alias("_row")).distinct()
+    named = keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"])
+    return named.select(*docs.columns).unionByName(docs.where(blank))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

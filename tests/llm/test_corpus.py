@@ -344,6 +344,16 @@ def test_pipeline(spark, sf_dir):
     assert sorted(tuple(r) for r in corpus_pipeline.run(spark, sf_dir).select("doc_id", "n_tokens").collect()) == sorted(tuple(r) for r in coded.select("doc_id", "n_tokens").collect())
 
 
+def test_dedup_tells_rows_of_one_id_apart(spark):
+    one, two, three, four = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(1, one, "s"), (1, two, "s"), (2, two + " end", "s"), (1, one, "s"), (3, three, "s"), (None, three, "s"), (None, four, "s"), (None, four, "t"), (None, four + " end", "s"), (None, None, "s"), (None, " ", "s"), (-5, three, "s"), (2**63 - 1, "x y z", "s"), (-(2**63), "x y", "s"), (7, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.dedup_stage(spark, docs, "").collect()), key=repr)
+    last = [r for r in got if r[0] is None and (r[1] or "").startswith("d0")]
+    assert len(last) == 1
+    assert sorted([x for x in got if x not in last], key=repr) == sorted([(1, one), (1, two), (-5, three), (None, None), (None, " "), (2**63 - 1, "x y z"), (-(2**63), "x y"), (7, "")], key=repr)
+
+
 def test_pipeline_stages_on_hard_rows(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     good = "The cat sat on the mat, and it was good. He said so to us, for that is what we do. "
