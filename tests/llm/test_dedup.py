@@ -99,5 +99,27 @@ def test_embedding_links_are_brute_force(spark, monkeypatch, block):
     assert got == {i: (count.get(i, 0), component.get(i, i), component.get(i, i) == i) for i, *_ in rows} and len(links) > 100
 
 
+def test_repeated_vectors_and_ids(spark):
+    a, b, far = [1.0, 0.0, 0.0], [1.0, 0.05, 0.0], [0.0, 0.0, 1.0]
+    rows = [(1, a, 0, "x"), (2, a, 0, "x"), (3, [2.0, 0.0, 0.0], 0, "x"), (4, b, 0, "x"), (5, a, 1, "x"), (6, far, 0, "x"), (6, a, 0, "x"), (6, far, 0, "x"), (7, None, None, "x"), (7, None, 0, "x"), (None, a, 0, "x")]
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, VECTORS), Scratch(spark, "t")).where("vec_id IS NOT NULL").collect()))
+    # of the vectors of id 6 the one that comes first in order is used
+    assert got == [(1, 3, 1, True), (2, 3, 1, False), (3, 3, 1, False), (4, 3, 1, False), (5, 0, 5, True)] + [(6, 0, 6, True)] * 3 + [(7, 0, 7, True)] * 2
+
+
+def test_bits_grow_with_the_table():
+    assert [embedding_dedup.plan(n, 0.98)[0] for n in (1, 2**24, 10**9, 10**12)] == [8, 24, 30, 40]
+    for n in (10**3, 10**9, 10**12):
+        bits, tables = embedding_dedup.plan(n, 0.98)
+        assert (1 - (1 - np.arccos(0.98) / np.pi) ** bits) ** tables <= 1e-5
+
+
+def test_wide_codes(spark, monkeypatch):
+    rows = vectors()
+    want = sorted(tuple(r) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, VECTORS), Scratch(spark, "t")).collect())
+    monkeypatch.setattr(embedding_dedup, "plan", lambda n, threshold: (34, 200))
+    assert want == sorted(tuple(r) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, VECTORS), Scratch(spark, "t")).collect())
+
+
 def test_no_vectors(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], VECTORS), Scratch(spark, "t")).count() == 0
