@@ -5,8 +5,9 @@ curve orders random three-dimensional projections, shifted by a random offset. I
 ``SLICES`` slices of equal row counts; ties of keys are broken by a hash, so that many copies of one vector spread too.
 A query meets the rows of its own slice and of ``REACH`` neighbours on both sides, on every curve; partial lists
 are merged and ranked by exact inner products. The window is a share of the rows, so recall does not fall as the
-table grows. Vectors without any structure (a uniform sphere in 64 dimensions) need wide windows; for
-clustered vectors ``SLICES`` can be raised.
+table grows. Vectors without any structure (a uniform sphere in 64 dimensions) need wide windows, so that the work and what is
+shuffled grow with queries times rows, as in brute force; for clustered vectors ``slices`` can be raised with the table, and both
+then grow with the rows.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from genoframe.llm import wordarrays as wa
-from genoframe.llm.embedding_dedup import vectors
+from genoframe.llm.embedding_dedup import one_row_an_id, vectors
 from genoframe.llm.scratch import Scratch
 from genoframe.llm.tiles import map_runs
 from genoframe.llm.workers import tidy
 
 CURVES, DIMENSIONS, BITS = 8, 3, 10
 SLICES, REACH, SLICE_ROWS = 32, 3, 4
-#: Rows and queries that meet in one task at most.
-ROW_BLOCK, QUERY_BLOCK = 4096, 1024
+#: Rows and queries that meet in one task, about; queries that are multiplied at once.
+ROW_BLOCK, QUERY_BLOCK, QUERY_STEP = 16384, 8192, 512
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -108,6 +109,25 @@ def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _nearest(q: np.ndarray, qv: np.ndarray, r: np.ndarray, rv: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, inner product) of the ``k`` rows nearest to each query."""
+    rough = qv @ rv.T
+    rough[q[:, None] == r[None, :]] = -np.inf
+    if rough.shape[1] > k:
+        least = np.partition(rough, -k, axis=1)[:, -k]
+        # rounding may order near ties otherwise than the exact sums below
+        margin = 1e-12 * (np.linalg.norm(qv, axis=1) * np.linalg.norm(rv, axis=1).max())
+        near = rough >= np.maximum(least - margin, -np.finfo(float).max)[:, None]
+    else:
+        near = rough > -np.inf
+    a, b = np.nonzero(near)
+    score = inner_products(qv[a], rv[b])
+    order = np.lexsort((r[b], -score, a))
+    a, b, score = a[order], b[order], score[order]
+    keep = np.arange(len(a)) - np.searchsorted(a, a) < k
+    return q[a[keep]], r[b[keep]], score[keep]
+
+
 def _best(k: int):
     def apply(t: pa.Table) -> list[pa.Array] | None:
         asks = t["asks"].to_numpy(zero_copy_only=False)
@@ -116,54 +136,40 @@ def _best(k: int):
         ids = t["vec_id"].to_numpy()
         v = t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(ids), -1)
         q, qv, r, rv = ids[asks], v[asks], ids[~asks], v[~asks]
-        rough = qv @ rv.T
-        rough[q[:, None] == r[None, :]] = -np.inf
-        if rough.shape[1] > k:
-            least = np.partition(rough, -k, axis=1)[:, -k]
-            # rounding may order near ties otherwise than the exact sums below
-            margin = 1e-12 * (np.linalg.norm(qv, axis=1) * np.linalg.norm(rv, axis=1).max())
-            near = rough >= np.maximum(least - margin, -np.finfo(float).max)[:, None]
-        else:
-            near = rough > -np.inf
-        a, b = np.nonzero(near)
-        score = inner_products(qv[a], rv[b])
-        order = np.lexsort((r[b], -score, a))
-        a, b, score = a[order], b[order], score[order]
-        place = np.arange(len(a)) - np.searchsorted(a, a)
-        keep = place < k
-        return [pa.array(q[a[keep]]), pa.array(r[b[keep]]), pa.array(score[keep])]
+        out = [_nearest(q[x : x + QUERY_STEP], qv[x : x + QUERY_STEP], r, rv, k) for x in range(0, len(q), QUERY_STEP)]
+        return [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
 
     return apply
 
 
-def nearest(df: DataFrame, is_query, scratch: Scratch, k: int = 20) -> DataFrame:
+def nearest(df: DataFrame, is_query, scratch: Scratch, k: int = 20, slices: int = SLICES, reach: int = REACH) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each usable row of ``df(vec_id, embedding)`` with ``is_query`` (a column
     on vec_id) its ``k`` nearest found by inner product, nearest first, ties to the smaller vec_id.
 
     Vectors that are null, empty, zero or hold a null or non-finite component, and null ids, take no part; vectors of
-    other dimensions are no candidates; rows that repeat an id count once; an empty table gives no rows; with ``k``
+    other dimensions are no candidates; rows that repeat an id count once, as the smallest of their vectors; an empty table gives no rows; with ``k``
     or fewer candidates in reach all are returned. Other columns are not read.
     """
-    rows = scratch.put(_usable(df).dropDuplicates(["vec_id"]), "usable")
-    longest, n = rows.agg(F.max("norm"), F.count(F.lit(1))).first()
+    rows = one_row_an_id(scratch.put(_usable(df), "usable"))
+    longest, n, asking = rows.agg(F.max("norm"), F.count(F.lit(1)), F.coalesce(F.sum(is_query.cast("long")), F.lit(0))).first()
     keyed = scratch.put(_keyed(rows, longest or 1.0), "keyed")
     places = keyed.select("vec_id", "dim", F.posexplode("keys").alias("curve", "key"))
-    cuts = F.percentile_approx("key", [i / SLICES for i in range(1, SLICES)], 10_000)
+    cuts = F.percentile_approx("key", [i / slices for i in range(1, slices)], 10_000)
     # slices hold SLICE_ROWS times k rows at least: a table of few rows has fewer slices
-    every_nth = lambda n: max(1, -(-SLICES * SLICE_ROWS * k // n))
+    every_nth = lambda n: max(1, -(-slices * SLICE_ROWS * k // n))
     bounds = {(r.dim, r.curve): r.cuts[every_nth(r.n) - 1 :: every_nth(r.n)] for r in places.groupBy("dim", "curve").agg(cuts.alias("cuts"), F.count(F.lit(1)).alias("n")).collect()}
     if not bounds:
         schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
         return df.sparkSession.createDataFrame([], schema)
     table = df.sparkSession.createDataFrame([(d, c, list(cut)) for (d, c), cut in bounds.items()], "dim int, curve int, cuts array<bigint>")
-    # one row of SLICES - 1 numbers for each curve and dimension
+    # one row of slices - 1 numbers for each curve and dimension
     sliced = places.join(F.broadcast(table), ["dim", "curve"]).select("vec_id", "dim", "curve", F.size(F.filter("cuts", lambda x: x < F.col("key"))).alias("slice"))
-    row_blocks = max(1, -(-n // (SLICES * ROW_BLOCK)))
-    query_blocks = max(1, -(-n * (2 * REACH + 1) // (SLICES * 20 * QUERY_BLOCK)))
+    row_blocks = max(1, -(-n // (slices * ROW_BLOCK)))
+    query_blocks = max(1, -(-asking * (2 * reach + 1) // (slices * QUERY_BLOCK)))
     part = lambda salt, blocks: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(blocks)).cast("int")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     held = sliced.withColumn("asks", F.lit(False)).withColumn("rb", part("rows", row_blocks)).withColumn("qb", every(query_blocks))
-    asked = sliced.where(is_query).withColumn("slice", F.explode(F.sequence(F.col("slice") - REACH, F.col("slice") + REACH))).where(f"slice BETWEEN 0 AND {SLICES - 1}")
+    asked = sliced.where(is_query).withColumn("slice", F.explode(F.sequence(F.col("slice") - reach, F.col("slice") + reach))).where(f"slice BETWEEN 0 AND {slices - 1}")
     asked = asked.withColumn("asks", F.lit(True)).withColumn("qb", part("queries", query_blocks)).withColumn("rb", every(row_blocks))
     tiles = held.unionByName(asked).select("vec_id", "asks", F.xxhash64("dim", "curve", "slice", "rb", "qb").alias("tile"))
     both = tiles.join(keyed.select("vec_id", "v"), "vec_id")

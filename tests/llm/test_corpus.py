@@ -185,6 +185,24 @@ def test_few_and_odd_vectors(spark):
     assert hilbert.nearest(spark.createDataFrame([], VECTORS), F.col("vec_id") % 20 == 0, Scratch(spark, "t")).count() == 0
 
 
+def test_repeated_ids_and_many_blocks(spark, monkeypatch):
+    for name, size in (("ROW_BLOCK", 8), ("QUERY_BLOCK", 4), ("QUERY_STEP", 3)):
+        monkeypatch.setattr(hilbert, name, size)
+    rng = np.random.default_rng(8)
+    x = rng.integers(-9, 9, (600, 4)).astype(float)
+    x[(x == 0).all(1)] = 1
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(x)] + [(i, [99.0] * 4, "x") for i in range(0, 600, 7)]
+    got = hilbert.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 20 == 0, Scratch(spark, "t"), 5, slices=4, reach=3)
+    best = {}
+    for r in got.collect():
+        best.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for i in range(0, 600, 20):
+        s = x @ x[i]
+        s[i] = -np.inf
+        near = np.lexsort((np.arange(600), -s))[:5]
+        assert sorted(best[i]) == [(k + 1, int(j), s[j]) for k, j in enumerate(near)]
+
+
 # ---- language model
 
 
