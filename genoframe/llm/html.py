@@ -63,8 +63,8 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 class Block(NamedTuple):
     text: str
-    path: tuple[str, ...]
-    container: tuple[str, ...]
+    path: int  # number of the tag path
+    container: int  # number of the path of the container
     root: int  # number of the outermost article or main element around it, 0 outside
     linked: int  # characters within links
     named: int  # number of the innermost element around it that has a name of SKIPPED_NAMES, 0 outside
@@ -77,7 +77,8 @@ class _Named(NamedTuple):
 
 class _Open(NamedTuple):
     tag: str
-    label: str
+    path: int
+    container: int
     skipped: bool
     root: int
     link: bool
@@ -121,11 +122,16 @@ def _skips(tag: str, attributes: str, above: _Open | None) -> tuple[bool, str, b
 
 def blocks(page: str) -> list[Block]:
     """Blocks of text that may be content, in page order."""
-    out, named, homes = _read(page)
+    return _candidates(page)[0]
+
+
+def _candidates(page: str) -> tuple[list[Block], list[int]]:
+    """(blocks, the path around each path)."""
+    out, named, homes, around = _read(page)
     if not any(b.named for b in out):
-        return out
+        return out, around
     kept = _outweighed(out, named, homes)
-    return [b for b in out if kept[b.named]]
+    return [b for b in out if kept[b.named]], around
 
 
 def _outweighed(found: list[Block], named: list[_Named], homes: list[tuple[str, int]]) -> list[bool]:
@@ -161,11 +167,43 @@ def _outweighed(found: list[Block], named: list[_Named], homes: list[tuple[str,
     return kept
 
 
-def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]]]:
-    """(blocks; named elements by number; tag and named element around it of each article and main element by number)."""
+class _Stack:
+    """Open elements; where the last one of each tag and the last block is known without a walk, so deep pages are read in linear time."""
+
+    def __init__(self) -> None:
+        self.open: list[_Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, x: _Open) -> None:
+        self.places.setdefault(x.tag, []).append(len(self.open))
+        if x.tag in BLOCK:
+            self.blocks.append(len(self.open))
+        self.open.append(x)
+
+    def cut(self, depth: int) -> None:
+        while len(self.open) > depth:
+            tag = self.open.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def last(self, tags) -> int:
+        """Depth of the innermost open element of ``tags``, -1 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def top(self) -> _Open | None:
+        return self.open[-1] if self.open else None
+
+
+def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]], list[int]]:
+    """(blocks; named elements by number; tag and named element around it of each article and main element by number; the
+    path around each path, by number: 0 is the page, and a path's number is above that of the one around it)."""
     out: list[Block] = []
     named, homes = [_Named(0, False)], [("", 0)]
-    stack: list[_Open] = []
+    paths: dict[tuple[int, str], int] = {}
+    around = [-1]
+    stack = _Stack()
     parts: list[str] = []
     roots = linked = 0
 
@@ -174,24 +212,22 @@ def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]]]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                path = tuple(x.label for x in stack)
-                depth = len(stack)
-                while depth and (stack[depth - 1].tag in LEAF or stack[depth - 1].tag not in BLOCK):
-                    depth -= 1
-                out.append(Block(text, path, path[:depth], stack[-1].root if stack else 0, linked, stack[-1].named if stack else 0))
+                top = stack.top()
+                out.append(Block(text, top.path, top.container, top.root, linked, top.named) if top else Block(text, 0, 0, 0, linked, 0))
             parts.clear()
         linked = 0
 
     def text(start: int, end: int) -> None:
         nonlocal linked
-        if end > start and not (stack and stack[-1].skipped):
+        top = stack.top()
+        if end > start and not (top and top.skipped):
             parts.append(page[start:end])
-            if stack and stack[-1].link:
+            if top and top.link:
                 linked += end - start
 
     def close(depth: int) -> None:
         flush()
-        del stack[depth:]
+        stack.cut(depth)
 
     at, n = 0, len(page)
     while at < n:
@@ -210,35 +246,26 @@ def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]]]:
         if not tag:
             continue
         if m[1] or m[4]:  # an end tag
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    if tag in BLOCK:
-                        close(depth)
-                    elif not any(x.tag in BLOCK for x in stack[depth + 1 :]):
-                        del stack[depth:]
-                    break
+            depth = stack.last((tag,))
+            if depth >= 0 and tag in BLOCK:
+                close(depth)
+            elif depth >= 0 and not (stack.blocks and stack.blocks[-1] > depth):
+                stack.cut(depth)
             continue
         if tag == "br":
             parts.append(" ")
             continue
         if tag in BLOCK:
-            for depth in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph
-                if stack[depth].tag == "p":
-                    close(depth)
-                    break
-                if stack[depth].tag in BLOCK:
-                    break
+            if stack.blocks and stack.open[stack.blocks[-1]].tag == "p":  # a block ends an open paragraph
+                close(stack.blocks[-1])
             family, border = CLOSES.get(tag, ((), ()))
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag in border:
-                    break
-                if stack[depth].tag in family:
-                    close(depth)
-                    break
+            depth = stack.last(family)
+            if depth > stack.last(border):
+                close(depth)
             flush()
         if tag in VOID:
             continue
-        above = stack[-1] if stack else None
+        above = stack.top()
         skipped, label, header, names = _skips(tag, m[3] or m[6] or "", above)
         root, within = (above.root, above.named) if above else (0, 0)
         if names and not skipped:
@@ -254,14 +281,18 @@ def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]]]:
             if end:
                 at = page.find(">", end.end()) + 1 or n
             continue
-        stack.append(_Open(tag, label, skipped, root, tag == "a" or bool(above and above.link), header, within))
+        outer, home = (above.path, above.container) if above else (0, 0)
+        path = paths.setdefault((outer, label), len(around))
+        if path == len(around):
+            around.append(outer)
+        stack.push(_Open(tag, path, path if tag in BLOCK and tag not in LEAF else home, skipped, root, tag == "a" or bool(above and above.link), header, within))
     flush()
-    return out, named, homes
+    return out, named, homes, around
 
 
 def _block_scores(found: list[Block]) -> list[float]:
     """Characters times punctuation marks of each block's path, smoothed along the page; article and main elements weigh more."""
-    length: dict[tuple, list[float]] = {}
+    length: dict[int, list[float]] = {}
     for b in found:
         own = length.setdefault(b.path, [0, 0, 0])
         own[0] += max(len(b.text) - b.linked, 0)
@@ -274,13 +305,25 @@ def _block_scores(found: list[Block]) -> list[float]:
     return [(chars * (1.0 + marks) + 1e-6) * (SEMANTIC if b.root else 1.0) for b, (chars, marks) in zip(found, smooth, strict=True)]
 
 
+def _around(paths: set[int], outer: list[int]) -> int:
+    """The innermost path that is around (or is) all of ``paths``."""
+    held = [0] * len(outer)
+    for path in paths:
+        held[path] = 1
+    for path in range(len(outer) - 1, 0, -1):
+        if held[path] == len(paths):
+            return path
+        held[outer[path]] += held[path]
+    return 0
+
+
 def main_text(page: str | None) -> str:
     """The blocks of the selected containers, white space within each turned into one space, joined by line ends."""
-    found = blocks(page or "")
+    found, outer = _candidates(page or "")
     if not found:
         return ""
-    group = [("root", b.root) if b.root else b.container for b in found]
-    score: dict[tuple, float] = {}
+    group = [-b.root if b.root else b.container for b in found]
+    score: dict[int, float] = {}
     for g, own in zip(group, _block_scores(found), strict=True):
         score[g] = score.get(g, 0.0) + own
     share = {g: 0.0 for g in score}
@@ -289,12 +332,14 @@ def main_text(page: str | None) -> str:
         share[g] += b.linked
         size[g] += len(b.text)
     best = max(score, key=lambda g: score[g])
-    inside = {g for g in score if g[:1] == ("root",) or (score[g] >= THRESHOLD * score[best] and share[g] / size[g] < LINKED)}
+    inside = {g for g in score if g < 0 or (score[g] >= THRESHOLD * score[best] and share[g] / size[g] < LINKED)}
     if inside and not any(b.root for b in found):
-        around = max(inside, key=lambda g: score[g])[:-1]
-        for g in inside:
-            around = around[: next((k for k, (x, y) in enumerate(zip(around, g)) if x != y), min(len(around), len(g)))]
-        inside |= {g for g in score if g[: len(around)] == around and share[g] / size[g] < LINKED}
+        first = max(inside, key=lambda g: score[g])
+        around = _around((inside - {first}) | {max(outer[first], 0)}, outer)
+        below = [False] * len(outer)
+        for path in range(len(outer)):
+            below[path] = path == around or (path > 0 and below[outer[path]])
+        inside |= {g for g in score if below[g] and share[g] / size[g] < LINKED}
     number = Counter(group)
     inside |= {g for g in score if score[g] / number[g] >= THRESHOLD * score[best] / number[best] and share[g] / size[g] < LINKED}
     return "\n".join(b.text for g, b in zip(group, found, strict=True) if g in inside)

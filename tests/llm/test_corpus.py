@@ -132,6 +132,20 @@ def test_long_pages_are_linear():
     assert html.main_text("<div>" * 3_000 + "deep" + "</div>" * 3_000) == "deep"
 
 
+@pytest.mark.parametrize("page", ["<div>x" * 160_000, "<div>" * 100_000 + "</p>" * 100_000 + "x", "<i>" + "<div>" * 100_000 + "</i>" * 100_000 + "x", "<ul><li>x" * 80_000, "<div>" * 50_000 + "<b>x<p>y" * 50_000, "<div class=ad><div>x" * 40_000, "<table><tr><td>" * 50_000 + "x", "<a '\">x" * 100_000])
+def test_a_megabyte_of_nested_markup_is_read_in_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - began < 6
+
+
+def test_names_inside_an_article_are_no_reason_to_cut_it():
+    page = "<article class='search-results'><p>One.</p><div id='related-work'><p>Two.</p></div><div class='notice-of-intent'><p>Three.</p></div></article>"
+    assert html.main_text(page) == "One.\nTwo.\nThree."
+
+
 def test_pages_frame(spark, sf_dir):
     schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()), T.StructField("text", T.StringType())])
     rows = [(1, "u", "<p>é</p>", "clash"), (1, "u", "<p>é</p>", "clash"), (None, None, None, None)]
@@ -273,7 +287,7 @@ def test_counts_and_names_are_wide():
     assert (lm._from_planes(lm._planes(x)) == x).all() and len(lm._from_planes(lm._planes(x[:0]))) == 0 and len(lm._planes(np.arange(256))) == 257
     assert lm._added(np.array([0, 1, 0]), np.array([2**60 + 1, 7, 2**53 + 1]), 2).tolist() == [2**60 + 2**53 + 2, 7]
     # successors whose names differ in their last bits only, in a context of many
-    names = np.sort(np.array([*range(70_000), (1 << 56) - 1], np.uint64) * np.uint64(1) | np.uint64(5 << 40))
+    names = np.sort(np.array([*range(300), (1 << 56) - 1], np.uint64) * np.uint64(1) | np.uint64(5 << 40))
     context = np.full(len(names), 7, np.uint64)
     made, _, _ = lm.shard_trie(context, names, np.arange(1, len(names) + 1), np.zeros(0, np.uint64), np.zeros(0, np.int64))
     trie = eliasfano.NgramTrie(made)
