@@ -3,7 +3,8 @@
 A revisit of the server-not-modified kind holds no body: it stands for the latest earlier full response of its canonical URL. An
 as-of join finds that response, its validators are checked against the revisit's, and the header fields that a
 304 answer may update are merged over the stored ones. The join runs in two levels, slices of time within a URL and
-then whole slices, so one URL with a third of all records is spread over up to ``SLICES`` groups.
+then whole slices; slices are cut at quantiles of all times, so one URL with a third of all records is spread over up to ``SLICES``
+groups, whatever single times are wrong.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from genoframe.llm.workers import tidy
 
-SLICES = 4096
+SLICES, STEP = 1024, 32
 #: Fields of a 304 answer that replace the stored ones; query parameters that name no content.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 TRACKING = r"(?:utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)"
@@ -57,6 +58,23 @@ def _strong(tag: Column) -> Column:
     return F.regexp_replace(F.trim(tag), r"^W/", "")
 
 
+def _slice(placed: DataFrame) -> Column:
+    """The number of quantiles of all times below a row's time, found in two steps."""
+    cuts = placed.agg(F.percentile_approx("at", [k / SLICES for k in range(1, SLICES)], 10_000)).first()[0] or []
+    listed = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
+    below = lambda a: F.size(F.filter(a, lambda x: x < F.col("at")))
+    coarse = below(F.array(*map(F.lit, cuts[STEP - 1 :: STEP]))) if cuts[STEP - 1 :: STEP] else F.lit(0)
+    return coarse * STEP + below(F.slice(listed, coarse * STEP + 1, STEP - 1))
+
+
+def _stored(r: DataFrame) -> DataFrame:
+    """``target_id, stored`` of the responses; only if some id is repeated are rows gathered by id."""
+    stored = r.where("full AND record_id IS NOT NULL").select(F.col("record_id").alias("target_id"), F.col("headers").alias("stored"))
+    if stored.groupBy("target_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").isEmpty():
+        return stored
+    return stored.groupBy("target_id").agg(F.max_by("stored", F.array_join(F.array_sort(F.transform(F.map_entries("stored"), lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit(""))))), "\n")).alias("stored"))
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """One row per revisit of ``records(record_id, kind, url, at, headers)``: ``record_id, canonical_url, at, status,
     target_id, headers``. ``record_id`` is unique, ``at`` a long in any unit, ``headers`` a map with lower-case names.
@@ -64,25 +82,28 @@ def resolve(records: DataFrame) -> DataFrame:
     ``target_id`` is the response of the same canonical URL with the greatest ``at`` below the revisit's, of equal times the
     greatest id. It is resolved if the revisit's entity tag equals the response's, or, without one, its last-modified;
     only then are ``headers`` the stored ones under the permitted ones of the revisit, else they are the revisit's
-    own and ``target_id`` is null. Revisits with a null URL or time find no response; null headers are empty; kinds other than ``response`` and ``revisit`` are
+    own and ``target_id`` is null. Revisits with a null URL or time find no response; responses without an id are none, revisits
+    without one are resolved like others; rows that repeat a revisit each give a row; of responses that repeat an id those with the
+    greatest headers, as text, are stored; null headers are empty; kinds other than ``response`` and ``revisit`` are
     ignored; an empty table gives no rows; other columns are not read.
     """
     r = records.where("kind IN ('response', 'revisit')").select(
         "record_id", (F.col("kind") == "response").alias("full"), canonical_url(F.col("url")).alias("canonical_url"), "at", F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers")
     )
-    placed = r.where("canonical_url IS NOT NULL AND at IS NOT NULL").select("record_id", "full", "canonical_url", "at")
-    low, high = placed.agg(F.min("at"), F.max("at")).first()
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // SLICES))
-    placed = placed.withColumn("slice", F.floor((F.col("at") - F.lit(low or 0)) / F.lit(width)).cast("int"))
+    timed = F.col("canonical_url").isNotNull() & F.col("at").isNotNull()
+    # revisits carry their headers, so they need not be found again by an id
+    placed = r.where(timed & (~F.col("full") | F.col("record_id").isNotNull())).withColumn("headers", F.when(~F.col("full"), F.col("headers")))
+    placed = placed.withColumn("slice", _slice(placed))
     response = F.when(F.col("full"), F.struct("at", "record_id"))
     slices = placed.groupBy("canonical_url", "slice").agg(F.max(response).alias("latest"))
     before = Window.partitionBy("canonical_url").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = slices.select("canonical_url", "slice", F.last("latest", ignorenulls=True).over(before).alias("carried"))
     earlier = Window.partitionBy("canonical_url", "slice").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
     near = placed.withColumn("near", F.max(response).over(earlier)).where("NOT full")
-    found = near.join(carried, ["canonical_url", "slice"], "left").select("record_id", F.coalesce("near", "carried")["record_id"].alias("target_id"))
-    stored = r.where("full").select(F.col("record_id").alias("target_id"), F.col("headers").alias("stored"))
-    both = r.where("NOT full").join(found, "record_id", "left").join(stored, "target_id", "left")
+    found = near.join(carried, ["canonical_url", "slice"], "left").select("record_id", "canonical_url", "at", "headers", F.coalesce("near", "carried")["record_id"].alias("target_id"))
+    # without a target there is no key to join on, and all such rows would meet in one task
+    without = found.where("target_id IS NULL").unionByName(r.where(~F.col("full") & ~timed).select("record_id", "canonical_url", "at", "headers", F.lit(None).cast(r.schema["record_id"].dataType).alias("target_id")))
+    both = found.where("target_id IS NOT NULL").join(_stored(r), "target_id").unionByName(without, allowMissingColumns=True)
     tag, since = _field("headers", "etag"), _field("headers", "last-modified")
     same = F.when(tag.isNotNull(), F.coalesce(_strong(tag) == _strong(_field("stored", "etag")), F.lit(False))).otherwise(F.coalesce(since == _field("stored", "last-modified"), F.lit(False)))
     status = F.when(F.col("target_id").isNull(), NO_EARLIER).when(tag.isNull() & since.isNull(), NO_VALIDATOR).when(same, RESOLVED).otherwise(MISMATCH)
@@ -139,7 +160,11 @@ def parse(data: bytes) -> Iterator[tuple]:
         if end < 0:
             return
         _, fields = _fields(data[at:end])
-        size = int(fields.get("content-length", 0))
+        length = fields.get("content-length", "0")
+        if not (length.isascii() and length.isdigit()):  # no record can be read here: the next one is looked for
+            at = end + 4
+            continue
+        size = int(length)
         block = data[end + 4 : end + 4 + size]
         if len(block) < size:
             return

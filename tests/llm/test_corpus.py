@@ -331,11 +331,24 @@ def test_revisits(spark):
     assert warc.resolve(spark.createDataFrame([], RECORD)).count() == 0
 
 
-def test_revisits_are_brute_force(spark, monkeypatch):
+def test_repeated_records_and_null_ids(spark):
+    h = {"etag": "e"}
+    rows = [("f", "response", "a.com", 5, h | {"x": "1"}, "x"), ("f", "response", "a.com", 5, h | {"x": "2"}, "x"), (None, "response", "a.com", 7, h, "x"), ("r", "revisit", "a.com", 9, h, "x"), ("r", "revisit", "a.com", 9, h, "x"), (None, "revisit", "a.com", 8, h, "x"), (None, "revisit", "a.com", 4, h, "x"), (None, "revisit", None, 4, None, None)]
+    got = sorted(((x.record_id, x.at, x.status, x.target_id, sorted(x.headers.items())) for x in warc.resolve(spark.createDataFrame(rows, RECORD)).collect()), key=repr)
+    stored = [("etag", "e"), ("x", "2")]
+    assert got == sorted([("r", 9, "resolved", "f", stored)] * 2 + [(None, 8, "resolved", "f", stored), (None, 4, "no_earlier_response", None, [("etag", "e")]), (None, 4, "no_earlier_response", None, [])], key=repr)
+
+
+@pytest.mark.parametrize("wrong", [None, 10**15])
+def test_revisits_are_brute_force(spark, monkeypatch, wrong):
     import random
 
     rng = random.Random(9)
     rows = [(f"{k:04d}", rng.choice(["response", "revisit"]), f"http://h.com/{rng.choice('aaaabc')}", rng.randrange(60), {"etag": "e"}, "x") for k in range(600)]
+    if wrong:
+        rows.append(("9999", "response", "http://h.com/a", wrong, {"etag": "e"}, "x"))
+        monkeypatch.setattr(warc, "SLICES", 8)
+        monkeypatch.setattr(warc, "STEP", 2)
     got = {r.record_id: r.target_id for r in warc.resolve(spark.createDataFrame(rows, RECORD)).collect()}
     for i, kind, url, at, *_ in rows:
         if kind == "revisit":
@@ -356,10 +369,10 @@ def test_read_warc_files(spark, tmp_path):
     full = record("response", 1, b"HTTP/1.1 200 OK\r\nETag: x\r\nContent-Type: text/html\r\n\r\n<p>body WARC/1.0</p>")
     again = record("revisit", 2, b"HTTP/1.1 304 Not Modified\r\nETag: x\r\nDate: now\r\n\r\n", "WARC-Profile: http://netpreserve.org/warc/1.0/revisit/server-not-modified\r\n")
     same = record("revisit", 3, b"", "WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest\r\n")
-    (tmp_path / "a.warc").write_bytes(full + again + same + b"WARC/1.0\r\nContent-Length: 99\r\n\r\ncut")
+    (tmp_path / "a.warc").write_bytes(full + again + same + b"WARC/1.0\r\nContent-Length: many\r\n\r\n" + full.replace(b"<1>", b"<4>") + b"WARC/1.0\r\nContent-Length: 99\r\n\r\ncut")
     (tmp_path / "b.warc.gz").write_bytes(gzip.compress(full.replace(b"<1>", b"<9>")) + gzip.compress(again.replace(b"<2>", b"<8>"))[:-9])
     records = warc.read(spark, str(tmp_path))
-    assert sorted((r.record_id, r.kind) for r in records.collect()) == [("<1>", "response"), ("<2>", "revisit"), ("<3>", "other"), ("<8>", "revisit"), ("<9>", "response")]
+    assert sorted((r.record_id, r.kind) for r in records.collect()) == [("<1>", "response"), ("<2>", "revisit"), ("<3>", "other"), ("<4>", "response"), ("<8>", "revisit"), ("<9>", "response")]
     out = warc.with_bodies(warc.resolve(records.drop("body")), records).where("record_id = '<2>'").first()
     assert out.status == "resolved" and bytes(out.body) == b"<p>body WARC/1.0</p>" and out.headers == {"etag": "x", "date": "now", "content-type": "text/html"}
 
