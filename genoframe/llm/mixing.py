@@ -2,7 +2,8 @@
 
 Every source has a weight schedule, piecewise constant over training time [0, 1). Its integral is the source's
 cumulative token demand; inverting it at a document's cumulative size gives the document's training position.
-Passes over a source follow each other, so a document may be placed more than once, up to ``max_passes`` times.
+Passes over a source follow each other, so a document may be placed more than once, up to ``max_passes`` times; a copy
+beyond the whole demand has no position and is not taken.
 Running sums are two-level (hash bucket, then within a bucket): a source with a third of all rows is
 spread over 4096 groups, and no task holds a whole source.
 """
@@ -62,32 +63,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, max_passes: int = 2, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, place, start, passes, taken``.
-
-    ``start`` is the document's offset in its source's order. Pass p of a document is taken if the middle of
-    its words, ``p * source_size + start + size / 2``, lies below the target; so a source's sum differs from its target
-    by half a document at most, and no document is taken more than ``max_passes`` times.
-    Null and empty texts have size 0 and take 0; null sources form one source; an empty table gives no rows; other
-    columns, whatever their names, are not read unless named in ``carry``.
-    """
-    sized = sized_documents(docs, carry)
-    sums = sized.groupBy("owner", "source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    sources = source_targets(sums.groupBy("owner", "source").agg(F.sum("bucket_size").alias("source_size")), weights, share, max_passes)
-    ahead = Window.partitionBy("owner").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("owner", "bucket", F.coalesce(F.sum("bucket_size").over(ahead), F.lit(0)).alias("bucket_start"))
-    plan = starts.join(sources.drop("source"), "owner")
-    within = Window.partitionBy("owner", "bucket").orderBy("tie", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    rows = placed.join(plan, ["owner", "bucket"]).withColumn("start", F.col("bucket_start") + F.col("ahead"))
-    middle = F.col("start") + F.col("size") / 2.0
-    passes = sum((F.when(F.lit(p) * F.col("source_size") + middle < F.col("target"), 1).otherwise(0) for p in range(max_passes)), F.lit(0))
-    out = rows.withColumn("passes", passes.cast("int")).withColumn("taken", F.col("size") * F.col("passes"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "place", "start", "passes", "taken", *[F.col(f"_{c}").alias(c) for c in carry])
-
-
 def inverse_demand(share_of_demand: Column, schedule: list[tuple[float, float]]) -> Column:
-    """Training time at which a source has used ``share_of_demand`` (0 to 1) of its demand.
+    """Training time at which a source has used ``share_of_demand`` of its demand; null from 1 on, when all is used.
 
     ``schedule``: (length of a time step, weight in it); the integral of the weights is inverted piecewise.
     """
@@ -97,28 +74,56 @@ def inverse_demand(share_of_demand: Column, schedule: list[tuple[float, float]])
         time, used = time - dt, used - dt * w
         if w > 0:
             out = F.when(share_of_demand * total < used + dt * w, F.lit(time) + (share_of_demand * total - F.lit(used)) / F.lit(w)).otherwise(out)
-    return out
+    return F.when(share_of_demand < 1, out)
 
 
 #: Sources at even places fade out over training, those at odd places fade in: weights in quarters of the time.
 FADES = ([(0.25, 4.0), (0.25, 3.0), (0.25, 2.0), (0.25, 1.0)], [(0.25, 1.0), (0.25, 2.0), (0.25, 3.0), (0.25, 4.0)])
 
 
-def position(copy: Column, schedules=FADES) -> Column:
-    """Training time in [0, 1] of a document's copy number ``copy`` (from 0), for rows of ``mix``.
+def position(copy: int, schedules=FADES) -> Column:
+    """Training time in [0, 1) of a document's copy number ``copy`` (from 0), null if the demand does not reach it.
 
-    The copy's middle word divided by the source's target is the share of demand used before it; the inverse of the
-    schedule's integral at that share is its time. ``schedules`` go to sources cyclically by place.
+    The words of the source before the copy's middle, divided by the source's target, are the share of demand used before it; the
+    inverse of the schedule's integral at that share is its time. ``schedules`` go to sources cyclically by place.
     """
-    used = (copy * F.col("source_size") + F.col("start") + F.col("size") / 2.0) / F.greatest(F.col("target"), F.lit(1.0))
+    used = F.when(F.col("target") > 0, (F.lit(copy) * F.col("source_size") + F.col("start") + F.col("size") / 2.0) / F.col("target"))
     out = F.lit(None).cast("double")
     for k, schedule in enumerate(schedules):
-        out = F.when(F.col("place") % len(schedules) == k, inverse_demand(F.least(used, F.lit(1.0)), schedule)).otherwise(out)
+        out = F.when(F.col("place") % len(schedules) == k, inverse_demand(used, schedule)).otherwise(out)
     return out
 
 
-def curriculum(mixed: DataFrame, schedules=FADES) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, max_passes: int = 2, carry: tuple[str, ...] = (), schedules=FADES) -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, place, start, positions, passes, taken``.
+
+    ``start`` is the document's offset in its source's order, ``positions`` are the training times of its copies in passes that the
+    source's demand reaches: those whose middle word, ``pass * source_size + start + size / 2``, lies below the target. So a
+    source's sum differs from its target by half a document at most, and no document is taken more than ``max_passes`` times.
+    Null and empty texts have size 0 and take 0; null sources form one source; an empty table gives no rows; other
+    columns, whatever their names, are not read unless named in ``carry``.
+    """
+    sized = sized_documents(docs, carry)
+    sums = sized.groupBy("owner", "source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    sources = source_targets(sums.groupBy("owner", "source").agg(F.sum("bucket_size").alias("source_size")), weights, share, max_passes)
+    ahead = Window.partitionBy("owner").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("owner", "bucket", F.coalesce(F.sum("bucket_size").over(ahead), F.lit(0)).alias("bucket_start"))
+    plan = starts.join(sources.drop("source"), "owner")
+    within = Window.partitionBy("owner", "bucket").orderBy("tie", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    rows = placed.join(plan, ["owner", "bucket"]).withColumn("start", F.col("bucket_start") + F.col("ahead"))
+    out = rows.withColumn("positions", F.array_compact(F.array(*[position(p, schedules) for p in range(max_passes)])))
+    out = out.withColumn("passes", F.size("positions")).withColumn("taken", F.col("size") * F.col("passes"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "place", "start", "positions", "passes", "taken", *[F.col(f"_{c}").alias(c) for c in carry])
+
+
+def curriculum(mixed: DataFrame) -> DataFrame:
     """A row per taken copy of a document (``pass`` from 0), range-sorted by ``position``; ties go to ``doc_id``, ``pass``."""
-    copies = mixed.where("passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
-    placed = copies.withColumn("position", position(F.col("pass"), schedules))
+    placed = mixed.select("*", F.posexplode("positions").alias("pass", "position"))
     return placed.repartitionByRange("position", "doc_id", "pass").sortWithinPartitions("position", "doc_id", "pass")
+
+
+def by_first_position(mixed: DataFrame) -> DataFrame:
+    """A row per document with the ``position`` of its first copy, range-sorted by it; what the mix leaves out comes first, by ``doc_id``."""
+    placed = mixed.withColumn("position", F.get("positions", F.lit(0)))
+    return placed.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")

@@ -21,9 +21,8 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
-    first = F.when(F.col("passes") > 0, F.round(mixing.position(F.lit(0)), 9))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes", first.alias("position"))
+    mixed = mixing.by_first_position(mixing.mix(_table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes", F.round("position", 9).alias("position"))
 
 
 def vocabulary(name: str) -> str:

@@ -14,9 +14,11 @@ BATCH_ROWS = 2000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where that is unset (tests) a local one is made and set."""
+    """The folder named by ``spark.checkpoint.dir``; only where that is unset and all runs in one process (tests) a local one is made and set."""
     folder = spark.conf.get(SETTING, None)
     if not folder:
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise ValueError(f"{SETTING} must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="genoframe-")
         spark.conf.set(SETTING, folder)
     return folder.rstrip("/")

@@ -59,6 +59,42 @@ def test_mix_hard_rows(spark):
     assert [r.target for r in mixed(spark, [(1, "a", ""), (2, "b", None)]).collect()] == [0.0, 0.0]
 
 
+def test_the_schedules_demand_decides_what_is_taken(spark):
+    rows = [(k, "a", "w " * (1 + k % 5)) for k in range(300)]
+    docs = spark.createDataFrame([(i, s, t, "clash", "clash") for i, s, t in rows], DOCS)
+    for schedule in ([(1.0, 1.0)], [(0.5, 0.0), (0.5, 3.0)], [(0.25, 1.0), (0.5, 0.0), (0.25, 1.0)]):
+        got = mixing.mix(docs, schedules=(schedule,)).collect()
+        for r in got:
+            want = []
+            for p in range(2):
+                used = (p * r.source_size + r.start + r.size / 2) / r.target
+                if used < 1:  # the time at which the weights' integral reaches the share, by walking the steps
+                    left, time = used * sum(dt * w for dt, w in schedule), 0.0
+                    for dt, w in schedule:
+                        if left < dt * w:
+                            time += left / w
+                            break
+                        left, time = left - dt * w, time + dt
+                    want.append(time)
+            assert r.positions == pytest.approx(want) and r.passes == len(want) and r.taken == r.size * len(want)
+    placed = mixing.by_first_position(mixing.mix(docs)).select("position", "doc_id").collect()
+    assert [tuple(r) for r in placed] == sorted((tuple(r) for r in placed), key=lambda x: (x[0] is not None, x)) and len(placed) == 300
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from genoframe.llm import scratch
+
+    class Conf:
+        get = staticmethod(lambda *_: None)
+
+    class Session:
+        conf = Conf
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError):
+        scratch.shared_folder(Session)
+
+
 def test_curriculum_follows_the_schedules(spark):
     rows = [(k, "ab"[k % 2], "w w w") for k in range(2000)]
     placed = mixing.curriculum(mixed(spark, rows))
