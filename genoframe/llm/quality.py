@@ -37,7 +37,8 @@ def _sums(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def votes(w: wa.Words) -> np.ndarray:
-    """Votes (texts x labellers); a labeller says nothing of texts too short for it, none of a text without words."""
+    """Votes (texts x labellers); a labeller says nothing of texts too short for it, none of a text without words. Those of ASCII
+    punctuation and of short words say nothing of texts whose words mostly begin beyond ASCII."""
     n = np.diff(w.bounds)
     some = np.maximum(n, 1)
     share = lambda mask: _sums(mask, w.bounds) / some
@@ -66,7 +67,8 @@ def votes(w: wa.Words) -> np.ndarray:
         (short < 0.08) | (short > 0.8),
         distinct < 0.12,
     ]
-    enough = [n >= 1, n >= 2, n >= 4, n >= 2, n >= 2, n >= 20, named >= 20, n >= 50]
+    ascii_ = share(first == 4) <= 0.5
+    enough = [n >= 1, n >= 2, n >= 4, n >= 2, n >= 2, (n >= 20) & ascii_, (named >= 20) & ascii_, n >= 50]
     return np.stack([np.where(e, np.where(j, JUNK, CLEAN), NOTHING) for j, e in zip(junk, enough, strict=True)], axis=1).astype(np.int64)
 
 

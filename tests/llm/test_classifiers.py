@@ -115,6 +115,105 @@ def test_votes_and_estimates():
     assert ((post[place.ravel()] > 0.5) == truth).mean() > 0.95
 
 
+def _class(b):
+    c = chr(b)
+    if b >= 128:
+        return 4
+    return 1 if "A" <= c <= "Z" else 2 if "a" <= c <= "z" else 3 if "0" <= c <= "9" else 6 if c == "!" else 5 if c in ".,;:?'\"()-" else 7
+
+
+def _plain_votes(text):
+    """Votes by definition, word by word."""
+    import re
+
+    w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    n, out = len(w), []
+    low = [x.lower() for x in w]
+    share = lambda hits: sum(hits) / max(n, 1)
+    letters = [x for x in w if _class(x[0]) in (1, 2, 4)]
+    short = sum(len(x) <= 3 for x in letters) / max(len(letters), 1)
+    ends = share(_class(x[-1]) in (5, 6) for x in w)
+    plain = share(_class(x[0]) == 4 for x in w) <= 0.5
+    for enough, junk in (
+        (n >= 1, share(_class(x[-1]) == 7 and len(x) > 1 for x in w) > 0.15), (n >= 2, share(len(x) > 1 and _class(x[0]) == _class(x[1]) == 1 for x in w) > 0.3), (n >= 4, share(a == b for a, b in zip(low, low[1:])) > 0.15),
+        (n >= 2, share(_class(x[0]) == 7 and len(x) <= 2 for x in w) > 0.2), (n >= 2, share(_class(x[-1]) == 6 for x in w) > 0.2), (n >= 20 and plain, ends < 0.02 or ends > 0.4),
+        (len(letters) >= 20 and plain, short < 0.08 or short > 0.8), (n >= 50, len(set(low)) / max(n, 1) < 0.12),
+    ):
+        out.append((quality.JUNK if junk else quality.CLEAN) if enough else quality.NOTHING)
+    return out
+
+
+def _plain_shapes(text):
+    """Count of each shape by definition: length class, classes of five bytes, whether the word before is the same."""
+    import re
+    from collections import Counter
+
+    w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    out = Counter()
+    for k, x in enumerate(w):
+        at = [0, min(1, len(x) - 1), len(x) // 2, max(len(x) - 2, 0), len(x) - 1]
+        length = sum(len(x) >= b for b in (2, 4, 7, 11))
+        out[(length, *(_class(x[i]) for i in at), k > 0 and w[k - 1].lower() == x.lower())] += 1
+    return out
+
+
+def test_votes_shapes_and_scores_are_their_definition(spark):
+    import random
+
+    from genoframe.llm import wordarrays as wa
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    bits = ["the", "THE", "a", "of", "Über", "漢字", "12", "--", "#", "end.", "go!", "x", "unbelievable", "$$$", "well,", "don't", "The"]
+    texts = [" ".join(rng.choices(bits[: rng.randrange(1, len(bits))], k=rng.choice([0, 1, 3, 19, 20, 49, 50, 200]))) for _ in range(300)] + [None, "", " \t", "漢字 漢字 " * 30, "word " * 9000]
+    votes, cells, value = [], [], []
+    for _, _, data, offsets in wa.chunks(pa.array(texts)):
+        w = wa.words(data, offsets)
+        votes += quality.votes(w).tolist()
+        rows, cols, values = quality._features(w)
+        for k in range(len(offsets) - 1):
+            cells.append(sorted(cols[rows == k].tolist()))
+            value.append(sorted(values[rows == k].tolist()))
+    assert votes == [_plain_votes(t) for t in texts]
+    assert {v for row in votes for v in row} == {0, 1, 2} and all(len({row[k] for row in votes}) >= 2 for k in range(8))
+    # equal shapes share a bucket, and different ones do not but by chance
+    found = {}
+    for t, own, weights in zip(texts, cells, value, strict=True):
+        shapes, n = _plain_shapes(t), sum(_plain_shapes(t).values())
+        if len(own) == len(shapes):
+            assert weights == pytest.approx(sorted(np.log1p(20 * c / n) for c in shapes.values()))
+        if len(shapes) == 1:
+            found.setdefault(next(iter(shapes)), set()).update(own)
+    assert found and all(len(x) == 1 for x in found.values())
+    # the scorer: the logistic of the weighted sum of features
+    weights = np.random.default_rng(0).standard_normal(quality.BUCKETS + 1)
+    docs = spark.createDataFrame([(k, t, None, None) for k, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r for r in quality.score(docs, weights).collect()}
+    for k, (own, t) in enumerate(zip(cells, texts, strict=True)):
+        if not own:
+            assert got[k].quality == 0 and not got[k].kept
+        elif len(own) == 1:
+            assert got[k].quality == pytest.approx(1 / (1 + np.exp(weights[own[0]] * np.log1p(20) + weights[-1])))
+    # vote patterns are counted over all documents
+    base = 3 ** np.arange(8)
+    want = {}
+    for t in texts:
+        p = int(np.dot(_plain_votes(t), base))
+        want[p] = want.get(p, 0) + 1
+    assert {r.pattern: r.documents for r in quality._patterns(docs).collect()} == want
+
+
+def test_linear_scorer_reaches_the_least_loss():
+    rng = np.random.default_rng(3)
+    rows, cols = np.repeat(np.arange(400), 5), rng.integers(0, 30, 2000)
+    values, target = rng.random(2000), rng.random(400)
+    w = quality._fit_linear(rows, cols, values, target, rounds=3000, step=0.05)
+    z = np.bincount(rows, values * w[cols], 400) + w[-1]
+    err = (1 / (1 + np.exp(-z)) - target) / 400
+    gradient = np.append(np.bincount(cols, values * err[rows], quality.BUCKETS), err.sum()) + 1e-5 * w
+    assert np.abs(gradient).max() < 1e-4
+
+
 def test_quality_against_labels(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     got = queries.op7_quality(spark, sf_dir).join(labels.select("doc_id", F.col("quality").alias("truth")), "doc_id").toPandas()
