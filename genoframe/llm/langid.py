@@ -23,11 +23,11 @@ from genoframe.llm.workers import tidy
 #: Labelled texts a language, about, from which the piece probabilities are fitted; a hash of doc_id picks them.
 SAMPLE_TEXTS = 400
 ROUNDS, SMOOTHING = 4, 0.1
-#: Bounds of what a worker keeps and handles at once.
-MEMO_WORDS, BATCH = 200_000, 256
+#: Bounds of what a worker keeps and handles at once: bytes of remembered word scores, values of a lattice, about, and texts.
+MEMO_BYTES, LATTICE_VALUES, BATCH = 32 << 20, 1_000_000, 256
 #: The vocabulary's mark of a word's start, and the code for texts without letters.
 START, UNDETERMINED = "▁", "und"
-LONGEST = 16
+#: Characters after which a long word's values are scaled, if no piece is as long.
 SCALE_STEP = 24
 
 
@@ -35,6 +35,14 @@ class Pieces(NamedTuple):
     automaton: object
     sizes: np.ndarray  # characters of each piece; the last is the unknown character
 
+    @property
+    def longest(self) -> int:
+        return int(self.sizes.max())
+
+    @property
+    def scale_step(self) -> int:
+        return max(SCALE_STEP, self.longest + 1)
+
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
@@ -43,7 +51,7 @@ def pieces(path: str) -> Pieces:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    kept = sorted({p for i in range(model.get_piece_size()) if (p := model.id_to_piece(i)) == p.lower() and len(p) <= LONGEST and p.lstrip(START).replace("'", "").isalpha() and not p[1:].count(START)} | {START})
+    kept = sorted({p for i in range(model.get_piece_size()) if (p := model.id_to_piece(i)) == p.lower() and p.lstrip(START).replace("'", "").isalpha() and not p[1:].count(START)} | {START})
     automaton = ahocorasick.Automaton()
     for i, p in enumerate(kept):
         automaton.add_word(p, i)
@@ -82,6 +90,7 @@ class Lattice:
         self.word, self.piece, self.to = word[order], piece[order], end[order] + 1
         self.start = self.to - own.sizes[self.piece]
         self.base, self.length, self.nodes = base, length, len(joined) + 1
+        self.longest, self.scale_step = own.longest, own.scale_step
         depth = self.to - base[self.word]
         self.steps = np.searchsorted(depth, np.arange(1, length.max() + 2)) if len(listed) else np.zeros(1, int)
 
@@ -99,15 +108,15 @@ class Lattice:
             first = np.flatnonzero(np.diff(target, prepend=-1))
             if len(first):
                 alpha[target[first]] = np.add.reduceat(gain[order], first, axis=0)
-            if step % SCALE_STEP == 0:
+            if step % self.scale_step == 0:
                 long = np.flatnonzero(self.length > step)
-                recent = self.base[long][:, None] + np.arange(step - LONGEST + 1, step + 1)
+                recent = self.base[long][:, None] + np.arange(step - self.longest + 1, step + 1)
                 most = alpha[recent].max(axis=1)
                 most[most == 0] = 1
                 alpha[recent] /= most[:, None]
                 scale[long] += np.log(most)
                 if nodes is not None:  # up to the last node that the next step for scaling may leave as it is
-                    ahead = np.minimum(np.arange(step - LONGEST + 1, step + SCALE_STEP + 1), self.length[long][:, None])
+                    ahead = np.minimum(np.arange(step - self.longest + 1, step + self.scale_step + 1), self.length[long][:, None])
                     nodes[self.base[long][:, None] + ahead] = scale[long][:, None]
         return alpha, scale if nodes is None else nodes
 
@@ -127,14 +136,19 @@ class Lattice:
         return np.column_stack([np.bincount(self.piece, use[:, k], len(p)) for k in range(p.shape[1])])
 
 
+def _words_at_once(languages: int) -> int:
+    """Words of one lattice, so that its values (a dozen nodes a word) stay bounded however many languages there are."""
+    return max(100, LATTICE_VALUES // (12 * max(languages, 1)))
+
+
 def fit(own: Pieces, counted: dict[str, np.ndarray], languages: int) -> np.ndarray:
     """Piece probabilities (pieces x languages) from counts of each word in each language."""
     listed = sorted(counted)
     p = np.full((len(own.sizes), languages), 1.0 / len(own.sizes))
     for _ in range(ROUNDS):
         uses = np.zeros_like(p)
-        for at in range(0, len(listed), 20_000):
-            some = listed[at : at + 20_000]
+        for at in range(0, len(listed), _words_at_once(languages)):
+            some = listed[at : at + _words_at_once(languages)]
             uses += Lattice(own, some).expected(p, np.stack([counted[w] for w in some]))
         uses += SMOOTHING
         p = uses / uses.sum(0)
@@ -149,16 +163,15 @@ def learns(doc_id: str = "doc_id") -> Column:
 def train(docs: DataFrame, path: str, sample_texts: int = SAMPLE_TEXTS) -> tuple[list[str], np.ndarray]:
     """(languages in order, piece probabilities) from ``docs(doc_id, text, lang)`` that may be learned from.
 
-    Only word counts of the sample, about ``sample_texts`` a language, come to the driver; languages are those labelled.
+    Only word counts of the sample, about ``sample_texts`` a language, come to the driver; languages are those labelled. The
+    model, pieces of the vocabulary times languages, is broadcast: 0.25 MB a language for 32,000 pieces.
     """
     usable = docs.where(learns()).where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
     sizes = {r.lang: r["count"] for r in usable.select("lang").groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return [], np.zeros((0, 0))
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, sample_texts / n)).otherwise(share)
+    share = F.try_element_at(F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample_texts / n))]), F.col("lang"))
     picked = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,18 +229,20 @@ class _Scorer:
     def __init__(self, path: str, languages: list[str], p: np.ndarray):
         self.own, self.languages, self.p = pieces(path), languages, p
         self.place: dict[str, int] = {}
-        self.scores = np.zeros((MEMO_WORDS, max(len(languages), 1)))
+        self.most = min(200_000, max(1000, MEMO_BYTES // (8 * max(len(languages), 1))))
+        self.scores = np.zeros((self.most, max(len(languages), 1)))
 
     def _learn(self, texts: list[list[str]]) -> None:
         new = list({w for t in texts for w in t} - self.place.keys())
-        if len(self.place) + len(new) > MEMO_WORDS:
+        if len(self.place) + len(new) > self.most:
             self.place.clear()
             new = list({w for t in texts for w in t})
             if len(new) > len(self.scores):
                 self.scores = np.zeros((len(new), len(self.languages)))
         first = len(self.place)
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
+        step = _words_at_once(len(self.languages))
+        for k in range(0, len(new), step):
+            some = new[k : k + step]
             self.scores[first + k : first + k + len(some)] = Lattice(self.own, some).scores(self.p)
         self.place.update(zip(new, range(first, first + len(new)), strict=True))
 

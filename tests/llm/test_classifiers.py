@@ -80,6 +80,24 @@ def test_language_held_out_accuracy(spark, sf_dir):
     assert (got[got.held_out].lang_pred == got[got.held_out].lang).mean() > 0.97
 
 
+def test_many_languages_and_unspaced_scripts(spark):
+    rng = np.random.default_rng(9)
+    letters = [[chr(0x4E00 + 40 * k + j) for j in range(40)] for k in range(30)]
+    text = lambda k: "".join(rng.choice(letters[k], 60)) + "。" + "".join(rng.choice(letters[k], 60))
+    rows = [(4 * k + j, text(k), f"l{k:02d}", "") for k in range(30) for j in range(40, 60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    # none of these characters is a piece, so all languages look alike: the first one, with one chance in 30
+    languages, p = langid.train(docs, PATH)
+    scorer = langid._Scorer(PATH, languages, p)
+    assert len(languages) == 30 and scorer.scores.nbytes <= langid.MEMO_BYTES and langid._words_at_once(10**6) == 100
+    names, sure = scorer([text(3), "한국어"])
+    assert set(names) <= set(languages) and all(0 < s <= 1 for s in sure)
+    rows = [(k, "这是我们的中国人" * 9 if k % 2 else "これはのにをたがでて" * 9, "zh" if k % 2 else "ja", "") for k in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, PATH, *langid.train(docs, PATH)).collect()}
+    assert got == {k: lang for k, _, lang, _ in rows}
+
+
 def test_language_hard_rows(spark):
     rows = [(1, "the and of it is that " * 5, "en", "x"), (3, "le la les et une des que " * 5, "fr", "x"), (4, None, "en", "x"), (5, "", None, "x"), (6, "123 !! \n", "fr", "x"), (7, "THE and", None, "x"), (7, "THE and", None, "x"), (None, "les des", "fr", "x"), (8, "thereof" * 4000, None, "x"), (9, "漢字", None, "x")]
     docs = spark.createDataFrame(rows, DOCS)
