@@ -23,18 +23,24 @@ def _level_bin(start: Column, end: Column) -> tuple[Column, Column]:
     return level, place
 
 
-def overlap_join(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end"), how: str = "inner") -> DataFrame:
+def levels_of(right: DataFrame, start: str = "start", end: str = "end") -> tuple[int, ...]:
+    """The levels that occur in a stored table of intervals: its left rows need to look at no others. One job, eight numbers at most."""
+    level, _ = _level_bin(F.col(start).cast("long"), F.col(end).cast("long"))
+    return tuple(sorted(r.l for r in right.where(F.col(start) <= F.col(end)).select(level.alias("l")).distinct().collect()))
+
+
+def overlap_join(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end"), how: str = "inner", levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """Pairs with equal chromosome and ``left.start <= right.end`` and ``right.start <= left.end``.
 
     Column names of the sides must differ, but for the chromosome if both call it the same; it then comes from the
     left. Nulls and intervals with end < start overlap nothing. ``how``: ``inner``, ``left_semi``. Starts are not negative.
+    ``levels``: those that occur on the right, if known.
     """
     lc, ls, le = left_on
     rc, rs, re_ = right_on
-    levels = F.array(*[F.lit(b) for b in LEVELS])
     level, place = _level_bin(F.col(rs).cast("long"), F.col(re_).cast("long"))
     held = right.where(F.col(rs) <= F.col(re_)).withColumn("_level", level).withColumn("_bin", place).withColumnRenamed(rc, "_chrom")
-    looked = left.where(F.col(ls) <= F.col(le)).withColumn("_level", F.explode(levels))
+    looked = left.where(F.col(ls) <= F.col(le)).withColumn("_level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
     shift = lambda c: F.expr(f"shiftright(cast({c} as bigint), _level)")
     looked = looked.withColumn("_bin", F.explode(F.sequence(shift(f"`{ls}`"), shift(f"`{le}`"))))
     on = (looked["_level"] == held["_level"]) & (looked["_bin"] == held["_bin"]) & (looked[lc] == held["_chrom"]) & (F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le))
@@ -42,7 +48,7 @@ def overlap_join(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "
     return out if how == "left_semi" else out.drop(held["_level"]).drop(held["_bin"]).drop("_chrom")
 
 
-def overlaps_or_none(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end")) -> DataFrame:
+def overlaps_or_none(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end"), levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """The pairs of ``overlap_join``, and one row with nulls from the right and a null ``hit`` for every left row.
 
     An aggregate by the left's key then sees every left row in one pass, without a second join for those that overlap nothing.
@@ -51,7 +57,7 @@ def overlaps_or_none(left: DataFrame, right: DataFrame, left_on=("chrom", "start
     rc, rs, re_ = right_on
     level, place = _level_bin(F.col(rs).cast("long"), F.col(re_).cast("long"))
     held = right.where(F.col(rs) <= F.col(re_)).withColumn("_held", level).withColumn("_place", place).withColumnRenamed(rc, "_chrom").withColumn("hit", F.lit(True))
-    every, none = F.array(*[F.lit(b) for b in (*LEVELS, NO_LEVEL)]), F.array(F.lit(NO_LEVEL))
+    every, none = F.array(*[F.lit(b) for b in (*levels, NO_LEVEL)]), F.array(F.lit(NO_LEVEL))
     looked = left.withColumn("_level", F.explode(F.when(F.col(ls) <= F.col(le), every).otherwise(none)))
     shift = lambda c: F.expr(f"shiftright(cast(`{c}` as bigint), _level)")
     bins = F.when(F.col("_level") == NO_LEVEL, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(shift(ls), shift(le)))
@@ -60,47 +66,100 @@ def overlaps_or_none(left: DataFrame, right: DataFrame, left_on=("chrom", "start
     return looked.join(held, on, "left").where(F.col("hit") | (F.col("_level") == NO_LEVEL)).drop("_level", "_bin", "_held", "_place", "_chrom")
 
 
-def overlaps_any(left: DataFrame, right: DataFrame, key: list[str], name: str, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end")) -> DataFrame:
+def overlaps_any(left: DataFrame, right: DataFrame, key: list[str], name: str, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end"), levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """Distinct ``key`` of the left rows and whether any right interval overlaps one."""
-    met = overlaps_or_none(left, right.select(*[F.col(c).alias(f"_{c}") for c in right_on]), left_on, tuple(f"_{c}" for c in right_on))
+    met = overlaps_or_none(left, right.select(*[F.col(c).alias(f"_{c}") for c in right_on]), left_on, tuple(f"_{c}" for c in right_on), levels)
     return met.groupBy(*key).agg(F.coalesce(F.bool_or("hit"), F.lit(False)).alias(name))
 
 
-def first_overlap(left: DataFrame, right: DataFrame, key: list[str], payload: list[str], order: list[str], left_on, right_on) -> DataFrame:
+def first_overlap(left: DataFrame, right: DataFrame, key: list[str], payload: list[str], order: list[str], left_on, right_on, levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """For each distinct left ``key`` the payload of the overlapping right interval that comes first in ``order``; null if none."""
-    met = overlaps_or_none(left, right, left_on, right_on)
+    met = overlaps_or_none(left, right, left_on, right_on, levels)
     best = F.min(F.when(F.col("hit"), F.struct(*order, *[c for c in payload if c not in order])))
     return met.groupBy(*key).agg(best.alias("_best")).select(*key, *[F.col("_best")[c].alias(c) for c in payload])
 
 
-def nearest(points: DataFrame, intervals: DataFrame, k: int = 5, slice_: int = 1 << 20) -> DataFrame:
+#: Ends of intervals in a slice of a chromosome, about, and a place beyond every chromosome.
+SLICE_ENDS, BEYOND = 8, 1 << 60
+
+
+def _slices(ends: DataFrame) -> DataFrame:
+    """``chrom, low, high, reach``: slices of whole chromosomes, cut at every SLICE_ENDS-th of ``ends(chrom, at)``; ``reach`` is the
+    last of a slice's places that any end can have."""
+    turn = F.row_number().over(Window.partitionBy("chrom").orderBy("at"))
+    cuts = ends.withColumn("turn", turn).where(f"turn % {SLICE_ENDS} = 0 AND at > 0").select("chrom", F.col("at").alias("low"))
+    whole = ends.groupBy("chrom").agg(F.max("at").alias("last"))
+    lows = cuts.unionByName(whole.select("chrom", F.lit(0).cast("long").alias("low"))).distinct().join(whole, "chrom")
+    after = F.lead("low").over(Window.partitionBy("chrom").orderBy("low"))
+    return lows.withColumn("high", F.coalesce(after - 1, F.lit(BEYOND))).withColumn("reach", F.least("high", "last")).drop("last")
+
+
+def candidates(intervals: DataFrame, k: int) -> DataFrame:
+    """``chrom, low, high, listed``: for each slice all of ``intervals(chrom, start, end, id)`` that can be among the ``k`` nearest of
+    a point in it: those that start or end in it, ``k`` that hold it whole, and the ``k`` next on both sides.
+
+    Slices are cut by ranks of ends, so a list has about SLICE_ENDS + 3 k members however dense the intervals lie. Only
+    the intervals of a chromosome are sorted together, never points.
+    """
+    held = intervals.where("chrom IS NOT NULL AND start <= end").select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "id")
+    ends = held.select("chrom", F.explode(F.array("start", "end")).alias("at"))
+    slices = _slices(ends)
+    row = F.struct("start", "end", "id")
+    # the last k ends up to each end, the first k starts from each start; ties by id
+    sides = []
+    for side, at, order in (("before", "end", [F.col("end"), F.col("id").desc()]), ("after", "start", [F.col("start").desc(), F.col("id").desc()])):
+        near = Window.partitionBy("chrom").orderBy(*order).rowsBetween(1 - k, 0)
+        lists = held.select("chrom", F.col(at).alias("at"), F.lit(1).alias("kind"), F.col("id"), F.collect_list(row).over(near).alias("some"))
+        marks = slices.select("chrom", F.col("low" if side == "before" else "high").alias("at"), F.lit(0).alias("kind"), F.lit(None).cast(held.schema["id"].dataType).alias("id"), F.lit(None).cast(lists.schema["some"].dataType).alias("some"), "low")
+        both = lists.withColumn("low", F.lit(None).cast("long")).unionByName(marks)
+        way = F.col("at") if side == "before" else F.col("at").desc()
+        # a mark stands before the ends at its own place; among equal ends the one with the longest list, that of the least id, is last
+        upto = Window.partitionBy("chrom").orderBy(way, "kind", F.col("id").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        sides.append(both.withColumn("some", F.last("some", ignorenulls=True).over(upto)).where("kind = 0").select("chrom", "low", F.explode("some").alias("r")))
+    whole = overlap_join(slices.select("chrom", "low", "high", "reach"), held, ("chrom", "low", "reach"))
+    inside = whole.where("start >= low OR end <= high").select("chrom", "low", row.alias("r"))
+    turn = F.row_number().over(Window.partitionBy("chrom", "low").orderBy("id", "start", "end"))
+    around = whole.where("start < low AND end > high").withColumn("turn", turn).where(F.col("turn") <= k).select("chrom", "low", row.alias("r"))
+    rows = inside.unionByName(around).unionByName(sides[0]).unionByName(sides[1])
+    return slices.drop("reach").join(rows.groupBy("chrom", "low").agg(F.collect_list("r").alias("listed")), ["chrom", "low"])
+
+
+def nearest(points: DataFrame, intervals: DataFrame, k: int = 5) -> DataFrame:
     """``chrom, pos, rank, id, distance``: the ``k`` nearest ``intervals(chrom, start, end, id)`` of each distinct point
     ``(chrom, pos)``, ties by id; fewer if the chromosome has fewer.
 
-    ``distance`` is 0 inside, else that to the nearer end, positive when the point lies after the start. Points
-    never meet all intervals: each slice of a chromosome that has points gets a list of candidates, all that reach into it
-    and the ``k`` next on both sides, and points meet only their slice's list.
+    ``distance`` is 0 inside, else that to the nearer end, positive when the point lies after the start. Each point
+    meets one row, its slice's list of candidates, and takes its nearest from that list: no pairs are made, sorted or shuffled.
+    Places are not negative; rows with nulls are near nothing.
     """
-    at = points.select("chrom", "pos").where("chrom IS NOT NULL AND pos IS NOT NULL").distinct().withColumn("slice", F.floor(F.col("pos") / slice_))
-    slices = at.select("chrom", "slice").distinct().withColumn("low", F.col("slice") * slice_).withColumn("high", F.col("slice") * slice_ + (slice_ - 1))
-    meets = slices.join(intervals.select("chrom", "start", "end", "id"), "chrom")
-    side = F.when(F.col("end") < F.col("low"), "before").when(F.col("start") > F.col("high"), "after").otherwise("in")
-    gap = F.when(F.col("end") < F.col("low"), F.col("low") - F.col("end")).when(F.col("start") > F.col("high"), F.col("start") - F.col("high")).otherwise(0)
-    turn = F.row_number().over(Window.partitionBy("chrom", "slice", "side").orderBy("gap", "id"))
-    listed = meets.withColumn("side", side).withColumn("gap", gap).withColumn("turn", turn).where((F.col("side") == "in") | (F.col("turn") <= k))
-    pairs = at.join(listed.select("chrom", "slice", "start", "end", "id"), ["chrom", "slice"])
-    distance = F.when(F.col("pos").between(F.col("start"), F.col("end")), 0).otherwise(F.least(F.abs(F.col("pos") - F.col("start")), F.abs(F.col("pos") - F.col("end"))))
-    rank = F.row_number().over(Window.partitionBy("chrom", "pos").orderBy("distance", "id"))
-    ranked = pairs.withColumn("distance", distance).withColumn("rank", rank).where(F.col("rank") <= k)
-    return ranked.select("chrom", "pos", "rank", "id", (F.col("distance") * F.signum((F.col("pos") - F.col("start")).cast("double")).cast("long")).alias("distance"))
-
-
-def per_base(regions: DataFrame, track: DataFrame) -> DataFrame:
-    """``id, values``: for ``regions(id, chrom, start, end)`` the value of every base in order, null where the track has none.
-
-    ``track(chrom, pos, value)`` has a row per base at most.
+    at = points.select("chrom", F.col("pos").cast("long").alias("pos")).where("chrom IS NOT NULL AND pos IS NOT NULL").distinct()
+    listed = candidates(intervals, k).withColumnRenamed("chrom", "_in")
+    met = overlap_join(at, listed, ("chrom", "pos", "pos"), ("_in", "low", "high"))
+    pos = F.col("pos")
+    away = lambda c: F.when(pos.between(c["start"], c["end"]), F.lit(0).cast("long")).otherwise(F.least(F.abs(pos - c["start"]), F.abs(pos - c["end"])))
+    near = F.slice(F.array_sort(F.transform("listed", lambda c: F.struct(away(c).alias("distance"), c["id"].alias("id"), c["start"].alias("start")))), 1, k)
+    ranked = met.select("chrom", "pos", F.posexplode(near).alias("rank", "r"))
+    return ranked.select("chrom", "pos", (F.col("rank") + 1).alias("rank"), F.col("r.id").alias("id"), (F.col("r.distance") * F.signum((pos - F.col("r.start")).cast("double")).cast("long")).alias("distance"))
+
+
+def per_base(regions: DataFrame, track: DataFrame, values=("value",)) -> DataFrame:
+    """``id`` and, for each column of ``values``, an array: for ``regions(id, chrom, start, end)`` the value of every base in order, null
+    where the track has none.
+
+    ``track(chrom, pos, ...)`` has a row per base at most; several tracks are several columns of ``values``, named as given
+    (``values`` for a single one). Bases without a value are never rows: they are filled in between those that have one.
     """
-    bases = regions.where("start <= end").select("id", "chrom", F.explode(F.sequence("start", "end")).alias("pos"))
-    met = bases.join(track.select("chrom", "pos", "value"), ["chrom", "pos"], "left")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "value")))
-    return met.groupBy("id").agg(ordered.alias("_rows")).select("id", F.transform("_rows", lambda r: r["value"]).alias("values"))
+    spans = regions.where("start <= end").select("id", "chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    held = track.select("chrom", F.col("pos").cast("long").alias("pos"), *values).withColumn("_to", F.col("pos"))
+    met = overlaps_or_none(spans, held, ("chrom", "start", "end"), ("chrom", "pos", "_to"), LEVELS[:1])
+    rows = F.array_sort(F.collect_list(F.when(F.col("hit"), F.struct("pos", *values))))
+    grouped = met.groupBy("id", "start", "end").agg(rows.alias("_rows"))
+
+    def dense(name: str) -> Column:
+        none = F.lit(None).cast(track.schema[name].dataType)
+        gap = lambda n: F.array_repeat(none, F.greatest(n, F.lit(0)).cast("int"))
+        last = lambda i: F.coalesce(F.get("_rows", i)["pos"], F.col("start") - 1)
+        filled = F.flatten(F.transform("_rows", lambda r, i: F.concat(gap(r["pos"] - last(i - 1) - 1), F.array(r[name]))))
+        return F.concat(filled, gap(F.col("end") - last(F.size("_rows") - 1)))
+
+    return grouped.select("id", *[dense(name).alias("values" if len(values) == 1 else name) for name in values])

@@ -120,7 +120,7 @@ def in_peak(v):
 @query
 def nearest_genes(v):
     genes = v.genes.select("chrom", "start", "end", F.col("gene_id").alias("id"))
-    out = intervals.nearest(v.variants, genes, 5, 1 << 14)
+    out = intervals.nearest(v.variants, genes, 5)
     near = F.expr("min(abs(distance)) OVER (PARTITION BY chrom, pos)") <= 100_000
     return out.select("chrom", "pos", "rank", F.col("id").alias("gene_id"), F.col("distance").alias("signed_distance"), near.alias("within_100kb"))
 

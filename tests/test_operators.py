@@ -97,7 +97,7 @@ def test_nearest_is_brute_force(spark):
     genes = [("c%d" % (k % 2), a := rng.randrange(1, 40_000), a + rng.randrange(300), f"G{k:03d}") for k in range(60)] + [("c9", 5, 9, "G9")]
     points = [("c%d" % rng.randrange(2), rng.randrange(1, 42_000)) for _ in range(200)] + [("c9", 7), ("c9", 2), ("none", 3)]
     got = {}
-    for r in intervals.nearest(spark.createDataFrame(points, "chrom string, pos long"), spark.createDataFrame(genes, "chrom string, start long, end long, id string"), 5, 1 << 10).collect():
+    for r in intervals.nearest(spark.createDataFrame(points, "chrom string, pos long"), spark.createDataFrame(genes, "chrom string, start long, end long, id string"), 5).collect():
         got.setdefault((r.chrom, r.pos), []).append((r["rank"], r.id, r.distance))
     for c, p in set(points):
         ranked = sorted((0 if s <= p <= e else min(abs(p - s), abs(p - e)), i, s) for g, s, e, i in genes if g == c)[:5]
