@@ -1,4 +1,4 @@
-"""Command line: ``python -m genoframe.cli preprocess|annotate|lookup|summarize|export|regions ...``"""
+"""Command line: ``python -m genoframe.cli preprocess|annotate|lookup|summarize|export|score|predict|regions|genes|elements|missense|frequencies ...``"""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.operators import regions
+from genoframe.plans import jobs as model_jobs
 from genoframe.plans import pipelines
 from genoframe.sources import readers, sinks
 
@@ -39,9 +40,21 @@ def _arguments() -> argparse.ArgumentParser:
         exp.add_argument(name)
     exp.add_argument("--prefix", default="GF1")
     exp.add_argument("--no-model-scores", action="store_true")
-    table = jobs.add_parser("regions", help="build the region table from exon and gene tables (Parquet)")
-    for name in ("exons", "genes", "out"):
-        table.add_argument(name)
+    run = jobs.add_parser("score", help="score variants with a model, module:function, that loads it; goes on where it stopped")
+    for name in ("variants", "fasta", "distribution", "model", "out"):
+        run.add_argument(name)
+    run.add_argument("--peaks")
+    run.add_argument("--width", type=int, default=2114)
+    run.add_argument("--buckets", type=int, default=model_jobs.BUCKETS)
+    run = jobs.add_parser("predict", help="predictions of several folds' models, as -m NAME=module:function, repeated")
+    for name in ("variants", "fasta", "out"):
+        run.add_argument(name)
+    run.add_argument("-m", "--model", action="append", required=True)
+    run.add_argument("--width", type=int, default=2114)
+    for name, about in (("regions", "build the region table of a gene model (GFF3)"), ("genes", "build the gene table of a gene model (GFF3)"), ("elements", "build the table of regulatory elements"), ("missense", "build the score table, partitioned by chromosome"), ("frequencies", "build the frequency table from variant files (Parquet)")):
+        table = jobs.add_parser(name, help=about)
+        table.add_argument("source")
+        table.add_argument("out")
     return top
 
 
@@ -66,8 +79,24 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif a.job == "export":
         models = json.loads(_whole(spark, a.models))
         pipelines.export_vcf(spark, a.vcf, a.buckets, models["models"] if isinstance(models, dict) else models, sinks.read_manifest(spark, a.manifest), a.out, a.prefix, not a.no_model_scores)
+    elif a.job == "score":
+        # one row of a thousand numbers and, if asked for, peaks
+        name = model_jobs.mark(files=model_jobs.files_mark(spark, a.variants, a.fasta, a.distribution, *([a.peaks] if a.peaks else [])), model=a.model, width=a.width)
+        peaks = readers.read_peaks(spark, a.peaks).withColumnRenamed("chr", "chrom") if a.peaks else None
+        model_jobs.score_variants(readers.read_variants(spark, a.variants), readers.read_fasta_chunks(spark, a.fasta), model_jobs.loader(a.model), spark.read.parquet(a.distribution), a.out, name, peaks, a.width, buckets=a.buckets)
+    elif a.job == "predict":
+        models = dict(m.split("=", 1) for m in a.model)
+        name = model_jobs.mark(files=model_jobs.files_mark(spark, a.variants, a.fasta), models=models, width=a.width)
+        model_jobs.predict_folds(readers.read_variants(spark, a.variants), readers.read_fasta_chunks(spark, a.fasta), {k: model_jobs.loader(m) for k, m in models.items()}, a.out, name, a.width)
+    elif a.job == "missense":
+        sinks.write_hive(readers.read_missense(spark, a.source), a.out)
+    elif a.job == "frequencies":
+        pipelines.frequency_table(spark.read.parquet(a.source)).write.mode("overwrite").parquet(a.out)
+    elif a.job == "elements":
+        readers.read_ccre(spark, a.source).write.mode("overwrite").parquet(a.out)
     else:
-        regions.region_table(spark.read.parquet(a.exons), spark.read.parquet(a.genes)).write.mode("overwrite").parquet(a.out)
+        gff = readers.read_gff(spark, a.source)
+        (regions.regions_of(gff) if a.job == "regions" else regions.genes_of(gff)).write.mode("overwrite").parquet(a.out)
 
 
 if __name__ == "__main__":

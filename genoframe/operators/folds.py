@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from genoframe.operators.ordinal import quantile_slice
+
 
 def mean_of_all(value: Column, n: int) -> Column:
     """Mean, null unless all ``n`` folds have a value that is a number."""
@@ -56,17 +58,16 @@ def array_mean(df: DataFrame, keys: list[str], values: str) -> DataFrame:
     return df.select(*keys, F.posexplode(values).alias("bin", "_v")).groupBy(*keys, "bin").agg(F.avg(F.col("_v").cast("double")).alias("mean"))
 
 
-def distribution(df: DataFrame, value: str, points: int = 1000, slices: int = 4096) -> DataFrame:
+def distribution(df: DataFrame, value: str, points: int = 1000) -> DataFrame:
     """``i, value``: the values at ``i * n div points`` of the sorted column; needs ``points`` rows at least.
 
-    Values are numbered within slices of their range, so they are not sorted in one task.
+    Values are numbered within slices between their quantiles, so they are not sorted in one task.
     """
     clean = df.select(F.col(value).cast("double").alias("value")).where("value IS NOT NULL AND NOT isnan(value)")
-    low, high, n = clean.agg(F.min("value"), F.max("value"), F.count(F.lit(1))).first()
+    n = clean.count()
     if n < points:
         raise ValueError(f"a distribution of {points} points needs as many values; there are {n}")
-    width = (high - low) / slices or 1.0
-    sliced = clean.withColumn("slice", F.floor((F.col("value") - low) / width))
+    sliced = clean.withColumn("slice", quantile_slice(clean, "value"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sliced.groupBy("slice").count().select("slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     placed = sliced.withColumn("k", F.row_number().over(Window.partitionBy("slice").orderBy("value"))).join(F.broadcast(offsets), "slice").withColumn("at", F.col("offset") + F.col("k") - 1)

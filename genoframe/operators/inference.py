@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from genoframe.functions import sequence
+from genoframe.operators.contigs import with_text
 
 
 def with_windows(variants: DataFrame, contigs: DataFrame, width: int) -> DataFrame:
-    """Adds ``ref_seq, alt_seq`` windows, and ``window_error`` for variants that have none."""
-    joined = variants.join(contigs.select(F.col("contig").alias("chrom"), F.col("seq").alias("_seq")), "chrom", "left")
-    args = [F.col(c) for c in ("_seq", "pos", "ref", "alt")]
+    """Adds ``ref_seq, alt_seq`` windows, and ``window_error`` for variants that have none; ``contigs`` are whole or chunked."""
+    place = F.col("pos") - 1
+    joined = with_text(variants, contigs, "chrom", place - width // 2, place + F.length("ref") + width)
+    args = [F.col("_seq"), F.col("pos") - F.col("_offset"), F.col("ref"), F.col("alt")]
     error = F.when(F.col("_seq").isNull(), "INVALID_CHROMOSOME").otherwise(sequence.allele_window_error(*args))
     ref, alt = sequence.allele_windows(*args, width)
     out = joined.withColumn("window_error", error).withColumn("ref_seq", F.when(F.col("window_error").isNull(), ref)).withColumn("alt_seq", F.when(F.col("window_error").isNull(), alt))
-    return out.drop("_seq")
+    return out.drop("_seq", "_offset")
 
 
 def predict(windows: DataFrame, load: Callable[[], Callable[[pd.Series], tuple]], batch: int = 256) -> DataFrame:
@@ -41,3 +45,64 @@ def predict(windows: DataFrame, load: Callable[[], Callable[[pd.Series], tuple]]
                 yield part
 
     return windows.where("window_error IS NULL").mapInPandas(run, schema)
+
+
+def dinucleotide_shuffle(seq: str, rng: np.random.Generator) -> str:
+    """A random text with the same first and last letter and the same count of each pair of letters.
+
+    Letters are the nodes of a graph and pairs its edges. For each letter but the last one a random last edge is drawn until these
+    lead to the last letter from everywhere; the other edges are put in random order, and the walk that uses them up is the text.
+    """
+    if len(seq) < 3:
+        return seq
+    follow: dict[str, list[str]] = {}
+    for a, b in zip(seq, seq[1:]):
+        follow.setdefault(a, []).append(b)
+    goal = seq[-1]
+    while True:
+        final = {a: bs[rng.integers(len(bs))] for a, bs in follow.items() if a != goal}
+        if all(_leads(a, goal, final) for a in final):
+            break
+    queue = {}
+    for a, bs in follow.items():
+        rest = list(bs)
+        if a in final:
+            rest.remove(final[a])
+        rest = [rest[k] for k in rng.permutation(len(rest))]
+        queue[a] = iter([*rest, final[a]] if a in final else rest)
+    out = [seq[0]]
+    for _ in range(len(seq) - 1):
+        out.append(next(queue[out[-1]]))
+    return "".join(out)
+
+
+def _leads(a: str, goal: str, final: dict[str, str]) -> bool:
+    for _ in range(len(final) + 1):
+        if a == goal:
+            return True
+        a = final.get(a, goal)
+    return a == goal
+
+
+def attribute(windows: DataFrame, load: Callable[[], Callable[[str, list[str]], list[float]]], shuffles: int = 20, seed: int = 0) -> DataFrame:
+    """Adds ``ref_attributions, alt_attributions``: a number for each letter of the windows.
+
+    ``load`` runs once in each task and returns a function of a sequence and its ``shuffles`` backgrounds, shuffled so that they
+    keep its pairs of letters. Backgrounds depend on the sequence and ``seed`` only, so reruns agree.
+    """
+    schema = T.StructType([*windows.schema.fields, *[T.StructField(f"{side}_attributions", T.ArrayType(T.DoubleType())) for side in ("ref", "alt")]])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        explain = load()
+
+        def one(seq: str) -> list[float]:
+            rng = np.random.default_rng([seed, zlib.crc32(seq.encode())])
+            return [float(x) for x in explain(seq, [dinucleotide_shuffle(seq, rng) for _ in range(shuffles)])]
+
+        for frame in frames:
+            out = frame.copy()
+            for side in ("ref", "alt"):
+                out[f"{side}_attributions"] = [one(s) for s in frame[f"{side}_seq"]]
+            yield out
+
+    return windows.where("window_error IS NULL").mapInPandas(run, schema)

@@ -117,15 +117,24 @@ def promoters(genes: DataFrame) -> DataFrame:
     return genes.withColumn("_end", tss + F.when(plus, DOWNSTREAM).otherwise(UPSTREAM)).withColumn("start", start).withColumn("end", F.col("_end")).drop("_end")
 
 
-def region_table(exons: DataFrame, genes: DataFrame) -> DataFrame:
-    """``feature, chrom, start, end`` of exons and all that is derived; null or empty fragments are dropped."""
+#: Columns of a region table that come with its exons and genes, if they have them.
+OWN = ("strand", "gene_id", "gene_name", "biotype")
+
+
+def region_table(exons: DataFrame, genes: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """``feature, chrom, start, end`` of exons, of ``parts`` (coding and untranslated ones, with their ``feature``) and of all that
+    is derived; and ``strand, gene_id, gene_name, biotype`` if both tables have them. Null or empty fragments are dropped."""
     gaps = introns(exons)
-    pick = lambda df, feature: df.select(feature.alias("feature"), "chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
-    parts = [pick(exons, F.lit("exon")), pick(gaps, F.lit("intron")), pick(splice_sites(gaps), F.col("kind")), pick(splice_regions(gaps), F.lit("splice_region")), pick(promoters(genes), F.lit("promoter"))]
-    out = parts[0]
-    for part in parts[1:]:
+    own = [c for c in OWN if c in exons.columns and c in genes.columns]
+    own = own if len(own) == len(OWN) else []
+    pick = lambda df, feature: df.select(feature.alias("feature"), "chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), *own)
+    rows = [pick(exons, F.lit("exon")), pick(gaps, F.lit("intron")), pick(splice_sites(gaps), F.col("kind")), pick(splice_regions(gaps), F.lit("splice_region")), pick(promoters(genes), F.lit("promoter"))]
+    if parts is not None:
+        rows.append(pick(parts, F.col("feature")))
+    out = rows[0]
+    for part in rows[1:]:
         out = out.unionByName(part)
-    return out.where("start IS NOT NULL AND end IS NOT NULL AND end >= start")
+    return out.where("chrom IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL AND end >= start")
 
 
 def attribute(attributes: Column, key: str) -> Column:
@@ -138,8 +147,37 @@ def after_colon(value: Column) -> Column:
 
 
 def transcripts_of(gff: DataFrame) -> DataFrame:
-    """``tx, gene_id, biotype, name`` of the transcripts in ``gff(feature, attributes)``: biotype and name are the gene's."""
+    """``tx, gene_id, biotype, name`` of the transcripts in ``gff(feature, attributes)``: biotype and name are the gene's, and a gene
+    without a name is called by its id."""
     named = gff.select("feature", *[attribute(F.col("attributes"), k).alias(k) for k in ("ID", "Parent", "biotype", "Name")])
-    genes = named.where(F.col("feature").endswith("gene")).select(after_colon(F.col("ID")).alias("gene_id"), "biotype", F.col("Name").alias("name"))
+    genes = named.where(F.col("feature").endswith("gene")).select(after_colon(F.col("ID")).alias("gene_id"), "biotype", F.coalesce("Name", after_colon(F.col("ID"))).alias("name"))
     tx = named.where(F.col("ID").startswith("transcript:")).select(after_colon(F.col("ID")).alias("tx"), after_colon(F.col("Parent")).alias("gene_id"))
     return tx.join(genes, "gene_id", "left").select("tx", "gene_id", "biotype", "name")
+
+
+#: Features of a transcript in GFF3, and their names in the region table.
+PARTS = {"exon": "exon", "CDS": "cds", "five_prime_UTR": "five_prime_utr", "three_prime_UTR": "three_prime_utr"}
+
+
+def genes_of(gff: DataFrame) -> DataFrame:
+    """``gene_id, gene_name, biotype, chrom, start, end, strand`` of the genes in ``gff(chrom, start, end, strand, feature, attributes)``."""
+    own = {k: attribute(F.col("attributes"), k) for k in ("ID", "biotype", "Name")}
+    rows = gff.where(F.col("feature").endswith("gene")).select(after_colon(own["ID"]).alias("gene_id"), own["Name"].alias("_name"), own["biotype"].alias("biotype"), "chrom", "start", "end", "strand")
+    return rows.select("gene_id", F.coalesce("_name", "gene_id").alias("gene_name"), "biotype", "chrom", "start", "end", "strand")
+
+
+def parts_of(gff: DataFrame) -> DataFrame:
+    """``tx, feature`` (as in the region table), place, strand and gene of the exons, coding and untranslated parts of transcripts that
+    the same ``gff`` has. A gene that it lacks leaves name and biotype null."""
+    rows = gff.where(F.col("feature").isin(*PARTS)).select(after_colon(attribute(F.col("attributes"), "Parent")).alias("tx"), F.col("feature").alias("_part"), "chrom", "start", "end", "strand")
+    names = F.create_map(*[F.lit(x) for pair in PARTS.items() for x in pair])
+    tx = transcripts_of(gff).select("tx", "gene_id", F.col("name").alias("gene_name"), "biotype")
+    return rows.join(tx, "tx").withColumn("feature", names[F.col("_part")]).drop("_part")
+
+
+def regions_of(gff: DataFrame) -> DataFrame:
+    """The region table of a gene model, as ``annotate`` and the preprocessing job read it: ``chrom, start, end, strand, feature,
+    gene_id, gene_name, biotype``."""
+    parts = parts_of(gff)
+    table = region_table(parts.where("feature = 'exon'").drop("feature"), genes_of(gff), parts.where("feature <> 'exon'"))
+    return table.select("chrom", "start", "end", "strand", "feature", "gene_id", "gene_name", "biotype")

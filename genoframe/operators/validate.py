@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.functions import alleles, sequence
+from genoframe.operators.contigs import with_text
 
 CHROMOSOME = r"^chr([1-9]|1[0-9]|2[0-2]|X|Y)$"
 
@@ -30,19 +31,22 @@ def error_code(chrom: Column, pos: Column, ref: Column, alt: Column, seq: Column
 
 
 def validate(variants: DataFrame, contigs: DataFrame, width: int = 2114, key: str = "chrom") -> DataFrame:
-    """Adds ``error_code, status`` to ``variants(chrom, pos, ref, alt)``; ``contigs(contig, seq)`` is joined by ``key``.
+    """Adds ``error_code, status`` to ``variants(chrom, pos, ref, alt)``; ``contigs``, whole or chunked, are joined by ``key``.
+
+    A variant meets the chunk of its contig that holds its window, not the contig.
 
     A mismatch of the reference has a status of its own; other errors fail; what is already unsupported stays as it is.
     """
     named = variants.withColumn("chrom", alleles.with_chr(F.col("chrom")))
-    joined = named.join(contigs.select(F.col("contig").alias("_contig"), F.col("seq").alias("_seq")), named[key] == F.col("_contig"), "left")
-    code = error_code(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt"), F.col("_seq"), width)
+    place = F.col("pos") - 1
+    joined = with_text(named, contigs, key, place - width // 2, place + F.length("ref") + width)
+    code = error_code(F.col("chrom"), F.col("pos") - F.col("_offset"), F.col("ref"), F.col("alt"), F.col("_seq"), width)
     if "error_code" in variants.columns:
         code = F.coalesce(F.col("error_code"), code)
         done = F.col("status") == alleles.UNSUPPORTED
     else:
         done = F.lit(False)
-    out = joined.withColumn("error_code", code).drop("_contig", "_seq")
+    out = joined.withColumn("error_code", code).drop("_seq", "_offset")
     status = F.when(done, alleles.UNSUPPORTED).when(F.col("error_code").isNull(), alleles.PENDING).when(F.col("error_code") == "REF_MISMATCH", alleles.REF_MISMATCH).otherwise(alleles.FAILED)
     return out.withColumn("status", status)
 

@@ -34,8 +34,8 @@ _PARTS = {
     "prom": "SELECT gene_id, chrom, greatest(CASE WHEN strand = '+' THEN start_ - 500 ELSE end_ - 100 END, 1) AS start, CASE WHEN strand = '+' THEN start_ + 100 ELSE end_ + 500 END AS \"end\" FROM g",
     "whole": "SELECT * FROM (SELECT 'exon' AS feature, chrom, start_ AS start, end_ AS \"end\" FROM t UNION ALL SELECT 'intron', chrom, a, b FROM i UNION ALL SELECT kind, chrom, start, \"end\" FROM sites UNION ALL SELECT 'splice_region', chrom, start, \"end\" FROM zones UNION ALL SELECT 'promoter', chrom, start, \"end\" FROM prom) WHERE \"end\" >= start",
     "c": f"SELECT doc_id AS contig, {_SEQ} AS seq FROM documents",
-    "sv": "SELECT contig AS id, seq, CASE WHEN contig % 30 < 22 THEN 'chr' || (contig % 30 + 1) WHEN contig % 30 = 22 THEN 'chrX' WHEN contig % 30 = 23 THEN 'chrY' WHEN contig % 30 = 24 THEN 'chrM' ELSE 'chr' || contig % 30 END AS chrom, contig * 13 % 90 + 1 AS pos, CASE WHEN contig % 11 = 0 THEN 'GATTACA' ELSE substring(seq, contig * 13 % 90 + 1, 1 + contig % 3) END AS ref, CASE contig % 7 WHEN 0 THEN 'n' WHEN 1 THEN 'GATTACA' WHEN 2 THEN '' ELSE 'T' END AS alt FROM c",
-    "w": "SELECT *, substring(seq, pos - 20, 20) || alt || substring(seq, pos + length(ref), greatest(20 - length(alt), 0)) AS alt_seq FROM sv",
+    "sv": "SELECT contig AS id, seq, CASE WHEN contig % 30 < 22 THEN 'chr' || (contig % 30 + 1) WHEN contig % 30 = 22 THEN 'chrX' WHEN contig % 30 = 23 THEN 'chrY' WHEN contig % 30 = 24 THEN 'chrM' ELSE 'chr' || contig % 30 END AS chrom, contig * 7919 % greatest(length(seq), 1) + 1 AS pos, CASE WHEN contig % 11 = 0 THEN 'GATTACA' ELSE substring(seq, contig * 7919 % greatest(length(seq), 1) + 1, 1 + contig % 3) END AS ref, CASE contig % 7 WHEN 0 THEN 'n' WHEN 1 THEN 'GATTACA' WHEN 2 THEN '' ELSE 'T' END AS alt FROM c",
+    "w": "SELECT *, substring(seq, greatest(pos - 20, 1), least(pos - 1, 20)) || alt || substring(seq, pos + length(ref), greatest(20 - length(alt), 0)) AS alt_seq FROM sv",
     "valid": "SELECT id, CASE WHEN id % 17 = 0 OR NOT regexp_matches(chrom, '^chr([1-9]|1[0-9]|2[0-2]|X|Y)$') THEN 'INVALID_CHROMOSOME' WHEN regexp_matches(ref, '[^ACGT]') THEN 'INVALID_REFERENCE' WHEN regexp_matches(alt, '[^ACGT]') THEN 'INVALID_ALTERNATE' WHEN pos <= 20 OR substring(seq, pos, least(length(ref), 20)) <> ref THEN 'REF_MISMATCH' WHEN length(alt_seq) <> 40 THEN 'ALT_LENGTH_MISMATCH' WHEN substring(alt_seq, 21, length(alt)) <> alt THEN 'ALT_MISMATCH' END AS error_code FROM w",
     "e": "SELECT a.vec_id, a.label, list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)) AS x, list_transform(b.embedding, lambda x: CAST(x AS DOUBLE)) AS y FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
     "sums": "SELECT vec_id, x, y, list_sum(x) AS xs, list_sum(y) AS ys FROM e",
@@ -121,7 +121,23 @@ ORACLES = {
     "derive_promoters": _with("prom", 'SELECT gene_id, start, "end" FROM prom'),
     "region_table_union": _with("whole", "SELECT * FROM whole"),
     "feature_histogram": _with("whole", "SELECT feature, count(*) AS n FROM whole GROUP BY feature"),
-    "gff_lookup": "SELECT 'T' || o_orderkey AS tx, 'G' || o_custkey AS gene_id, c_mktsegment AS biotype, c_name AS name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 5 <> 0) ON c_custkey = o_custkey",
+    "gff_lookup": "SELECT 'T' || o_orderkey AS tx, 'G' || o_custkey AS gene_id, c_mktsegment AS biotype, CASE WHEN c_custkey % 7 = 0 THEN 'G' || c_custkey ELSE c_name END AS name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 5 <> 0) ON c_custkey = o_custkey",
+    "gff_regions": """
+WITH gene AS (SELECT c_custkey AS g, 'G' || c_custkey AS gene_id, CASE WHEN c_custkey % 7 = 0 THEN 'G' || c_custkey ELSE c_name END AS gene_name, CASE WHEN c_custkey % 2 = 0 THEN 'protein_coding' ELSE 'lncRNA' END AS biotype,
+  'chr' || (c_custkey % 22 + 1) AS chrom, c_custkey * 977 % 100000 + 1 AS a, c_custkey * 977 % 100000 + 5000 AS b, CASE WHEN c_custkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM customer WHERE c_custkey % 5 <> 0),
+part AS (SELECT l_orderkey AS tx, 'chr' || (l_orderkey % 22 + 1) AS chrom, l_partkey * 40 + l_linenumber AS a, l_partkey * 40 + l_linenumber + CAST(l_quantity AS BIGINT) AS b, CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
+  CASE l_linenumber % 5 WHEN 1 THEN 'cds' WHEN 3 THEN 'three_prime_utr' WHEN 4 THEN 'five_prime_utr' ELSE 'exon' END AS feature, 'G' || o_custkey AS gene_id, gene_name, biotype
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN gene ON g = o_custkey WHERE o_orderkey % 9 <> 0),
+gap AS (SELECT chrom, strand, gene_id, gene_name, biotype, b AS last, n AS next, b + 1 AS a, n - 1 AS b FROM (SELECT *, lead(a) OVER (PARTITION BY tx ORDER BY a, b) AS n FROM part WHERE feature = 'exon') WHERE n > b + 1),
+every AS (SELECT chrom, a AS "start", b AS "end", strand, feature, gene_id, gene_name, biotype FROM part
+  UNION ALL SELECT chrom, a, b, strand, 'intron', gene_id, gene_name, biotype FROM gap
+  UNION ALL SELECT chrom, a, least(a + 1, b), strand, CASE strand WHEN '+' THEN 'splice_donor' ELSE 'splice_acceptor' END, gene_id, gene_name, biotype FROM gap
+  UNION ALL SELECT chrom, greatest(b - 1, a), b, strand, CASE strand WHEN '+' THEN 'splice_acceptor' ELSE 'splice_donor' END, gene_id, gene_name, biotype FROM gap
+  UNION ALL SELECT chrom, last - 2, least(a + 7, b), strand, 'splice_region', gene_id, gene_name, biotype FROM gap
+  UNION ALL SELECT chrom, greatest(b - 7, a), next + 2, strand, 'splice_region', gene_id, gene_name, biotype FROM gap
+  UNION ALL SELECT chrom, greatest(CASE strand WHEN '+' THEN a - 500 ELSE b - 100 END, 1), CASE strand WHEN '+' THEN a + 100 ELSE b + 500 END, strand, 'promoter', gene_id, gene_name, biotype FROM gene)
+SELECT * FROM every WHERE "end" >= "start"
+""",
     "peaks_windows": _with("r", "SELECT variant, id, summit_pos, summit_pos - 1057 AS window_start, summit_pos + 1057 AS window_end FROM (SELECT 'summits' AS variant, rid AS id, start_ + rid % 50 AS summit_pos FROM r UNION ALL SELECT 'middles', rid, start_ + (end_ - start_) // 2 FROM r)"),
     "validate_variants": _with("valid", "SELECT id, error_code, CASE WHEN error_code IS NULL THEN 'PENDING' WHEN error_code = 'REF_MISMATCH' THEN 'REF_MISMATCH' ELSE 'FAILED' END AS status FROM valid"),
     "validation_summary": _with("valid", "SELECT CASE WHEN error_code IS NULL THEN 'PENDING' WHEN error_code = 'REF_MISMATCH' THEN 'REF_MISMATCH' ELSE 'FAILED' END AS status, error_code, count(*) AS n FROM valid GROUP BY ALL"),
@@ -129,7 +145,7 @@ ORACLES = {
         "sv",
         "SELECT id, rpad(left(repeat('N', CAST(greatest(33 - pos, 0) AS INTEGER)) || substring(n, greatest(pos - 32, 1), 64 - greatest(33 - pos, 0)), 64), 64, 'N') AS ref_seq, rpad(left(repeat('N', CAST(greatest(33 - pos, 0) AS INTEGER)) || substring(n, greatest(pos - 32, 1), pos - greatest(pos - 32, 1)) || alt2 || substring(n, pos + length(ref2), 64), 64), 64, 'N') AS alt_seq FROM (SELECT id, pos, regexp_replace(t, '[^ACGTN]', 'N', 'g') AS n, substring(t, pos, 2) AS ref2, CASE WHEN id % 3 = 0 THEN 'A' ELSE 'GATTACA' END AS alt2 FROM (SELECT *, translate(seq, 'acgtn', 'ACGTN') AS t FROM sv)) WHERE regexp_matches(ref2, '^[ACGTN]+$')",
     ),
-    "alt_window": _with("w", "SELECT id, alt_seq, CAST(length(alt_seq) AS INTEGER) AS length FROM w WHERE pos > 20"),
+    "alt_window": _with("w", "SELECT id, alt_seq, CAST(length(alt_seq) AS INTEGER) AS length FROM w"),
     "center_slice": _with("c", "SELECT 'sequence' AS kind, contig AS id, substring(seq, 76, 50) AS slice FROM c UNION ALL SELECT 'track', vec_id, array_to_string(list_transform(embedding[29:36], lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000) AS BIGINT)), ',') FROM embeddings"),
     "one_hot_counts": _with("c", "SELECT contig AS id, " + ", ".join(f"CAST(length(seq) - length(replace(seq, '{b}', '')) AS INTEGER) AS n_{b.lower()}" for b in "ACGT") + ", CAST(length(regexp_replace(seq, '[ACGT]', '', 'g')) AS INTEGER) AS n_other FROM c"),
     "peak_distribution": _with("dist", "SELECT i, value FROM dist"),

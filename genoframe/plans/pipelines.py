@@ -18,7 +18,7 @@ VERSION = "1"
 
 
 def annotate(variants: DataFrame, region_table: DataFrame, genes: DataFrame, elements: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """One row per variant row of ``variants(chr, pos, ref, alt, variant_id)`` with its 30 fields.
+    """One row per variant row of ``variants(chr, pos, ref, alt, variant_id)`` with its 29 fields.
 
     ``genes(chrom, start, end, gene_name, gene_id)``; ``elements(chrom, start, end, accession, grp)``;
     ``frequencies(chrom, pos, ref, alt, frequencies)``, a list of (population, frequency) by keys without prefix.
@@ -43,6 +43,14 @@ def annotate(variants: DataFrame, region_table: DataFrame, genes: DataFrame, ele
     )
 
 
+def frequency_table(source: DataFrame) -> DataFrame:
+    """``chrom, pos, ref, alt, frequencies`` from files of variants with ``chromosome, position, referenceAllele, alternateAllele,
+    alleleFrequencies(populationName, alleleFrequency)``: what the annotation job reads. Frequencies have three decimals, missing ones are 0."""
+    entry = lambda e: F.struct(e["populationName"].alias("population"), F.coalesce(F.bround(e["alleleFrequency"], 3), F.lit(0.0)).alias("frequency"))
+    named = F.filter("alleleFrequencies", lambda e: e["populationName"].isNotNull())
+    return source.select(F.col("chromosome").alias("chrom"), F.col("position").cast("long").alias("pos"), F.col("referenceAllele").alias("ref"), F.col("alternateAllele").alias("alt"), F.coalesce(F.transform(named, entry), F.array().cast("array<struct<population:string,frequency:double>>")).alias("frequencies"))
+
+
 def score(predictions: DataFrame, distribution: DataFrame, peaks: DataFrame | None = None) -> DataFrame:
     """Adds ``lfc, jsd, active_allele_quantile, ips`` to predictions, and ``in_peak`` if peaks are given.
 
@@ -103,7 +111,7 @@ def preprocess(spark: SparkSession, path: str, fasta: str, region_table: DataFra
     rows = readers.vcf_occurrences(spark, path, genome, target) if kind == "vcf" else readers.tsv_occurrences(spark, path, genome)
     digest = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("sha256"), "length").first()
     mark = hashlib.sha256(json.dumps([digest.sha256, VERSION, genome, width, target]).encode()).hexdigest()
-    checked = validate.validate(rows.drop("canonical_variant_id").withColumnRenamed("chr", "chrom"), readers.read_fasta(spark, fasta), width)
+    checked = validate.validate(rows.drop("canonical_variant_id").withColumnRenamed("chr", "chrom"), readers.read_fasta_chunks(spark, fasta), width)
     named = ingest.with_canonical_id(checked, name="canonical_variant_id").withColumnRenamed("chrom", "chr")
     sinks.write_once(named, f"{out}/occurrences", mark)
     done = spark.read.schema(named.schema).parquet(f"{out}/occurrences")

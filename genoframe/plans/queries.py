@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.functions import alleles, scoring, sequence, text
-from genoframe.operators import augment, family, folds, ingest, intervals, lookups, ordinal, prioritize, regions, validate
+from genoframe.operators import augment, family, folds, ingest, intervals, lookups, motifs, ordinal, prioritize, regions, validate
 from genoframe.plans.views import KEYS, MODELS, Views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,9 +136,9 @@ def range_fetch(v):
 def motif_hits(v):
     hits = v.regions.withColumn("size", ((F.col("end") - F.col("start")) / 20).cast("long")).where("size >= 10").select((F.col("rid") % 100).alias("row"), (1000 + F.col("rid") * 7 % 120).alias("start"), F.col("size"), F.col("feature").alias("motif"))
     hits = hits.withColumn("end", F.col("start") + F.col("size")).drop("size")
-    rows = v.table("supplier").select((F.col("s_suppkey") % 100).alias("row"), "s_suppkey", (F.lit(1057) + F.col("s_suppkey") % 3).alias("last"))
-    met = rows.join(hits, (rows["row"] == hits["row"]) & (F.col("start") <= F.col("last")) & (F.col("end") >= 1057), "left")
-    return met.groupBy("s_suppkey").agg(F.array_join(F.array_sort(F.collect_list("motif")), ",").alias("motifs"))
+    rows = v.table("supplier").select((F.col("s_suppkey") % 100).alias("row"), "s_suppkey")
+    met = motifs.overlapping(rows, hits, ["s_suppkey"], ["row"], F.col("s_suppkey") % 3 + 1)
+    return met.select("s_suppkey", listed("motifs").alias("motifs"))
 
 
 # ---- lookups
@@ -226,10 +226,15 @@ def feature_histogram(v):
 @query
 def gff_lookup(v):
     tx = v.table("orders").select(F.lit("mRNA").alias("feature"), F.concat(F.lit("ID=transcript:T"), F.col("o_orderkey").cast("string"), F.lit(";Parent=gene:G"), F.col("o_custkey").cast("string"), F.lit(";biotype=own")).alias("attributes"))
-    gene = v.table("customer").where("c_custkey % 5 <> 0").select(F.lit("gene").alias("feature"), F.concat(F.lit("ID=gene:G"), F.col("c_custkey").cast("string"), F.lit(";Name="), F.col("c_name"), F.lit(";biotype="), F.col("c_mktsegment")).alias("attributes"))
+    gene = v.table("customer").where("c_custkey % 5 <> 0").select(F.lit("gene").alias("feature"), F.concat(F.lit("ID=gene:G"), F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit(";Name="), F.col("c_name"))).otherwise(""), F.lit(";biotype="), F.col("c_mktsegment")).alias("attributes"))
     return regions.transcripts_of(tx.unionByName(gene))
 
 
+@query
+def gff_regions(v):
+    return regions.regions_of(v.gene_model)
+
+
 @query
 def peaks_windows(v):
     from genoframe.sources.readers import peak_windows
@@ -266,7 +271,7 @@ def allele_windows(v):
 
 @query
 def alt_window(v):
-    rows = v.sequence_variants.where("pos > 20").join(v.contigs, F.col("id") == F.col("contig"))
+    rows = v.sequence_variants.join(v.contigs, F.col("id") == F.col("contig"))
     out = sequence.alt_window(F.col("seq"), F.col("pos"), F.col("ref"), F.col("alt"), 40)
     return rows.select("id", out.alias("alt_seq"), F.length(out).alias("length"))
 

@@ -102,6 +102,15 @@ class Views:
     def exons(self) -> DataFrame:
         return self._named("lineitem", EXONS)
 
+    @property
+    def gene_model(self) -> DataFrame:
+        """Genes, transcripts and their parts as GFF3 rows: some genes lack a name, some parts a transcript, some transcripts a gene."""
+        row = lambda feature, attributes, chrom, start, end, strand: [F.expr(x).alias(n) for x, n in ((feature, "feature"), (attributes, "attributes"), (chrom, "chrom"), (start, "start"), (end, "end"), (strand, "strand"))]
+        gene = self.table("customer").where("c_custkey % 5 <> 0").select(*row("'ncRNA_gene'", "concat('ID=gene:G', c_custkey, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE concat(';Name=', c_name) END, ';biotype=', CASE WHEN c_custkey % 2 = 0 THEN 'protein_coding' ELSE 'lncRNA' END)", "concat('chr', c_custkey % 22 + 1)", "c_custkey * 977 % 100000 + 1", "c_custkey * 977 % 100000 + 5000", "CASE WHEN c_custkey % 2 = 0 THEN '+' ELSE '-' END"))
+        tx = self.table("orders").where("o_orderkey % 9 <> 0").select(*row("'mRNA'", "concat('ID=transcript:T', o_orderkey, ';Parent=gene:G', o_custkey, ';Name=t')", "concat('chr', o_orderkey % 22 + 1)", "CAST(1 AS bigint)", "CAST(9 AS bigint)", "'+'"))
+        part = self.table("lineitem").select(*row("CASE l_linenumber % 5 WHEN 0 THEN 'exon' WHEN 1 THEN 'CDS' WHEN 2 THEN 'exon' WHEN 3 THEN 'three_prime_UTR' ELSE 'five_prime_UTR' END", "concat('Parent=transcript:T', l_orderkey, ';rank=', l_linenumber)", "concat('chr', l_orderkey % 22 + 1)", "l_partkey * 40 + l_linenumber", "l_partkey * 40 + l_linenumber + CAST(l_quantity AS bigint)", "CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END"))
+        return gene.unionByName(tx).unionByName(part)
+
     @property
     def family(self) -> DataFrame:
         """One row per record and member: ``gt`` is null below a depth of 3; even records are phased."""
@@ -126,12 +135,12 @@ class Views:
 
     @property
     def sequence_variants(self) -> DataFrame:
-        """A variant on each contig, cut from it or made up."""
+        """A variant on each contig, somewhere on its whole length, cut from it or made up."""
         return self.contigs.select(
             F.col("contig").alias("id"),
             F.expr("CASE WHEN contig % 30 < 22 THEN concat('chr', CAST(contig % 30 + 1 AS string)) WHEN contig % 30 = 22 THEN 'chrX' WHEN contig % 30 = 23 THEN 'Y' WHEN contig % 30 = 24 THEN 'chrM' ELSE concat('chr', CAST(contig % 30 AS string)) END").alias("chrom"),
-            F.expr("(contig * 13) % 90 + 1").alias("pos"),
-            F.expr("CASE WHEN contig % 11 = 0 THEN 'GATTACA' ELSE substring(seq, CAST((contig * 13) % 90 + 1 AS int), CAST(1 + contig % 3 AS int)) END").alias("ref"),
+            F.expr("(contig * 7919) % greatest(length(seq), 1) + 1").alias("pos"),
+            F.expr("CASE WHEN contig % 11 = 0 THEN 'GATTACA' ELSE substring(seq, CAST((contig * 7919) % greatest(length(seq), 1) + 1 AS int), CAST(1 + contig % 3 AS int)) END").alias("ref"),
             F.expr("CASE contig % 7 WHEN 0 THEN 'n' WHEN 1 THEN 'GATTACA' WHEN 2 THEN '' ELSE 'T' END").alias("alt"),
         )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from genoframe import schemas
 from genoframe.functions import alleles
-from genoframe.operators import ingest
+from genoframe.operators import contigs, ingest
 
 TABLE_SUFFIXES, VCF_SUFFIXES = (".tsv", ".tsv.gz", ".txt", ".txt.gz"), (".vcf", ".vcf.gz", ".vcf.bgz")
 
@@ -71,7 +71,8 @@ def _numbered(lines: DataFrame) -> DataFrame:
 
 
 def read_vcf_records(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
-    """(header lines, records): ``record_ordinal, chrom, pos, variant_id, ref, alt_raw, info, format, samples``.
+    """(header lines, records): ``record_ordinal, chrom, pos, variant_id, ref, alt_raw, qual, filter, info, format, samples``, quality
+    and filters as the text they are.
 
     Blank lines are skipped; a record of fewer than five fields raises with its line number.
     """
@@ -86,15 +87,21 @@ def read_vcf_records(spark: SparkSession, path: str) -> tuple[list[str], DataFra
     get = lambda k: F.get("f", F.lit(k))
     rows = body.select(
         (F.col("line") - shift).alias("record_ordinal"), get(0).alias("chrom"), F.expr("try_cast(f[1] AS bigint)").alias("pos"), F.when(get(2) != ".", get(2)).alias("variant_id"),
-        get(3).alias("ref"), get(4).alias("alt_raw"), get(7).alias("info"), get(8).alias("format"), F.slice("f", 10, 1 << 20).alias("samples"),
+        get(3).alias("ref"), get(4).alias("alt_raw"), get(5).alias("qual"), get(6).alias("filter"), get(7).alias("info"), get(8).alias("format"), F.slice("f", 10, 1 << 20).alias("samples"),
     )
     return header, rows
 
 
-def check_header(header: list[str]) -> None:
-    """Genomic VCFs are told by their header and rejected."""
+def check_header(header: list[str], path: str = "") -> None:
+    """Genomic VCFs are told by their name or header and rejected; so are headers without the line that names the columns."""
     import re
 
+    name = path.lower()
+    name = name.rsplit(".", 1)[0] if name.endswith((".gz", ".bgz")) else name
+    if name.endswith(".gvcf"):
+        raise InputError("UNSUPPORTED_GVCF", path)
+    if not any(line.startswith("#CHROM\tPOS\t") for line in header):
+        raise InputError("MALFORMED_VCF", f"{path}: the header has no line of column names")
     for line in header:
         if line.startswith("##GVCFBlock") or re.match(r"##ALT=<.*\bID=NON_REF\b", line):
             raise InputError("UNSUPPORTED_GVCF", line)
@@ -141,23 +148,25 @@ def vcf_occurrences(spark: SparkSession, path: str, genome: str, target_sample:
     Unsorted inputs, genomic VCFs and unknown target samples raise.
     """
     header, records = read_vcf_records(spark, path)
-    check_header(header)
+    check_header(header, path)
     known = contigs_of(header)
-    rank = alleles.contig_rank(F.col("chrom"), known) if known else F.dense_rank().over(Window.orderBy("first"))
     placed = records.withColumn("stop", F.coalesce(F.regexp_extract("info", r"(?:^|;)END=(\d+)", 1).try_cast("bigint"), F.col("pos") + F.length("ref") - 1))
     bad = ingest.genomic_vcf_records(placed).select("record_ordinal").first()
     if bad is not None:
         raise InputError("UNSUPPORTED_GVCF", f"record {bad.record_ordinal}")
-    if known:
-        from genoframe.operators.ordinal import descents
+    from genoframe.operators.ordinal import descents
 
-        wrong = descents(records.withColumn("rid", rank).select("record_ordinal", "rid", "pos"), "record_ordinal", "rid", "pos").first()
-        if wrong is not None:
-            raise InputError("UNSORTED_VCF", f"record {wrong.record_ordinal}")
+    if known:
+        ranked = records.withColumn("rid", alleles.contig_rank(F.col("chrom"), known))
+    else:  # without contig lines a contig's place is that of its first record
+        ranked = records.join(records.groupBy("chrom").agg(F.min("record_ordinal").alias("rid")), "chrom")
+    wrong = descents(ranked.select("record_ordinal", "rid", "pos"), "record_ordinal", "rid", "pos").first()
+    if wrong is not None:
+        raise InputError("UNSORTED_VCF", f"record {wrong.record_ordinal}")
     rows = records.where("alt_raw <> '.'")
     if target_sample is not None:
         if target_sample not in samples_of(header):
-            raise InputError("UNKNOWN_SAMPLE", target_sample)
+            raise InputError("TARGET_SAMPLE_NOT_FOUND", target_sample)
         rows = parse_calls(rows, samples_of(header)).withColumn("gt", F.col("calls")[target_sample]["gt"]).drop("calls")
     out = ingest.classify(ingest.split_alts(rows))
     if target_sample is not None:
@@ -196,15 +205,36 @@ def read_peaks(spark: SparkSession, path: str, width: int = 2114) -> DataFrame:
     return peak_windows(spark.read.schema(schemas.NARROW_PEAK).option("sep", "\t").csv(path), width)
 
 
+#: Lines whose lengths are summed up in one task.
+LINE_BLOCK = 1 << 16
+
+
+def read_fasta_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """``contig, chunk, seq``: overlapping chunks of each contig's letters, see ``operators.contigs``; names end at the first blank.
+
+    A line's place in its contig is a running sum of lengths, within blocks of lines and then over the few blocks; no task holds a
+    contig. Contigs of one name follow each other; letters before the first name are dropped.
+    """
+    lines = _text(spark, path).select("line", F.rtrim("value").alias("value")).where("value <> ''")
+    head = F.col("value").startswith(">")
+    sized = lines.withColumn("_block", F.expr(f"line div {LINE_BLOCK}")).withColumn("_len", F.when(head, 0).otherwise(F.length("value")).cast("long"))
+    within = Window.partitionBy("_block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    run = sized.withColumn("_run", F.sum("_len").over(within))
+    run = run.withColumn("_head", F.last(F.when(head, F.struct(F.regexp_extract("value", r"^>(\S*)", 1).alias("name"), F.col("_run").alias("start"))), ignorenulls=True).over(within))
+    blocks = run.groupBy("_block").agg(F.sum("_len").alias("_size"), F.max_by("_head", "line").alias("_end"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    shifted = blocks.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0).cast("long")))
+    shifted = shifted.withColumn("_end", F.when(F.col("_end").isNotNull(), F.struct(F.col("_end.name").alias("name"), (F.col("_end.start") + F.col("_offset")).alias("start"))))
+    shifted = shifted.select("_block", "_offset", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    placed = run.where(~head).join(shifted, "_block")
+    own = F.when(F.col("_head").isNotNull(), F.struct(F.col("_head.name").alias("name"), (F.col("_head.start") + F.col("_offset")).alias("start"))).otherwise(F.col("_carried"))
+    placed = placed.withColumn("_own", own).where("_own IS NOT NULL")
+    return contigs.from_lines(placed.select(F.col("_own.name").alias("contig"), (F.col("_offset") + F.col("_run") - F.col("_len") - F.col("_own.start")).alias("at"), "value"))
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """``contig, seq``: letters of each contig in file order; names end at the first blank."""
-    lines = _text(spark, path).where("value <> ''")
-    named = lines.withColumn("_name", F.when(F.col("value").startswith(">"), F.regexp_extract("value", r"^>(\S*)", 1)))
-    heads = named.where("_name IS NOT NULL").select("line", "_name")
-    # contigs of a genome are few; each line belongs to the last head above it
-    spans = heads.withColumn("_next", F.lead("line").over(Window.orderBy("line")))
-    body = named.where("_name IS NULL").select("line", "value").join(F.broadcast(spans.select(F.col("line").alias("_first"), "_next", F.col("_name").alias("contig"))), (F.col("line") > F.col("_first")) & (F.col("_next").isNull() | (F.col("line") < F.col("_next"))))
-    return body.groupBy("contig").agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("rows")).select("contig", F.array_join(F.transform("rows", lambda r: r["value"]), "").alias("seq"))
+    """``contig, seq``: whole contigs, for short ones; jobs read chunks."""
+    return contigs.whole(read_fasta_chunks(spark, path))
 
 
 def read_gff(spark: SparkSession, path: str) -> DataFrame:

@@ -25,11 +25,23 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_categories(routed: DataFrame, path: str, categories) -> dict[str, int]:
-    """A folder for each category that has rows; counts of all requested ones, zeros kept."""
-    from genoframe.operators.regions import route_counts
+    """A folder of headerless tables for each requested category, an empty one for a category without rows; counts of all.
 
-    routed.write.mode("overwrite").partitionBy("category").parquet(path)
-    return {r.category: r.n for r in route_counts(routed, categories).collect()}
+    Rows are routed once: the counts are those of what was written.
+    """
+    from genoframe.operators.regions import checked
+
+    spark = routed.sparkSession
+    names = checked(categories)
+    routed.write.mode("overwrite").partitionBy("category").option("sep", "\t").option("emptyValue", "").csv(path)
+    counts = dict.fromkeys(names, 0)
+    for name in names:
+        folder, fs = _path(spark, f"{path}/category={name}")
+        if not fs.exists(folder):
+            fs.mkdirs(folder)
+            fs.create(_path(spark, f"{path}/category={name}/part-00000.csv")[0], True).close()
+    counts |= {r.category: r["count"] for r in spark.read.text(path).groupBy("category").count().collect()}
+    return counts
 
 
 def write_hive(df: DataFrame, path: str, partition: str = "CHROM", sort=("POS",)) -> None:
@@ -63,16 +75,18 @@ def write_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
     fs.rename(tmp, p)
 
 
-def write_once(df: DataFrame, path: str, fingerprint: str) -> bool:
-    """Writes ``df`` unless a run with the same fingerprint has; the manifest comes last and completes it. True if written."""
+def write_once(df: DataFrame, path: str, fingerprint: str, manifest: str | None = None) -> bool:
+    """Writes ``df`` unless a run with the same fingerprint has; the manifest, beside the folder if nowhere else, comes last and
+    completes it. True if written."""
     spark = df.sparkSession
-    old = read_manifest(spark, f"{path}.manifest.json")
+    manifest = manifest or f"{path}.manifest.json"
+    old = read_manifest(spark, manifest)
     if old is not None and old["fingerprint"] == fingerprint:
         return False
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     shards = [r.asDict() for r in files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("name").collect()]
-    write_manifest(spark, f"{path}.manifest.json", {"fingerprint": fingerprint, "rows": spark.read.parquet(path).count(), "shards": shards})
+    write_manifest(spark, manifest, {"fingerprint": fingerprint, "rows": spark.read.parquet(path).count(), "shards": shards})
     return True
 
 

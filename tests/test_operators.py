@@ -133,7 +133,7 @@ def test_gene_model(spark):
 def test_gff_names(spark):
     rows = [("gene", "ID=gene:G1;Name=ABC;biotype=protein_coding"), ("ncRNA_gene", "ID=gene:G2;biotype=lncRNA"), ("mRNA", "ID=transcript:T1;Parent=gene:G1;biotype=nonsense"), ("lnc_RNA", "ID=transcript:T2;Parent=gene:G2"), ("mRNA", "ID=transcript:T3;Parent=gene:G9"), ("exon", "Parent=transcript:T1")]
     got = {r.tx: (r.gene_id, r.biotype, r.name) for r in regions.transcripts_of(spark.createDataFrame(rows, "feature string, attributes string")).collect()}
-    assert got == {"T1": ("G1", "protein_coding", "ABC"), "T2": ("G2", "lncRNA", None), "T3": ("G9", None, None)}
+    assert got == {"T1": ("G1", "protein_coding", "ABC"), "T2": ("G2", "lncRNA", "G2"), "T3": ("G9", None, None)}
 
 
 def test_validation_cascade(spark):
@@ -286,3 +286,45 @@ def test_ordinals(spark):
     assert got == {a: a for a in range(1000)}
     late = ordinal.descents(spark.createDataFrame([(0, 1, 5), (1, 1, 4), (2, 2, 1), (3, 1, 9), (4, 1, 9)], "o long, r int, p int"), "o", "r", "p")
     assert sorted(r.o for r in late.collect()) == [1, 3]
+
+
+def test_nearest_in_dense_and_empty_places(spark):
+    import random
+
+    from genoframe.operators import intervals
+
+    rng = random.Random(12)
+    genes = [("c", a := rng.randrange(1, 3000), a + rng.choice([0, 5, 50, 2500]), f"g{k:03d}") for k in range(120)] + [("c", 700, 700, f"t{k}") for k in range(30)] + [("d", 2_000_000_000, 2_000_000_900, "far"), ("e", 9, 3, "back")]
+    points = [("c", rng.randrange(0, 6000)) for _ in range(300)] + [("c", 700), ("d", 0), ("d", 3_000_000_000), ("e", 5), ("f", 5), (None, 5), ("c", None)]
+    got = {}
+    for r in intervals.nearest(spark.createDataFrame(points, "chrom string, pos long"), spark.createDataFrame(genes, "chrom string, start long, end long, id string"), 5).collect():
+        got.setdefault((r.chrom, r.pos), []).append((r["rank"], r.id, r.distance))
+    for chrom, pos in {p for p in points if None not in p}:
+        def away(g):
+            return 0 if g[1] <= pos <= g[2] else min(abs(pos - g[1]), abs(pos - g[2]))
+
+        own = sorted(((away(g), g[3], 1 if pos >= g[1] else -1) for g in genes if g[0] == chrom and g[1] <= g[2]))[:5]
+        assert sorted(got.get((chrom, pos), [])) == [(k + 1, i, d * s) for k, (d, i, s) in enumerate(own)]
+    lists = intervals.candidates(spark.createDataFrame(genes[:120], "chrom string, start long, end long, id string"), 5)
+    assert max(len(r.listed) for r in lists.collect()) <= 2 * intervals.SLICE_ENDS + 15
+
+
+def test_two_tracks_and_motifs(spark):
+    from genoframe.operators import intervals, motifs
+
+    r = spark.createDataFrame([(1, "c", 5, 9), (2, "c", 1021, 1030), (3, "d", 1, 2), (4, "c", 9, 5)], "id int, chrom string, start long, end long")
+    t = spark.createDataFrame([("c", 5, 1.0, None), ("c", 7, None, 2.0), ("c", 1024, 3.0, 4.0), ("c", 1030, 5.0, 6.0)], "chrom string, pos long, a double, b double")
+    got = {x.id: (x.a, x.b) for x in intervals.per_base(r, t, ("a", "b")).collect()}
+    n = None
+    assert got == {1: ([1.0, n, n, n, n], [n, n, 2.0, n, n]), 2: ([n, n, n, 3.0, n, n, n, n, n, 5.0], [n, n, n, 4.0, n, n, n, n, n, 6.0]), 3: ([n, n], [n, n])}
+    hits = spark.createDataFrame([(0, 1050, 1057, "pos_1_patterns.ATF3#1_232", 12.0), (0, 1060, 1070, "pos_1_patterns.B_2", 12.0), (0, 1050, 1060, "pos_1_patterns.weak_2", 9.0), (1, 1059, 1070, "neg_0_patterns.C_D_7", 10.0)], "peak_id int, start int, end int, motif_name string, hit_coefficient double")
+    v = spark.createDataFrame([(0, "A"), (1, "ACG"), (2, "A")], "peak_id int, ref string")
+    assert {x.peak_id: x.motifs for x in motifs.overlapping(v, motifs.strong(hits), ["peak_id"], ["peak_id"], F.length("ref")).collect()} == {0: ["ATF3#1"], 1: ["C_D"], 2: []}
+
+
+def test_skewed_leading_columns_are_numbered(spark):
+    from genoframe.operators import ordinal
+
+    rows = [(k, 0) for k in range(200)] + [(10**15, 1)] * 3 + [(7, 2)] * 50
+    got = ordinal.with_ordinal(spark.createDataFrame(rows, "a long, b long"), ["a", "b"]).collect()
+    assert [(r.a, r.b) for r in sorted(got, key=lambda r: r.record_ordinal)] == sorted(rows) and sorted(r.record_ordinal for r in got) == list(range(len(rows)))

@@ -82,12 +82,93 @@ def test_folds_and_priorities(spark, tmp_path):
     assert (r.prioritized, r.prioritized_b, r.top_model, r.top_logfc) == (True, False, "a", -0.3)
 
 
-def test_region_table(spark, tmp_path):
-    spark.createDataFrame([("t", "c", 1, 9, "+"), ("t", "c", 30, 40, "+")], "tx string, chrom string, start long, end long, strand string").write.parquet(str(tmp_path / "e"))
-    spark.createDataFrame([("g", "c", 1, 40, "+")], "gene_id string, chrom string, start long, end long, strand string").write.parquet(str(tmp_path / "g"))
-    cli.main(["regions", str(tmp_path / "e"), str(tmp_path / "g"), str(tmp_path / "t")], spark)
-    got = {r.feature: r.n for r in spark.read.parquet(str(tmp_path / "t")).groupBy("feature").agg(F.count("*").alias("n")).collect()}
-    assert got == {"exon": 2, "intron": 1, "splice_donor": 1, "splice_acceptor": 1, "splice_region": 2, "promoter": 1}
+GFF = [
+    "##gff-version 3", "1\te\tgene\t101\t400\t.\t+\t.\tID=gene:G1;Name=N1;biotype=protein_coding", "1\te\tmRNA\t101\t400\t.\t+\t.\tID=transcript:T1;Parent=gene:G1;biotype=nonsense",
+    "1\te\texon\t101\t150\t.\t+\t.\tParent=transcript:T1", "1\te\texon\t301\t400\t.\t+\t.\tParent=transcript:T1", "1\te\tfive_prime_UTR\t101\t109\t.\t+\t.\tParent=transcript:T1",
+    "1\te\tCDS\t110\t150\t.\t+\t0\tID=CDS:P1;Parent=transcript:T1", "1\te\tCDS\t301\t350\t.\t+\t1\tID=CDS:P1;Parent=transcript:T1", "1\te\tthree_prime_UTR\t351\t400\t.\t+\t.\tParent=transcript:T1",
+    "1\te\tncRNA_gene\t700\t900\t.\t-\t.\tID=gene:G2;biotype=lncRNA", "1\te\tlnc_RNA\t700\t900\t.\t-\t.\tID=transcript:T2;Parent=gene:G2", "1\te\texon\t700\t900\t.\t-\t.\tParent=transcript:T2", "1\te\texon\t5\t9\t.\t-\t.\tParent=transcript:none", "KI\te\tgene\t1\t2\t.\t+\t.\tID=gene:G9",
+]
+
+
+def test_region_table_feeds_annotation_and_preprocessing(spark, tmp_path):
+    gff = lines(tmp_path / "a.gff3", *GFF)
+    cli.main(["regions", gff, str(tmp_path / "t")], spark)
+    cli.main(["genes", gff, str(tmp_path / "g")], spark)
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert table.columns == ["chrom", "start", "end", "strand", "feature", "gene_id", "gene_name", "biotype"]
+    got = {r.feature: r.n for r in table.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    assert got == {"exon": 3, "cds": 2, "five_prime_utr": 1, "three_prime_utr": 1, "intron": 1, "splice_donor": 1, "splice_acceptor": 1, "splice_region": 2, "promoter": 2}
+    assert {(r.gene_id, r.gene_name, r.biotype) for r in table.select("gene_id", "gene_name", "biotype").distinct().collect()} == {("G1", "N1", "protein_coding"), ("G2", "G2", "lncRNA")}
+    assert {(r.start, r.end) for r in table.where("feature = 'promoter'").collect()} == {(1, 201), (800, 1400)}
+    ccre = lines(tmp_path / "c.bed", "chr1\t100\t105\tE1\tr\tPLS")
+    cli.main(["elements", ccre, str(tmp_path / "e")], spark)
+    spark.createDataFrame([("1", 120, "A", "T", [("afr_adj", 0.12345), ("nfe_adj", None), (None, 0.5)])], "chromosome string, position int, referenceAllele string, alternateAllele string, alleleFrequencies array<struct<populationName:string,alleleFrequency:double>>").write.parquet(str(tmp_path / "raw"))
+    cli.main(["frequencies", str(tmp_path / "raw"), str(tmp_path / "f")], spark)
+    v = lines(tmp_path / "v.tsv", "chr1\t120\tA\tT\tx", "chr1\t149\tACC\tA\ty", "chr1\t360\tA\tG\tz", "chr1\t800\tA\tG\tw", "chr1\t5000\tA\tG\tu")
+    cli.main(["annotate", v, *[str(tmp_path / x) for x in "tgef"], str(tmp_path / "out")], spark)
+    rows = {r.variant_id: r for r in spark.read.json(str(tmp_path / "out")).collect()}
+    assert (rows["x"].region_type, rows["x"].is_coding, rows["x"].in_promoter, rows["x"].in_ot, rows["x"].af_afr, rows["x"].af_nfe) == ("cds", True, True, True, 0.123, 0.0)
+    assert rows["y"].region_type == "splice_site" and {"cds", "splice_region", "intronic", "exonic"} <= set(rows["y"].region_labels)
+    assert (rows["z"].region_type, rows["w"].region_type, rows["u"].region_type) == ("three_prime_utr", "noncoding_gene", "intergenic") and rows["w"].region_gene_ids == ["G2"]
+    assert [g.gene_name for g in rows["w"].nearest_genes] == ["G2", "N1"]
+    fasta = lines(tmp_path / "g.fa", ">chr1", "A" * 6000)
+    tsv = lines(tmp_path / "p.tsv", "chr1\t120\tA\tT\tx", "chr1\t360\tA\tG\tz", "chr1\t5000\tA\tG\tu")
+    cli.main(["preprocess", tsv, fasta, str(tmp_path / "t"), str(tmp_path / "pre"), "--width", "20"], spark)
+    counts = sinks.read_manifest(spark, str(tmp_path / "pre/manifest.json"))["categories"]
+    assert (counts["coding"], counts["three_prime_utr"], counts["promoter"], counts["splice"]) == (1, 1, 1, 0)
+    import genoframe
+
+    one = genoframe.annotate_variant("chr1", 120, "A", "T", *[spark.read.parquet(str(tmp_path / x)) for x in "tgef"])
+    assert one["region_type"] == "cds" and all(hasattr(genoframe, name) for name in genoframe.__all__)
+
+
+def load_model():
+    return lambda seqs: ([[float(s.count(b)) for b in "ACGT"] for s in seqs], [float(s.count("C")) for s in seqs])
+
+
+def test_score_jobs_go_on_where_they_stopped(spark, tmp_path):
+    from genoframe.operators import inference
+    from genoframe.plans import jobs
+
+    fasta = lines(tmp_path / "g.fa", ">chr1", "ACGT" * 50)
+    v = lines(tmp_path / "v.tsv", *[f"chr1\t{p}\t{'ACGT'[(p - 1) % 4]}\tGG\tv{p}" for p in range(40, 60)], "chr1\t41\tG\tC\tbad")
+    spark.range(1000).select((F.col("id") / 250.0).alias("value")).write.parquet(str(tmp_path / "d"))
+    args = ["score", v, fasta, str(tmp_path / "d"), "tests.test_pipelines:load_model", str(tmp_path / "s"), "--width", "8", "--buckets", "3"]
+    cli.main(args, spark)
+    rows = spark.read.parquet(str(tmp_path / "s"))
+    assert rows.count() == 20 and {"lfc", "jsd", "active_allele_quantile", "ips", "bucket"} <= set(rows.columns)
+    import shutil
+
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "s").rglob("*.parquet")}
+    (tmp_path / "s/_bucket-1.json").unlink()
+    shutil.rmtree(tmp_path / "s/bucket=1")
+    cli.main(args, spark)
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 20 and all(p.stat().st_mtime_ns == t for p, t in before.items() if "bucket=1" not in str(p))
+    cli.main(["predict", v, fasta, str(tmp_path / "p"), "-m", "a=tests.test_pipelines:load_model", "-m", "b=tests.test_pipelines:load_model", "--width", "8"], spark)
+    assert {(r.fold, r.n) for r in spark.read.parquet(str(tmp_path / "p")).groupBy("fold").agg(F.count("*").alias("n")).collect()} == {("a", 20), ("b", 20)}
+    table = readers.read_variants(spark, v)
+    work = lambda df: df.select("canonical_id", F.lit(1.0).alias("s"))
+    done = str(tmp_path / "done")
+    assert (jobs.append_scores(table.limit(5), done, work), jobs.append_scores(table, done, work), jobs.append_scores(table, done, work)) == (5, 16, 0)
+    explain = lambda: lambda seq, shuffled: [sum(s[k] == x for s in shuffled) for k, x in enumerate(seq)]
+    assert jobs.attribute_variants(table, readers.read_fasta_chunks(spark, fasta), explain, str(tmp_path / "a"), "m", 8, 4, 2) == 2
+    r = spark.read.parquet(str(tmp_path / "a")).first()
+    assert len(r.ref_attributions) == 8 and r.ref_attributions[0] == 4.0 and inference is not None
+
+
+def test_dinucleotide_shuffle_keeps_pairs():
+    from collections import Counter
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    seen = set()
+    for seq in ("ACGT" * 20 + "AACCGGTT" * 5, "A", "AC", "AAAA", "ACACACAG", "NACGTTN"):
+        for _ in range(30):
+            got = inference.dinucleotide_shuffle(seq, rng)
+            assert Counter(zip(got, got[1:])) == Counter(zip(seq, seq[1:])) and got[:1] == seq[:1] and got[-1:] == seq[-1:]
+            seen.add(got)
+    assert len(seen) > 25
 
 
 def test_export(spark, tmp_path):

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from genoframe.operators import augment, family, regions
+from genoframe.operators import augment, contigs, family, regions
 from genoframe.sources import readers, sinks
 from genoframe.streaming.batches import ingest_folder
 
@@ -50,19 +50,94 @@ def test_vcf_occurrences(spark, tmp_path):
     assert got == [(0, 1, "T", None, "chr2:101:A:T"), (0, 2, "G", None, "chr2:101:A:G"), (1, 1, "T", None, "chr2:101:A:T"), (2, 1, "<DEL>", "SYMBOLIC_ALT", "chr1:5:C:<DEL>"), (2, 2, "*", "SPANNING_DELETION", "chr1:5:C:*")]
     for lines, code in (
         ([*HEADER[:3], "##GVCFBlock0-1=x", HEADER[3]], "UNSUPPORTED_GVCF"), ([*HEADER[:3], '##ALT=<ID=NON_REF,Description="x">', HEADER[3]], "UNSUPPORTED_GVCF"), ([*HEADER, "chr2\t1\t.\tA\tT,<NON_REF>\t.\t.\t."], "UNSUPPORTED_GVCF"),
-        ([*HEADER, "chr2\t1\t.\tA\t.\t.\t.\tEND=50"], "UNSUPPORTED_GVCF"), ([*HEADER, "chr2\t9\t.\tA\tT\t.\t.\t.", "chr2\t8\t.\tA\tT\t.\t.\t."], "UNSORTED_VCF"), ([*HEADER, "chr1\t9\t.\tA\tT\t.\t.\t.", "chr2\t9\t.\tA\tT\t.\t.\t."], "UNSORTED_VCF"), ([*HEADER, "chr2\t9\t."], "MALFORMED_VCF"),
+        ([*HEADER, "chr2\t1\t.\tA\t.\t.\t.\tEND=50"], "UNSUPPORTED_GVCF"), ([*HEADER, "chr2\t9\t.\tA\tT\t.\t.\t.", "chr2\t8\t.\tA\tT\t.\t.\t."], "UNSORTED_VCF"), ([HEADER[0], HEADER[3], "chr2\t9\t.\tA\tT\t.\t.\t.", "chr1\t8\t.\tA\tT\t.\t.\t.", "chr2\t10\t.\tA\tT\t.\t.\t."], "UNSORTED_VCF"), ([HEADER[0], HEADER[3], "chr2\t9\t.\tA\tT\t.\t.\t.", "chr2\t8\t.\tA\tT\t.\t.\t."], "UNSORTED_VCF"), (HEADER[:3], "MALFORMED_VCF"), ([*HEADER, "chr1\t9\t.\tA\tT\t.\t.\t.", "chr2\t9\t.\tA\tT\t.\t.\t."], "UNSORTED_VCF"), ([*HEADER, "chr2\t9\t."], "MALFORMED_VCF"),
     ):
         with pytest.raises(readers.InputError) as e:
             readers.vcf_occurrences(spark, write(tmp_path / "bad.vcf", lines), "g").count()
         assert e.value.code == code
 
 
+def test_vcf_without_contig_lines_and_genomic_names(spark, tmp_path):
+    path = write(tmp_path / "a.vcf", [HEADER[0], HEADER[3], *[x for x in BODY if x]])
+    assert readers.vcf_occurrences(spark, path, "g").count() == 5
+    for name in ("a.gvcf", "A.gVCF.gz", "a.gvcf.bgz"):
+        with pytest.raises(readers.InputError, match="UNSUPPORTED_GVCF"):
+            readers.vcf_occurrences(spark, write(tmp_path / name, HEADER + BODY, name.lower().endswith("gz")), "g")
+
+
+def test_lines_of_several_splits_are_numbered_in_order(spark, tmp_path):
+    path = write(tmp_path / "a.txt", [f"line {k}" for k in range(5000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = readers._text(spark, path)
+        assert rows.rdd.getNumPartitions() > 1 and [r.value for r in rows.orderBy("line").collect()] == [f"line {k}" for k in range(5000)]
+        assert [r.line for r in rows.select("line").orderBy("line").collect()] == list(range(5000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_quality_and_filter_are_kept(spark, tmp_path):
+    body = ["chr2\t101\trs1\tA\tT,G\t37.50\tq10;s50\tAC=1\tGT\t0/1", "chr2\t102\t.\tA\tT\t.\tPASS\t.\tGT\t./.", "chr1\t5\t.\tC\tG\t1e-3\t.\tDB\tGT\t1|1"]
+    source = write(tmp_path / "s.vcf", [*HEADER[:3], HEADER[3] + "\tFORMAT\ta", *body])
+    header, records = readers.read_vcf_records(spark, source)
+    notes = readers.vcf_occurrences(spark, source, "g").select("record_ordinal").distinct().withColumn("STATUS", F.lit("SCORED"))
+    sinks.write_augmented_vcf(augment.header_lines(header, "GF1"), records, notes, str(tmp_path / "o"), "GF1")
+    lines = [r.value.split("\t") for r in readers._text(spark, str(tmp_path / "o")).orderBy("line").collect() if not r.value.startswith("#")]
+    strip = lambda f: [*f[:7], ";".join(x for x in f[7].split(";") if not x.startswith("GF1_")) or ".", *f[8:]]
+    assert ["\t".join(strip(f)) for f in lines] == body
+
+
+def test_fasta_chunks(spark, tmp_path, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    for name, size in (("SIZE", 50), ("OVERLAP", 20), ("PIECE", 16)):
+        monkeypatch.setattr(contigs, name, size)
+    monkeypatch.setattr(readers, "LINE_BLOCK", 3)
+    seqs = {"c1": 437, "c2": 1, "c3": 50, "c4": 333}
+    seqs = {k: "".join(rng.choices("ACGTn", k=n)) for k, n in seqs.items()}
+    lines = ["junk"]
+    for name, seq in seqs.items():
+        width = 333 if name == "c4" else 7
+        lines += [f">{name} about it", *[seq[k : k + width] + " " for k in range(0, len(seq), width)], ""]
+    path = write(tmp_path / "g.fa", lines)
+    assert {r.contig: r.seq for r in readers.read_fasta(spark, path).collect()} == seqs
+    chunks = readers.read_fasta_chunks(spark, path)
+    assert {(r.contig, r.chunk): r.seq for r in chunks.collect()} == {(c, k): s[50 * k : 50 * k + 70] for c, s in seqs.items() for k in range((len(s) - 1) // 50 + 1)}
+    plain = spark.createDataFrame(list(seqs.items()), "contig string, seq string")
+    assert sorted(map(tuple, contigs.chunked(plain).collect())) == sorted(map(tuple, chunks.collect()))
+
+
+def test_variants_across_chunk_borders(spark, monkeypatch):
+    import random
+
+    from genoframe.operators import inference, validate
+
+    rng = random.Random(8)
+    seq = "".join(rng.choices("ACGT", k=500))
+    rows = []
+    for k in range(300):
+        pos = rng.randrange(-3, 520)
+        ref = seq[pos - 1 : pos - 1 + rng.choice([1, 2, 9, 90])] if pos > 0 and rng.random() < 0.8 else "A"
+        rows.append((k, rng.choice(["chr1"] * 9 + ["chr9"]), pos if k % 50 else None, ref or "A", rng.choice(["T", "GATTACA", "N", ""])))
+    variants = spark.createDataFrame(rows, "id int, chrom string, pos long, ref string, alt string")
+    plain = spark.createDataFrame([("chr1", seq)], "contig string, seq string")
+    width = 20
+    check = lambda: ({r.id: (r.error_code, r.status) for r in validate.validate(variants, plain, width).collect()}, {r.id: (r.window_error, r.ref_seq, r.alt_seq) for r in inference.with_windows(variants, plain, width).collect()})
+    whole = check()
+    for name, size in (("SIZE", 32), ("OVERLAP", 48)):
+        monkeypatch.setattr(contigs, name, size)
+    assert check() == whole and len({c for c, _ in whole[0].values()}) >= 5
+    peaks = spark.createDataFrame([("chr1", 0, 20), ("chr1", 25, 45), ("chr1", 490, 510), ("chr1", -5, 15), ("chr7", 0, 20), ("chr1", 30, 51)], "chr string, window_start long, window_end long")
+    assert {(r.window_start, r.seq) for r in contigs.window_sequences(peaks, plain, 20).collect()} == {(0, seq[:20]), (25, seq[25:45])}
+
+
 def test_target_sample(spark, tmp_path):
     head = [*HEADER[:3], HEADER[3] + "\tFORMAT\tchild\tparent"]
     path = write(tmp_path / "t.vcf", [*head, "chr2\t5\t.\tA\tC,G\t.\t.\t.\tGT:AD:DP:GQ\t0/2:1,2,3:12:40\t0|1:.:.:5", "chr2\t6\t.\tA\tC\t.\t.\t.\tGT\t./.\t1/1"])
     got = [(r.alt, r.error_code) for r in readers.vcf_occurrences(spark, path, "g", "child").orderBy("record_ordinal", "alt_index").collect()]
     assert got == [("C", "NOT_CARRIED_BY_TARGET"), ("G", None), ("C", "NOT_CARRIED_BY_TARGET")]
-    with pytest.raises(readers.InputError, match="UNKNOWN_SAMPLE"):
+    with pytest.raises(readers.InputError, match="TARGET_SAMPLE_NOT_FOUND"):
         readers.vcf_occurrences(spark, path, "g", "aunt")
     header, records = readers.read_vcf_records(spark, path)
     calls = readers.parse_calls(records, readers.samples_of(header)).orderBy("record_ordinal").first().calls
@@ -105,6 +180,7 @@ def test_sinks(spark, tmp_path):
     assert spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "t")).count() == 3
     routed = spark.createDataFrame([(1, "coding"), (2, "coding")], "id int, category string")
     assert sinks.write_categories(routed, str(tmp_path / "c"), ("coding", "exonic")) == {"coding": 2, "exonic": 0}
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "c/category=coding")).collect()) == ["1", "2"] and spark.read.text(str(tmp_path / "c/category=exonic")).count() == 0
 
 
 def test_writing_once(spark, tmp_path):
