@@ -27,7 +27,7 @@ from genoframe.llm.workers import tidy
 
 MISS = 1e-5
 #: Classes of a bucket that one side of a tile holds at most, about.
-BLOCK = 1024
+BLOCK = 512
 #: Of the random hyperplanes.
 SEED = 7
 
