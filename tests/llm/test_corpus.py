@@ -455,7 +455,17 @@ def test_pipeline_stages_on_hard_rows(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     good = "The cat sat on the mat, and it was good. He said so to us, for that is what we do. "
     rows = [(k, good + f"Thing {k}.", "en", "a", 1) for k in range(5)] + [(None, good, None, None, None), (7, None, None, None, None), (8, "", "en", "b", 0), (1, good + "Thing 1.", "en", "a", 1), (9, good * 800, "en", "a", 1)]
-    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
-        for _, stage in corpus_pipeline.STAGES:
-            docs_out = stage(spark, docs, sf_dir).collect()
-            assert isinstance(docs_out, list)
+    docs = spark.createDataFrame(rows, schema)
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:  # each stage on the whole table: every case has a result
+        out[name] = sorted(((r.doc_id, r.n_tokens) if name == "encoding" else (r.doc_id, r.text) for r in stage(spark, docs, sf_dir).collect()), key=repr)
+    texts = sorted(((r[0], r[1]) for r in rows), key=repr)
+    spoken = [r for r in texts if r[1]]
+    assert out["quality"] == spoken and out["language"] == spoken
+    # all spoken texts are near-duplicates of each other; the null and the empty text have ids and are no one's
+    assert out["dedup"] == sorted([(0, good + "Thing 0."), (7, None), (8, "")], key=repr)
+    assert {i for i, _ in out["mixing"]} <= {i for i, _ in texts} and len(out["mixing"]) >= len(spoken) and all(n <= 2 * texts.count(r) for r, n in Counter(out["mixing"]).items())
+    assert len(out["encoding"]) == len(rows) and {i: n for i, n in out["encoding"]}[7] == 0 and all(n > 10 for i, n in out["encoding"] if i not in (7, 8))
+    empty = spark.createDataFrame([], schema)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf_dir).count() == 0
