@@ -11,12 +11,20 @@ from genoframe.llm.scratch import Scratch
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted to all documents it is given, does not take for junk."""
+    """Documents that the classifier, fitted to all documents it is given, does not take for junk.
+
+    Null, empty and blank texts go; rows that repeat a text all stay or all go; an empty table stays empty; other columns, null
+    ids among them, do not matter.
+    """
     return quality.keep(docs, quality.train(docs))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the labelled languages; without letters or any certainty they go."""
+    """Documents in one of the labelled languages; without letters or any certainty they go.
+
+    The languages are those of the rows' own labels, which only train; a tie between two goes to the first one in order and stays.
+    Rows that repeat a text all stay or all go; without any label, and from an empty table, none stays.
+    """
     path = vocabulary(PIECES)
     return langid.keep(docs, path, *langid.train(docs, path))
 
@@ -33,7 +41,8 @@ def _row_key() -> Column:
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates, that of the smallest doc_id, one without an id if none has one.
 
-    Rows that share an id but not a text are told apart; rows with neither an id nor a word all stay.
+    Rows that share an id but not a text are told apart; of rows that repeat an id and a text one stays, whichever (they differ in other
+    columns at most); rows with neither an id nor a word all stay; an empty table stays empty.
     """
     blank = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
     keyed = docs.where(~blank).withColumn("_row", _row_key())
@@ -44,13 +53,17 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in the order of the curriculum."""
+    """Documents as often as the mix takes them, in the order of the curriculum.
+
+    Ties go to the id; rows that repeat an id are taken on their own; texts without words take no part of the mix's words but may
+    come with it; a null source is one source; an empty table stays empty.
+    """
     mixed = mixing.mix(docs, carry=tuple(c for c in docs.columns if c not in ("doc_id", "source")))
     return mixing.curriculum(mixed).select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, n_tokens`` of every document."""
+    """``doc_id, ids, n_tokens`` of every row; a null text has no tokens."""
     return bpe.encode(docs, vocabulary(BYTE_BPE)).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
