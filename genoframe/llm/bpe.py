@@ -45,6 +45,11 @@ class PrefixEncoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        for t in spec["added_tokens"]:
+            if any(t.get(flag) for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+                raise ValueError(f"added token {t['content']!r}: only tokens that are found as they stand are supported")
+        if spec.get("normalizer") or (spec.get("pre_tokenizer") or {}).get("add_prefix_space"):
+            raise ValueError("only vocabularies without a normalizer and a prefix space are supported")
         alphabet = byte_alphabet()
         raw = lambda token: bytes(alphabet[c] for c in token)
         vocab = spec["model"]["vocab"]

@@ -59,3 +59,19 @@ def test_query(spark, library, sf_dir):
         ids = library.encode(docs[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_vocabularies_that_need_more_are_refused(tmp_path):
+    import json
+
+    import pytest
+
+    from genoframe.llm import bpe, queries
+
+    with open(queries.vocabulary(queries.BYTE_BPE), encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]}, {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}):
+        path = tmp_path / "v.json"
+        path.write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError, match="supported"):
+            bpe.PrefixEncoder(str(path))

@@ -48,6 +48,42 @@ def test_near_duplicates_are_brute_force(spark):
     assert got == near_duplicates(rows)
 
 
+def test_groups_that_break_up_and_hot_shingles(spark):
+    rng = random.Random(21)
+    fresh = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    # one group of templated texts: six fields of four values, so members link to some others only
+    fields = [[fresh(12) for _ in range(4)] for _ in range(6)]
+    texts += [sum((rng.choice(f) for f in fields), []) for _ in range(150)]
+    # a chain: each text shares most with the next, the ends share nothing
+    long = fresh(260)
+    texts += [long[k : k + 60] for k in range(0, 200, 4)]
+    # one rare-looking shingle run in the prefix of many texts that are no duplicates
+    run = fresh(9)
+    texts += [run + fresh(14) for _ in range(120)]
+    texts = [" ".join(t) for t in texts]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    want = near_duplicates(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows), Scratch(spark, "t")).collect()}
+    assert got == want and len({c for _, c, _ in want.values()}) > 130
+
+
+def test_texts_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (4, c), (1, a)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows), Scratch(spark, "t")).collect())
+    # both texts of id 1 have links, and all are the document's
+    assert got == [(1, 26, 1, True)] * 3 + [(2, 27, 1, False), (3, 27, 1, False), (4, 26, 4, True)]
+
+
+def test_components_are_extended(spark):
+    found = components.connected_components(spark.createDataFrame([(1, 2), (2, 3), (10, 11), (20, 21)], "a long, b long"), Scratch(spark, "t"))
+    more = spark.createDataFrame([(3, 11), (30, 31), (31, 21), (1, 3), (5, 5)], "a long, b long")
+    got = {r.id: r.component for r in components.extended(found, more, Scratch(spark, "t")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 20: 20, 21: 20, 30: 20, 31: 20}
+
+
 def test_hard_rows(spark):
     rows = [(5, "a b c d e f g"), (5, "a b c d e f g"), (None, "a b c d e f g"), (7, "A B C D E F G"), (None, None), (8, None), (9, "x " * 30_000), (10, "x " * 30_001)]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows), Scratch(spark, "t")).collect()), key=repr)
