@@ -25,7 +25,7 @@ def annotate(variants: DataFrame, region_table: DataFrame, genes: DataFrame, ele
     """
     spans = variants.select(F.col("chr").alias("chrom"), "pos", "ref").distinct().withColumn("v_end", alleles.span_end(F.col("pos"), F.col("ref")))
     labels = regions.annotate(spans, region_table).select("chrom", "pos", "ref", F.col("primary").alias("region_type"), F.col("labels").alias("region_labels"), F.col("gene_ids").alias("region_gene_ids"), "is_coding", "in_promoter")
-    hit = intervals.first_overlap(spans, elements, ["chrom", "pos", "ref"], ["accession", "grp"], ["start", "end", "accession"], ("chrom", "pos", "v_end"), ("chrom", "start", "end"))
+    hit = intervals.first_overlap(spans, elements, ["chrom", "pos", "ref"], ["accession", "grp"], ["start", "end", "accession"], ("chrom", "pos", "v_end"), ("chrom", "start", "end"), intervals.levels_of(elements))
     near = intervals.nearest(spans, genes.select("chrom", "start", "end", F.struct("gene_id", "gene_name").alias("id")))
     listed = near.groupBy("chrom", "pos").agg(F.array_sort(F.collect_list(F.struct("rank", "id", "distance"))).alias("g"))
     kind = lambda d: F.when(d == 0, "inside").otherwise("near")
@@ -66,7 +66,7 @@ def score(predictions: DataFrame, distribution: DataFrame, peaks: DataFrame | No
     if peaks is None:
         return out
     spans = out.select("chrom", "pos", "ref").distinct().withColumn("v_end", alleles.span_end(F.col("pos"), F.col("ref")))
-    return out.join(intervals.overlaps_any(spans, peaks, ["chrom", "pos", "ref"], "in_peak", ("chrom", "pos", "v_end")), ["chrom", "pos", "ref"], "left")
+    return out.join(intervals.overlaps_any(spans, peaks, ["chrom", "pos", "ref"], "in_peak", ("chrom", "pos", "v_end"), levels=intervals.levels_of(peaks)), ["chrom", "pos", "ref"], "left")
 
 
 def average_folds(spark: SparkSession, paths: list[str], keys: list[str], columns: list[str]) -> DataFrame:

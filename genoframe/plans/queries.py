@@ -108,13 +108,13 @@ def region_routing_counts(v):
 @query
 def ccre_overlap(v):
     elements = v.regions.select("chrom", "start", "end", F.concat(F.lit("EH"), F.col("rid").cast("string")).alias("accession"), F.col("feature").alias("grp"))
-    return intervals.first_overlap(spans(v), elements, SPAN, ["accession", "grp"], ["start", "end", "accession"], ("chrom", "pos", "v_end"), ("chrom", "start", "end"))
+    return intervals.first_overlap(spans(v), elements, SPAN, ["accession", "grp"], ["start", "end", "accession"], ("chrom", "pos", "v_end"), ("chrom", "start", "end"), intervals.levels_of(elements))
 
 
 @query
 def in_peak(v):
     peaks = v.regions.where("feature = 'cds'").select("chrom", "start", "end")
-    return intervals.overlaps_any(spans(v), peaks, SPAN, "in_peak", ("chrom", "pos", "v_end"))
+    return intervals.overlaps_any(spans(v), peaks, SPAN, "in_peak", ("chrom", "pos", "v_end"), levels=intervals.levels_of(peaks))
 
 
 @query
