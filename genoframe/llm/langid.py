@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -24,7 +25,7 @@ from genoframe.llm.workers import tidy
 SAMPLE_TEXTS = 400
 ROUNDS, SMOOTHING = 4, 0.1
 #: Bounds of what a worker keeps and handles at once: bytes of remembered word scores, values of a lattice, about, and texts.
-MEMO_BYTES, LATTICE_VALUES, BATCH = 32 << 20, 1_000_000, 256
+MEMO_BYTES, LATTICE_VALUES, BATCH, WORDS = 32 << 20, 500_000, 256, 50_000
 #: The vocabulary's mark of a word's start, and the code for texts without letters.
 START, UNDETERMINED = "▁", "und"
 #: Characters after which a long word's values are scaled, if no piece is as long.
@@ -63,11 +64,11 @@ def pieces(path: str) -> Pieces:
 def _letters():
     import regex
 
-    return regex.compile(r"\p{L}+").findall
+    return regex.compile(r"\p{L}+").finditer
 
 
-def words(text: str | None) -> list[str]:
-    return _letters()(text.lower()) if text else []
+def words(text: str | None) -> Iterator[str]:
+    return (m[0] for m in _letters()(text.lower())) if text else iter(())
 
 
 class Lattice:
@@ -247,16 +248,28 @@ class _Scorer:
         self.place.update(zip(new, range(first, first + len(new)), strict=True))
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        found = [words(t) if self.languages else [] for t in texts]
-        self._learn(found)
-        names, sure = [], []
-        for t in found:
-            if not t:
-                names.append(UNDETERMINED)
-                sure.append(0.0)
-                continue
-            total = self.scores[np.fromiter(map(self.place.__getitem__, t), np.int64, len(t))].sum(0)
-            best = int(total.argmax())
-            names.append(self.languages[best])
-            sure.append(float(1.0 / np.exp(total - total[best]).sum()))
-        return names, sure
+        """Whole texts are scored, some words at a time: a long text is many lists of words, short ones share one."""
+        total, some = np.zeros((len(texts), max(len(self.languages), 1))), np.zeros(len(texts), bool)
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+
+        def done() -> None:
+            nonlocal size
+            self._learn([w for _, w in held])
+            for k, w in held:
+                total[k] += self.scores[np.fromiter(map(self.place.__getitem__, w), np.int64, len(w))].sum(0)
+                some[k] = True
+            held.clear()
+            size = 0
+
+        for k, t in enumerate(texts if self.languages else []):
+            source = words(t)
+            while part := list(islice(source, WORDS)):
+                held.append((k, part))
+                size += len(part)
+                if size >= WORDS:
+                    done()
+        done()
+        best = total.argmax(1)
+        sure = 1.0 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+        return [self.languages[b] if s else UNDETERMINED for b, s in zip(best, some, strict=True)], np.where(some, sure, 0.0).tolist()

@@ -1,4 +1,4 @@
-"""What Python workers of the executors do when a task ends."""
+"""What Python workers of the executors are handed at once, and what they do when a task ends."""
 
 from __future__ import annotations
 
@@ -6,11 +6,26 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows that a step hands to Python at once: texts are long, and what is in flight counts twice, there and in the JVM.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows of an Arrow batch to BATCH_ROWS, if they are more; results do not depend on it."""
+    rows = int(spark.conf.get(ARROW_ROWS))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
 
 
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, whose worker gives freed memory back to the system when the task ends: workers wait for more tasks, and
-    what they hold counts against their executor."""
+    what they hold counts against their executor. Made on the driver, where it also sees to small batches."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        small_batches(session)
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
