@@ -46,9 +46,14 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     blank = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
     keyed = docs.where(~blank).withColumn("_row", _row_key())
-    flags = minhash.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), Scratch(spark, "dedup"))
-    kept = flags.where("kept").select(F.col("doc_id").alias("_row")).distinct()
-    named = keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"])
+    scratch = Scratch(spark, "dedup")
+    flags = scratch.put(minhash.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), scratch), "flags")
+    gone = flags.where("NOT kept").select(F.col("doc_id").alias("_row")).distinct()
+    # texts are not shuffled where the rows that go are few enough to be broadcast, and gathered by key only if a key is repeated
+    gone = F.broadcast(gone) if gone.count() <= minhash.BROADCAST_IDS else gone
+    named = keyed.join(gone, "_row", "left_anti")
+    if not flags.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").isEmpty():
+        named = named.dropDuplicates(["_row"])
     return named.select(*docs.columns).unionByName(docs.where(blank))
 
 
