@@ -60,14 +60,18 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _numbered(lines: DataFrame) -> DataFrame:
-    """Lines numbered in file order: within each split, then by the lines of the splits before it.
+    """Lines numbered in file order, files of a folder in the order of their names: within each split of a file, then by the
+    lines of the splits before it.
 
-    Spark's row ids rise along the splits of a scan; counts of splits are few and summed up in a window.
+    A scan may take splits in any order; the place of a split is that of its file and its start. Row ids rise along a split without
+    a gap. Counts of splits are few and summed up in a window.
     """
-    tagged = lines.withColumn("_id", F.monotonically_increasing_id()).withColumn("_split", F.shiftright("_id", 33)).withColumn("_in", F.col("_id").bitwiseAND((1 << 33) - 1))
-    counts = tagged.groupBy("_split").count()
-    before = F.coalesce(F.sum("count").over(Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return tagged.join(F.broadcast(counts.select("_split", before.alias("_offset"))), "_split").select("value", (F.col("_offset") + F.col("_in")).alias("line"))
+    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
+    tagged = lines.select("value", *split, F.monotonically_increasing_id().alias("_id"))
+    counts = tagged.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_count"), F.min("_id").alias("_first"))
+    before = F.coalesce(F.sum("_count").over(Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a row for each split of the files
+    return tagged.join(F.broadcast(counts.select("_file", "_start", (before - F.col("_first")).alias("_shift"))), ["_file", "_start"]).select("value", (F.col("_id") + F.col("_shift")).alias("line"))
 
 
 def read_vcf_records(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:

@@ -3,8 +3,11 @@
 import duckdb
 import pytest
 
-from genoframe.plans.oracles import ORACLES
-from genoframe.plans.queries import QUERIES
+from genoframe.plans.file_queries import FILE_ORACLES, FILE_QUERIES
+from genoframe.plans.oracles import ORACLES as PLAIN_ORACLES
+from genoframe.plans.queries import QUERIES as PLAIN_QUERIES
+
+QUERIES, ORACLES = PLAIN_QUERIES | FILE_QUERIES, PLAIN_ORACLES | FILE_ORACLES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
 

@@ -242,3 +242,22 @@ def test_streamed_ingest(spark, tmp_path):
     run()
     rows = {(r.canonical_id, r.status) for r in spark.read.parquet(out).collect()}
     assert rows == {("chr1:101:A:T", "PENDING"), ("chr1:101:C:T", "REF_MISMATCH"), ("chr1:102:C:*", "UNSUPPORTED")} and spark.read.parquet(out).count() == 3
+
+
+def test_lines_are_numbered_over_files_and_splits(spark, tmp_path):
+    sizes = [3, 4000, 1, 900]  # a scan takes large splits first
+    wanted = []
+    for k, n in enumerate(sizes):
+        lines = [f"{k}-{j}-{'x' * (j % 13)}" for j in range(n)]
+        (tmp_path / f"part-{k:05d}.txt").write_text("\n".join(lines) + "\n")
+        wanted += lines
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = readers._text(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 5
+        got = rows.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r.value for r in sorted(got, key=lambda r: r.line)] == wanted
+    assert sorted(r.line for r in got) == list(range(len(wanted)))
