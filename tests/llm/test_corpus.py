@@ -267,37 +267,49 @@ def test_elias_fano():
         assert (place == np.searchsorted(v, q)).all() and (found == np.isin(q, v)).all()
 
 
-@pytest.mark.parametrize("block", [4 << 20, 300])
-def test_model_is_its_definition(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "order"), [(4 << 20, 2), (300, 2), (300, 3), (4 << 20, 4)])
+def test_model_is_its_definition(spark, monkeypatch, block, order):
     monkeypatch.setattr(lm, "BLOCK_BYTES", block)
-    monkeypatch.setattr(lm, "HOT", 16)
+    monkeypatch.setattr(lm, "HOT", 64)
     monkeypatch.setattr(lm, "SHARD_TOKENS", 400)
     rng = np.random.default_rng(3)
-    texts = [" ".join(f"{'Ww'[k % 2]}{min(int(x), 40)}" for k, x in enumerate(rng.zipf(1.3, rng.integers(0, 60)))) for _ in range(200)] + [None, "", " \n", "never seen words"]
+    texts = [" ".join(f"{'Ww'[k % 2]}{min(int(x), 40)}" for k, x in enumerate(rng.zipf(1.3, rng.integers(0, 60)))) for _ in range(200)] + ["w1 w2 w1"] * 150 + [None, "", " \n", "never seen words"]
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("score", T.StringType())])
-    got = {r.doc_id: r for r in lm.score(spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], schema), Scratch(spark, "t")).collect()}
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], schema), Scratch(spark, "t"), order).collect()}
     tokens = [[*brute.words(t), "</s>"] for t in texts]
     train = [zlib.crc32(str(k).encode()) % 7 != 2 for k in range(len(texts))]
     c = Counter(w for t, ok in zip(tokens, train) if ok for w in t)
-    pairs = Counter(p for t, ok in zip(tokens, train) if ok for p in zip(["</s>", *t], t))
-    kinds, n, v = Counter(a for a, _ in pairs), sum(c.values()), len(c)
+
+    def grams(t, k):  # as many ends as the order needs stand before a text
+        padded = ["</s>"] * (k - 1) + t
+        return [tuple(padded[j : j + k]) for j in range(len(t))]
+
+    times = {k: Counter(g for t, ok in zip(tokens, train) if ok for g in grams(t, k)) for k in range(2, order + 1)}
+    context = {k: Counter() for k in times}
+    for k, many in times.items():
+        for g, m in many.items():
+            context[k][g[:-1]] += m
+    kinds = {k: Counter(g[:-1] for g in many) for k, many in times.items()}
+    n, v = sum(c.values()), len(c)
     n1, n2 = (sum(x == k for x in c.values()) for k in (1, 2))
     d = n1 / (n1 + 2 * n2) if n1 else 0.5
 
-    def p(a, b):
-        low = (c[b] - d) / n if c[b] else d * v / n
-        if not c[a]:
-            return low
-        return max(pairs[a, b] - 0.75, 0) / c[a] + 0.75 * kinds[a] / c[a] * low
+    def p(g):
+        k = len(g)
+        if k == 1:
+            return (c[g[0]] - d) / n if c[g[0]] else d * v / n
+        low, seen = p(g[1:]), context[k][g[:-1]]
+        return max(times[k][g] - 0.75, 0) / seen + 0.75 * kinds[k][g[:-1]] / seen * low if seen else low
 
     for k, t in enumerate(tokens):
         r = got[k]
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(t), sum(c[w] > 0 for w in t), n, not train[k])
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t))
-        assert r.score == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip(["</s>", *t], t)), abs=2e-4 * len(t))
-    assert sum(c[w] > max(n / 16, 100) for w in c) >= 2  # some contexts are dealt by pair
+        assert r.score == pytest.approx(sum(math.log10(p(g)) for g in grams(t, order)), abs=2e-4 * order * len(t))
+    for k in times:  # some contexts of each order are dealt by the n-gram
+        assert sum(m > max(n / 64, 100) for m in context[k].values()) >= 2
     # probabilities after a context add up to one with the unknown words'
-    assert sum(p("w1", w) for w in c) + p("w1", "unknown!") == pytest.approx(1)
+    assert sum(p((*["w1"] * (order - 1), w)) for w in c) + p((*["w1"] * (order - 1), "unknown!")) == pytest.approx(1)
 
 
 def test_hot_context_with_one_successor_in_many_shards(spark, monkeypatch):
@@ -325,7 +337,7 @@ def test_counts_and_names_are_wide():
     # successors whose names differ in their last bits only, in a context of many
     names = np.sort(np.array([*range(300), (1 << 56) - 1], np.uint64) * np.uint64(1) | np.uint64(5 << 40))
     context = np.full(len(names), 7, np.uint64)
-    made, _, _ = lm.shard_trie(context, names, np.arange(1, len(names) + 1), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    made, *_ = lm.shard_trie(context, names, np.arange(1, len(names) + 1), np.zeros(0, np.uint64), np.zeros(0, np.int64), 1e9)
     trie = eliasfano.NgramTrie(made)
     asked = np.concatenate([names[::7], names[::7] ^ np.uint64(1 << 50)])
     code, left = trie.lookup(np.full(len(asked), 7, np.uint64), asked)
