@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: With it a statement's shuffle files go when the statement ends. No later plan reads those of a written step.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,10 +32,15 @@ class Scratch:
         self._next = 0
 
     def put(self, df: DataFrame, label: str = "step") -> DataFrame:
-        """Writes ``df`` as Parquet and reads it again."""
+        """Writes ``df`` as Parquet and reads it again; what it was shuffled through is given back at once."""
         self._next += 1
         path = f"{self.root}/{self._next:03d}-{label}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
