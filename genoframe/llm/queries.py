@@ -82,7 +82,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(_table(spark, sf_dir, "documents"), Scratch(spark, "op8"), order=3)
+    return lm.score(_table(spark, sf_dir, "documents"), Scratch(spark, "op8"), order=2)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
