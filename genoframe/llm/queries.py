@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoframe.llm import bpe, embedding_dedup, hilbert, html, langid, lm, minhash, mixing, quality, warc
+from genoframe.llm import bpe, decontaminate, embedding_dedup, hilbert, html, langid, lm, minhash, mixing, phrases, quality, warc
 from genoframe.llm.scratch import Scratch
 
 #: The public vocabularies' folder is found on each machine; every path is a parameter of the operators.
@@ -95,7 +95,15 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op10"))
 
 
-QUERIES = {"op1_html": op1_html, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op4_warc_revisits": op4_warc_revisits, "op5_hilbert_ann": op5_hilbert_ann, "op6_minhash": op6_minhash, "op7_quality": op7_quality, "op8_ngram_lm": op8_ngram_lm, "op9_language_id": op9_language_id, "op10_embedding_dedup": op10_embedding_dedup}
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.flags(decontaminate.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(_table(spark, sf_dir, "documents"), Scratch(spark, "op12"))
+
+
+QUERIES = {"op1_html": op1_html, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op4_warc_revisits": op4_warc_revisits, "op5_hilbert_ann": op5_hilbert_ann, "op6_minhash": op6_minhash, "op7_quality": op7_quality, "op8_ngram_lm": op8_ngram_lm, "op9_language_id": op9_language_id, "op10_embedding_dedup": op10_embedding_dedup, "op11_decontamination": op11_decontamination, "op12_phrases": op12_phrases}
 
 #: One demand inverse for each parity of a source's place: time steps of a quarter, weights 4 3 2 1 or 1 2 3 4 (integral 2.5).
 _OP2_SQL = r"""
@@ -166,4 +174,33 @@ r(vec_id, id) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.id F
 SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = r.vec_id) AS n_links, min(id) AS component_id, vec_id = min(id) AS kept FROM r GROUP BY vec_id
 """
 
-ORACLES = {"op2_mixing": _OP2_SQL, "op4_warc_revisits": _OP4_SQL, "op6_minhash": _OP6_SQL, "op10_embedding_dedup": _OP10_SQL}
+#: Windows of every item, as phrases, met by the phrases of each document that have their number of words.
+_OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+z AS (SELECT item_id, w, CAST(least(len(w), 10) AS BIGINT) AS m FROM i WHERE len(w) > 0),
+p AS (SELECT DISTINCT item_id, m, unnest(list_transform(range(1, CAST(len(w) AS BIGINT) - m + 2), lambda k: array_to_string(w[k:k + m - 1], ' '))) AS phrase FROM z),
+x AS (SELECT r, m, unnest(list_transform(range(1, CAST(len(w) AS BIGINT) - m + 2), lambda k: {'k': k, 'phrase': array_to_string(w[k:k + m - 1], ' ')})) AS at FROM d, (SELECT DISTINCT m FROM p)),
+h AS (SELECT x.r, x.at.k AS k, x.m, p.item_id FROM x JOIN p ON p.m = x.m AND p.phrase = x.at.phrase),
+c AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT DISTINCT r, unnest(range(k, k + m)) AS place FROM h) GROUP BY r),
+n AS (SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY encode(name)) AS names FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS name FROM h WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON c.r = d.r LEFT JOIN n ON n.r = d.r
+"""
+
+#: All phrases of up to five words counted, scored at every cut.
+_OP12_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, unnest(list_transform(range(1, CAST(len(w) AS BIGINT) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 6) t(k)) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k >= 2 AND f >= 100),
+o AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c q WHERE q.lang = c.lang AND q.k > c.k AND 100 * q.a >= 100 * c.a AND contains(' ' || q.phrase || ' ', ' ' || c.phrase || ' '))),
+s AS (SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:k], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM o)),
+t AS (SELECT s.lang, s.phrase, a, j, l.f AS l, r.f AS r, n, CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+      FROM s JOIN g l ON l.lang = s.lang AND l.phrase = s.x JOIN g r ON r.lang = s.lang AND r.phrase = s.y JOIN n ON n.lang = s.lang),
+b AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM b) WHERE rank <= 2000
+"""
+
+ORACLES = {"op2_mixing": _OP2_SQL, "op4_warc_revisits": _OP4_SQL, "op6_minhash": _OP6_SQL, "op10_embedding_dedup": _OP10_SQL, "op11_decontamination": _OP11_SQL, "op12_phrases": _OP12_SQL}

@@ -72,9 +72,10 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         first = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> Words:
+    """``space`` tells which of the 256 bytes part words."""
     n = len(data)
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     breaks = offsets[(offsets > 0) & (offsets < n)]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -89,6 +90,14 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(np.searchsorted(starts, offsets), hashes, starts, ends, data)
 
 
+def bytes_in(*ranges: tuple[int, int]) -> np.ndarray:
+    """Which of the 256 bytes lie in one of the closed ranges."""
+    out = np.zeros(256, bool)
+    for first, last in ranges:
+        out[first : last + 1] = True
+    return out
+
+
 def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash), sorted by both: the distinct runs of ``size`` words of each text.
 

@@ -20,7 +20,7 @@ DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("sourc
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_against_sql(spark, sf_dir, name):
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         c.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     got, wanted = queries.QUERIES[name](spark, sf_dir), c.sql(queries.ORACLES[name])
     columns = sorted(got.columns)
