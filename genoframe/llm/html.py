@@ -11,9 +11,9 @@ page's article or main element, or all but a small part of its score.
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -28,9 +28,12 @@ BATCH = 512
 THRESHOLD, SEMANTIC = 0.2, 20.0
 #: Smoothing of a path's ratios over its neighbours on the page.
 KERNEL = (0.25, 0.5, 0.25)
-LINKED = 0.6
+#: Shares of letters within links from which a container consists of links, and behind the best container; words of a signature.
+LINKED, LINKED_BEHIND, SIGNATURE = 0.6, 0.3, 4
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)""", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
+#: The rest of a tag whose quotes are closed. Nothing is given back, so a failed attempt reads each letter once.
+_REST = re.compile(r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+""")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _PUNCTUATION = re.compile(r"[.,;:!?。、，；：！？]")
 RAW = frozenset(("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"))
@@ -68,6 +71,8 @@ class Block(NamedTuple):
     root: int  # number of the outermost article or main element around it, 0 outside
     linked: int  # characters within links
     named: int  # number of the innermost element around it that has a name of SKIPPED_NAMES, 0 outside
+    item: int  # number of the container element itself
+    heading: bool
 
 
 class _Named(NamedTuple):
@@ -84,6 +89,10 @@ class _Open(NamedTuple):
     link: bool
     header: bool
     named: int
+    item: int
+
+
+_NONE: frozenset[str] = frozenset()
 
 
 def _names(found: dict[str, str]) -> set[str]:
@@ -101,23 +110,34 @@ def _names(found: dict[str, str]) -> set[str]:
     return out
 
 
-def _skips(tag: str, attributes: str, above: _Open | None) -> tuple[bool, str, bool, frozenset[str]]:
-    """(whether the element is left out, its label in paths, whether it is a header within an article, names that may leave it out)."""
+def _own(tag: str, attributes: str) -> tuple[str, bool, frozenset[str]]:
+    """(an element's label in paths, whether it is left out by itself, names that may leave it out)."""
+    if not attributes or attributes.isspace():
+        return tag, tag in SKIPPED, _NONE
     found: dict[str, str] = {}
     for k, v in _ATTRIBUTE.findall(attributes):
         found.setdefault(k.lower(), v.strip("\"'").lower())  # the first of a name holds
     names = _names(found)
-    none: frozenset[str] = frozenset()
     label = tag + "".join(f".{n}" for n in found.get("class", "").split()) + (f"#{found['id']}" if found.get("id") else "")
-    if above is not None and above.skipped and not (above.header and tag in HEADINGS):
-        return True, label, above.header, none
-    if tag == "header":
-        return True, label, bool(above and above.root), none
     if tag in ("html", "body", "article", "main"):
-        return False, label, False, frozenset(names & {"comment", "comments", "reply"}) if tag == "article" else none
+        return label, False, frozenset(names & {"comment", "comments", "reply"}) if tag == "article" else _NONE
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
     named = frozenset(names & (SKIPPED_NAMES | HEADER_NAMES if tag in ("div", "section", "table", "td") else SKIPPED_NAMES))
-    return tag in SKIPPED or hidden or found.get("role") in SKIPPED_ROLES, label, False, named
+    return label, tag in SKIPPED or hidden or found.get("role") in SKIPPED_ROLES, named
+
+
+#: Elements repeat on a page and over pages; what is remembered is bounded in number and length.
+_own_known = functools.lru_cache(maxsize=4096)(_own)
+
+
+def _skips(tag: str, attributes: str, above: _Open | None) -> tuple[bool, str, bool, frozenset[str]]:
+    """(whether the element is left out, its label in paths, whether it is a header within an article, names that may leave it out)."""
+    label, skipped, named = (_own_known if len(attributes) < 256 else _own)(tag, attributes)
+    if above is not None and above.skipped and not (above.header and tag in HEADINGS):
+        return True, label, above.header, _NONE
+    if tag == "header":
+        return True, label, bool(above and above.root), _NONE
+    return skipped, label, False, named
 
 
 def blocks(page: str) -> list[Block]:
@@ -125,13 +145,13 @@ def blocks(page: str) -> list[Block]:
     return _candidates(page)[0]
 
 
-def _candidates(page: str) -> tuple[list[Block], list[int]]:
-    """(blocks, the path around each path)."""
+def _candidates(page: str) -> tuple[list[Block], list[int], list[tuple[str, int]]]:
+    """(blocks, the path around each path, tag and named element of each article and main element)."""
     out, named, homes, around = _read(page)
     if not any(b.named for b in out):
-        return out, around
+        return out, around, homes
     kept = _outweighed(out, named, homes)
-    return [b for b in out if kept[b.named]], around
+    return [b for b in out if kept[b.named]], around, homes
 
 
 def _outweighed(found: list[Block], named: list[_Named], homes: list[tuple[str, int]]) -> list[bool]:
@@ -205,15 +225,15 @@ def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]],
     around = [-1]
     stack = _Stack()
     parts: list[str] = []
-    roots = linked = 0
+    roots = linked = items = 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
-            text = " ".join(entities.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
                 top = stack.top()
-                out.append(Block(text, top.path, top.container, top.root, linked, top.named) if top else Block(text, 0, 0, 0, linked, 0))
+                out.append(Block(text, top.path, top.container, top.root, linked, top.named, top.item, top.tag in HEADINGS) if top else Block(text, 0, 0, 0, linked, 0, 0, False))
             parts.clear()
         linked = 0
 
@@ -221,7 +241,8 @@ def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]],
         nonlocal linked
         top = stack.top()
         if end > start and not (top and top.skipped):
-            parts.append(page[start:end])
+            part = page[start:end]
+            parts.append(entities.unescape(part) if "&" in part else part)  # a reference ends with its part
             if top and top.link:
                 linked += end - start
 
@@ -229,23 +250,31 @@ def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]],
         flush()
         stack.cut(depth)
 
-    at, n = 0, len(page)
+    at, n, loose = 0, len(page), 0
     while at < n:
         begin = page.find("<", at)
         if begin < 0:
             text(at, n)
             break
-        m = _TOKEN.match(page, begin)
-        if m is None:  # a lone <
-            text(at, begin + 1)
-            at = begin + 1
+        m = _NAME.match(page, begin)
+        if m is None:
+            if page.startswith(("<!", "<?"), begin):
+                text(at, begin)
+                end = page.find("-->", begin + 4) if page.startswith("<!--", begin) else page.find(">", begin)
+                at = n if end < 0 else end + (3 if page.startswith("<!--", begin) else 1)
+            else:  # a lone <
+                text(at, begin + 1)
+                at = begin + 1
             continue
         text(at, begin)
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
-            continue
-        if m[1] or m[4]:  # an end tag
+        end = _REST.match(page, m.end()).end() if begin >= loose else -1
+        if end < 0 or end >= n or page[end] != ">":  # a quote is open to the end: up to there quotes are letters
+            loose = max(loose, end)
+            end = page.find(">", m.end())
+            end = n if end < 0 else end
+        tag, attributes = m[1].lower(), page[m.end() : end]
+        at = end + 1
+        if page[begin + 1] == "/":  # an end tag
             depth = stack.last((tag,))
             if depth >= 0 and tag in BLOCK:
                 close(depth)
@@ -266,7 +295,7 @@ def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]],
         if tag in VOID:
             continue
         above = stack.top()
-        skipped, label, header, names = _skips(tag, m[3] or m[6] or "", above)
+        skipped, label, header, names = _skips(tag, attributes, above)
         root, within = (above.root, above.named) if above else (0, 0)
         if names and not skipped:
             named.append(_Named(within, bool(names & SURE_NAMES)))
@@ -285,7 +314,9 @@ def _read(page: str) -> tuple[list[Block], list[_Named], list[tuple[str, int]],
         path = paths.setdefault((outer, label), len(around))
         if path == len(around):
             around.append(outer)
-        stack.push(_Open(tag, path, path if tag in BLOCK and tag not in LEAF else home, skipped, root, tag == "a" or bool(above and above.link), header, within))
+        holds = tag in BLOCK and tag not in LEAF
+        items += holds
+        stack.push(_Open(tag, path, path if holds else home, skipped, root, tag == "a" or bool(above and above.link), header, within, items if holds else above.item if above else 0))
     flush()
     return out, named, homes, around
 
@@ -317,32 +348,57 @@ def _around(paths: set[int], outer: list[int]) -> int:
     return 0
 
 
+def _below(path: int, outer: list[int]) -> list[bool]:
+    """Which paths are ``path`` or lie within it."""
+    out = [False] * len(outer)
+    for k in range(len(outer)):
+        out[k] = k == path or (k > 0 and out[outer[k]])
+    return out
+
+
+def _signed(found: list[Block], own: list[int]) -> bool:
+    """Whether blocks are those of several elements that each begin with a signature, as readers' comments do: a few words that are
+    no heading and end no sentence, then more."""
+    items: dict[int, list[Block]] = {}
+    for k in own:
+        items.setdefault(found[k].item, []).append(found[k])
+    signs = lambda x: len(x) > 1 and not x[0].heading and len(x[0].text.split()) <= SIGNATURE and not x[0].text.rstrip()[-1:] in ".!?。！？"
+    return len(items) > 1 and all(map(signs, items.values()))
+
+
 def main_text(page: str | None) -> str:
-    """The blocks of the selected containers, white space within each turned into one space, joined by line ends."""
-    found, outer = _candidates(page or "")
+    """The blocks of the selected containers, white space within each turned into one space, joined by line ends.
+
+    Containers that consist of links are left out, those behind the best one with fewer links too; so are, behind it, repeated elements
+    that begin with a signature, and articles outside of a main element that is the best.
+    """
+    found, outer, homes = _candidates(page or "")
     if not found:
         return ""
-    group = [-b.root if b.root else b.container for b in found]
-    score: dict[int, float] = {}
-    for g, own in zip(group, _block_scores(found), strict=True):
-        score[g] = score.get(g, 0.0) + own
-    share = {g: 0.0 for g in score}
-    size = dict.fromkeys(score, 1)
-    for g, b in zip(group, found, strict=True):
-        share[g] += b.linked
-        size[g] += len(b.text)
+    own: dict[int, list[int]] = {}  # blocks of each container, articles and main elements below 0
+    for k, b in enumerate(found):
+        own.setdefault(-b.root if b.root else b.container, []).append(k)
+    scores = _block_scores(found)
+    score = {g: sum(scores[k] for k in ks) for g, ks in own.items()}
+    share = {g: sum(found[k].linked for k in ks) / (1 + sum(len(found[k].text) for k in ks)) for g, ks in own.items()}
     best = max(score, key=lambda g: score[g])
-    inside = {g for g in score if g < 0 or (score[g] >= THRESHOLD * score[best] and share[g] / size[g] < LINKED)}
-    if inside and not any(b.root for b in found):
+    last = own[best][-1]
+    plain = {g for g in own if share[g] < (LINKED if own[g][0] < last else LINKED_BEHIND)} | {best}
+    each = lambda g: score[g] / len(own[g])
+    main = best < 0 and homes[-best][0] == "main"
+    inside = {best} | {g for g in plain if (g < 0 and (not main or homes[-g][0] == "main")) or (g >= 0 and score[g] >= THRESHOLD * score[best])}
+    inside |= {g for g in plain if g >= 0 and each(g) >= THRESHOLD * each(best)}
+    if best >= 0 and not any(g < 0 for g in own):
         first = max(inside, key=lambda g: score[g])
         around = _around((inside - {first}) | {max(outer[first], 0)}, outer)
-        below = [False] * len(outer)
-        for path in range(len(outer)):
-            below[path] = path == around or (path > 0 and below[outer[path]])
-        inside |= {g for g in score if below[g] and share[g] / size[g] < LINKED}
-    number = Counter(group)
-    inside |= {g for g in score if score[g] / number[g] >= THRESHOLD * score[best] / number[best] and share[g] / size[g] < LINKED}
-    return "\n".join(b.text for g, b in zip(group, found, strict=True) if g in inside)
+        within = _below(around, outer)
+        inside |= {g for g in plain if within[g]}
+        # readers' comments, with what else the element around them holds
+        within = _below(best, outer)
+        for g in [g for g in inside if not within[g] and own[g][0] > last and _signed(found, own[g])]:
+            inside -= {g} | {x for x in inside if x == outer[g] and own[x][0] > last}
+    chosen = sorted(k for g in inside for k in own[g])
+    return "\n".join(found[k].text for k in chosen)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -168,13 +168,61 @@ def test_long_pages_are_linear():
     assert html.main_text("<div>" * 3_000 + "deep" + "</div>" * 3_000) == "deep"
 
 
-@pytest.mark.parametrize("page", ["<div>x" * 160_000, "<div>" * 100_000 + "</p>" * 100_000 + "x", "<i>" + "<div>" * 100_000 + "</i>" * 100_000 + "x", "<ul><li>x" * 80_000, "<div>" * 50_000 + "<b>x<p>y" * 50_000, "<div class=ad><div>x" * 40_000, "<table><tr><td>" * 50_000 + "x", "<a '\">x" * 100_000])
-def test_a_megabyte_of_nested_markup_is_read_in_linear_time(page):
+_MARKUP = ["<div>x", "<div></p>", "<i><div></i>", "<ul><li>x", "<div><b>x<p>y", "<div class=ad><div>x", "<table><tr><td>", "<a '\">x", "<a", "a", "<a 'x>", "<a \"x>", "<a b=\"", "<a b = ", "<!-", "<!--", "<", "</", "&am", "<p title='a>b' "]
+
+
+@pytest.mark.parametrize("part", _MARKUP)
+@pytest.mark.parametrize("begin,end", [("", ""), ("<p>hello</p><", ""), ("", '"'), ("<b>", "'>")])
+def test_broken_and_nested_markup_is_read_in_linear_time(part, begin, end):
+    """Ten times the text takes about ten times the time; quadratic reading would take a hundred times."""
     import time
 
-    began = time.process_time()
-    html.main_text(page)
-    assert time.process_time() - began < 6
+    def took(n):
+        page = begin + part * n + end
+        times = []
+        for _ in range(2):
+            at = time.process_time()
+            html.main_text(page)
+            times.append(time.process_time() - at)
+        return min(times)
+
+    n = 40_000 // len(part)
+    assert took(10 * n) < 40 * max(took(n), 0.005)
+
+
+def test_cut_off_tags_end_the_page():
+    assert html.main_text("<p>hello</p><" + "a" * 1_000_000) == "hello"
+    assert html.main_text("<p>hello</p>" + "<a" * 500_000) == "hello"
+    assert html.main_text("<p>one</p><a href='x>two</a><p>three</p>") == "one\ntwo\nthree"
+
+
+def test_character_references_end_with_their_part():
+    assert html.main_text("<p>&am<b>p;</b> &lt;b&gt; &amp;amp; &#233;&eacute &nbsp; x</p>") == "&amp; <b> &amp; éé x"
+
+
+LONG = "<h1>Title</h1>" + "<p>A long paragraph, with marks; and with more of them, too: yes.</p>" * 8
+LONG_TEXT = "\n".join(["Title"] + ["A long paragraph, with marks; and with more of them, too: yes."] * 8)
+NOTES = "<div class=usernotes><h3>2 notes</h3>" + "".join(f"<div class=note><b>{who}</b><p>{what}</p></div>" for who, what in (("bob", "I liked it, thanks."), ("al on 3 May", "Me too, really. It is long, and has marks; yes."))) + "</div>"
+LINKS = "<div class='site-links'>(c) Example Ltd, <a href=a>About the site</a> | <a href=b>Help</a></div>"
+
+
+@pytest.mark.parametrize("wrap", ["<body><div class=content>{}</div>{}</body>", "<body><div id=page><div class=text>{}</div>{}</div></body>", "<body><article>{}</article>{}</body>", "<body><main>{}</main>{}</body>"])
+@pytest.mark.parametrize("rest", [NOTES, LINKS, NOTES + LINKS])
+def test_comments_and_link_lists_are_told_by_their_shape(wrap, rest):
+    assert html.main_text(wrap.format(LONG, rest)) == LONG_TEXT
+
+
+def test_footnotes_and_sections_are_not_comments():
+    notes = "<div class=notes><div class=note><p>1. See the book, page 7.</p></div><div class=note><p>2. See another book.</p></div></div>"
+    assert html.main_text(f"<body><div class=content>{LONG}</div>{notes}</body>") == LONG_TEXT + "\n1. See the book, page 7.\n2. See another book."
+    sections = "".join(f"<section><h2>Part {k}</h2><p>Some text of the part, as it is.</p></section>" for k in range(3))
+    assert html.main_text(f"<body><div class=content>{LONG}{sections}</div></body>").count("Some text of the part, as it is.") == 3
+
+
+@pytest.mark.parametrize("teaser", ["<article class=card><a href=x><h3>Other story</h3></a></article>" * 2, "<article><a href=x>Another story of today</a><p>Short.</p></article>"])
+def test_teaser_articles_go(teaser):
+    for page in (f"<body><article>{LONG}</article>{teaser}</body>", f"<body><main><article>{LONG}</article></main>{teaser}</body>", f"<body><main>{LONG}</main><div>{teaser}</div></body>"):
+        assert html.main_text(page) == LONG_TEXT
 
 
 def test_names_inside_an_article_are_no_reason_to_cut_it():
