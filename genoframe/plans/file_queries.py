@@ -20,7 +20,7 @@ from genoframe.plans import jobs
 from genoframe.plans.oracles import _CODE, _ORDER, _SEQ, ORACLES, _with
 from genoframe.plans.queries import CONTIGS, QUERIES, SPAN
 from genoframe.plans.views import ORDER, V_SQL, Views
-from genoframe.sources import readers, sinks
+from genoframe.sources import readers, shards, sinks
 from genoframe.streaming import batches
 
 FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,6 +269,23 @@ def write_once_shards(v):
     return v.spark.read.parquet(path).select("o_orderkey", "o_totalprice", *flags, F.lit(told["rows"]).cast("long").alias("manifest_rows"))
 
 
+@query("SELECT CAST(o_orderkey % 3 AS INTEGER) AS bucket, o_orderkey, o_totalprice, '0,1,2,3,4;;2,3;0,1,2' AS written FROM orders")
+def bucket_shards(v):
+    """Five buckets; nothing to do; a lost and a damaged one; then three buckets, of which no old one is left."""
+    path = folder(v)
+    rows = v.table("orders").select("o_orderkey", "o_totalprice")
+
+    def run(buckets: int) -> str:
+        some = lambda numbers: rows.withColumn("bucket", F.expr(f"CAST(o_orderkey % {buckets} AS int)")).where(F.col("bucket").isin(numbers))
+        return ",".join(map(str, shards.complete(some, path, "bucket", range(buckets), f"plan of {buckets}", 2)))
+
+    ran = [run(5), run(5)]
+    sinks.delete(v.spark, f"{path}/bucket=2")
+    rows.limit(1).write.mode("append").parquet(f"{path}/bucket=3")
+    ran += [run(5), run(3)]
+    return v.spark.read.parquet(path).select("bucket", "o_orderkey", "o_totalprice", F.lit(";".join(ran)).alias("written"))
+
+
 @query(_with("k", "SELECT DISTINCT canonical_id, CAST(2 - pos % 2 AS INTEGER) AS run FROM k"))
 def append_scores(v):
     """Odd positions are scored by the first run, the rest by the second; the third finds nothing to do."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from genoframe.operators import inference, ingest
 from genoframe.plans import pipelines
-from genoframe.sources import sinks
+from genoframe.sources import readers, shards, sinks
 
 BUCKETS = 64
 
@@ -32,11 +32,12 @@ def _bucketed(variants: DataFrame, buckets: int) -> DataFrame:
     return variants.withColumn("bucket", F.pmod(F.xxhash64("canonical_id"), F.lit(buckets)).cast("int"))
 
 
-def in_buckets(variants: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, fingerprint: str, buckets: int = BUCKETS) -> int:
-    """Writes ``work`` of each bucket of the variants to ``out/bucket=N``, each once: a job that was stopped goes on with the
-    buckets that are not complete. Returns how many were written."""
+def in_buckets(variants: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, fingerprint: str, buckets: int = BUCKETS, at_once: int | None = None) -> int:
+    """Writes ``work`` of the variants, which keeps their ``canonical_id``, to ``out/bucket=N``; buckets that an earlier run with the same
+    fingerprint and number of buckets has written stay, see ``shards.complete``. Returns how many were written."""
     rows = _bucketed(_prepared(variants), buckets)
-    return sum(sinks.write_once(work(rows.where(F.col("bucket") == b).drop("bucket")), f"{out}/bucket={b}", f"{fingerprint}-{b}-{buckets}", f"{out}/_bucket-{b}.json") for b in range(buckets))
+    some = lambda numbers: _bucketed(work(rows.where(F.col("bucket").isin(numbers)).drop("bucket")), buckets)
+    return len(shards.complete(some, out, "bucket", range(buckets), f"{fingerprint}-{buckets}", at_once))
 
 
 def mark(**parts) -> str:
@@ -80,10 +81,5 @@ def attribute_variants(variants: DataFrame, contigs: DataFrame, load: Callable,
     return in_buckets(variants, lambda rows: inference.attribute(inference.with_windows(rows, contigs, width), load, shuffles), out, fingerprint, buckets)
 
 
-def files_mark(spark: SparkSession, *paths: str) -> str:
-    """A fingerprint of the files at ``paths``: names, sizes and times of change."""
-    listed = []
-    for path in paths:
-        for r in spark.read.format("binaryFile").load(path).select("path", "length", F.col("modificationTime").cast("string").alias("at")).orderBy("path").collect():
-            listed.append([r.path, r.length, r.at])
-    return mark(files=listed)
+#: A fingerprint of files.
+files_mark = readers.files_mark

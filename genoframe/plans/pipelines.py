@@ -109,8 +109,8 @@ def preprocess(spark: SparkSession, path: str, fasta: str, region_table: DataFra
     regions.checked(categories)
     target = next(m["sample"] for m in context["members"] if m["relationship"] == "PROBAND") if context else None
     rows = readers.vcf_occurrences(spark, path, genome, target) if kind == "vcf" else readers.tsv_occurrences(spark, path, genome)
-    digest = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("sha256"), "length").first()
-    mark = hashlib.sha256(json.dumps([digest.sha256, VERSION, genome, width, target]).encode()).hexdigest()
+    digest, size = readers.text_digest(spark, path)
+    mark = hashlib.sha256(json.dumps([digest, readers.files_mark(spark, fasta), VERSION, genome, width, target]).encode()).hexdigest()
     checked = validate.validate(rows.drop("canonical_variant_id").withColumnRenamed("chr", "chrom"), readers.read_fasta_chunks(spark, fasta), width)
     named = ingest.with_canonical_id(checked, name="canonical_variant_id").withColumnRenamed("chrom", "chr")
     sinks.write_once(named, f"{out}/occurrences", mark)
@@ -135,7 +135,7 @@ def preprocess(spark: SparkSession, path: str, fasta: str, region_table: DataFra
         F.count_distinct(F.when(good, F.col("canonical_variant_id"))).alias("unique_canonical_variants"),
     ).first().asDict()
     records = (readers.read_vcf_records(spark, path)[1] if kind == "vcf" else rows).count()
-    manifest = {"source_format": kind, "input_sha256": digest.sha256, "input_size_bytes": digest.length, "record_count": records, **totals, "duplicate_canonical_occurrences": max(0, totals["valid_occurrence_count"] - totals["unique_canonical_variants"]), "categories": counts, "fingerprint": mark}
+    manifest = {"source_format": kind, "input_digest": digest, "input_size_bytes": size, "record_count": records, **totals, "duplicate_canonical_occurrences": max(0, totals["valid_occurrence_count"] - totals["unique_canonical_variants"]), "categories": counts, "fingerprint": mark}
     sinks.write_manifest(spark, f"{out}/manifest.json", manifest)
     return manifest
 
@@ -192,8 +192,8 @@ def annotation_fields(results: DataFrame, models: list[dict], model_scores: bool
 
 def export_vcf(spark: SparkSession, vcf: str, buckets: str, models: list[dict], manifest: dict, out: str, prefix: str, model_scores: bool = True) -> dict:
     """Writes the input VCF with the results' fields; the input must be the manifest's, and every allele must have one result row."""
-    digest = spark.read.format("binaryFile").load(vcf).select(F.sha2("content", 256).alias("sha256")).first().sha256
-    if digest != manifest["input_sha256"]:
+    digest, _ = readers.text_digest(spark, vcf)
+    if digest != manifest["input_digest"]:
         raise augment.Misaligned(f"{vcf} is not the file that was ingested")
     header, records = readers.read_vcf_records(spark, vcf)
     keys = ingest.split_alts(records.where("alt_raw <> '.'")).select(*augment.KEY)
@@ -206,7 +206,7 @@ def export_vcf(spark: SparkSession, vcf: str, buckets: str, models: list[dict],
     written = spark.read.text(out).where("NOT startswith(value, '#')").count()
     if written != n_records:
         raise augment.Misaligned(f"{written} records were written of {n_records}")
-    done = {"records": n_records, "alleles": n_alts, "input_sha256": digest}
+    done = {"records": n_records, "alleles": n_alts, "input_digest": digest}
     sinks.write_manifest(spark, f"{out}.manifest.json", done)
     return done
 

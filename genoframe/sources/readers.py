@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,6 +77,25 @@ def _numbered(lines: DataFrame) -> DataFrame:
     return tagged.join(F.broadcast(counts.select("_file", "_start", (before - F.col("_first")).alias("_shift"))), ["_file", "_start"]).select("value", (F.col("_id") + F.col("_shift")).alias("line"))
 
 
+def files_mark(spark: SparkSession, *paths: str) -> str:
+    """A fingerprint of the files at ``paths``: names, sizes and times of change."""
+    listed = []
+    for path in paths:
+        for r in spark.read.format("binaryFile").load(path).select("path", "length", F.col("modificationTime").cast("string").alias("at")).orderBy("path").collect():
+            listed.append([r.path, r.length, r.at])
+    return hashlib.sha256(json.dumps(listed).encode()).hexdigest()
+
+
+def text_digest(spark: SparkSession, path: str) -> tuple[str, int]:
+    """(digest of the lines in their order, bytes of the files): lines are hashed where they are read, then the hashes of each block
+    of lines, then those of the blocks; no task holds a file."""
+    hashed = _text(spark, path).select("line", F.expr(f"line div {LINE_BLOCK}").alias("block"), F.unhex(F.sha2("value", 256)).alias("h"))
+    joined = lambda key: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, "h"))), lambda x: F.hex(x["h"])), ""), 256)
+    blocks = hashed.groupBy("block").agg(F.unhex(joined("line")).alias("h"))
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("n")).first().n
+    return blocks.agg(joined("block").alias("d")).first().d, size or 0
+
+
 def read_vcf_records(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
     """(header lines, records): ``record_ordinal, chrom, pos, variant_id, ref, alt_raw, qual, filter, info, format, samples``, quality
     and filters as the text they are.

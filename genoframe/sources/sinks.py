@@ -75,18 +75,31 @@ def write_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
     fs.rename(tmp, p)
 
 
+def folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names in ``path`` that match ``pattern``."""
+    p, fs = _path(spark, f"{path}/{pattern}")
+    return sorted(x.getPath().getName() for x in fs.globStatus(p) or [])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
+
+
 def write_once(df: DataFrame, path: str, fingerprint: str, manifest: str | None = None) -> bool:
     """Writes ``df`` unless a run with the same fingerprint has; the manifest, beside the folder if nowhere else, comes last and
-    completes it. True if written."""
+    completes it: rows, and of each file its name, size, rows and the digest of what it holds. True if written."""
+    from genoframe.sources import shards
+
     spark = df.sparkSession
     manifest = manifest or f"{path}.manifest.json"
     old = read_manifest(spark, manifest)
     if old is not None and old["fingerprint"] == fingerprint:
         return False
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    shards = [r.asDict() for r in files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("name").collect()]
-    write_manifest(spark, manifest, {"fingerprint": fingerprint, "rows": spark.read.parquet(path).count(), "shards": shards})
+    back = spark.read.schema(df.schema).parquet(path)
+    files = [r.asDict() for r in back.groupBy(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("bytes")).agg(*shards.digest(back)).orderBy("name").collect()]
+    write_manifest(spark, manifest, {"fingerprint": fingerprint, "rows": sum(f["rows"] for f in files), "shards": files})
     return True
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from genoframe import cli
 from genoframe.operators import inference
-from genoframe.plans import pipelines
+from genoframe.plans import jobs, pipelines
 from genoframe.sources import readers, sinks
 
 REGION = "chrom string, start long, end long, feature string, biotype string, gene_id string"
@@ -156,6 +156,87 @@ def test_score_jobs_go_on_where_they_stopped(spark, tmp_path):
     assert len(r.ref_attributions) == 8 and r.ref_attributions[0] == 4.0 and inference is not None
 
 
+def variants_of(spark, n):
+    return spark.range(n).selectExpr("'chr1' AS chr", "id + 1 AS pos", "'A' AS ref", "'C' AS alt")
+
+
+def test_buckets_of_another_plan_go(spark, tmp_path):
+    """Of 64 buckets, then 32, 2 and 4, each leaves the rows once."""
+    out = str(tmp_path / "b")
+    work = lambda df: df.select("canonical_id", F.lit(1.0).alias("s"))
+    for buckets in (64, 32, 2, 4):
+        assert jobs.in_buckets(variants_of(spark, 100), work, out, "m", buckets) == buckets
+        rows = spark.read.parquet(out)
+        assert rows.count() == rows.select("canonical_id").distinct().count() == 100
+    assert jobs.in_buckets(variants_of(spark, 100), work, out, "m", 4) == 0 and jobs.in_buckets(variants_of(spark, 100), work, out, "n", 4) == 4
+
+
+def test_only_what_is_missing_or_damaged_is_written(spark, tmp_path):
+    out = tmp_path / "b"
+    asked = []
+
+    def work(df):
+        asked.append(sorted(r.b for r in df.selectExpr("pmod(xxhash64(canonical_id), 8) AS b").distinct().collect()))
+        return df.select("canonical_id", F.lit(1.0).alias("s"))
+
+    run = lambda **more: jobs.in_buckets(variants_of(spark, 200), work, str(out), "m", 8, **more)
+    assert run(at_once=3) == 8 and asked == [[0, 1, 2], [3, 4, 5], [6, 7]]
+    wanted = sorted(tuple(r) for r in spark.read.parquet(str(out)).select("canonical_id", "bucket").collect())
+    (part,) = (out / "bucket=3").glob("part-*")
+    whole = part.read_bytes()
+    part.write_bytes(whole[: len(whole) // 2] + b"x" * 9)
+    (out / "bucket=3" / f".{part.name}.crc").unlink(missing_ok=True)
+    for f in (out / "bucket=5").iterdir():
+        f.unlink()
+    (out / "bucket=11").mkdir()
+    (out / "bucket=11" / "part-0.parquet").write_bytes(whole)
+    del asked[:]
+    assert run() == 2 and asked == [[3, 5]] and not (out / "bucket=11").exists()
+    assert sorted(tuple(r) for r in spark.read.parquet(str(out)).select("canonical_id", "bucket").collect()) == wanted
+    assert run() == 0
+
+
+def test_a_stopped_run_goes_on(spark, tmp_path):
+    out, calls = str(tmp_path / "b"), []
+
+    def work(df):
+        calls.append(1)
+        if len(calls) == 3:
+            raise OSError("stopped")
+        return df.select("canonical_id", F.lit(1.0).alias("s"))
+
+    run = lambda: jobs.in_buckets(variants_of(spark, 200), work, out, "m", 8, at_once=2)
+    with pytest.raises(OSError):
+        run()
+    assert run() == 4 and spark.read.parquet(out).count() == 200
+
+
+def test_empty_buckets_are_complete(spark, tmp_path):
+    out = str(tmp_path / "b")
+    work = lambda df: df.select("canonical_id", F.lit(1.0).alias("s"))
+    assert jobs.in_buckets(variants_of(spark, 1), work, out, "m", 16) == 16 and jobs.in_buckets(variants_of(spark, 1), work, out, "m", 16) == 0
+    assert jobs.in_buckets(variants_of(spark, 0), work, str(tmp_path / "c"), "m", 3) == 3 and jobs.in_buckets(variants_of(spark, 0), work, str(tmp_path / "c"), "m", 3) == 0
+
+
+def test_digests_of_texts_know_every_line_and_its_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "LINE_BLOCK", 7)
+    rows = [f"line {k}" for k in range(50)]
+    digest = lambda name, x: readers.text_digest(spark, lines(tmp_path / name, *x))
+    first = digest("a", rows)
+    assert first == digest("b", rows) and first[1] == (tmp_path / "a").stat().st_size
+    assert len({digest("c", x)[0] for x in (rows, rows[::-1], rows[:-1], [*rows[:-1], "other"], [rows[1], rows[0], *rows[2:]])}) == 5
+
+
+def test_another_genome_is_validated_anew(spark, tmp_path):
+    table = lines(tmp_path / "v.tsv", "chr1\t50\tC\tT\trs")
+    spark.createDataFrame([("chr1", 1, 9, "cds", "protein_coding", "G")], REGION).write.parquet(str(tmp_path / "r"))
+    counts = []
+    for letters in ("ACGT" * 25, "TTTT" * 26):
+        fasta = lines(tmp_path / "g.fa", ">chr1", letters)
+        counts.append(pipelines.preprocess(spark, table, fasta, spark.read.parquet(str(tmp_path / "r")), str(tmp_path / "out"), width=8)["valid_occurrence_count"])
+    assert counts == [1, 0]
+
+
 def test_dinucleotide_shuffle_keeps_pairs():
     from collections import Counter
 
@@ -172,24 +253,22 @@ def test_dinucleotide_shuffle_keeps_pairs():
 
 
 def test_export(spark, tmp_path):
-    import hashlib
-
     from genoframe.operators import augment
 
     vcf = lines(tmp_path / "s.vcf", "##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO", "chr1\t5\trs\tA\tC,G\t.\tPASS\tDB", "chr1\t9\t.\tT\t*\t.\tPASS\t.")
-    digest = hashlib.sha256((tmp_path / "s.vcf").read_bytes()).hexdigest()
+    digest, _ = readers.text_digest(spark, str(tmp_path / "s.vcf"))
     schema = "record_ordinal long, alt_index int, status string, error_code string, result_variant_id string, prioritized boolean, most_active_celltype string, region_type string, nearest_genes string, liv_logfc double, liv_in_peak boolean, bra_logfc double"
     first = [(1, 1, "UNSUPPORTED", "SPANNING_DELETION", None, None, None, None, None, None, None, None), (0, 2, "PENDING", None, None, None, None, None, None, 9.0, None, None)]
     second = [(0, 1, "PENDING", None, "r1", True, "Brain", "cds", '[{"gene_name":"N"}]', -0.5, True, 0.25)]
     spark.createDataFrame(first, schema).write.parquet(str(tmp_path / "b/bucket=10"))
     spark.createDataFrame(second, schema).write.parquet(str(tmp_path / "b/bucket=2"))
     models = lines(tmp_path / "m.json", json.dumps({"models": [{"model_id": "1", "name": "Liver", "column_prefix": "liv"}, {"model_id": "2", "name": "Brain", "column_prefix": "bra"}]}))
-    sinks.write_manifest(spark, str(tmp_path / "i.json"), good := {"input_sha256": digest, "record_count": 2, "alt_occurrence_count": 3})
+    sinks.write_manifest(spark, str(tmp_path / "i.json"), good := {"input_digest": digest, "record_count": 2, "alt_occurrence_count": 3})
     cli.main(["export", vcf, str(tmp_path / "b"), models, str(tmp_path / "i.json"), str(tmp_path / "o")], spark)
     rows = [r.value for r in readers._text(spark, str(tmp_path / "o")).orderBy("line").collect() if not r.value.startswith("#")]
     assert rows[0].split("\t")[7] == "DB;GF1_STATUS=SCORED,NO_RESULT;GF1_PRIORITIZED=1,.;GF1_MAX_ABS_LOGFC=0.5,.;GF1_TOP_MODEL=M0002,.;GF1_REGION=cds,.;GF1_NEAREST_GENE=N,.;GF1_MODEL_SCORE=1|M0001|-0.5|.|.|1|.,1|M0002|0.25|.|.|.|."
     assert rows[1].split("\t")[7] == "GF1_STATUS=UNSUPPORTED;GF1_ERROR=SPANNING_DELETION"
-    for wrong in ({"input_sha256": "0"}, {"record_count": 3}):
+    for wrong in ({"input_digest": "0"}, {"record_count": 3}):
         with pytest.raises(augment.Misaligned):
             pipelines.export_vcf(spark, vcf, str(tmp_path / "b"), [], good | wrong, str(tmp_path / "x"), "GF1")
 

@@ -187,7 +187,7 @@ def test_writing_once(spark, tmp_path):
     df, path = spark.range(10), str(tmp_path / "shards")
     assert sinks.write_once(df, path, "a") and not sinks.write_once(df, path, "a") and sinks.write_once(df.limit(3), path, "b")
     manifest = sinks.read_manifest(spark, f"{path}.manifest.json")
-    assert manifest["rows"] == 3 and all(len(s["sha256"]) == 64 for s in manifest["shards"])
+    assert manifest["rows"] == 3 and all(len(s["digest"]) == 64 for s in manifest["shards"])
 
 
 def test_buckets(spark, tmp_path):
