@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.functions import alleles
@@ -53,11 +53,15 @@ def counts(records: DataFrame, occurrences: DataFrame) -> DataFrame:
     return n.crossJoin(o).withColumn("duplicate_count", F.greatest(F.col("valid_count") - F.col("unique_count"), F.lit(0)))
 
 
-def genomic_vcf_records(records: DataFrame) -> DataFrame:
-    """Records that only a genomic VCF has: a ``<NON_REF>`` or ``<*>`` allele, or no allele and a reference block."""
+def is_genomic() -> Column:
+    """Whether a record is one that only a genomic VCF has: a ``<NON_REF>`` or ``<*>`` allele, or no allele and a reference block."""
     named = F.arrays_overlap(F.split("alt_raw", ","), F.array(F.lit("<NON_REF>"), F.lit("<*>")))
     block = (F.col("alt_raw") == ".") & (F.col("stop") > F.col("pos"))
-    return records.where(F.coalesce(named, F.lit(False)) | F.coalesce(block, F.lit(False)))
+    return F.coalesce(named, F.lit(False)) | F.coalesce(block, F.lit(False))
+
+
+def genomic_vcf_records(records: DataFrame) -> DataFrame:
+    return records.where(is_genomic())
 
 
 class DuplicateKeys(ValueError):

@@ -146,11 +146,11 @@ def family_evidence(spark: SparkSession, path: str, context: dict) -> DataFrame:
     samples = readers.samples_of(header)
     members = context["members"]
     family.require_samples(members, samples)
-    rows = ingest.split_alts(readers.parse_calls(records, samples).where("alt_raw <> '.'"))
+    rows = ingest.split_alts(records.where("alt_raw <> '.'"))
     info = lambda k: F.nullif(F.regexp_extract("info", rf"(?:^|;){k}=([^;]+)", 1), F.lit(""))
     own = lambda k: F.get(F.split(info(k), ","), F.col("alt_index") - 1)
     rows = rows.withColumns({"cohort_ac": own("AC"), "cohort_an": info("AN"), "cohort_af": own("AF")})
-    people = F.array(*[F.struct(F.lit(k).alias("member"), *[F.lit(m[c]).alias(c) for c in ("individual", "sample", "relationship", "affected")], F.col("calls")[m["sample"]].alias("call")) for k, m in enumerate(members)])
+    people = F.array(*[F.struct(F.lit(k).alias("member"), *[F.lit(m[c]).alias(c) for c in ("individual", "sample", "relationship", "affected")], readers.call_of(samples, m["sample"]).alias("call")) for k, m in enumerate(members)])
     calls = rows.withColumn("m", F.explode(people)).select("record_ordinal", "alt_index", "chrom", "pos", "ref", "alt", "cohort_ac", "cohort_an", "cohort_af", "m.*").select("*", "call.*")
     keys = ["record_ordinal", "alt_index", "chrom", "pos", "ref", "alt", "cohort_ac", "cohort_an", "cohort_af"]
     out = ingest.with_canonical_id(family.evidence(calls, keys), name="canonical_variant_id")

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
+import zlib
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genoframe import schemas
 from genoframe.functions import alleles
-from genoframe.operators import contigs, ingest
+from genoframe.operators import contigs, ingest, ordinal
 
 TABLE_SUFFIXES, VCF_SUFFIXES = (".tsv", ".tsv.gz", ".txt", ".txt.gz"), (".vcf", ".vcf.gz", ".vcf.bgz")
 
@@ -45,21 +48,87 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _text(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with ``file`` and their 0-based place in it. Block-gzipped files are read whole by their suffix .gz only."""
+    """Lines as ``value`` with their 0-based place ``line``. Text and block-gzipped files are read in splits, gzipped ones whole."""
     if path.lower().endswith(".bgz"):
-        import gzip
+        return _block_lines(spark, path)
+    return _numbered(spark.read.text(path))
 
-        import pyarrow as pa
 
-        def run(batches):
-            for batch in batches:
-                for data in batch.column(0):
-                    lines = gzip.decompress(data.as_py()).decode("utf-8").splitlines()
-                    for at in range(0, len(lines), 100_000):
-                        yield pa.RecordBatch.from_arrays([pa.array(lines[at : at + 100_000]), pa.array(range(at, at + len(lines[at : at + 100_000])), pa.int64())], ["value", "line"])
+#: What every block of a block-gzipped file begins with: a gzip member with an extra field.
+BLOCK = b"\x1f\x8b\x08\x04"
+#: Pieces of a split's text: whole lines, its first line's rest (up to a line end, or all there is), its last line's begin, its count of lines.
+_LINE, _HEAD, _THROUGH, _TAIL, _COUNT = range(5)
+
+
+def _inflated(rows: Iterator[tuple[str, int, bytes]]) -> Iterator[tuple[str, int, bytes]]:
+    """Texts of the blocks. What looks like a block's begin may lie within one: a block goes on until its stream has ended."""
+    held, at = b"", None
+    for file, start, data in rows:
+        if at != (file, start):
+            if held:
+                raise InputError("MALFORMED_BLOCKS", f"{at}: a block has no end")
+            held, at = b"", (file, start)
+        if not data and not held:
+            continue  # before the first block
+        # a gzipped file without such blocks is one record
+        held = held + BLOCK + data if held or not data.startswith(BLOCK[:3]) else data
+        stream = zlib.decompressobj(31)
+        text = stream.decompress(held)
+        while stream.eof and stream.unused_data:
+            held = stream.unused_data
+            stream = zlib.decompressobj(31)
+            text += stream.decompress(held)
+        if stream.eof:
+            held = b""
+            yield file, start, text
+    if held:
+        raise InputError("MALFORMED_BLOCKS", f"{at}: a block has no end")
+
+
+def _split_pieces(rows: Iterator[tuple[str, int, bytes]]) -> Iterator[tuple[str, int, int, int, bytes]]:
+    """(file, start, place among the lines of the split, kind, text) of the pieces of each split, whose texts come in order."""
+    for (file, start), texts in itertools.groupby(_inflated(rows), key=lambda r: r[:2]):
+        n, rest, headed = 0, b"", start == 0
+        for _, _, text in texts:
+            *lines, rest = (rest + text).split(b"\n")
+            for line in lines:
+                yield file, start, n, _LINE if headed else _HEAD, line.removesuffix(b"\r")
+                n += headed
+                headed = True
+        yield file, start, n, _TAIL if headed else _THROUGH, rest
+        yield file, start, n, _COUNT, b""
+
+
+def _block_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of block-gzipped files: a scan that takes the blocks' first bytes for ends of records hands each task the blocks that begin
+    in its split; it inflates them and gives whole lines, and lines that cross a border of splits are put together from their pieces."""
+    blocks = spark.read.option("encoding", "ISO-8859-1").option("lineSep", BLOCK.decode("latin-1")).text(path)
+    blocks = blocks.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.col("value").cast("binary").alias("data"))
+    names = ["_file", "_start", "_n", "_kind", "value"]
+
+    def run(batches):
+        import pyarrow as pa
 
-        return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "value string, line long")
-    return _numbered(spark.read.text(path))
+        rows = (r for batch in batches for r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), (x.as_py() for x in batch.column(2)), strict=True))
+        pieces = _split_pieces(rows)
+        while some := list(itertools.islice(pieces, 50_000)):
+            file, start, n, kind, text = zip(*some, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(file), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(kind, pa.int32()), pa.array(text, pa.binary())], names)
+
+    pieces = blocks.mapInArrow(run, "_file string, _start long, _n long, _kind int, value binary")
+    lines = pieces.where(F.col("_kind") == _LINE).select("_file", "_start", "_n", "value")
+    # two or three rows a split
+    few = pieces.where(F.col("_kind") > _LINE)
+    before = Window.partitionBy("_file").orderBy("_start", "_kind").rowsBetween(Window.unboundedPreceding, -1)
+    border = few.where(F.col("_kind") < _COUNT).withColumn("_line", F.coalesce(F.count_if(F.col("_kind") == _HEAD).over(before), F.lit(0)))
+    ordered = F.array_sort(F.collect_list(F.struct("_start", "_kind", "_n", "value")))
+    joined = border.groupBy("_file", "_line").agg(ordered.alias("p"), F.max(F.col("_kind") == _HEAD).alias("ended"))
+    joined = joined.select("_file", F.col("p")[0]["_start"].alias("_start"), F.col("p")[0]["_n"].alias("_n"), F.aggregate("p", F.lit(b""), lambda done, x: F.concat(done, x["value"])).alias("value"), "ended").where("ended OR length(value) > 0").drop("ended")
+    counts = few.where(F.col("_kind") == _COUNT).select("_file", "_start", F.col("_n").alias("n")).unionByName(joined.select("_file", "_start", F.lit(1).cast("long").alias("n"))).groupBy("_file", "_start").agg(F.sum("n").alias("n"))
+    offset = F.coalesce(F.sum("n").over(Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a row a split
+    places = F.broadcast(counts.select("_file", "_start", offset.alias("_offset")))
+    return lines.unionByName(joined).join(places, ["_file", "_start"]).select(F.regexp_replace(F.col("value").cast("string"), r"\r\z", "").alias("value"), (F.col("_n") + F.col("_offset")).alias("line"))
 
 
 def _numbered(lines: DataFrame) -> DataFrame:
@@ -100,19 +169,22 @@ def read_vcf_records(spark: SparkSession, path: str) -> tuple[list[str], DataFra
     """(header lines, records): ``record_ordinal, chrom, pos, variant_id, ref, alt_raw, qual, filter, info, format, samples``, quality
     and filters as the text they are.
 
-    Blank lines are skipped; a record of fewer than five fields raises with its line number.
+    Blank lines are skipped; a record of fewer than five fields, or whose position is no integer, raises with its line number.
     """
     lines = _text(spark, path)
-    # header lines are those of one file
-    header = [r.value for r in lines.where(F.col("value").startswith("#")).orderBy("line").collect()]
     body = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("f", F.split("value", "\t"))
-    short = body.where(F.size("f") < 5).select("line").first()
-    if short is not None:
-        raise InputError("MALFORMED_VCF", f"{path}:{short.line + 1}")
+    # one pass: the header, whose lines are those of one file, and the first line that is no record
+    fields = F.split("value", "\t")
+    head, blank = F.col("value").startswith("#"), F.trim("value") == ""
+    wrong = ~head & ~blank & ((F.size(fields) < 5) | F.get(fields, F.lit(1)).try_cast("bigint").isNull())
+    told = lines.agg(F.array_sort(F.collect_list(F.when(head, F.struct("line", "value")))).alias("header"), F.min(F.when(wrong, F.col("line"))).alias("wrong")).first()
+    header = [r.value for r in told.header]
+    if told.wrong is not None:
+        raise InputError("MALFORMED_VCF", f"{path}:{told.wrong + 1}")
     shift = F.lit(sum(1 for _ in header))
     get = lambda k: F.get("f", F.lit(k))
     rows = body.select(
-        (F.col("line") - shift).alias("record_ordinal"), get(0).alias("chrom"), F.expr("try_cast(f[1] AS bigint)").alias("pos"), F.when(get(2) != ".", get(2)).alias("variant_id"),
+        (F.col("line") - shift).alias("record_ordinal"), get(0).alias("chrom"), F.expr("CAST(f[1] AS bigint)").alias("pos"), F.when(get(2) != ".", get(2)).alias("variant_id"),
         get(3).alias("ref"), get(4).alias("alt_raw"), get(5).alias("qual"), get(6).alias("filter"), get(7).alias("info"), get(8).alias("format"), F.slice("f", 10, 1 << 20).alias("samples"),
     )
     return header, rows
@@ -144,17 +216,26 @@ def samples_of(header: list[str]) -> list[str]:
     return last.split("\t")[9:]
 
 
-def parse_calls(records: DataFrame, samples: list[str]) -> DataFrame:
-    """Adds ``calls``: a map of sample to ``gt, phased, ad, dp, gq``; missing values are null."""
-    def call(k: int):
-        parts = F.split(F.get("samples", F.lit(k)), ":")
-        field = lambda name: F.nullif(F.get(parts, F.array_position(F.split("format", ":"), name).cast("int") - 1), F.lit("."))
-        gt = field("GT")
-        ints = lambda c, sep: F.transform(F.split(c, sep), lambda x: x.try_cast("int"))
-        return F.struct(ints(gt, r"[/|]").alias("gt"), F.coalesce(gt.contains("|"), F.lit(False)).alias("phased"), ints(field("AD"), ",").alias("ad"), field("DP").try_cast("int").alias("dp"), field("GQ").try_cast("int").alias("gq"))
+def call(text: Column) -> Column:
+    """``gt, phased, ad, dp, gq`` of a sample's column, by the record's ``format``; missing values are null."""
+    parts = F.split(text, ":")
+    field = lambda name: F.nullif(F.get(parts, F.array_position(F.split("format", ":"), name).cast("int") - 1), F.lit("."))
+    ints = lambda c, sep: F.transform(F.split(c, sep), lambda x: x.try_cast("int"))
+    gt = field("GT")
+    return F.struct(ints(gt, r"[/|]").alias("gt"), F.coalesce(gt.contains("|"), F.lit(False)).alias("phased"), ints(field("AD"), ",").alias("ad"), field("DP").try_cast("int").alias("dp"), field("GQ").try_cast("int").alias("gq"))
+
 
-    pairs = [x for k, name in enumerate(samples) for x in (F.lit(name), call(k))]
-    return records.withColumn("calls", F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>"))
+def call_of(samples: list[str], name: str) -> Column:
+    """The call of one sample; the others' columns are not parsed."""
+    return call(F.get("samples", F.lit(samples.index(name))))
+
+
+def parse_calls(records: DataFrame, samples: list[str]) -> DataFrame:
+    """Adds ``calls``: a map of sample to ``gt, phased, ad, dp, gq``, made by one expression however many samples there are."""
+    if not samples:
+        return records.withColumn("calls", F.lit(None).cast("map<string,string>"))
+    calls = F.transform(F.sequence(F.lit(0), F.lit(len(samples) - 1)), lambda k: call(F.get("samples", k)))
+    return records.withColumn("calls", F.map_from_arrays(F.lit(samples), calls))
 
 
 def read_vcf(spark: SparkSession, path: str) -> DataFrame:
@@ -177,23 +258,20 @@ def vcf_occurrences(spark: SparkSession, path: str, genome: str, target_sample:
     check_header(header, path)
     known = contigs_of(header)
     placed = records.withColumn("stop", F.coalesce(F.regexp_extract("info", r"(?:^|;)END=(\d+)", 1).try_cast("bigint"), F.col("pos") + F.length("ref") - 1))
-    bad = ingest.genomic_vcf_records(placed).select("record_ordinal").first()
-    if bad is not None:
-        raise InputError("UNSUPPORTED_GVCF", f"record {bad.record_ordinal}")
-    from genoframe.operators.ordinal import descents
-
     if known:
-        ranked = records.withColumn("rid", alleles.contig_rank(F.col("chrom"), known))
+        ranked = placed.withColumn("rid", alleles.contig_rank(F.col("chrom"), known))
     else:  # without contig lines a contig's place is that of its first record
-        ranked = records.join(records.groupBy("chrom").agg(F.min("record_ordinal").alias("rid")), "chrom")
-    wrong = descents(ranked.select("record_ordinal", "rid", "pos"), "record_ordinal", "rid", "pos").first()
-    if wrong is not None:
-        raise InputError("UNSORTED_VCF", f"record {wrong.record_ordinal}")
+        ranked = placed.join(records.groupBy("chrom").agg(F.min("record_ordinal").alias("rid")), "chrom")
+    told = ordinal.first_wrong(ranked.withColumn("genomic", ingest.is_genomic()), "record_ordinal", ["rid", "pos"], "genomic")
+    if told.marked is not None:
+        raise InputError("UNSUPPORTED_GVCF", f"record {told.marked}")
+    if told.descent is not None:
+        raise InputError("UNSORTED_VCF", f"record {told.descent}")
     rows = records.where("alt_raw <> '.'")
     if target_sample is not None:
         if target_sample not in samples_of(header):
             raise InputError("TARGET_SAMPLE_NOT_FOUND", target_sample)
-        rows = parse_calls(rows, samples_of(header)).withColumn("gt", F.col("calls")[target_sample]["gt"]).drop("calls")
+        rows = rows.withColumn("gt", call_of(samples_of(header), target_sample)["gt"])
     out = ingest.classify(ingest.split_alts(rows))
     if target_sample is not None:
         out = ingest.mask_target(out)

@@ -1,3 +1,6 @@
+import zlib
+import struct
+import random
 """Real files in, real files out."""
 
 import gzip
@@ -57,6 +60,69 @@ def test_vcf_occurrences(spark, tmp_path):
         assert e.value.code == code
 
 
+def blocked(text: bytes, size: int) -> bytes:
+    """Block-gzip: members of ``size`` bytes with their length in an extra field, and the empty one that ends the file."""
+    out = b""
+    for at in [*range(0, len(text), size), None]:
+        own = b"" if at is None else text[at : at + size]
+        c = zlib.compressobj(6, zlib.DEFLATED, -15)
+        body = c.compress(own) + c.flush()
+        out += b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\6\0BC\2\0" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(own), len(own))
+    return out
+
+
+@pytest.mark.parametrize("size", [37, 400, 60_000])
+@pytest.mark.parametrize("split", [300, 5_000, 10**8])
+@pytest.mark.parametrize("end", ["\n", "", "\r\n"])
+def test_block_gzip_is_read_in_splits(spark, tmp_path, size, split, end):
+    rng = random.Random(size)
+    rows = [f"{k} é中 " + "x" * rng.choice([0, 3, 90]) for k in range(400)] + ["y" * 3000, "", "z"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/b.bgz").write_bytes(blocked(((end or "\n").join(rows) + end).encode(), size))
+    (tmp_path / "in/a.bgz").write_bytes(blocked(b"first\nsecond\n", size))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        lines = readers._text(spark, str(tmp_path / "in/*.bgz"))
+        got = [tuple(r) for r in lines.orderBy("line").select("line", "value").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == list(enumerate(["first", "second", *rows]))
+
+
+def test_what_looks_like_a_block_within_one(spark, tmp_path):
+    stored = b"before\n" + readers.BLOCK + b"after\n"
+    c = zlib.compressobj(0, zlib.DEFLATED, -15)  # stored as it is
+    body = c.compress(stored) + c.flush()
+    assert readers.BLOCK in body
+    whole = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\6\0BC\2\0" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(stored), len(stored))
+    records = whole.split(readers.BLOCK)
+    assert b"".join(t for *_, t in readers._inflated(iter([("f", 0, r) for r in records]))) == stored
+    with pytest.raises(readers.InputError, match="MALFORMED_BLOCKS"):
+        list(readers._inflated(iter([("f", 0, r) for r in records[:-1]])))
+
+
+def test_positions_must_be_numbers(spark, tmp_path):
+    path = write(tmp_path / "a.vcf", [*HEADER, "chr2\t7\t.\tA\tC\t.\t.\t.", "chr2\tseven\t.\tA\tC\t.\t.\t."])
+    for read in (readers.read_vcf, lambda s, p: readers.vcf_occurrences(s, p, "g")):
+        with pytest.raises(readers.InputError, match=r"MALFORMED_VCF.*a\.vcf:6"):
+            read(spark, path)
+
+
+def test_thousands_of_samples(spark, tmp_path):
+    names = [f"S{k}" for k in range(2504)]
+    cells = [f"{k % 2}|{k % 3}:{k}" if k % 5 else "./." for k in range(2504)]
+    path = write(tmp_path / "a.vcf", [*HEADER[:3], "\t".join([HEADER[3], "FORMAT", *names]), "\t".join(["chr2\t5\t.\tA\tC,G\t.\t.\t.\tGT:DP", *cells])])
+    header, records = readers.read_vcf_records(spark, path)
+    calls = readers.parse_calls(records, readers.samples_of(header))
+    got = calls.first().calls
+    assert len(got) == 2504 and all(got[f"S{k}"].gt == ([k % 2, k % 3] if k % 5 else [None, None]) and got[f"S{k}"].dp == (k if k % 5 else None) for k in range(2504))
+    size = lambda n: len(readers.parse_calls(records, names[:n])._jdf.queryExecution().optimizedPlan().toString())
+    assert size(2504) < size(4) + 40_000  # the names, and nothing else for each
+    assert [(r.alt, r.error_code) for r in readers.vcf_occurrences(spark, path, "g", "S2").orderBy("alt_index").collect()] == [("C", "NOT_CARRIED_BY_TARGET"), ("G", None)]
+
+
 def test_vcf_without_contig_lines_and_genomic_names(spark, tmp_path):
     path = write(tmp_path / "a.vcf", [HEADER[0], HEADER[3], *[x for x in BODY if x]])
     assert readers.vcf_occurrences(spark, path, "g").count() == 5
