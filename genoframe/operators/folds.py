@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoframe.operators.ordinal import quantile_slice
+from genoframe.operators.ordinal import with_slice
 
 
 def mean_of_all(value: Column, n: int) -> Column:
@@ -67,7 +67,7 @@ def distribution(df: DataFrame, value: str, points: int = 1000) -> DataFrame:
     n = clean.count()
     if n < points:
         raise ValueError(f"a distribution of {points} points needs as many values; there are {n}")
-    sliced = clean.withColumn("slice", quantile_slice(clean, "value"))
+    sliced = with_slice(clean, "value", "slice")
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sliced.groupBy("slice").count().select("slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     placed = sliced.withColumn("k", F.row_number().over(Window.partitionBy("slice").orderBy("value"))).join(F.broadcast(offsets), "slice").withColumn("at", F.col("offset") + F.col("k") - 1)

@@ -94,6 +94,10 @@ def _slices(ends: DataFrame) -> DataFrame:
     return lows.withColumn("high", F.coalesce(after - 1, F.lit(BEYOND))).withColumn("reach", F.least("high", "last")).drop("last")
 
 
+def _ends(intervals: DataFrame) -> DataFrame:
+    return intervals.where("chrom IS NOT NULL AND start <= end").select("chrom", F.explode(F.array(F.col("start").cast("long"), F.col("end").cast("long"))).alias("at"))
+
+
 def candidates(intervals: DataFrame, k: int) -> DataFrame:
     """``chrom, low, high, listed``: for each slice all of ``intervals(chrom, start, end, id)`` that can be among the ``k`` nearest of
     a point in it: those that start or end in it, ``k`` that hold it whole, and the ``k`` next on both sides.
@@ -102,8 +106,7 @@ def candidates(intervals: DataFrame, k: int) -> DataFrame:
     the intervals of a chromosome are sorted together, never points.
     """
     held = intervals.where("chrom IS NOT NULL AND start <= end").select("chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "id")
-    ends = held.select("chrom", F.explode(F.array("start", "end")).alias("at"))
-    slices = _slices(ends)
+    slices = _slices(_ends(intervals))
     row = F.struct("start", "end", "id")
     # the last k ends up to each end, the first k starts from each start; ties by id
     sides = []
@@ -134,10 +137,11 @@ def nearest(points: DataFrame, intervals: DataFrame, k: int = 5) -> DataFrame:
     """
     at = points.select("chrom", F.col("pos").cast("long").alias("pos")).where("chrom IS NOT NULL AND pos IS NOT NULL").distinct()
     listed = candidates(intervals, k).withColumnRenamed("chrom", "_in")
-    met = overlap_join(at, listed, ("chrom", "pos", "pos"), ("_in", "low", "high"))
+    # the last slices of chromosomes have a level of their own
+    met = overlap_join(at, listed, ("chrom", "pos", "pos"), ("_in", "low", "high"), levels=levels_of(_slices(_ends(intervals)), "low", "high"))
     pos = F.col("pos")
     away = lambda c: F.when(pos.between(c["start"], c["end"]), F.lit(0).cast("long")).otherwise(F.least(F.abs(pos - c["start"]), F.abs(pos - c["end"])))
-    near = F.slice(F.array_sort(F.transform("listed", lambda c: F.struct(away(c).alias("distance"), c["id"].alias("id"), c["start"].alias("start")))), 1, k)
+    near = F.slice(F.sort_array(F.transform("listed", lambda c: F.struct(away(c).alias("distance"), c["id"].alias("id"), c["start"].alias("start")))), 1, k)
     ranked = met.select("chrom", "pos", F.posexplode(near).alias("rank", "r"))
     return ranked.select("chrom", "pos", (F.col("rank") + 1).alias("rank"), F.col("r.id").alias("id"), (F.col("r.distance") * F.signum((pos - F.col("r.start")).cast("double")).cast("long")).alias("distance"))
 

@@ -2,39 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-SLICES, STEP = 1024, 32
+#: Slices for each shuffle partition, and the least and most there are.
+SLICES_EACH, FEWEST, MOST = 4, 16, 4096
+
+
+def _slices(spark: SparkSession) -> int:
+    return max(FEWEST, min(MOST, SLICES_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def quantile_slice(df: DataFrame, key: str) -> Column:
-    """How many of the column's approximate quantiles lie below a row's value, found in two steps; nulls are before all.
+def with_slice(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Adds how many of the column's approximate quantiles lie below a row's value; nulls are before all.
 
-    Slices hold about equal numbers of rows however the values are spread; only rows of one value are never parted.
+    Slices hold about equal numbers of rows however the values are spread; only rows of one value are never parted. A row is compared
+    with every ``step``-th cut and then with those up to the next one.
     """
-    cuts = df.agg(F.percentile_approx(key, [k / SLICES for k in range(1, SLICES)], 10_000)).first()[0] or []
-    coarse = cuts[STEP - 1 :: STEP]
-    if not coarse:
-        return F.lit(0)
-    below = lambda a: F.size(F.filter(a, lambda x: x < F.col(key)))
-    whole = below(F.array(*map(F.lit, coarse)))
-    return whole * STEP + below(F.slice(F.array(*map(F.lit, cuts)), whole * STEP + 1, STEP - 1))
+    slices = _slices(df.sparkSession)
+    cuts = df.agg(F.percentile_approx(key, [k / slices for k in range(1, slices)], 10 * slices)).first()[0]
+    if not cuts:
+        return df.withColumn(name, F.lit(0))
+    step, value = math.isqrt(slices), F.col(key)
+    above = lambda cut: F.coalesce((value > cut).cast("int"), F.lit(0))
+    whole = df.withColumn(name, sum((above(F.lit(cut)) for cut in cuts[step - 1 :: step]), F.lit(0)) * step)
+    return whole.withColumn(name, sum((above(F.get(F.lit(cuts), F.col(name) + j)) for j in range(step - 1)), F.col(name)))
 
 
 def with_ordinal(df: DataFrame, order: list[str], name: str = "record_ordinal") -> DataFrame:
     """Adds the 0-based place of each row in ``order``, whose first column is numeric and not null.
 
-    The first column is cut at its quantiles into ``SLICES`` slices; rows are counted per slice, the few counts are summed up, and
-    rows are numbered within their slice. Rows equal in all of ``order`` are numbered arbitrarily.
+    The first column is cut at its quantiles into slices, as many as suit the session's shuffle partitions; rows are counted per slice,
+    the few counts are summed up, and rows are numbered within their slice. Rows equal in all of ``order`` are numbered arbitrarily.
     """
     key = order[0]
-    sliced = df.withColumn("_slice", quantile_slice(df, key))
+    sliced = with_slice(df, key, "_slice")
     counts = sliced.groupBy("_slice").count()
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     within = Window.partitionBy("_slice").orderBy(*order)
-    # SLICES rows at most
+    # MOST rows at most
     return sliced.withColumn("_place", F.row_number().over(within)).join(F.broadcast(offsets), "_slice").withColumn(name, F.col("_offset") + F.col("_place") - 1).drop("_slice", "_offset", "_place")
 
 
