@@ -72,7 +72,12 @@ def _stored(r: DataFrame) -> DataFrame:
     stored = r.where("full AND record_id IS NOT NULL").select(F.col("record_id").alias("target_id"), F.col("headers").alias("stored"))
     if stored.groupBy("target_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").isEmpty():
         return stored
-    return stored.groupBy("target_id").agg(F.max_by("stored", F.array_join(F.array_sort(F.transform(F.map_entries("stored"), lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit(""))))), "\n")).alias("stored"))
+    return stored.groupBy("target_id").agg(F.max_by("stored", _as_text("stored")).alias("stored"))
+
+
+def _as_text(headers: str) -> Column:
+    """Headers in the order of their names, to compare those of responses that repeat an id."""
+    return F.array_join(F.array_sort(F.transform(F.map_entries(headers), lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit(""))))), "\n")
 
 
 def resolve(records: DataFrame) -> DataFrame:
@@ -115,9 +120,16 @@ def resolve(records: DataFrame) -> DataFrame:
 
 
 def with_bodies(resolved: DataFrame, records: DataFrame) -> DataFrame:
-    """Adds ``body``, that of the target; null for revisits that are not resolved."""
-    bodies = records.where("kind = 'response'").select(F.col("record_id").alias("target_id"), "body")
-    return resolved.join(bodies, "target_id", "left")
+    """Adds ``body``, that of the target; null for revisits that are not resolved. Of responses that repeat an id it is that of the one whose
+    headers are stored, of those with equal headers the greatest body; each row of ``resolved`` gives one row."""
+    wanted = resolved.where("target_id IS NOT NULL")
+    headers = F.coalesce("headers", F.create_map().cast("map<string,string>"))
+    responses = records.where("kind = 'response' AND record_id IS NOT NULL").select(F.col("record_id").alias("target_id"), headers.alias("_h"), "body")
+    # bodies that no revisit points to are not moved
+    asked = responses.join(wanted.select("target_id").distinct(), "target_id", "left_semi")
+    bodies = asked.groupBy("target_id").agg(F.max(F.struct(_as_text("_h"), "body"))["body"].alias("body"))
+    without = resolved.where("target_id IS NULL").withColumn("body", F.lit(None).cast(records.schema["body"].dataType))
+    return wanted.join(bodies, "target_id", "left").select(*resolved.columns, "body").unionByName(without)
 
 
 def _fields(block: bytes) -> tuple[str, dict[str, str]]:

@@ -473,6 +473,15 @@ def test_read_warc_files(spark, tmp_path):
     assert out.status == "resolved" and bytes(out.body) == b"<p>body WARC/1.0</p>" and out.headers == {"etag": "x", "date": "now", "content-type": "text/html"}
 
 
+def test_bodies_of_repeated_responses_are_one(spark):
+    rows = [("r", "response", "http://a.com/", 1, {"etag": "x"}, b"one"), ("r", "response", "http://a.com/", 1, {"etag": "x"}, b"two"), ("r", "response", "http://b.com/", 1, {"etag": "a"}, b"zzz"), ("q", "response", "http://c.com/", 1, None, b"other")]
+    rows += [("v", "revisit", "http://a.com/", 5, {"etag": "x"}, None)] * 2 + [("w", "revisit", "http://a.com/", 5, {"etag": "no"}, None), ("n", "revisit", None, 5, None, None)]
+    records = spark.createDataFrame(rows, "record_id string, kind string, url string, at long, headers map<string,string>, body binary")
+    out = warc.with_bodies(warc.resolve(records), records)
+    assert out.columns == ["record_id", "canonical_url", "at", "status", "target_id", "headers", "body"]
+    assert sorted((r.record_id, r.status, r.body and bytes(r.body)) for r in out.collect()) == [("n", "no_earlier_response", None), ("v", "resolved", b"two"), ("v", "resolved", b"two"), ("w", "validator_mismatch", None)]
+
+
 # ---- pipeline
 
 
