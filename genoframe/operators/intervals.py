@@ -7,8 +7,12 @@ rows are never copied, long intervals need no branch of their own, and no pair i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Sizes of nested bins, as powers of two: 1 kb to 1 Gb; an interval that crosses a border of the largest fits none.
 LEVELS = (10, 13, 16, 19, 22, 25, 30, 62)
@@ -48,6 +52,44 @@ def overlap_join(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "
     return out if how == "left_semi" else out.drop(held["_level"]).drop(held["_bin"]).drop("_chrom")
 
 
+#: Columns of a right side whose bins are known.
+PLACE = ("_held", "_place")
+
+
+def placed(right: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
+    """``right`` with its level and bin, as they are if it has them: rows of a stored index are read where they lie."""
+    if set(PLACE) <= set(right.columns):
+        return right
+    level, place = _level_bin(F.col(start).cast("long"), F.col(end).cast("long"))
+    return right.where(F.col(start) <= F.col(end)).withColumns(dict(zip(PLACE, (level, place), strict=True)))
+
+
+def write_index(right: DataFrame, path: str, buckets: int = 200) -> DataFrame:
+    """Stores ``right(chrom, start, end, ...)`` with levels and bins, bucketed by chromosome, level and bin, and gives it back: joins of it
+    leave its rows where they are, only the left side is shuffled to the buckets. ``read_index`` opens it in another session."""
+    from genoframe.sources import sinks
+
+    rows, keys = placed(right), ["chrom", *PLACE]
+    name = f"intervals_{uuid.uuid4().hex}"
+    # a file a bucket
+    rows.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    spark = right.sparkSession
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    sinks.write_manifest(spark, f"{path}.index.json", {"buckets": buckets, "schema": json.loads(rows.schema.json()), "levels": levels_of(right)})
+    return read_index(spark, path)[0]
+
+
+def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, tuple[int, ...]]:
+    """(the stored intervals, the levels that occur); the table that stands for the files is named anew in each call."""
+    from genoframe.sources import sinks
+
+    told = sinks.read_manifest(spark, f"{path}.index.json")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(told["schema"]).fields)
+    name, keys = f"intervals_{uuid.uuid4().hex}", ", ".join(["chrom", *PLACE])
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {told['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(name), tuple(told["levels"])
+
+
 def overlaps_or_none(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end"), levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """The pairs of ``overlap_join``, and one row with nulls from the right and a null ``hit`` for every left row.
 
@@ -55,8 +97,7 @@ def overlaps_or_none(left: DataFrame, right: DataFrame, left_on=("chrom", "start
     """
     lc, ls, le = left_on
     rc, rs, re_ = right_on
-    level, place = _level_bin(F.col(rs).cast("long"), F.col(re_).cast("long"))
-    held = right.where(F.col(rs) <= F.col(re_)).withColumn("_held", level).withColumn("_place", place).withColumnRenamed(rc, "_chrom").withColumn("hit", F.lit(True))
+    held = placed(right, rs, re_).withColumnRenamed(rc, "_chrom").withColumn("hit", F.lit(True))
     every, none = F.array(*[F.lit(b) for b in (*levels, NO_LEVEL)]), F.array(F.lit(NO_LEVEL))
     looked = left.withColumn("_level", F.explode(F.when(F.col(ls) <= F.col(le), every).otherwise(none)))
     shift = lambda c: F.expr(f"shiftright(cast(`{c}` as bigint), _level)")

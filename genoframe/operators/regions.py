@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoframe.operators.intervals import levels_of, overlaps_or_none
+from genoframe.operators.intervals import PLACE, levels_of, overlaps_or_none
 
 #: Labels from most to least severe.
 SEVERITY = ("splice_site", "cds", "splice_region", "five_prime_utr", "three_prime_utr", "exonic", "noncoding_gene", "intronic", "promoter", "intergenic")
@@ -38,16 +38,17 @@ def labels_of(feature: Column, biotype: Column) -> Column:
     )
 
 
-def annotate(variants: DataFrame, regions: DataFrame) -> DataFrame:
+def annotate(variants: DataFrame, regions: DataFrame, levels: tuple[int, ...] | None = None) -> DataFrame:
     """``chrom, pos, ref, labels, gene_ids, primary, is_coding, in_promoter`` of each distinct ``(chrom, pos, ref)``.
 
     Labels are those of all regions that the variant's span overlaps, most severe first; without any it is intergenic.
     ``regions(chrom, start, end, feature, biotype, gene_id)``. Labels of no known severity are dropped.
+    They may be a stored index of intervals, whose ``levels`` are known; its rows are then not shuffled.
     """
     v = variants.select("chrom", "pos", "ref").distinct()
     spans = v.withColumn("v_end", F.col("pos") + F.length("ref") - 1)
-    r = regions.select("chrom", "start", "end", labels_of(F.col("feature"), F.col("biotype")).alias("found"), "gene_id")
-    met = overlaps_or_none(spans, r, ("chrom", "pos", "v_end"), ("chrom", "start", "end"), levels_of(regions))
+    r = regions.select("chrom", "start", "end", labels_of(F.col("feature"), F.col("biotype")).alias("found"), "gene_id", *[c for c in PLACE if c in regions.columns])
+    met = overlaps_or_none(spans, r, ("chrom", "pos", "v_end"), ("chrom", "start", "end"), levels_of(regions) if levels is None else levels)
     some = met.groupBy("chrom", "pos", "ref").agg(F.array_distinct(F.flatten(F.collect_set("found"))).alias("_all"), F.array_sort(F.collect_set("gene_id")).alias("gene_ids"))
     labels = F.filter(F.lit(list(SEVERITY)), lambda x: F.array_contains("_all", x))
     out = some.select("chrom", "pos", "ref", labels.alias("_found"), "gene_ids")

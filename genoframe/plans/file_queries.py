@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe import schemas
-from genoframe.operators import contigs, family, ingest, regions
+from genoframe.operators import contigs, family, ingest, intervals, regions
 from genoframe.plans import jobs
 from genoframe.plans.oracles import _CODE, _ORDER, _SEQ, ORACLES, _with
 from genoframe.plans.queries import CONTIGS, QUERIES, SPAN
@@ -269,6 +269,16 @@ def write_once_shards(v):
     return v.spark.read.parquet(path).select("o_orderkey", "o_totalprice", *flags, F.lit(told["rows"]).cast("long").alias("manifest_rows"))
 
 
+@query(ORACLES["region_annotation"])
+def region_index(v):
+    """Labels by a stored index of the regions, opened again from its files."""
+    path = folder(v)
+    intervals.write_index(v.regions, path, 8)
+    table, levels = intervals.read_index(v.spark, path)
+    out = regions.annotate(v.variants, table, levels)
+    return out.select("chrom", "pos", "ref", F.array_join("labels", ",").alias("labels"), F.array_join("gene_ids", ",").alias("gene_ids"))
+
+
 @query("SELECT CAST(o_orderkey % 3 AS INTEGER) AS bucket, o_orderkey, o_totalprice, '0,1,2,3,4;;2,3;0,1,2' AS written FROM orders")
 def bucket_shards(v):
     """Five buckets; nothing to do; a lost and a damaged one; then three buckets, of which no old one is left."""

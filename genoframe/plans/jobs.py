@@ -81,5 +81,10 @@ def attribute_variants(variants: DataFrame, contigs: DataFrame, load: Callable,
     return in_buckets(variants, lambda rows: inference.attribute(inference.with_windows(rows, contigs, width), load, shuffles), out, fingerprint, buckets)
 
 
+def contribute_variants(variants: DataFrame, contigs: DataFrame, load: Callable, out: str, fingerprint: str, width: int = 2114, shuffles: int = 20, batch: int = 16, buckets: int = BUCKETS) -> int:
+    """Hypothetical and observed contributions of both alleles of every variant that has a window, in buckets of Parquet."""
+    return in_buckets(variants, lambda rows: inference.contribute(inference.with_windows(rows, contigs, width), load, shuffles, batch), out, fingerprint, buckets)
+
+
 #: A fingerprint of files.
 files_mark = readers.files_mark

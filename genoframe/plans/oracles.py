@@ -163,6 +163,12 @@ SELECT * FROM every WHERE "end" >= "start"
         "m",
         "SELECT fold, side, user_id FROM (WITH x AS (SELECT model_id AS fold, user_id FROM m WHERE NOT (user_id % 7 = 0 AND model_id = 'view') AND NOT (user_id % 5 = 0 AND model_id = 'click')), f AS (SELECT DISTINCT fold FROM x WHERE fold <> 'click'), b AS (SELECT user_id FROM x WHERE fold = 'click') SELECT fold, 'missing' AS side, user_id FROM (SELECT fold, user_id FROM f, b EXCEPT SELECT fold, user_id FROM x) UNION ALL SELECT fold, 'extra', user_id FROM x WHERE fold <> 'click' AND user_id NOT IN (SELECT user_id FROM b))",
     ),
+    "hypothetical_contributions": _with(
+        "c",
+        "SELECT id, position, " + ", ".join(f"CAST((position * 7 + {k * 3}) % 11 - 5 - under AS DOUBLE) AS {b}" for k, b in enumerate("acgt")) + ", CAST(CASE WHEN own > 0 THEN (position * 7 + (own - 1) * 3) % 11 - 5 - under ELSE 0 END AS DOUBLE) AS observed FROM ("
+        "SELECT id, position, own, CASE WHEN back > 0 THEN (position * 7 + (back - 1) * 3) % 11 - 5 ELSE 0 END AS under FROM ("
+        "SELECT contig AS id, CAST(k AS INTEGER) AS position, strpos('ACGT', substring(w, k + 1, 1)) AS own, strpos('ACGT', substring(w, 24 - k, 1)) AS back FROM (SELECT contig, regexp_replace(substring(seq, 1, 24), '[^ACGT]', 'N', 'g') AS w FROM c WHERE length(seq) >= 24), range(24) t(k)))",
+    ),
     "array_fold_mean": "SELECT label, CAST(bin AS INTEGER) AS bin, round(avg(v), 6) AS mean FROM (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS bin FROM embeddings) GROUP BY ALL",
     "score_pivot": _with("m", f"SELECT user_id, {_PIVOT} FROM m GROUP BY user_id"),
     "prioritize": _with("flag", "SELECT user_id, " + ", ".join(f"bool_or(pri) FILTER (model_id = '{m}') AS prioritized_{m}" for m in MODELS) + ", bool_or(pri) AS prioritized FROM flag GROUP BY user_id"),

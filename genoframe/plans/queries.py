@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe.functions import alleles, scoring, sequence, text
-from genoframe.operators import augment, family, folds, ingest, intervals, lookups, motifs, ordinal, prioritize, regions, validate
+from genoframe.operators import augment, family, folds, inference, ingest, intervals, lookups, motifs, ordinal, prioritize, regions, validate
 from genoframe.plans.views import KEYS, MODELS, Views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -380,6 +380,23 @@ def fold_membership(v):
     return folds.membership(scores.select(F.col("model_id").alias("fold"), "user_id"), "fold", "user_id", "click")
 
 
+def _weights():
+    """A made-up model: multipliers that depend on position and base alone."""
+    import numpy as np
+
+    return lambda own, backgrounds: np.broadcast_to((np.arange(own.shape[1])[:, None] * 7 + np.arange(4) * 3) % 11 - 5.0, backgrounds.shape)
+
+
+@query
+def hypothetical_contributions(v):
+    """Of the first 24 letters of every contig; the background is the window read backwards."""
+    ref = F.expr("regexp_replace(substring(seq, 1, 24), '[^ACGT]', 'N')")
+    windows = v.contigs.where("length(seq) >= 24").select(F.col("contig").alias("id"), ref.alias("ref_seq"), ref.alias("alt_seq"), F.lit(None).cast("string").alias("window_error"))
+    made = inference.contribute(windows, _weights, shuffles=2, shuffle=lambda s, _: s[::-1])
+    rows = made.select("id", F.posexplode(F.arrays_zip("ref_hypothetical", "ref_observed")).alias("position", "r"))
+    return rows.select("id", "position", *[F.col("r.ref_hypothetical")[k].alias(b) for k, b in enumerate("acgt")], F.col("r.ref_observed").alias("observed"))
+
+
 @query
 def array_fold_mean(v):
     return folds.array_mean(v.table("embeddings"), ["label"], "embedding").select("label", "bin", rounded("mean").alias("mean"))

@@ -1,3 +1,5 @@
+import re
+
 """Hand-computed cases of operators."""
 
 import math
@@ -328,3 +330,31 @@ def test_skewed_leading_columns_are_numbered(spark):
     rows = [(k, 0) for k in range(200)] + [(10**15, 1)] * 3 + [(7, 2)] * 50
     got = ordinal.with_ordinal(spark.createDataFrame(rows, "a long, b long"), ["a", "b"]).collect()
     assert [(r.a, r.b) for r in sorted(got, key=lambda r: r.record_ordinal)] == sorted(rows) and sorted(r.record_ordinal for r in got) == list(range(len(rows)))
+
+
+def test_a_stored_index_is_not_shuffled(spark, tmp_path):
+    from genoframe.operators import intervals, regions
+
+    table = spark.range(3000).selectExpr("concat('chr', id % 3) AS chrom", "id * 7 AS start", "id * 7 + id % 900 AS end", "'cds' AS feature", "'x' AS biotype", "concat('G', id) AS gene_id")
+    variants = spark.range(400).selectExpr("concat('chr', id % 4) AS chrom", "id * 53 AS pos", "'ACG' AS ref")
+    intervals.write_index(table.unionByName(table.limit(1).withColumn("end", F.lit(-5).cast("long"))), str(tmp_path / "index"), 6)
+    stored, levels = intervals.read_index(spark, str(tmp_path / "index"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = regions.annotate(variants, stored, levels)
+        got, plan = sorted(map(str, found.collect())), found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert got == sorted(map(str, regions.annotate(variants, table).collect()))
+    assert "SelectedBucketsCount: 6 out of 6" in plan
+    depth = lambda line: re.search("[A-Za-z]", line).start()
+    tree = [x for x in plan.splitlines() if re.search("[A-Za-z]", x)]
+    at = next(k for k, x in enumerate(tree) if "FileScan parquet" in x)
+    above, low = [], depth(tree[at])
+    for line in tree[at::-1]:
+        if depth(line) < low:
+            above.append(line)
+            low = depth(line)
+    joined = next(k for k, x in enumerate(above) if "Join" in x)
+    assert joined and not any("Exchange" in x for x in above[:joined])

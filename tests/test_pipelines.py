@@ -1,4 +1,5 @@
 import json
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -237,6 +238,46 @@ def test_another_genome_is_validated_anew(spark, tmp_path):
     assert counts == [1, 0]
 
 
+def test_hypothetical_contributions_are_the_definition():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    seqs = ["ACGTN", "TTAAC"]
+    backgrounds = inference.encoded(["CCGTA", "NNNNN", "GATCA"] * 2).reshape(2, 3, 5, 4)
+    multipliers = rng.normal(size=backgrounds.shape)
+    want = np.zeros((2, 5, 4))
+    for n in range(2):
+        for at in range(5):
+            for base in range(4):
+                for b in range(3):
+                    for c in range(4):
+                        want[n, at, base] += ((c == base) - backgrounds[n, b, at, c]) * multipliers[n, b, at, c] / 3
+    assert np.allclose(inference.hypothetical(multipliers, backgrounds), want)
+    assert inference.encoded(seqs).sum(-1).tolist() == [[1, 1, 1, 1, 0], [1] * 5] and inference.encoded(["acgt"]).tolist() == inference.encoded(["ACGT"]).tolist()
+
+
+def test_contributions_of_a_linear_model_add_up(spark, tmp_path):
+    """For f(x) = sum of w x the observed contributions sum to f(sequence) less the mean of f over the backgrounds."""
+    import numpy as np
+
+    fasta = lines(tmp_path / "g.fa", ">chr1", "ACGTTGCA" * 30)
+    table = spark.createDataFrame([("chr1", 101 + 8 * k, "T", "C", str(k)) for k in range(5)], "chr string, pos long, ref string, alt string, variant_id string")
+    weights = np.random.default_rng(1).normal(size=(16, 4))
+    load = lambda: lambda own, backgrounds: np.broadcast_to(weights, backgrounds.shape)
+    out = str(tmp_path / "c")
+    made = lambda: jobs.contribute_variants(table, readers.read_fasta_chunks(spark, fasta), load, out, "m", 16, 4, 2, 3)
+    assert made() == 3 and made() == 0
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 5
+    for r in rows:
+        for seq, observed, four in ((r.ref_seq, r.ref_observed, r.ref_hypothetical), (r.alt_seq, r.alt_observed, r.alt_hypothetical)):
+            rng = np.random.default_rng([0, zlib.crc32(seq.encode())])
+            others = [inference.dinucleotide_shuffle(seq, rng) for _ in range(4)]
+            value = lambda s: (inference.encoded([s])[0] * weights).sum()
+            assert abs(sum(observed) - (value(seq) - np.mean([value(o) for o in others]))) < 1e-6
+            assert np.allclose([four[k]["ACGT".index(b)] for k, b in enumerate(seq)], observed)
+
+
 def test_dinucleotide_shuffle_keeps_pairs():
     from collections import Counter
 
