@@ -1,8 +1,7 @@
-import re
-
 """Hand-computed cases of operators."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
