@@ -17,8 +17,10 @@ def chunked(contigs: DataFrame) -> DataFrame:
     """``contig, chunk, seq`` of ``contigs(contig, seq)``; what is chunked already stays as it is. Null sequences are no contigs."""
     if "chunk" in contigs.columns:
         return contigs
-    last = F.greatest(F.expr(f"(length(seq) - 1) div {SIZE}"), F.lit(0).cast("long"))
-    rows = contigs.where("seq IS NOT NULL").select("contig", "seq", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("chunk"))
+    # a text may be costly to make: it is looked at once, a filter of nulls before would make it twice
+    size = F.length("seq")
+    last = F.when(size.isNotNull(), F.greatest(F.expr(f"(length(seq) - 1) div {SIZE}"), F.lit(0).cast("long")))
+    rows = contigs.select("contig", "seq", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("chunk"))
     return rows.select("contig", "chunk", F.substring("seq", (F.col("chunk") * SIZE + 1).cast("int"), F.lit(SIZE + OVERLAP)).alias("seq"))
 
 
@@ -48,12 +50,15 @@ def with_text(df: DataFrame, contigs: DataFrame, key: str, begin: Column, end: C
     chunks = chunked(contigs).select(F.col("contig").alias("_contig"), F.col("chunk").alias("_first"), F.col("seq").alias("_seq"))
     begin = F.greatest(begin.cast("long"), F.lit(0).cast("long"))
     placed = df.withColumn("_first", F.floor(begin / SIZE)).withColumn("_last", F.when(end > F.col("_first") * SIZE + SIZE + OVERLAP, F.floor((end.cast("long") - 1) / SIZE)).otherwise(F.col("_first")))
-    spans = placed.where("_last > _first").select(F.col(key).alias("_contig"), F.col("_first").alias("_from"), "_last").distinct()
-    parts = spans.withColumn("_first", F.explode(F.sequence("_from", "_last"))).join(chunks, ["_contig", "_first"])
+    # an outer explode, as a filter on the range would move down to where rows are made and make the range's columns again for each use
+    wide = F.explode_outer(F.when(F.col("_last") > F.col("_first"), F.sequence("_first", "_last")))
+    spans = placed.select(F.col(key).alias("_contig"), F.col("_first").alias("_from"), "_last", wide.alias("_chunk")).where("_chunk IS NOT NULL").distinct()
+    parts = spans.withColumnRenamed("_chunk", "_first").join(chunks, ["_contig", "_first"])
     joined = F.array_sort(F.collect_list(F.struct("_first", F.when(F.col("_first") < F.col("_last"), F.substring("_seq", 1, SIZE)).otherwise(F.col("_seq")).alias("s"))))
     long = parts.groupBy("_contig", "_from", "_last").agg(joined.alias("_rows")).select("_contig", F.col("_from").alias("_first"), "_last", F.array_join(F.transform("_rows", lambda r: r["s"]), "").alias("_seq"))
     texts = chunks.withColumn("_last", F.col("_first")).unionByName(long).withColumnsRenamed({"_contig": "_c", "_first": "_f", "_last": "_l"})
-    names = chunks.where("_first = 0").select(F.col("_contig").alias("_known"))
+    named = contigs.where("chunk = 0") if "chunk" in contigs.columns else contigs.where("seq IS NOT NULL")
+    names = named.select(F.col("contig").alias("_known"))
     met = placed.join(texts, (F.col(key) == F.col("_c")) & (F.col("_first") == F.col("_f")) & (F.col("_last") == F.col("_l")), "left")
     met = met.join(names, F.col(key) == F.col("_known"), "left")
     out = met.withColumn("_seq", F.when(F.col("_known").isNotNull(), F.coalesce("_seq", F.lit("")))).withColumn("_offset", F.coalesce(F.col("_first"), F.lit(0)) * SIZE)
