@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Both are powers of two.
 SIZE, OVERLAP = 1 << 16, 1 << 13
 #: Letters of a line that are handled at once; a longer line is cut first.
 PIECE = 4096
@@ -49,7 +50,9 @@ def with_text(df: DataFrame, contigs: DataFrame, key: str, begin: Column, end: C
     """
     chunks = chunked(contigs).select(F.col("contig").alias("_contig"), F.col("chunk").alias("_first"), F.col("seq").alias("_seq"))
     begin = F.greatest(begin.cast("long"), F.lit(0).cast("long"))
-    placed = df.withColumn("_first", F.floor(begin / SIZE)).withColumn("_last", F.when(end > F.col("_first") * SIZE + SIZE + OVERLAP, F.floor((end.cast("long") - 1) / SIZE)).otherwise(F.col("_first")))
+    # a shift is never null, so joins on the chunk need no test of nulls that would make the range's columns again
+    bits, end = SIZE.bit_length() - 1, F.coalesce(end.cast("long"), F.lit(0).cast("long"))
+    placed = df.withColumn("_first", F.shiftright(begin, bits)).withColumn("_last", F.when(end > F.col("_first") * SIZE + SIZE + OVERLAP, F.shiftright(end - 1, bits)).otherwise(F.col("_first")))
     # an outer explode, as a filter on the range would move down to where rows are made and make the range's columns again for each use
     wide = F.explode_outer(F.when(F.col("_last") > F.col("_first"), F.sequence("_first", "_last")))
     spans = placed.select(F.col(key).alias("_contig"), F.col("_first").alias("_from"), "_last", wide.alias("_chunk")).where("_chunk IS NOT NULL").distinct()
