@@ -58,16 +58,20 @@ def score_variants(variants: DataFrame, contigs: DataFrame, load: Callable, dist
 
 
 def append_scores(variants: DataFrame, done: str, work: Callable[[DataFrame], DataFrame], key: str = "canonical_id") -> int:
-    """Appends ``work`` of the variants whose ``key`` the table ``done`` lacks; a repeated run appends nothing. Returns how many it was."""
+    """Appends ``work`` of the variants whose ``key`` the table ``done`` lacks, each once if rows repeat it; a repeated run appends
+    nothing. Returns how many rows that were."""
     spark = variants.sparkSession
     path, fs = sinks._path(spark, done)
-    rows = _prepared(variants)
-    if fs.exists(path):
+    rows = _prepared(variants).dropDuplicates([key])
+    there = fs.exists(path)
+    if there:
         rows = rows.join(spark.read.parquet(done).select(key).distinct(), key, "left_anti")
-    n = rows.count()
-    if n:
-        work(rows).write.mode("append").parquet(done)
-    return n
+    if rows.isEmpty():
+        return 0
+    # counts of a stored table are read from its files' footers, so the work is done once
+    before = spark.read.parquet(done).count() if there else 0
+    work(rows).write.mode("append").parquet(done)
+    return spark.read.parquet(done).count() - before
 
 
 def predict_folds(variants: DataFrame, contigs: DataFrame, loads: dict[str, Callable], out: str, fingerprint: str, width: int = 2114, batch: int = 256) -> int:

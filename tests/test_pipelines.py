@@ -161,6 +161,13 @@ def variants_of(spark, n):
     return spark.range(n).selectExpr("'chr1' AS chr", "id + 1 AS pos", "'A' AS ref", "'C' AS alt")
 
 
+def test_repeated_keys_are_appended_once(spark, tmp_path):
+    rows = variants_of(spark, 6)
+    work = lambda df: df.select("canonical_id", F.lit(1.0).alias("s"))
+    ran = [jobs.append_scores(x, str(tmp_path / "d"), work) for x in (rows.limit(2).unionByName(rows.limit(2)), rows.unionByName(rows), rows)]
+    assert ran == [2, 4, 0] and spark.read.parquet(str(tmp_path / "d")).count() == 6
+
+
 def test_buckets_of_another_plan_go(spark, tmp_path):
     """Of 64 buckets, then 32, 2 and 4, each leaves the rows once."""
     out = str(tmp_path / "b")
