@@ -57,12 +57,18 @@ def descents(df: DataFrame, ordinal: str, *keys: str) -> DataFrame:
 RUN = 1 << 16
 
 
-def first_wrong(df: DataFrame, ordinal: str, keys: list[str], mark: str) -> Row:
-    """``descent``, the first ordinal whose ``keys`` are below those of the row before, and ``marked``, the first one that has ``mark``,
-    each null if there is none; one pass over ``df``: neighbours meet within runs of ordinals, and the ends of the runs after that."""
-    own = df.select(F.col(ordinal).alias("_at"), F.struct(*keys).alias("_key"), F.col(mark).alias("_mark")).withColumn("_run", F.expr(f"_at div {RUN}"))
-    within = own.withColumn("_down", F.col("_key") < F.lag("_key").over(Window.partitionBy("_run").orderBy("_at")))
-    runs = within.groupBy("_run").agg(F.min(F.when(F.col("_down"), F.col("_at"))).alias("d"), F.min(F.when(F.col("_mark"), F.col("_at"))).alias("m"), F.min(F.struct("_at", "_key")).alias("first"), F.max(F.struct("_at", "_key")).alias("last"))
+def first_wrong_by(df: DataFrame, by: list[str], ordinal: str, keys: list[str], mark: str) -> DataFrame:
+    """For each ``by``: ``descent``, the first ordinal whose ``keys`` are below those of the row before, and ``marked``, the first one that
+    has ``mark``, each null if there is none; one pass over ``df``: neighbours meet within runs of ordinals, and the ends of the runs
+    after that."""
+    own = df.select(*by, F.col(ordinal).alias("_at"), F.struct(*keys).alias("_key"), F.col(mark).alias("_mark")).withColumn("_run", F.expr(f"_at div {RUN}"))
+    within = own.withColumn("_down", F.col("_key") < F.lag("_key").over(Window.partitionBy(*by, "_run").orderBy("_at")))
+    runs = within.groupBy(*by, "_run").agg(F.min(F.when(F.col("_down"), F.col("_at"))).alias("d"), F.min(F.when(F.col("_mark"), F.col("_at"))).alias("m"), F.min(F.struct("_at", "_key")).alias("first"), F.max(F.struct("_at", "_key")).alias("last"))
     # a row a run
-    ends = runs.withColumn("e", F.when(F.col("first._key") < F.lag("last._key").over(Window.orderBy("_run")), F.col("first._at")))
-    return ends.agg(F.min(F.least("d", "e")).alias("descent"), F.min("m").alias("marked")).first()
+    ends = runs.withColumn("e", F.when(F.col("first._key") < F.lag("last._key").over(Window.partitionBy(*by).orderBy("_run")), F.col("first._at")))
+    return ends.groupBy(*by).agg(F.min(F.least("d", "e")).alias("descent"), F.min("m").alias("marked"))
+
+
+def first_wrong(df: DataFrame, ordinal: str, keys: list[str], mark: str) -> Row:
+    """``descent, marked`` of all rows, see ``first_wrong_by``."""
+    return first_wrong_by(df, [], ordinal, keys, mark).first()

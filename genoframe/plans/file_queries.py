@@ -306,23 +306,59 @@ def append_scores(v):
     return v.spark.read.parquet(path)
 
 
-@query(
+_DROPPED_SQL = (
     "SELECT id, chrom, pos, ref, alt, error_code, CASE WHEN error_code IS NULL THEN 'PENDING' WHEN error_code = 'REF_MISMATCH' THEN 'REF_MISMATCH' WHEN error_code = 'REF_EQUALS_ALT' THEN 'UNSUPPORTED' ELSE 'FAILED' END AS status FROM ("
     "SELECT *, CASE WHEN alt = ref THEN 'REF_EQUALS_ALT' WHEN p = 23 THEN 'INVALID_CHROMOSOME' WHEN pos <= 20 OR pos > 400 OR substring('ACGT', CAST((pos - 1) % 4 + 1 AS INTEGER), 1) <> ref THEN 'REF_MISMATCH' WHEN pos + 19 > 400 THEN 'ALT_LENGTH_MISMATCH' END AS error_code FROM ("
     "SELECT 'v' || c_custkey AS id, c_custkey % 23 + 1 AS p, 'chr' || (c_custkey % 23 + 1) AS chrom, c_custkey * 7 % 420 + 1 AS pos, substring('ACGTA', CAST(c_custkey * 7 % 4 + 1 + CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE 0 END AS INTEGER), 1) AS ref, substring('GTCA', CAST(c_custkey % 4 + 1 AS INTEGER), 1) AS alt FROM customer))"
 )
+
+
+@query(_DROPPED_SQL)
 def drop_folder(v):
     """Two streaming runs over one folder: the second takes the files that came after the first."""
     path = folder(v)
-    genome = v.spark.range(1, 24).selectExpr("concat('chr', id) AS contig", "repeat('ACGT', 100) AS seq")
-    ref = "substring('ACGTA', CAST(c_custkey * 7 % 4 + 1 + CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE 0 END AS int), 1)"
-    rows = v.table("customer").selectExpr("concat('chr', c_custkey % 23 + 1) AS chr", "c_custkey * 7 % 420 + 1 AS pos", f"{ref} AS ref", "substring('GTCA', CAST(c_custkey % 4 + 1 AS int), 1) AS alt", "concat('v', c_custkey) AS variant_id", "c_custkey % 2 AS half")
+    rows = _dropped(v)
     for half in (0, 1):
-        sinks.write_tsv(rows.where(F.col("half") == half).drop("half"), f"{path}/in", mode="append")
-        batches.ingest_folder(v.spark, f"{path}/in", genome, f"{path}/out", f"{path}/checkpoint", width=40)
+        sinks.write_tsv(rows.where(F.col("c_custkey") % 2 == half).drop("c_custkey"), f"{path}/in", mode="append")
+        batches.ingest_folder(v.spark, f"{path}/in", _repeats(v), f"{path}/out", f"{path}/checkpoint", width=40)
     return v.spark.read.parquet(f"{path}/out").select(F.col("variant_id").alias("id"), "chrom", "pos", "ref", "alt", "error_code", "status")
 
 
+def _repeats(v: Views) -> DataFrame:
+    return v.spark.range(1, 24).selectExpr("concat('chr', id) AS contig", "repeat('ACGT', 100) AS seq")
+
+
+def _dropped(v: Views) -> DataFrame:
+    ref = "substring('ACGTA', CAST(c_custkey * 7 % 4 + 1 + CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE 0 END AS int), 1)"
+    return v.table("customer").selectExpr("concat('chr', c_custkey % 23 + 1) AS chr", "c_custkey * 7 % 420 + 1 AS pos", f"{ref} AS ref", "substring('GTCA', CAST(c_custkey % 4 + 1 AS int), 1) AS alt", "concat('v', c_custkey) AS variant_id", "c_custkey")
+
+
+_KEY = "CAST(substr(id, 2) AS BIGINT)"
+
+
+@query(
+    f"SELECT 'V' || {_KEY} % 40 AS vcf, row_number() OVER (PARTITION BY {_KEY} % 40 ORDER BY CAST(substr(chrom, 4) AS INTEGER), pos, {_KEY}) - 1 AS record_ordinal, 1 AS alt_index, *, CAST(NULL AS VARCHAR) AS refusal FROM ({_DROPPED_SQL}) WHERE {_KEY} % 40 NOT IN (7, 12) "
+    "UNION ALL SELECT 'V7', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'MALFORMED_VCF' UNION ALL SELECT 'V12', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'UNSORTED_VCF'"
+)
+def vcf_drop_folder(v):
+    """Forty VCFs, the even ones before a first run, the others before a second; one has no line of column names and one is not sorted."""
+    path = folder(v)
+    rows = _dropped(v).withColumn("vcf", F.col("c_custkey") % 40)
+    place = F.regexp_extract("chr", r"(\d+)", 1).cast("int")
+    line = F.concat_ws("\t", "chr", F.col("pos").cast("string"), "variant_id", "ref", "alt", F.lit("."), F.lit("PASS"), F.lit("."))
+    body = rows.select("vcf", F.when(F.col("vcf") == 12, -place).otherwise(place).alias("a"), "pos", "c_custkey", line.alias("value"))
+    declared = v.spark.range(40).select(F.col("id").alias("vcf"), F.explode(F.sequence(F.lit(1), F.lit(23))).alias("k")).select("vcf", (F.col("k") - 100).alias("a"), F.concat(F.lit("##contig=<ID=chr"), F.col("k").cast("string"), F.lit(">")).alias("value"))
+    named = v.spark.range(40).where("id <> 7").select(F.col("id").alias("vcf"), F.lit(-50).alias("a"), F.lit(_HEAD).alias("value"))
+    lines = body.unionByName(declared.unionByName(named), allowMissingColumns=True)
+    for half in (0, 1):
+        some = lines.where(F.col("vcf") % 2 == half)
+        some.repartition("vcf").sortWithinPartitions("vcf", "a", "pos", "c_custkey").select("vcf", "value").write.mode("append").partitionBy("vcf").text(f"{path}/in")
+        batches.ingest_vcf_folder(v.spark, f"{path}/in", _repeats(v), f"{path}/out", f"{path}/checkpoint", width=40)
+    name = F.concat(F.lit("V"), F.regexp_extract("file", r"/vcf=(\d+)/", 1)).alias("vcf")
+    done = v.spark.read.parquet(f"{path}/out/occurrences").select(name, "record_ordinal", "alt_index", F.col("variant_id").alias("id"), "chrom", "pos", "ref", "alt", "error_code", "status")
+    return done.unionByName(v.spark.read.parquet(f"{path}/out/refused").select(name, F.col("code").alias("refusal")), allowMissingColumns=True)
+
+
 # ---- refusals, and the context of a family
 
 

@@ -131,19 +131,32 @@ def _block_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.unionByName(joined).join(places, ["_file", "_start"]).select(F.regexp_replace(F.col("value").cast("string"), r"\r\z", "").alias("value"), (F.col("_n") + F.col("_offset")).alias("line"))
 
 
-def _numbered(lines: DataFrame) -> DataFrame:
-    """Lines numbered in file order, files of a folder in the order of their names: within each split of a file, then by the
-    lines of the splits before it.
+#: The split of a file that a scanned line is from.
+SPLIT = {"_file": "_metadata.file_path", "_start": "_metadata.file_block_start"}
+
+
+def with_split(lines: DataFrame) -> DataFrame:
+    """``value, _file, _start`` of a scan of text."""
+    return lines.select("value", *[F.col(c).alias(name) for name, c in SPLIT.items()])
+
+
+def _placed(lines: DataFrame, by: list[str]) -> DataFrame:
+    """Lines with their 0-based place among those of the same ``by``: within each split of a file, then by the lines of the splits before it.
 
     A scan may take splits in any order; the place of a split is that of its file and its start. Row ids rise along a split without
     a gap. Counts of splits are few and summed up in a window.
     """
-    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
-    tagged = lines.select("value", *split, F.monotonically_increasing_id().alias("_id"))
-    counts = tagged.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_count"), F.min("_id").alias("_first"))
-    before = F.coalesce(F.sum("_count").over(Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tagged = lines.withColumn("_id", F.monotonically_increasing_id())
+    counts = tagged.groupBy(*SPLIT).agg(F.count(F.lit(1)).alias("_count"), F.min("_id").alias("_first"))
+    before = F.coalesce(F.sum("_count").over(Window.partitionBy(*by).orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # a row for each split of the files
-    return tagged.join(F.broadcast(counts.select("_file", "_start", (before - F.col("_first")).alias("_shift"))), ["_file", "_start"]).select("value", (F.col("_id") + F.col("_shift")).alias("line"))
+    shifts = F.broadcast(counts.select(*SPLIT, (before - F.col("_first")).alias("_shift")))
+    return tagged.join(shifts, [*SPLIT]).select("value", "_file", (F.col("_id") + F.col("_shift")).alias("line"))
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Lines numbered in file order, files of a folder in the order of their names."""
+    return _placed(with_split(lines), []).select("value", "line")
 
 
 def files_mark(spark: SparkSession, *paths: str) -> str:
@@ -165,6 +178,13 @@ def text_digest(spark: SparkSession, path: str) -> tuple[str, int]:
     return blocks.agg(joined("block").alias("d")).first().d, size or 0
 
 
+def _is_no_record() -> Column:
+    """Whether a line that is neither a header's nor blank has fewer than five fields or a position that is no integer."""
+    fields = F.split("value", "\t")
+    body = ~F.col("value").startswith("#") & (F.trim("value") != "")
+    return body & ((F.size(fields) < 5) | F.get(fields, F.lit(1)).try_cast("bigint").isNull())
+
+
 def read_vcf_records(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
     """(header lines, records): ``record_ordinal, chrom, pos, variant_id, ref, alt_raw, qual, filter, info, format, samples``, quality
     and filters as the text they are.
@@ -174,20 +194,21 @@ def read_vcf_records(spark: SparkSession, path: str) -> tuple[list[str], DataFra
     lines = _text(spark, path)
     body = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("f", F.split("value", "\t"))
     # one pass: the header, whose lines are those of one file, and the first line that is no record
-    fields = F.split("value", "\t")
-    head, blank = F.col("value").startswith("#"), F.trim("value") == ""
-    wrong = ~head & ~blank & ((F.size(fields) < 5) | F.get(fields, F.lit(1)).try_cast("bigint").isNull())
+    head, wrong = F.col("value").startswith("#"), _is_no_record()
     told = lines.agg(F.array_sort(F.collect_list(F.when(head, F.struct("line", "value")))).alias("header"), F.min(F.when(wrong, F.col("line"))).alias("wrong")).first()
     header = [r.value for r in told.header]
     if told.wrong is not None:
         raise InputError("MALFORMED_VCF", f"{path}:{told.wrong + 1}")
-    shift = F.lit(sum(1 for _ in header))
+    return header, body.select(*_record_columns(F.col("line") - len(header)))
+
+
+def _record_columns(ordinal: Column) -> list[Column]:
+    """Columns of a record whose fields are the array ``f``."""
+    names = {0: "chrom", 3: "ref", 4: "alt_raw", 5: "qual", 6: "filter", 7: "info", 8: "format"}
     get = lambda k: F.get("f", F.lit(k))
-    rows = body.select(
-        (F.col("line") - shift).alias("record_ordinal"), get(0).alias("chrom"), F.expr("CAST(f[1] AS bigint)").alias("pos"), F.when(get(2) != ".", get(2)).alias("variant_id"),
-        get(3).alias("ref"), get(4).alias("alt_raw"), get(5).alias("qual"), get(6).alias("filter"), get(7).alias("info"), get(8).alias("format"), F.slice("f", 10, 1 << 20).alias("samples"),
-    )
-    return header, rows
+    fields = {k: get(k).alias(name) for k, name in names.items()}
+    fields[1], fields[2] = get(1).try_cast("bigint").alias("pos"), F.when(get(2) != ".", get(2)).alias("variant_id")
+    return [ordinal.alias("record_ordinal"), *[fields[k] for k in range(9)], F.slice("f", 10, 1 << 20).alias("samples")]
 
 
 def check_header(header: list[str], path: str = "") -> None:
@@ -249,6 +270,10 @@ def read_variants(spark: SparkSession, path: str, fmt: str = "auto") -> DataFram
     return read_vcf(spark, path) if resolve_format(path, fmt) == "vcf" else read_tsv(spark, path)
 
 
+def _with_stop(records: DataFrame) -> DataFrame:
+    return records.withColumn("stop", F.coalesce(F.regexp_extract("info", r"(?:^|;)END=(\d+)", 1).try_cast("bigint"), F.col("pos") + F.length("ref") - 1))
+
+
 def vcf_occurrences(spark: SparkSession, path: str, genome: str, target_sample: str | None = None) -> DataFrame:
     """Occurrences of a sorted VCF: record_ordinal from 0, alt_index from 1; records without an allele give none.
 
@@ -257,7 +282,7 @@ def vcf_occurrences(spark: SparkSession, path: str, genome: str, target_sample:
     header, records = read_vcf_records(spark, path)
     check_header(header, path)
     known = contigs_of(header)
-    placed = records.withColumn("stop", F.coalesce(F.regexp_extract("info", r"(?:^|;)END=(\d+)", 1).try_cast("bigint"), F.col("pos") + F.length("ref") - 1))
+    placed = _with_stop(records)
     if known:
         ranked = placed.withColumn("rid", alleles.contig_rank(F.col("chrom"), known))
     else:  # without contig lines a contig's place is that of its first record
@@ -278,6 +303,39 @@ def vcf_occurrences(spark: SparkSession, path: str, genome: str, target_sample:
     return _occurrence_columns(out, genome)
 
 
+def vcf_occurrences_by_file(lines: DataFrame, genome: str) -> tuple[DataFrame, DataFrame]:
+    """(occurrences with their ``file``, refusals as ``file, code, message``) of several VCFs at once, each with a header and record
+    numbers of its own; ``lines(value, _file, _start)`` are those that a scan gives, see ``with_split``.
+
+    What makes ``vcf_occurrences`` raise makes a file refused: it gives no occurrences, the others do. A file without a line is none.
+    """
+    placed = _placed(lines, ["_file"])
+    value, head = F.col("value"), F.col("value").startswith("#")
+    declares, block = r"^##contig=<.*?\bID=([^,>]+)", r"^##GVCFBlock|^##ALT=<.*\bID=NON_REF\b"
+    files = placed.groupBy("_file").agg(
+        F.count_if(head).alias("_shift"), F.max(value.startswith("#CHROM\tPOS\t")).alias("_named"), F.min(F.when(head & value.rlike(block), value)).alias("_block"),
+        F.max(head & value.rlike(declares)).alias("_declares"), F.min(F.when(_is_no_record(), F.col("line"))).alias("_wrong"),
+    )
+    body = placed.where(~head & (F.trim(value) != "")).join(files.select("_file", "_shift", "_declares"), "_file").withColumn("f", F.split("value", "\t"))
+    records = body.select("_file", "_declares", *_record_columns(F.col("line") - F.col("_shift")))
+    # a contig's place is that of its line in the header, or of its first record in a file whose header has no such lines
+    listed = placed.where(head & value.rlike(declares)).groupBy("_file", F.regexp_extract("value", declares, 1).alias("chrom")).agg(F.min("line").alias("_listed"))
+    first = records.groupBy("_file", "chrom").agg(F.min("record_ordinal").alias("_first"), F.first("_declares").alias("_declares"))
+    ranks = first.join(listed, ["_file", "chrom"], "left").select("_file", "chrom", F.when(F.col("_declares"), F.col("_listed")).otherwise(F.col("_first")).alias("rid"))
+    ranked = _with_stop(records).join(ranks, ["_file", "chrom"]).withColumn("genomic", ingest.is_genomic())
+    told = files.join(ordinal.first_wrong_by(ranked, ["_file"], "record_ordinal", ["rid", "pos"], "genomic"), "_file", "left")
+    at = lambda c, shift=0: F.concat(F.lit("record " if not shift else "line "), (F.col(c) + shift).cast("string"))
+    rules = (
+        (F.col("_file").rlike(r"(?i)\.gvcf(\.gz)?$"), "UNSUPPORTED_GVCF", F.lit("name")), (~F.col("_named"), "MALFORMED_VCF", F.lit("the header has no line of column names")),
+        (F.col("_block").isNotNull(), "UNSUPPORTED_GVCF", F.col("_block")), (F.col("_wrong").isNotNull(), "MALFORMED_VCF", at("_wrong", 1)),
+        (F.col("marked").isNotNull(), "UNSUPPORTED_GVCF", at("marked")), (F.col("descent").isNotNull(), "UNSORTED_VCF", at("descent")),
+    )
+    refusal = F.coalesce(*[F.when(rule, F.struct(F.lit(code).alias("code"), message.alias("message"))) for rule, code, message in rules])
+    refused = told.select(F.col("_file").alias("file"), refusal.alias("r")).where("r IS NOT NULL").select("file", "r.*")
+    good = records.withColumnRenamed("_file", "file").join(refused.select("file"), "file", "left_anti").where("alt_raw <> '.'")
+    return _occurrence_columns(ingest.classify(ingest.split_alts(good)), genome, "file"), refused
+
+
 def tsv_occurrences(spark: SparkSession, path: str, genome: str) -> DataFrame:
     """Occurrences of a table of four or five fields a line; other lines and positions that are no integers raise."""
     lines = _text(spark, path).where(F.trim("value") != "").withColumn("f", F.split("value", "\t"))
@@ -290,9 +348,9 @@ def tsv_occurrences(spark: SparkSession, path: str, genome: str) -> DataFrame:
     return _occurrence_columns(ingest.classify(rows), genome)
 
 
-def _occurrence_columns(rows: DataFrame, genome: str) -> DataFrame:
+def _occurrence_columns(rows: DataFrame, genome: str, *more: str) -> DataFrame:
     named = ingest.with_canonical_id(rows.withColumn("chrom", alleles.with_chr(F.col("chrom"))), name="canonical_variant_id").withColumnRenamed("chrom", "chr").withColumn("genome", F.lit(genome))
-    return named.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.OCCURRENCE.fields])
+    return named.select(*more, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.OCCURRENCE.fields])
 
 
 def peak_windows(peaks: DataFrame, width: int = 2114) -> DataFrame:

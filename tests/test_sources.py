@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from genoframe.operators import augment, contigs, family, regions
 from genoframe.sources import readers, sinks
-from genoframe.streaming.batches import ingest_folder
+from genoframe.streaming.batches import ingest_folder, ingest_vcf_folder
 
 HEADER = ["##fileformat=VCFv4.2", "##contig=<ID=chr2>", "##contig=<ID=chr1>", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
 BODY = ["chr2\t101\trs1\tA\tT,G\t.\tPASS\tAC=1", "chr2\t101\t.\tA\tT\t.\tPASS\t.", "", "chr1\t5\tx\tC\t<DEL>,*\t.\tPASS\tEND=9", "chr1\t7\ty\tC\t.\t.\tPASS\t."]
@@ -310,6 +310,36 @@ def test_streamed_ingest(spark, tmp_path):
     assert rows == {("chr1:101:A:T", "PENDING"), ("chr1:101:C:T", "REF_MISMATCH"), ("chr1:102:C:*", "UNSUPPORTED")} and spark.read.parquet(out).count() == 3
 
 
+def test_streamed_vcfs(spark, tmp_path):
+    """Each file has a header, an order of contigs and record numbers of its own; files that are refused do not stop the others."""
+    drop, out = tmp_path / "drop", str(tmp_path / "out")
+    (drop / "below").mkdir(parents=True)
+    contigs = spark.createDataFrame([("chr1", "ACGT" * 50), ("chr2", "ACGT" * 50)], "contig string, seq string")
+    run = lambda: ingest_vcf_folder(spark, str(drop), contigs, out, str(tmp_path / "check"), 20, files=2)
+    columns = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"
+    record = lambda chrom, pos, ref, alt, info=".": f"{chrom}\t{pos}\t.\t{ref}\t{alt}\t.\t.\t{info}"
+    write(drop / "a.vcf", ["##contig=<ID=chr2>", "##contig=<ID=chr1>", columns, record("chr2", 101, "A", "T,C"), "", record("chr1", 101, "C", "T"), record("chr1", 102, "C", ".")])
+    write(drop / "below/b.vcf", [columns, record("chr1", 101, "A", "T"), record("chr1", 102, "C", "*")])
+    run()
+    rows = lambda: sorted((r.file[-5:], r.record_ordinal, r.alt_index, r.canonical_id, r.status) for r in spark.read.parquet(f"{out}/occurrences").collect())
+    first = [("a.vcf", 0, 1, "chr2:101:A:T", "PENDING"), ("a.vcf", 0, 2, "chr2:101:A:C", "PENDING"), ("a.vcf", 2, 1, "chr1:101:C:T", "REF_MISMATCH"), ("b.vcf", 0, 1, "chr1:101:A:T", "PENDING"), ("b.vcf", 1, 1, "chr1:102:C:*", "UNSUPPORTED")]
+    assert rows() == first
+    with gzip.open(drop / "c.vcf.gz", "wt") as f:
+        f.write("\n".join([columns, record("chr2", 103, "G", "A")]) + "\n")
+    bad = {"d": [record("chr1", 1, "A", "C")], "e": [columns, "chr1\tx\t.\tA\tC"], "f": [columns, record("chr1", 9, "A", "C"), record("chr1", 8, "A", "C")], "g": [columns, record("chr1", 9, "A", ".", "END=20")], "h": ["##GVCFBlock0-1=minGQ=0", columns], "i.g": [columns], "j": ["##contig=<ID=chr1>", "##contig=<ID=chr2>", columns, record("chr2", 1, "A", "C"), record("chr1", 1, "A", "C")]}
+    for name, lines in bad.items():
+        write(drop / f"{name}vcf" if name == "i.g" else drop / f"{name}.vcf", lines)
+    (drop / "k.vcf").write_text("")
+    run()
+    run()
+    assert rows() == [*first, ("cf.gz", 0, 1, "chr2:103:G:A", "PENDING")]
+    told = {r.file.rsplit("/", 1)[1][0]: (r.code, r.message) for r in spark.read.parquet(f"{out}/refused").collect()}
+    assert told == {
+        "d": ("MALFORMED_VCF", "the header has no line of column names"), "e": ("MALFORMED_VCF", "line 2"), "f": ("UNSORTED_VCF", "record 1"), "g": ("UNSUPPORTED_GVCF", "record 0"),
+        "h": ("UNSUPPORTED_GVCF", "##GVCFBlock0-1=minGQ=0"), "i": ("UNSUPPORTED_GVCF", "name"), "j": ("UNSORTED_VCF", "record 1"),
+    }
+
+
 def test_lines_are_numbered_over_files_and_splits(spark, tmp_path):
     sizes = [3, 4000, 1, 900]  # a scan takes large splits first
     wanted = []
