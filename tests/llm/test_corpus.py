@@ -394,6 +394,44 @@ def test_counts_and_names_are_wide():
     assert not any(x.any() for x in trie.lookup(np.full(3, 8, np.uint64), names[:3]))
 
 
+def _asked(blocks, rng):
+    """Messages of many blocks that share a word, and a context with its successor, and have a few others each."""
+    shared = np.array([5], np.uint64)
+    for block in range(blocks):
+        some = np.unique(np.concatenate([shared, rng.integers(0, 4000, 30, dtype=np.uint64)]))
+        yield {"block": block, "a": some.tobytes(), "b": lm._planes(np.ones(len(some), np.int64)), "c": lm._pack_names(some << np.uint64(64 - lm.NAME_BITS)), "d": lm._planes((some % 3).astype(np.int64))}
+
+
+def test_a_shard_holds_what_is_distinct_however_many_blocks_ask(monkeypatch):
+    import tempfile
+    import tracemalloc
+
+    monkeypatch.setattr(lm, "PART", 4000)
+    monkeypatch.setattr(lm, "SPOOL", 1 << 16)
+    most = {}
+    for blocks in (1000, 8000):
+        with tempfile.SpooledTemporaryFile(lm.SPOOL) as words, tempfile.SpooledTemporaryFile(lm.SPOOL) as grams:
+            tracemalloc.start()
+            word, count = lm._word_sums(_asked(blocks, np.random.default_rng(1)), words)
+            context, name, times = lm._gram_sums(({**r, "b": lm._planes(np.ones(len(r["a"]) // 8, np.int64))} for r in _asked(blocks, np.random.default_rng(1))), grams)
+            places = [block for part in lm._parts(words, lambda r: len(r[1]) // 8) for block, _ in part]
+            most[blocks] = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            assert places == list(range(blocks)) and max(len(p) for p in lm._parts(words, lambda r: len(r[1]) // 8)) < 400
+            assert [b for p in lm._parts(grams, lambda r: len(r[3])) for b, *_ in p] == places
+        wanted = Counter(w for r in _asked(blocks, np.random.default_rng(1)) for w in np.frombuffer(r["a"], np.uint64).tolist())
+        assert dict(zip(word.tolist(), count.tolist(), strict=True)) == wanted and wanted[5] == blocks
+        assert dict(zip(zip(context.tolist(), name.tolist()), times.tolist(), strict=True)) == {(w, w): n * (w % 3) for w, n in wanted.items() if w % 3}
+    assert most[8000] < 1.3 * most[1000] + (1 << 20)
+
+
+def test_messages_of_a_shard_without_entries():
+    import tempfile
+
+    with tempfile.SpooledTemporaryFile(lm.SPOOL) as held:
+        assert [len(x) for x in lm._word_sums(iter(()), held)] == [0, 0] and [len(x) for x in lm._gram_sums(iter(()), held)] == [0, 0, 0] and not list(lm._parts(held, len))
+
+
 def test_model_without_training(spark):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
     got = lm.score(spark.createDataFrame([(None, "a b"), (None, None)], schema), Scratch(spark, "t")).collect()
