@@ -7,12 +7,8 @@ rows are never copied, long intervals need no branch of their own, and no pair i
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Sizes of nested bins, as powers of two: 1 kb to 1 Gb; an interval that crosses a border of the largest fits none.
 LEVELS = (10, 13, 16, 19, 22, 25, 30, 62)
@@ -67,27 +63,17 @@ def placed(right: DataFrame, start: str = "start", end: str = "end") -> DataFram
 def write_index(right: DataFrame, path: str, buckets: int = 200) -> DataFrame:
     """Stores ``right(chrom, start, end, ...)`` with levels and bins, bucketed by chromosome, level and bin, and gives it back: joins of it
     leave its rows where they are, only the left side is shuffled to the buckets. ``read_index`` opens it in another session."""
-    from genoframe.sources import sinks
+    from genoframe.sources import bucketed
 
-    rows, keys = placed(right), ["chrom", *PLACE]
-    name = f"intervals_{uuid.uuid4().hex}"
-    # a file a bucket
-    rows.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
-    spark = right.sparkSession
-    spark.sql(f"DROP TABLE {name}")  # the files stay
-    sinks.write_manifest(spark, f"{path}.index.json", {"buckets": buckets, "schema": json.loads(rows.schema.json()), "levels": levels_of(right)})
-    return read_index(spark, path)[0]
+    return bucketed.write(placed(right), path, ["chrom", *PLACE], buckets, levels=levels_of(right))
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, tuple[int, ...]]:
-    """(the stored intervals, the levels that occur); the table that stands for the files is named anew in each call."""
-    from genoframe.sources import sinks
-
-    told = sinks.read_manifest(spark, f"{path}.index.json")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(told["schema"]).fields)
-    name, keys = f"intervals_{uuid.uuid4().hex}", ", ".join(["chrom", *PLACE])
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {told['buckets']} BUCKETS LOCATION '{path}'")
-    return spark.table(name), tuple(told["levels"])
+    """(the stored intervals, the levels that occur)."""
+    from genoframe.sources import bucketed
+
+    table, told = bucketed.read(spark, path)
+    return table, tuple(told["levels"])
 
 
 def overlaps_or_none(left: DataFrame, right: DataFrame, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end"), levels: tuple[int, ...] = LEVELS) -> DataFrame:

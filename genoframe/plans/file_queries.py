@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoframe import schemas
-from genoframe.operators import contigs, family, ingest, intervals, regions
+from genoframe.operators import augment, contigs, family, ingest, intervals, regions
 from genoframe.plans import jobs
 from genoframe.plans.oracles import _CODE, _ORDER, _SEQ, ORACLES, _with
 from genoframe.plans.queries import CONTIGS, QUERIES, SPAN
 from genoframe.plans.views import ORDER, V_SQL, Views
-from genoframe.sources import readers, shards, sinks
+from genoframe.sources import bucketed, readers, shards, sinks
 from genoframe.streaming import batches
 
 FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,6 +228,15 @@ def buckets_scan(v):
     return readers.read_buckets(v.spark, path)
 
 
+@query(ORACLES["augment_merge"])
+def bucketed_merge(v):
+    """Alleles and results are stored in the same buckets, and merged where they lie."""
+    path = folder(v)
+    alleles = bucketed.write(v.ordered_occurrences.select(*augment.KEY, "alt", "error_code"), f"{path}/alleles", augment.KEY)
+    results = bucketed.write(v.results.select(*augment.KEY, "result_variant_id", "score", "gene"), f"{path}/results", augment.KEY)
+    return augment.merge(alleles, results, check=False)
+
+
 @query(ORACLES["region_routing"])
 def category_files(v):
     path = folder(v)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from genoframe.functions import alleles, scoring, text
 from genoframe.operators import augment, family, folds, ingest, intervals, lookups, prioritize, regions, validate
-from genoframe.sources import readers, sinks
+from genoframe.sources import bucketed, readers, sinks
 
 #: Populations of the frequency table, and the annotation's names for them.
 POPULATIONS = ("afr", "ami", "amr", "asj", "eas", "fin", "mid", "nfe", "sas", "remaining")
@@ -196,11 +196,13 @@ def export_vcf(spark: SparkSession, vcf: str, buckets: str, models: list[dict],
     if digest != manifest["input_digest"]:
         raise augment.Misaligned(f"{vcf} is not the file that was ingested")
     header, records = readers.read_vcf_records(spark, vcf)
-    keys = ingest.split_alts(records.where("alt_raw <> '.'")).select(*augment.KEY)
+    work = f"{out}.work"
+    keys = bucketed.write(ingest.split_alts(records.where("alt_raw <> '.'")).select(*augment.KEY), f"{work}/alleles", augment.KEY)
     n_records, n_alts = records.count(), keys.count()
     if (n_records, n_alts) != (manifest["record_count"], manifest["alt_occurrence_count"]):
         raise augment.Misaligned(f"{n_records} records and {n_alts} alleles; the manifest has {manifest['record_count']} and {manifest['alt_occurrence_count']}")
-    results = ingest.require_unique(readers.read_buckets(spark, buckets).drop("bucket"), *augment.KEY)
+    # moved once, to the alleles' buckets: neither the checks nor the merge move them again
+    results = ingest.require_unique(bucketed.write(readers.read_buckets(spark, buckets).drop("bucket"), f"{work}/results", augment.KEY), *augment.KEY)
     merged = augment.merge(keys, results)
     sinks.write_augmented_vcf(augment.header_lines(header, prefix), records, annotation_fields(merged, models, model_scores), out, prefix)
     written = spark.read.text(out).where("NOT startswith(value, '#')").count()
@@ -208,6 +210,7 @@ def export_vcf(spark: SparkSession, vcf: str, buckets: str, models: list[dict],
         raise augment.Misaligned(f"{written} records were written of {n_records}")
     done = {"records": n_records, "alleles": n_alts, "input_digest": digest}
     sinks.write_manifest(spark, f"{out}.manifest.json", done)
+    sinks.delete(spark, work)
     return done
 
 

@@ -9,8 +9,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from genoframe.operators import augment, contigs, family, regions
-from genoframe.sources import readers, sinks
+from genoframe.operators import augment, contigs, family, ingest, regions
+from genoframe.sources import bucketed, readers, sinks
 from genoframe.streaming.batches import ingest_folder, ingest_vcf_folder
 
 HEADER = ["##fileformat=VCFv4.2", "##contig=<ID=chr2>", "##contig=<ID=chr1>", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
@@ -263,6 +263,30 @@ def test_buckets(spark, tmp_path):
     assert [(r.record_ordinal, r.x, r.y) for r in rows] == [(0, None, 2.0), (1, "a", None)]
 
 
+def test_stored_results_merge_where_they_lie(spark, tmp_path):
+    rows = spark.range(600).selectExpr("id div 2 AS record_ordinal", "CAST(id % 2 AS int) + 1 AS alt_index", "'A' AS alt")
+    found = rows.selectExpr("record_ordinal", "alt_index", "concat('r', record_ordinal) AS result_variant_id")
+    a = bucketed.write(rows, str(tmp_path / "a"), augment.KEY, 5)
+    b = bucketed.write(found, str(tmp_path / "b"), augment.KEY, 5)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = augment.merge(a, ingest.require_unique(b, *augment.KEY))
+        for df in (merged, b.groupBy(*augment.KEY).count(), a.join(b, augment.KEY, "left_anti")):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert merged.count() == 600 and merged.where("result_variant_id = concat('r', record_ordinal)").count() == 600
+        short = bucketed.write(found.where("record_ordinal <> 7 OR alt_index = 1"), str(tmp_path / "c"), augment.KEY, 5)
+        with pytest.raises(augment.Misaligned, match="missing_result at record 7, allele 2"):
+            augment.merge(a, short)
+        twice = bucketed.write(found.unionByName(found.limit(1)), str(tmp_path / "d"), augment.KEY, 5)
+        with pytest.raises(ingest.DuplicateKeys):
+            ingest.require_unique(twice, *augment.KEY)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    again, told = bucketed.read(spark, str(tmp_path / "a"))
+    assert told["buckets"] == 5 and sorted(again.collect()) == sorted(rows.collect())
+
+
 def test_augmented_vcf(spark, tmp_path):
     source = write(tmp_path / "s.vcf", HEADER + [x for x in BODY if x])
     header, records = readers.read_vcf_records(spark, source)
