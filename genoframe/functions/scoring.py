@@ -15,6 +15,16 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def mean(name: str) -> Column:
+    """Mean of a column of doubles, the same whatever the order of rows and the number of tasks: decimals of up to 18 places are summed
+    and divided exactly. With a number beyond 10^15, an infinite one or NaN among them it is the mean of doubles. Nulls do not count."""
+    value = F.col(name).cast("double")
+    exact = F.abs(value) < 1e15
+    # a sum beyond 38 digits is null
+    mean_ = F.try_avg(F.when(exact, value.cast("decimal(38,18)"))).cast("double")
+    return F.coalesce(F.when(F.count_if(~exact) == 0, mean_), F.avg(value))
+
+
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x.cast("double"))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genoframe.functions import scoring
 from genoframe.operators import ingest
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -149,7 +150,7 @@ class Views:
         """One row per user and model (event type): fold change, quantile, whether in a peak."""
         e = self.table("events")
         return e.groupBy("user_id", F.col("event_type").alias("model_id")).agg(
-            (F.avg("value") / 97 - 1).alias("logfc"), (F.count(F.lit(1)) / 30).alias("active_allele_quantile"), (F.max("value") > 300).alias("in_peak")
+            (scoring.mean("value") / 97 - 1).alias("logfc"), (F.count(F.lit(1)) / 30).alias("active_allele_quantile"), (F.max("value") > 300).alias("in_peak")
         )
 
     @property

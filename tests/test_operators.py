@@ -357,3 +357,12 @@ def test_a_stored_index_is_not_shuffled(spark, tmp_path):
             low = depth(line)
     joined = next(k for k, x in enumerate(above) if "Join" in x)
     assert joined and not any("Exchange" in x for x in above[:joined])
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    values = [0.1, 0.7, 1e9, 0.3, -1e9, 58.11, 0.2] * 3
+    means = {spark.createDataFrame([(x,) for x in rows], "v double").repartition(parts).agg(scoring.mean("v")).first()[0] for parts in (1, 2, 5) for rows in (values, values[::-1], sorted(values))}
+    assert means == {59.41 / 7}
+    odd = spark.createDataFrame([(1, 1e300), (1, 3e300), (2, float("inf")), (2, 1.0), (3, None), (4, float("nan")), (5, 2.5), (5, None)], "k int, v double")
+    got = {r.k: r.m for r in odd.groupBy("k").agg(scoring.mean("v").alias("m")).collect()}
+    assert got[1] == 2e300 and got[2] == float("inf") and got[3] is None and math.isnan(got[4]) and got[5] == 2.5
