@@ -65,7 +65,9 @@ def write_index(right: DataFrame, path: str, buckets: int = 200) -> DataFrame:
     leave its rows where they are, only the left side is shuffled to the buckets. ``read_index`` opens it in another session."""
     from genoframe.sources import bucketed
 
-    return bucketed.write(placed(right), path, ["chrom", *PLACE], buckets, levels=levels_of(right))
+    rows = placed(right)
+    levels = tuple(sorted(r.l for r in rows.select(F.col(PLACE[0]).alias("l")).distinct().collect()))
+    return bucketed.write(rows, path, ["chrom", *PLACE], buckets, levels=levels)
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, tuple[int, ...]]:
@@ -93,17 +95,82 @@ def overlaps_or_none(left: DataFrame, right: DataFrame, left_on=("chrom", "start
     return looked.join(held, on, "left").where(F.col("hit") | (F.col("_level") == NO_LEVEL)).drop("_level", "_bin", "_held", "_place", "_chrom")
 
 
-def overlaps_any(left: DataFrame, right: DataFrame, key: list[str], name: str, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end"), levels: tuple[int, ...] = LEVELS) -> DataFrame:
-    """Distinct ``key`` of the left rows and whether any right interval overlaps one."""
-    met = overlaps_or_none(left, right.select(*[F.col(c).alias(f"_{c}") for c in right_on]), left_on, tuple(f"_{c}" for c in right_on), levels)
-    return met.groupBy(*key).agg(F.coalesce(F.bool_or("hit"), F.lit(False)).alias(name))
+#: Intervals of up to this many of the smallest bins are known in each bin that they touch (268 million bases).
+MOST_BINS = 1 << 18
+
+
+def spread(right: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
+    """``right`` with a row for each of the smallest bins that it touches; what touches more than MOST_BINS keeps its own level and bin.
 
+    For tables of which few rows lie over one place: a left row then looks into its own bin and meets only what is near.
+    """
+    a, b = (F.col(c).cast("long") for c in (start, end))
+    low, high = F.shiftright(a, LEVELS[0]), F.shiftright(b, LEVELS[0])
+    level, place = _level_bin(a, b)
+    bins = F.when(high - low < MOST_BINS, F.transform(F.sequence(low, high), lambda p: F.struct(F.lit(LEVELS[0]).alias("h"), p.alias("p")))).otherwise(F.array(F.struct(level.alias("h"), place.alias("p"))))
+    rows = right.where(F.col(start) <= F.col(end)).withColumn("_bins", F.explode(bins))
+    return rows.withColumns(dict(zip(PLACE, (F.col("_bins.h"), F.col("_bins.p")), strict=True))).drop("_bins")
+
+
+def spread_levels(right: DataFrame, end: str = "end") -> tuple[int, ...]:
+    """The levels that ``spread`` can need for intervals, or unions of intervals, of ``right``: the first one, unless a chromosome is
+    longer than MOST_BINS. One job, one number."""
+    last = right.agg(F.max(F.col(end).cast("long"))).first()[0]
+    bits = LEVELS[0] + MOST_BINS.bit_length() - 1
+    return LEVELS[:1] if last is None or last < 1 << bits else (LEVELS[0], *(x for x in LEVELS if x > bits))
+
+
+def merged(rows: DataFrame, by: list[str], start: str = "start", end: str = "end") -> DataFrame:
+    """``by, start, end``: disjoint intervals that cover, for each ``by``, the same bases as ``rows``; they are no more than these, and few
+    where intervals are dense. Only the distinct starts of a ``by`` are sorted together."""
+    ends = rows.where(F.col(start) <= F.col(end)).groupBy(*by, F.col(start).cast("long").alias("start")).agg(F.max(F.col(end).cast("long")).alias("end"))
+    upto = Window.partitionBy(*by).orderBy("start")
+    before = F.max("end").over(upto.rowsBetween(Window.unboundedPreceding, -1))
+    opened = ends.withColumn("_new", F.coalesce((F.col("start") > before + 1).cast("long"), F.lit(1).cast("long")))
+    numbered = opened.withColumn("_run", F.sum("_new").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*by, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_run")
+
+
+def _firsts(right: DataFrame, payload: list[str], order: list[str], right_on) -> DataFrame:
+    """``_chrom, _low, _high, _start, _best``: for each place the interval that comes first in ``order`` among those that end there or later.
+
+    An interval is never first if an earlier one in ``order``, which starts no later, ends no earlier. Of the others both
+    starts and ends grow, so each is the first one for the places between the end before and its own.
+    """
+    rc, rs, re_ = right_on
+    named = F.struct(*order, *[c for c in payload if c not in order])
+    own = right.where(f"`{rc}` IS NOT NULL").where(F.col(rs) <= F.col(re_)).groupBy(F.col(rc).alias("_chrom"), F.col(rs).cast("long").alias("_start"), F.col(re_).cast("long").alias("_high")).agg(F.min(named).alias("_best"))
+    before = F.max("_high").over(Window.partitionBy("_chrom").orderBy("_best").rowsBetween(Window.unboundedPreceding, -1))
+    kept = own.withColumn("_before", before).where("_before IS NULL OR _high > _before")
+    return kept.withColumn("_low", F.coalesce(F.col("_before") + 1, F.lit(0).cast("long"))).drop("_before")
 
-def first_overlap(left: DataFrame, right: DataFrame, key: list[str], payload: list[str], order: list[str], left_on, right_on, levels: tuple[int, ...] = LEVELS) -> DataFrame:
-    """For each distinct left ``key`` the payload of the overlapping right interval that comes first in ``order``; null if none."""
-    met = overlaps_or_none(left, right, left_on, right_on, levels)
-    best = F.min(F.when(F.col("hit"), F.struct(*order, *[c for c in payload if c not in order])))
-    return met.groupBy(*key).agg(best.alias("_best")).select(*key, *[F.col("_best")[c].alias(c) for c in payload])
+
+def _first_or_none(left: DataFrame, right: DataFrame, payload: list[str], order: list[str], left_on, right_on) -> DataFrame:
+    """``left`` with ``_best``, the first overlapping row of ``right`` in ``order``, which begins with its start; null if none. A left row
+    meets the one interval that can be its first, and comes as often as there are levels."""
+    lc, ls, le = left_on
+    held = spread(_firsts(right, payload, order, right_on), "_low", "_high")
+    levels = spread_levels(right, right_on[2])
+    looked = left.withColumn("_level", F.explode(F.array(*map(F.lit, levels)))).withColumn("_bin", F.expr(f"shiftright(cast(`{ls}` as bigint), _level)"))
+    on = (looked["_level"] == held["_held"]) & (looked["_bin"] == held["_place"]) & (looked[lc] == held["_chrom"])
+    on = on & (F.col(ls) >= F.col("_low")) & (F.col(ls) <= F.col("_high")) & (F.col("_start") <= F.col(le)) & (F.col(ls) <= F.col(le))
+    return looked.join(held, on, "left").drop("_level", "_bin", "_held", "_place", "_chrom", "_low", "_high", "_start")
+
+
+def overlaps_any(left: DataFrame, right: DataFrame, key: list[str], name: str, left_on=("chrom", "start", "end"), right_on=("chrom", "start", "end")) -> DataFrame:
+    """Distinct ``key`` of the left rows and whether any right interval overlaps one."""
+    held = merged(right, [right_on[0]], *right_on[1:]).toDF("_c", "_s", "_e")
+    met = _first_or_none(left, held, [], ["_s", "_e"], left_on, ("_c", "_s", "_e"))
+    return met.groupBy(*key).agg(F.bool_or(F.col("_best").isNotNull()).alias(name))
+
+
+def first_overlap(left: DataFrame, right: DataFrame, key: list[str], payload: list[str], order: list[str], left_on, right_on) -> DataFrame:
+    """For each distinct left ``key`` the payload of the overlapping right interval that comes first in ``order``; null if none.
+    ``order`` begins with the right's start."""
+    if order[0] != right_on[1]:
+        raise ValueError("the order of overlaps must begin with the start")
+    met = _first_or_none(left, right, payload, order, left_on, right_on)
+    return met.groupBy(*key).agg(F.min("_best").alias("_best")).select(*key, *[F.col("_best")[c].alias(c) for c in payload])
 
 
 #: Ends of intervals in a slice of a chromosome, about, and a place beyond every chromosome.

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoframe.operators.intervals import PLACE, levels_of, overlaps_or_none
+from genoframe.functions.scoring import let
+from genoframe.operators.intervals import LEVELS, PLACE, merged, overlaps_or_none, spread, spread_levels
 
 #: Labels from most to least severe.
 SEVERITY = ("splice_site", "cds", "splice_region", "five_prime_utr", "three_prime_utr", "exonic", "noncoding_gene", "intronic", "promoter", "intergenic")
@@ -38,21 +39,61 @@ def labels_of(feature: Column, biotype: Column) -> Column:
     )
 
 
+def condensed(regions: DataFrame) -> DataFrame:
+    """Regions of the same labels over the same bases, and of the same genes: one row for a stretch of a label, without a gene, and one for a
+    stretch of a gene, without a feature. However many regions lie over a place, it has no more rows than labels and genes."""
+    own = regions.select("chrom", "start", "end", "feature", F.when(F.col("feature") == "exon", F.col("biotype")).alias("biotype"), "gene_id")
+    none = lambda *names: [F.lit(None).cast("string").alias(c) for c in names]
+    place = ["chrom", "start", "end"]
+    labels = merged(own, ["chrom", "feature", "biotype"]).select(*place, "feature", "biotype", *none("gene_id"))
+    genes = merged(own.where("gene_id IS NOT NULL"), ["chrom", "gene_id"]).select(*place, *none("feature", "biotype"), "gene_id")
+    return spread(labels.unionByName(genes))
+
+
+def _listed(spans: DataFrame, held: DataFrame) -> DataFrame:
+    """``chrom, pos, ref, _mask, gene_ids`` by lists of what touches each of the smallest bins: a variant meets one row, its bin's, and takes
+    from the list what it overlaps; only variants that touch several bins are grouped."""
+    lists = held.groupBy("chrom", *PLACE).agg(F.collect_list(F.struct("start", "end", "mask", "gene_id")).alias("_list")).toDF("_chrom", *PLACE, "_list")
+    low, high = (F.shiftright(F.col(c).cast("long"), LEVELS[0]) for c in ("pos", "v_end"))
+    key = ["chrom", "pos", "ref"]
+
+    def met(rows: DataFrame, bins) -> DataFrame:
+        looked = rows.withColumn("_level", F.lit(LEVELS[0])).withColumn("_bin", bins)
+        on = (looked["_level"] == lists["_held"]) & (looked["_bin"] == lists["_place"]) & (looked["chrom"] == lists["_chrom"])
+        hits = F.filter("_list", lambda x: (x["start"] <= F.col("v_end")) & (x["end"] >= F.col("pos")))
+        mask = lambda h: F.aggregate(h, F.lit(0), lambda a, x: a.bitwiseOR(x["mask"]))
+        genes = lambda h: F.array_distinct(F.array_compact(F.transform(h, lambda x: x["gene_id"])))
+        out = looked.join(lists, on, "left").select(*key, let(hits, lambda h: F.struct(mask(h).alias("mask"), genes(h).alias("genes"))).alias("_r"))
+        return out.select(*key, F.col("_r.mask").alias("_mask"), F.col("_r.genes").alias("_genes"))
+
+    one = met(spans.where(F.coalesce(low >= high, F.lit(True))), low)
+    several = met(spans.where(low < high), F.explode(F.sequence(low, high))).groupBy(*key).agg(F.bit_or("_mask").alias("_mask"), F.array_distinct(F.flatten(F.collect_list("_genes"))).alias("_genes"))
+    return one.unionByName(several).select(*key, "_mask", F.array_sort(F.coalesce("_genes", F.array().cast("array<string>"))).alias("gene_ids"))
+
+
 def annotate(variants: DataFrame, regions: DataFrame, levels: tuple[int, ...] | None = None) -> DataFrame:
     """``chrom, pos, ref, labels, gene_ids, primary, is_coding, in_promoter`` of each distinct ``(chrom, pos, ref)``.
 
     Labels are those of all regions that the variant's span overlaps, most severe first; without any it is intergenic.
     ``regions(chrom, start, end, feature, biotype, gene_id)``. Labels of no known severity are dropped.
-    They may be a stored index of intervals, whose ``levels`` are known; its rows are then not shuffled.
+    They may be a stored index of intervals, whose ``levels`` are known; its rows are then not shuffled. Others are condensed first;
+    where regions are dense, an index had better be written of them ``condensed`` too.
     """
     v = variants.select("chrom", "pos", "ref").distinct()
     spans = v.withColumn("v_end", F.col("pos") + F.length("ref") - 1)
-    r = regions.select("chrom", "start", "end", labels_of(F.col("feature"), F.col("biotype")).alias("found"), "gene_id", *[c for c in PLACE if c in regions.columns])
-    met = overlaps_or_none(spans, r, ("chrom", "pos", "v_end"), ("chrom", "start", "end"), levels_of(regions) if levels is None else levels)
-    some = met.groupBy("chrom", "pos", "ref").agg(F.array_distinct(F.flatten(F.collect_set("found"))).alias("_all"), F.array_sort(F.collect_set("gene_id")).alias("gene_ids"))
-    labels = F.filter(F.lit(list(SEVERITY)), lambda x: F.array_contains("_all", x))
-    out = some.select("chrom", "pos", "ref", labels.alias("_found"), "gene_ids")
-    out = out.select("chrom", "pos", "ref", F.when(F.size("_found") > 0, F.col("_found")).otherwise(F.array(F.lit("intergenic"))).alias("labels"), "gene_ids")
+    if levels is None:
+        regions, levels = condensed(regions), spread_levels(regions)
+    found = labels_of(F.col("feature"), F.col("biotype"))
+    mask = sum((F.when(F.array_contains(found, x), 1 << k).otherwise(0) for k, x in enumerate(SEVERITY)), F.lit(0))
+    r = regions.select("chrom", "start", "end", mask.alias("mask"), "gene_id", *[c for c in PLACE if c in regions.columns])
+    if tuple(levels) == LEVELS[:1] and set(PLACE) <= set(r.columns):
+        some = _listed(spans, r)
+    else:
+        met = overlaps_or_none(spans, r, ("chrom", "pos", "v_end"), ("chrom", "start", "end"), levels)
+        some = met.groupBy("chrom", "pos", "ref").agg(F.bit_or("mask").alias("_mask"), F.array_sort(F.collect_set("gene_id")).alias("gene_ids"))
+    some = some.select("chrom", "pos", "ref", F.coalesce("_mask", F.lit(0)).alias("_mask"), "gene_ids")
+    labels = F.array_compact(F.array(*[F.when(F.col("_mask").bitwiseAND(1 << k) != 0, x) for k, x in enumerate(SEVERITY)]))
+    out = some.select("chrom", "pos", "ref", F.when(F.col("_mask") != 0, labels).otherwise(F.array(F.lit("intergenic"))).alias("labels"), "gene_ids")
     has = lambda x: F.array_contains("labels", x)
     return out.withColumn("primary", F.element_at("labels", 1)).withColumn("is_coding", has("cds")).withColumn("in_promoter", has("promoter"))
 

@@ -282,7 +282,7 @@ def write_once_shards(v):
 def region_index(v):
     """Labels by a stored index of the regions, opened again from its files."""
     path = folder(v)
-    intervals.write_index(v.regions, path, 8)
+    intervals.write_index(regions.condensed(v.regions), path)
     table, levels = intervals.read_index(v.spark, path)
     out = regions.annotate(v.variants, table, levels)
     return out.select("chrom", "pos", "ref", F.array_join("labels", ",").alias("labels"), F.array_join("gene_ids", ",").alias("gene_ids"))
