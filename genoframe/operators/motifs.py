@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The window's width, whose middle is the variant's place, and the least coefficient of a hit.
@@ -20,11 +20,21 @@ def overlapping(variants: DataFrame, hits: DataFrame, key: list[str], on: list[s
     ``hits(start, end, motif)`` and the columns ``on`` that name the window; the span has ``length`` letters from the window's middle.
     """
     middle = width // 2
-    rows = variants.select(*key, *[c for c in on if c not in key], (F.lit(middle) + length - 1).alias("_last"))
-    held = hits.select(*[F.col(c).alias(f"_{c}") for c in on], "start", "end", "motif")
-    same = [F.col(c) == F.col(f"_{c}") for c in on]
-    met = rows.join(held, [*same, F.col("start") <= F.col("_last"), F.col("end") >= middle], "left")
-    return met.groupBy(*key).agg(F.array_sort(F.collect_list("motif")).alias("motifs"))
+    names = [f"_{c}" for c in on]
+    rows = variants.select(*key, *[F.col(c).alias(n) for c, n in zip(on, names, strict=True)], (F.lit(middle) + length - 1).alias("_last"))
+    held = hits.select(*[F.col(c).alias(f"{n}_hit") for c, n in zip(on, names, strict=True)], "start", "end", "motif").where(F.col("end") >= middle)
+    same = [F.col(n) == F.col(f"{n}_hit") for n in names]
+    # each window and length meets the hits once; variants that share them share the list
+    asked = rows.select(*names, "_last").distinct()
+    lists = asked.join(held, [*same, F.col("start") <= F.col("_last")]).groupBy(*names, "_last").agg(F.array_sort(F.collect_list("motif")).alias("motifs"))
+    lists = lists.toDF(*[f"{n}_of" for n in names], "_last_of", "motifs")
+    met = [F.col(n) == F.col(f"{n}_of") for n in (*names, "_last")]
+    none = F.array().cast("array<string>")
+    # rows of one key are counted before they have lists: the lists of those that are alone are not shuffled again
+    counted = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*key)))
+    alone = counted.where("_n = 1").join(lists, met, "left").select(*key, F.coalesce("motifs", none).alias("motifs"))
+    repeated = counted.where("_n > 1").join(lists, met, "left").groupBy(*key).agg(F.array_sort(F.flatten(F.collect_list(F.coalesce("motifs", none)))).alias("motifs"))
+    return alone.unionByName(repeated)
 
 
 def strong(hits: DataFrame, least: float = LEAST) -> DataFrame:

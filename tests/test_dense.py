@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from genoframe.operators import intervals, regions
+from genoframe.operators import intervals, motifs, regions
 
 SPANS = "chrom string, pos long, ref string"
 PLACES = "chrom string, start long, end long"
@@ -61,3 +61,16 @@ def test_first_of_dense_overlaps_is_brute_force(spark):
     assert intervals._first_or_none(left, e, [], ["start", "end"], on, ("chrom", "start", "end")).count() == len(wanted)
     with pytest.raises(ValueError, match="start"):
         intervals.first_overlap(left, e, key, ["accession"], ["accession"], on, ("chrom", "start", "end"))
+
+
+def test_variants_of_one_window_share_its_list(spark):
+    hits = spark.createDataFrame([(w, s, s + 30, f"M{s % 7}") for w in (0, 1) for s in range(1000, 1080, 3)], "w int, start int, end int, motif string")
+    rows = [(k, k % 3, 1 + k % 4) for k in range(60)] + [(7, 0, 3), (7, 2, 1), (8, None, 1), (None, 1, 2)]
+    v = spark.createDataFrame(rows, "k int, w int, size int")
+    found = motifs.overlapping(v, hits, ["k"], ["w"], F.col("size"))
+    of = lambda w, size: [f"M{s % 7}" for s in range(1000, 1080, 3) if w in (0, 1) and s <= 1057 + size - 1 and s + 30 >= 1057]
+    wanted = {key: sorted(m for k, w, size in rows if k == key for m in of(w, size)) for key, _, _ in rows}
+    assert {r.k: r.motifs for r in found.collect()} == wanted
+    # rows with lists are not grouped: no aggregate or exchange stands above the join of those that are alone
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter") < plan.index("Aggregate")
