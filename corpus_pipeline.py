@@ -69,7 +69,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, ids, n_tokens`` of every row; a null text has no tokens."""
-    return bpe.encode(docs, vocabulary(BYTE_BPE)).withColumn("n_tokens", F.size("ids").cast("long"))
+    return bpe.encode(docs, vocabulary(BYTE_BPE), bounds=bpe.SMALL).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [("quality", quality_stage), ("language", language_stage), ("dedup", dedup_stage), ("mixing", mixing_stage), ("encoding", encoding_stage)]

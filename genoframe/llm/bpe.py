@@ -23,6 +23,8 @@ from genoframe.llm.workers import tidy
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bounds of the memory that a worker keeps; beyond them it forgets and computes anew.
 MEMO_ENTRIES, MEMO_LENGTH, PAIR_ENTRIES = 200_000, 48, 300_000
+#: Smaller bounds, of (memo, pairs), for jobs whose workers share an executor's memory with much else; they take more time.
+SMALL = (50_000, 100_000)
 #: Documents in a returned Arrow batch.
 BATCH = 256
 NEVER = 1 << 60
@@ -39,7 +41,7 @@ def byte_alphabet() -> dict[str, int]:
 class PrefixEncoder:
     """Encodes and decodes with a byte-level vocabulary file of the tokenizers library."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, bounds: tuple[int, int] = (MEMO_ENTRIES, PAIR_ENTRIES)):
         import ahocorasick
         import regex
 
@@ -70,7 +72,8 @@ class PrefixEncoder:
         self.find_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.find_pieces = regex.compile(PIECES).findall
         self.left, self.right, self.compatible_pairs = {}, {}, {}
-        self.memo = _Memo(self)
+        memo_entries, self.pair_entries = bounds
+        self.memo = _Memo(self, memo_entries)
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """Constituents at one edge of a token, with the rank of the merge that uses each up."""
@@ -90,7 +93,7 @@ class PrefixEncoder:
         """
         known = self.compatible_pairs.get((a, b))
         if known is None:
-            if len(self.compatible_pairs) >= PAIR_ENTRIES:
+            if len(self.compatible_pairs) >= self.pair_entries:
                 self.compatible_pairs.clear()
             right = self.right.get(a) or self.right.setdefault(a, self._spine(a, 1))
             left = self.left.get(b) or self.left.setdefault(b, self._spine(b, 0))
@@ -142,41 +145,42 @@ class PrefixEncoder:
 class _Memo(dict):
     """Ids of pieces met before, as bytes. Of two generations the older one is forgotten when the newer is full."""
 
-    def __init__(self, encoder: PrefixEncoder):
+    def __init__(self, encoder: PrefixEncoder, entries: int):
         super().__init__()
-        self.encoder, self.older = encoder, {}
+        self.encoder, self.older, self.entries = encoder, {}, entries
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
             ids = array("i", self.encoder.encode_piece(piece)).tobytes()
         if len(piece) <= MEMO_LENGTH:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= self.entries:
                 self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> PrefixEncoder:
-    return PrefixEncoder(path)
+@lru_cache(maxsize=1)
+def encoder(path: str, bounds: tuple[int, int] = (MEMO_ENTRIES, PAIR_ENTRIES)) -> PrefixEncoder:
+    return PrefixEncoder(path, bounds)
 
 
 def _strings(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", bounds: tuple[int, int] = (MEMO_ENTRIES, PAIR_ENTRIES)) -> DataFrame:
     """``id_col, ids array<int>`` for every row, in no order.
 
     ``vocabulary`` is the path of the vocabulary file on every executor. Whole texts are encoded, null as empty; empty
     texts give an empty array; repeated rows each give a row; other columns are not read. A map without shuffle.
+    ``bounds``: pieces and pairs of tokens that a worker keeps; results do not depend on them.
     """
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_bytes = encoder(vocabulary).encode_bytes
+        encode_bytes = encoder(vocabulary, bounds).encode_bytes
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)

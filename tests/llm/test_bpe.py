@@ -75,3 +75,11 @@ def test_vocabularies_that_need_more_are_refused(tmp_path):
         path.write_text(json.dumps(spec | change))
         with pytest.raises(ValueError, match="supported"):
             bpe.PrefixEncoder(str(path))
+
+
+def test_bounded_memos_change_nothing():
+    path = PATH
+    texts = [" ".join(f"w{k * k % 977}x{k % 13}" for k in range(n, n + 60)) for n in range(40)]
+    small, whole = bpe.PrefixEncoder(path, (20, 30)), bpe.PrefixEncoder(path)
+    assert [small.encode(t) for t in texts] == [whole.encode(t) for t in texts]
+    assert len(small.memo) <= 20 and len(small.memo.older) <= 20 and len(small.compatible_pairs) <= 30
