@@ -245,19 +245,37 @@ def per_base(regions: DataFrame, track: DataFrame, values=("value",)) -> DataFra
     where the track has none.
 
     ``track(chrom, pos, ...)`` has a row per base at most; several tracks are several columns of ``values``, named as given
-    (``values`` for a single one). Bases without a value are never rows: they are filled in between those that have one.
+    (``values`` for a single one). The track becomes arrays of 2048 bases, and a region takes its part of those that it touches: no base is
+    paired with a region as a row.
     """
-    spans = regions.where("start <= end").select("id", "chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
-    held = track.select("chrom", F.col("pos").cast("long").alias("pos"), *values).withColumn("_to", F.col("pos"))
-    met = overlaps_or_none(spans, held, ("chrom", "start", "end"), ("chrom", "pos", "_to"), LEVELS[:1])
-    rows = F.array_sort(F.collect_list(F.when(F.col("hit"), F.struct("pos", *values))))
-    grouped = met.groupBy("id", "start", "end").agg(rows.alias("_rows"))
+    spans = regions.where("start <= end").select("id", "chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).distinct()
+    bits = LEVELS[0]
+    base, last = F.shiftleft("_place", bits), (2 << bits) - 1
+    pos = F.col("pos").cast("long")
+    # a chunk holds the values of its bin and the next one, so most regions need one chunk
+    at = track.where("chrom IS NOT NULL AND pos IS NOT NULL").select(F.col("chrom").alias("_chrom"), pos.alias("pos"), *values, F.explode(F.array(F.shiftright(pos, bits), F.shiftright(pos, bits) - 1)).alias("_place"))
+    lists = at.groupBy("_chrom", "_place").agg(F.array_sort(F.collect_list(F.struct("pos", *values))).alias("_rows"))
+    none = lambda name: F.lit(None).cast(track.schema[name].dataType)
 
     def dense(name: str) -> Column:
-        none = F.lit(None).cast(track.schema[name].dataType)
-        gap = lambda n: F.array_repeat(none, F.greatest(n, F.lit(0)).cast("int"))
-        last = lambda i: F.coalesce(F.get("_rows", i)["pos"], F.col("start") - 1)
-        filled = F.flatten(F.transform("_rows", lambda r, i: F.concat(gap(r["pos"] - last(i - 1) - 1), F.array(r[name]))))
-        return F.concat(filled, gap(F.col("end") - last(F.size("_rows") - 1)))
-
-    return grouped.select("id", *[dense(name).alias("values" if len(values) == 1 else name) for name in values])
+        gap = lambda n: F.array_repeat(none(name), F.greatest(n, F.lit(0)).cast("int"))
+        before = lambda i: F.coalesce(F.get("_rows", i)["pos"], base - 1)
+        filled = F.flatten(F.transform("_rows", lambda r, i: F.concat(gap(r["pos"] - before(i - 1) - 1), F.array(r[name]))))
+        return F.concat(filled, gap(base + last - before(F.size("_rows") - 1)))
+
+    chunks = lists.select("_chrom", "_place", *[dense(name).alias(f"_{k}") for k, name in enumerate(values)])
+    low, high = F.shiftright("start", bits), F.shiftright("end", bits)
+    looked = spans.withColumn("_short", high - low < 2).withColumn("_bin", F.explode(F.sequence(low, high, F.lit(2).cast("long"))))
+    first = F.greatest(F.col("start"), F.shiftleft("_bin", bits))
+    n = (F.least(F.col("end"), F.shiftleft("_bin", bits) + last) - first + 1).cast("int")
+    piece = lambda k, name: F.when(F.col(f"_{k}").isNotNull(), F.slice(f"_{k}", (first - F.shiftleft("_bin", bits) + 1).cast("int"), n)).otherwise(F.array_repeat(none(name), n)).alias(f"_{k}")
+
+    def met(rows: DataFrame) -> DataFrame:
+        on = (rows["chrom"] == chunks["_chrom"]) & (rows["_bin"] == chunks["_place"])
+        return rows.join(chunks, on, "left").select("id", "chrom", "start", "end", "_bin", *[piece(k, name) for k, name in enumerate(values)])
+
+    short, long = met(looked.where("_short")), met(looked.where("NOT _short"))
+    parts = F.array_sort(F.collect_list(F.struct("_bin", *[f"_{k}" for k in range(len(values))])))
+    joined = long.groupBy("id", "chrom", "start", "end").agg(parts.alias("_parts")).select("id", *[F.flatten(F.col("_parts")[f"_{k}"]).alias(f"_{k}") for k in range(len(values))])
+    names = ["values"] if len(values) == 1 else list(values)
+    return short.select("id", *[f"_{k}" for k in range(len(values))]).unionByName(joined).toDF("id", *names)

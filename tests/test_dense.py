@@ -74,3 +74,17 @@ def test_variants_of_one_window_share_its_list(spark):
     # rows with lists are not grouped: no aggregate or exchange stands above the join of those that are alone
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join LeftOuter") < plan.index("Aggregate")
+
+
+def test_values_per_base_are_cut_from_chunks(spark):
+    rng = random.Random(8)
+    track = {("c%d" % rng.randrange(2), rng.randrange(0, 9000)): rng.randrange(99) for _ in range(900)}
+    rows = [(k, "c%d" % (k % 3), a := rng.randrange(0, 9000), a + n) for k, n in enumerate([0, 1, 500, 1023, 1024, 1500, 2047, 2048, 3000, 7000] * 4)] + [(99, None, 1, 3), (98, "c0", 5, 4), (0, "c0", 1, 3), (0, "c0", 1, 3)]
+    r = spark.createDataFrame(rows, "id int, chrom string, start long, end long")
+    t = spark.createDataFrame([(*k, v) for k, v in track.items()], "chrom string, pos long, value int")
+    out = intervals.per_base(r, t)
+    wanted = sorted(((k, [track.get((c, p)) for p in range(a, b + 1)]) for k, c, a, b in set(rows) if a <= b), key=str)
+    assert sorted(((x.id, x["values"]) for x in out.collect()), key=str) == wanted
+    # regions meet chunks by keys alone: no row stands for a pair of region and base
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert joins and not any("<=" in x for x in joins)
