@@ -576,3 +576,10 @@ def test_pipeline_stages_on_hard_rows(spark, sf_dir):
     empty = spark.createDataFrame([], schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+def test_the_query_learns_trigrams(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scores = lambda df: {r.doc_id: r.score for r in df.collect()}
+    got = scores(queries.op8_ngram_lm(spark, sf_dir))
+    assert got == scores(lm.score(docs, Scratch(spark, "trigrams"), order=3)) != scores(lm.score(docs, Scratch(spark, "bigrams"), order=2))
