@@ -36,19 +36,28 @@ def status(current: Column, result_id: Column) -> Column:
 
 
 def misalignment(occurrences: DataFrame, results: DataFrame) -> DataFrame:
-    """``side, record_ordinal, alt_index`` of occurrences without a result and results without an occurrence."""
-    a, b = occurrences.select(*KEY), results.select(*KEY)
-    lost = a.join(b, KEY, "left_anti").select(F.lit("missing_result").alias("side"), *KEY)
-    return lost.unionByName(b.join(a, KEY, "left_anti").select(F.lit("extra_result").alias("side"), *KEY))
+    """``side, record_ordinal, alt_index`` of occurrences without a result and results without an occurrence; each side is read once."""
+    a, b = occurrences.select(*KEY, F.lit(1).alias("_a")), results.select(*KEY, F.lit(1).alias("_b"))
+    side = F.when(F.col("_b").isNull(), "missing_result").otherwise("extra_result").alias("side")
+    return a.join(b, KEY, "full").where("_a IS NULL OR _b IS NULL").select(side, *KEY)
 
 
-def merge(occurrences: DataFrame, results: DataFrame, check: bool = True) -> DataFrame:
-    """Occurrences with their results' columns; unless ``check`` is off any misaligned row raises."""
+def merge(occurrences: DataFrame, results: DataFrame, check: bool = True, by_record: bool = False) -> DataFrame:
+    """Occurrences with their results' columns; unless ``check`` is off any misaligned row raises.
+
+    ``by_record`` brings together whole records, whose few alleles are compared there, so that grouping by record moves no row again.
+    """
     if check:
         row = misalignment(occurrences, results).first()
         if row is not None:
             raise Misaligned(f"{row.side} at record {row.record_ordinal}, allele {row.alt_index}")
-    return occurrences.join(results, KEY, "left")
+    if not by_record:
+        return occurrences.join(results, KEY, "left")
+    record, allele = KEY
+    other = results.withColumnsRenamed({record: "_record", allele: "_allele"})
+    # a difference, as an equality would be taken for a second key of the shuffle
+    same = (F.col(record) == F.col("_record")) & (F.col(allele) - F.col("_allele") == 0)
+    return occurrences.join(other, same, "left").drop("_record", "_allele")
 
 
 def short_ids(models: list[dict]) -> list[dict]:

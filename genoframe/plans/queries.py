@@ -497,7 +497,7 @@ def augment_misalignment(v):
 
 @query
 def augment_info_arrays(v):
-    rows = augment.merge(v.ordered_occurrences, v.results, check=False)
+    rows = augment.merge(v.ordered_occurrences, v.results, check=False, by_record=True)
     rows = rows.select("record_ordinal", "alt_index", augment.status(F.col("status"), F.col("result_variant_id")).alias("statuses"), F.col("error_code").alias("errors"), F.col("gene").alias("genes"))
     return augment.per_record(rows, ["statuses", "errors", "genes"])
 

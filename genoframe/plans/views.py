@@ -5,6 +5,8 @@ The SQL texts are the specification; the frames select the same expressions.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,8 +173,9 @@ class Views:
         """Results of supported occurrences, by ordinal; every seventh is lost."""
         return self.ordered_occurrences.where("error_code IS NULL AND record_ordinal % 7 <> 0").select("record_ordinal", "alt_index", F.concat(F.lit("R"), F.col("record_ordinal").cast("string")).alias("result_variant_id"), F.col("l_extendedprice").alias("score"), F.when(F.col("l_partkey") % 4 != 0, F.concat(F.lit("G"), (F.col("l_partkey") % 50).cast("string"))).alias("gene"))
 
-    @property
+    @cached_property
     def ordered_occurrences(self) -> DataFrame:
+        """One frame, so that what is made of it twice shares its slices and its shuffle."""
         from genoframe.operators.ordinal import with_ordinal
 
         return ingest.classify(ingest.split_alts(with_ordinal(self.variants, ORDER)))
