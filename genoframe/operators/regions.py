@@ -130,25 +130,32 @@ def introns(exons: DataFrame, order: tuple[str, ...] = ("start", "end")) -> Data
     return gaps.withColumn("exon_end", F.col("end")).withColumn("start", F.col("end") + 1).withColumn("end", F.col("next_start") - 1)
 
 
+def _parts(parts: list[tuple[Column, Column, Column]], name: str) -> list[Column]:
+    return [F.struct(kind.alias(name), start.cast("long").alias("start"), end.cast("long").alias("end")) for kind, start, end in parts]
+
+
 def _fragments(gaps: DataFrame, parts: list[tuple[Column, Column, Column]], name: str) -> DataFrame:
-    rows = F.array(*[F.struct(kind.alias(name), start.cast("long").alias("start"), end.cast("long").alias("end")) for kind, start, end in parts])
-    return gaps.withColumn("_part", F.explode(rows)).drop("start", "end").select("*", "_part.*").drop("_part")
+    return gaps.withColumn("_part", F.explode(F.array(*_parts(parts, name)))).drop("start", "end").select("*", "_part.*").drop("_part")
 
 
-def splice_sites(gaps: DataFrame) -> DataFrame:
-    """Two bases at each end of each intron, clamped to it; the strand says which is the donor (``kind``)."""
+def _site_parts(a: Column, b: Column) -> list[tuple[Column, Column, Column]]:
     first = F.when(F.col("strand") == "+", "splice_donor").otherwise("splice_acceptor")
     last = F.when(F.col("strand") == "+", "splice_acceptor").otherwise("splice_donor")
-    a, b = F.col("start"), F.col("end")
-    return _fragments(gaps, [(first, a, F.least(a + SITE - 1, b)), (last, F.greatest(b - SITE + 1, a), b)], "kind")
+    return [(first, a, F.least(a + SITE - 1, b)), (last, F.greatest(b - SITE + 1, a), b)]
+
+
+def _region_parts(a: Column, b: Column, exon_end: Column, next_start: Column, left: str, right: str) -> list[tuple[Column, Column, Column]]:
+    return [(F.lit(left), exon_end - REGION_EXON + 1, F.least(a + REGION_INTRON - 1, b)), (F.lit(right), F.greatest(b - REGION_INTRON + 1, a), next_start + REGION_EXON - 1)]
+
+
+def splice_sites(gaps: DataFrame) -> DataFrame:
+    """Two bases at each end of each intron, clamped to it; the strand says which is the donor (``kind``)."""
+    return _fragments(gaps, _site_parts(F.col("start"), F.col("end")), "kind")
 
 
 def splice_regions(gaps: DataFrame) -> DataFrame:
     """Three bases of exon and eight of intron around each end, clamped on the intron's side only (``side``)."""
-    a, b = F.col("start"), F.col("end")
-    left = (F.lit("left"), F.col("exon_end") - REGION_EXON + 1, F.least(a + REGION_INTRON - 1, b))
-    right = (F.lit("right"), F.greatest(b - REGION_INTRON + 1, a), F.col("next_start") + REGION_EXON - 1)
-    return _fragments(gaps, [left, right], "side")
+    return _fragments(gaps, _region_parts(F.col("start"), F.col("end"), F.col("exon_end"), F.col("next_start"), "left", "right"), "side")
 
 
 def promoters(genes: DataFrame) -> DataFrame:
@@ -165,12 +172,17 @@ OWN = ("strand", "gene_id", "gene_name", "biotype")
 
 def region_table(exons: DataFrame, genes: DataFrame, parts: DataFrame | None = None) -> DataFrame:
     """``feature, chrom, start, end`` of exons, of ``parts`` (coding and untranslated ones, with their ``feature``) and of all that
-    is derived; and ``strand, gene_id, gene_name, biotype`` if both tables have them. Null or empty fragments are dropped."""
-    gaps = introns(exons)
+    is derived; and ``strand, gene_id, gene_name, biotype`` if both tables have them. Null or empty fragments are dropped. Exons are read and moved once: each gives itself and what lies up to the next one."""
     own = [c for c in OWN if c in exons.columns and c in genes.columns]
     own = own if len(own) == len(OWN) else []
     pick = lambda df, feature: df.select(feature.alias("feature"), "chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), *own)
-    rows = [pick(exons, F.lit("exon")), pick(gaps, F.lit("intron")), pick(splice_sites(gaps), F.col("kind")), pick(splice_regions(gaps), F.lit("splice_region")), pick(promoters(genes), F.lit("promoter"))]
+    following = F.lead("start").over(Window.partitionBy("tx").orderBy("start", "end"))
+    exon, after = (F.lit("exon"), F.col("start"), F.col("end")), F.col("_next")
+    a, b = F.col("end") + 1, after - 1
+    gap = [exon, (F.lit("intron"), a, b), *_site_parts(a, b), *_region_parts(a, b, F.col("end"), after, "splice_region", "splice_region")]
+    made = F.when(after > a, F.array(*_parts(gap, "feature"))).otherwise(F.array(*_parts([exon], "feature")))
+    spread = exons.withColumn("_next", following).select("chrom", *own, F.explode(made).alias("_part")).select("chrom", *own, "_part.*")
+    rows = [pick(spread, F.col("feature")), pick(promoters(genes), F.lit("promoter"))]
     if parts is not None:
         rows.append(pick(parts, F.col("feature")))
     out = rows[0]
@@ -191,7 +203,9 @@ def after_colon(value: Column) -> Column:
 def transcripts_of(gff: DataFrame) -> DataFrame:
     """``tx, gene_id, biotype, name`` of the transcripts in ``gff(feature, attributes)``: biotype and name are the gene's, and a gene
     without a name is called by its id."""
-    named = gff.select("feature", *[attribute(F.col("attributes"), k).alias(k) for k in ("ID", "Parent", "biotype", "Name")])
+    # a plain test first spares the rows of parts, which are most, the expressions
+    told = gff.where(F.col("feature").endswith("gene") | F.col("attributes").contains("ID=transcript:"))
+    named = told.select("feature", *[attribute(F.col("attributes"), k).alias(k) for k in ("ID", "Parent", "biotype", "Name")])
     genes = named.where(F.col("feature").endswith("gene")).select(after_colon(F.col("ID")).alias("gene_id"), "biotype", F.coalesce("Name", after_colon(F.col("ID"))).alias("name"))
     tx = named.where(F.col("ID").startswith("transcript:")).select(after_colon(F.col("ID")).alias("tx"), after_colon(F.col("Parent")).alias("gene_id"))
     return tx.join(genes, "gene_id", "left").select("tx", "gene_id", "biotype", "name")
