@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 SIZE, OVERLAP = 1 << 16, 1 << 13
 #: Letters of a line that are handled at once; a longer line is cut first.
 PIECE = 4096
+#: Contigs that are named one by one in a filter, at most.
+FEW = 1000
 
 
 def chunked(contigs: DataFrame) -> DataFrame:
@@ -46,13 +48,36 @@ def with_text(df: DataFrame, contigs: DataFrame, key: str, begin: Column, end: C
     """``df`` with ``_seq``, the letters of its contig from the 0-based place ``_offset`` on, that hold all from ``begin`` to ``end``.
 
     ``_seq`` is null if the contig is unknown, and ends where the contig ends. ``contigs`` are whole or chunked. Rows whose
-    range does not fit a chunk meet chunks put together once for each different range of chunks.
+    range does not fit a chunk meet chunks put together once for each different range of chunks. Texts of whole contigs may be costly
+    to make: they are made once, for the rows that lie in a first chunk, and again only for the contigs of the other rows, which are
+    looked up first (all contigs, if these are more than ``FEW``).
     """
-    chunks = chunked(contigs).select(F.col("contig").alias("_contig"), F.col("chunk").alias("_first"), F.col("seq").alias("_seq"))
+    if "chunk" in contigs.columns:
+        return _met(*_placed(df, begin, end), contigs, key)
+    placed, added = _placed(df, begin, end)
+    far = (F.col("_first") > 0) | (F.col("_last") > 0)
+    some = [r[0] for r in placed.where(far).select(F.col(key)).distinct().limit(FEW + 1).collect()]
+    # a contig that is known has a first chunk
+    first = chunked(contigs).where("chunk = 0").select(F.col("contig").alias("_c"), F.col("seq").alias("_seq"))
+    near = (placed.where(~far) if some else placed).join(first, F.col(key) == F.col("_c"), "left").withColumn("_offset", F.lit(0).cast("long")).drop(*added, "_c")
+    if not some:
+        return near
+    asked = contigs.where(F.col("contig").isin([x for x in some if x is not None])) if len(some) <= FEW else contigs
+    return near.unionByName(_met(placed.where(far), added, asked, key))
+
+
+def _placed(df: DataFrame, begin: Column, end: Column) -> tuple[DataFrame, list[str]]:
+    """``df`` with the chunks that its range begins and ends in, and the names of these columns."""
     begin = F.greatest(begin.cast("long"), F.lit(0).cast("long"))
     # a shift is never null, so joins on the chunk need no test of nulls that would make the range's columns again
     bits, end = SIZE.bit_length() - 1, F.coalesce(end.cast("long"), F.lit(0).cast("long"))
     placed = df.withColumn("_first", F.shiftright(begin, bits)).withColumn("_last", F.when(end > F.col("_first") * SIZE + SIZE + OVERLAP, F.shiftright(end - 1, bits)).otherwise(F.col("_first")))
+    return placed, ["_first", "_last"]
+
+
+def _met(placed: DataFrame, added: list[str], contigs: DataFrame, key: str) -> DataFrame:
+    """Rows with their texts, see ``with_text``."""
+    chunks = chunked(contigs).select(F.col("contig").alias("_contig"), F.col("chunk").alias("_first"), F.col("seq").alias("_seq"))
     # an outer explode, as a filter on the range would move down to where rows are made and make the range's columns again for each use
     wide = F.explode_outer(F.when(F.col("_last") > F.col("_first"), F.sequence("_first", "_last")))
     spans = placed.select(F.col(key).alias("_contig"), F.col("_first").alias("_from"), "_last", wide.alias("_chunk")).where("_chunk IS NOT NULL").distinct()
@@ -65,7 +90,7 @@ def with_text(df: DataFrame, contigs: DataFrame, key: str, begin: Column, end: C
     met = placed.join(texts, (F.col(key) == F.col("_c")) & (F.col("_first") == F.col("_f")) & (F.col("_last") == F.col("_l")), "left")
     met = met.join(names, F.col(key) == F.col("_known"), "left")
     out = met.withColumn("_seq", F.when(F.col("_known").isNotNull(), F.coalesce("_seq", F.lit("")))).withColumn("_offset", F.coalesce(F.col("_first"), F.lit(0)) * SIZE)
-    return out.drop("_first", "_last", "_c", "_f", "_l", "_known")
+    return out.drop(*added, "_c", "_f", "_l", "_known")
 
 
 def window_sequences(peaks: DataFrame, contigs: DataFrame, width: int = 2114, key: str = "chr") -> DataFrame:

@@ -16,3 +16,22 @@ def test_exons_are_read_once_for_all_that_is_derived(spark, tmp_path):
     apart = pick(exons, F.lit("exon")).unionByName(pick(gaps, F.lit("intron"))).unionByName(pick(regions.splice_sites(gaps), F.col("kind"))).unionByName(pick(regions.splice_regions(gaps), F.lit("splice_region"))).unionByName(pick(regions.promoters(genes), F.lit("promoter")))
     assert sorted(map(tuple, table.collect())) == sorted(map(tuple, apart.collect()))
     assert regions.region_table(exons, genes)._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_texts_of_first_chunks_are_made_once(spark, tmp_path):
+    from genoframe.operators import contigs
+
+    size = contigs.SIZE
+    texts = [("a", "ACGT" * 10), ("b", "ACGTT" * 40_000), ("c", None), ("d", ""), ("e", "GA" * size)]
+    spark.createDataFrame(texts, "contig string, seq string").write.parquet(str(tmp_path / "texts"))
+    whole = spark.read.parquet(str(tmp_path / "texts"))
+    places = [(k, c, at) for k, (c, at) in enumerate((c, at) for c in ("a", "b", "c", "d", "e", "x", None) for at in (None, 0, 30, size - 5, size + contigs.OVERLAP - 3, size + 9000, 3 * size, 9 * size))]
+    rows = spark.createDataFrame(places, "id int, contig string, at long")
+    met = lambda some, texts: contigs.with_text(some, texts, "contig", F.col("at") - 20, F.col("at") + 20)
+    got, wanted = met(rows, whole), met(rows, contigs.chunked(whole))
+    seen = lambda df: {r.id: r.s for r in df.select("id", F.substring("_seq", (F.col("at") - F.col("_offset") + 1).cast("int"), F.lit(20)).alias("s")).collect()}
+    assert got.columns == wanted.columns and seen(got) == seen(wanted)
+    known = lambda df: {r.id for r in df.where("_seq IS NOT NULL").collect()}
+    assert known(got) == known(wanted) == {k for k, c, _ in places if c in ("a", "b", "d", "e")}
+    near = met(rows.where("at < 100"), whole)._jdf.queryExecution().optimizedPlan().toString()
+    assert near.count("Relation [") == 1
