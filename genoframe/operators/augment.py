@@ -92,9 +92,9 @@ def info_text(row: DataFrame, fields: list[str], prefix: str) -> Column:
 
 
 def without_own_info(info: Column, prefix: str) -> Column:
-    """The INFO text without fields of an earlier run."""
+    """The INFO text without fields of an earlier run; a text without their prefix is not taken apart."""
     kept = F.filter(F.split(info, ";"), lambda x: ~x.rlike(rf"^{prefix}_[A-Z_]+(?:=|$)"))
-    return F.when(F.size(kept) == 0, ".").otherwise(F.array_join(kept, ";"))
+    return F.when(~info.contains(f"{prefix}_"), info).when(F.size(kept) == 0, ".").otherwise(F.array_join(kept, ";"))
 
 
 class HeaderConflict(ValueError):

@@ -103,12 +103,18 @@ def write_once(df: DataFrame, path: str, fingerprint: str, manifest: str | None
     return True
 
 
+#: Records of a part of an augmented VCF, at least, while there are fewer parts than shuffle partitions.
+PART = 1 << 14
+
+
 def write_augmented_vcf(header: list[str], records: DataFrame, annotations: DataFrame, path: str, prefix: str) -> None:
     """VCF text with the annotation fields of ``annotations(record_ordinal, <fields>)``, in record order.
 
     Fields of an earlier run are replaced, so writing twice changes nothing. The parts' first carries the header. Block
-    compression and an index have no writer here: the text may be gzipped by Spark.
+    compression and an index have no writer here: the text may be gzipped by Spark. Ordinals say which part a record goes to, so
+    the join is not made a second time to learn how they are spread.
     """
+    spark = records.sparkSession
     fields = [f for f, *_ in augment.INFO_FIELDS if f in annotations.columns]
     joined = records.join(annotations, "record_ordinal", "left")
     old = augment.without_own_info(F.coalesce("info", F.lit(".")), prefix)
@@ -117,4 +123,7 @@ def write_augmented_vcf(header: list[str], records: DataFrame, annotations: Data
     line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.coalesce("variant_id", F.lit(".")), "ref", "alt_raw", F.coalesce("qual", F.lit(".")) if "qual" in records.columns else F.lit("."), F.coalesce("filter", F.lit(".")) if "filter" in records.columns else F.lit("."), info, F.col("format"), F.when(F.size("samples") > 0, F.array_join("samples", "\t")))
     head = records.sparkSession.createDataFrame([(i - len(header), x) for i, x in enumerate(header)], "record_ordinal long, value string")
     both = head.unionByName(joined.select("record_ordinal", line.alias("value")))
-    both.repartitionByRange("record_ordinal").sortWithinPartitions("record_ordinal").select("value").write.mode("overwrite").text(path)
+    n = (records.agg(F.max("record_ordinal")).first()[0] or 0) + 1
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // PART))
+    part = F.greatest(F.expr(f"record_ordinal * {parts} div {n}"), F.lit(0).cast("long")).cast("int")
+    both.repartitionById(parts, part).sortWithinPartitions("record_ordinal").select("value").write.mode("overwrite").text(path)

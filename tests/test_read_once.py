@@ -35,3 +35,20 @@ def test_texts_of_first_chunks_are_made_once(spark, tmp_path):
     assert known(got) == known(wanted) == {k for k, c, _ in places if c in ("a", "b", "d", "e")}
     near = met(rows.where("at < 100"), whole)._jdf.queryExecution().optimizedPlan().toString()
     assert near.count("Relation [") == 1
+
+
+def test_parts_of_an_augmented_vcf_follow_the_ordinals(spark, tmp_path, monkeypatch):
+    from genoframe.operators import augment
+    from genoframe.sources import readers, sinks
+
+    monkeypatch.setattr(sinks, "PART", 10)
+    (tmp_path / "in.vcf").write_text("##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n" + "".join(f"chr1\t{k + 1}\t.\tA\tC\t.\t.\tAC={k}{';GF_STATUS=old' if k % 3 else ''}\n" for k in range(95)))
+    header, records = readers.read_vcf_records(spark, str(tmp_path / "in.vcf"))
+    notes = records.where("pos % 2 = 0").select("record_ordinal", F.lit("S").alias("STATUS"))
+    sinks.write_augmented_vcf(header, records, notes, str(tmp_path / "out"), "GF")
+    parts = [p.read_text().splitlines() for p in sorted((tmp_path / "out").glob("part-*"))]
+    assert len(parts) == 4 and max(map(len, parts)) <= 27
+    assert [x for p in parts for x in p] == header + [f"chr1\t{k + 1}\t.\tA\tC\t.\t.\tAC={k}{';GF_STATUS=S' if k % 2 else ''}" for k in range(95)]
+    texts = ["GF_STATUS=x", "A=1;;B", "", ".", "XGF_A=1;GF_A;C", None]
+    got = spark.createDataFrame([(x,) for x in texts], "x string").select(augment.without_own_info(F.col("x"), "GF").alias("y")).collect()
+    assert [r.y for r in got] == [".", "A=1;;B", "", ".", "XGF_A=1;C", None]
