@@ -55,7 +55,8 @@ def counts(records: DataFrame, occurrences: DataFrame) -> DataFrame:
 
 def is_genomic() -> Column:
     """Whether a record is one that only a genomic VCF has: a ``<NON_REF>`` or ``<*>`` allele, or no allele and a reference block."""
-    named = F.arrays_overlap(F.split("alt_raw", ","), F.array(F.lit("<NON_REF>"), F.lit("<*>")))
+    listed = F.concat(F.lit(","), "alt_raw", F.lit(","))
+    named = listed.contains(",<NON_REF>,") | listed.contains(",<*>,")
     block = (F.col("alt_raw") == ".") & (F.col("stop") > F.col("pos"))
     return F.coalesce(named, F.lit(False)) | F.coalesce(block, F.lit(False))
 

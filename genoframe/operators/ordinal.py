@@ -67,11 +67,16 @@ def first_wrong_by(df: DataFrame, by: list[str], ordinal: str, keys: list[str],
     """For each ``by``: ``descent``, the first ordinal whose ``keys`` are below those of the row before, and ``marked``, the first one that
     has ``mark``, each null if there is none; one pass over ``df``: neighbours meet within runs of ordinals, and the ends of the runs
     after that."""
-    own = df.select(*by, F.col(ordinal).alias("_at"), F.struct(*keys).alias("_key"), F.col(mark).alias("_mark")).withColumn("_run", F.expr(f"_at div {RUN}"))
-    within = own.withColumn("_down", F.col("_key") < F.lag("_key").over(Window.partitionBy(*by, "_run").orderBy("_at")))
-    runs = within.groupBy(*by, "_run").agg(F.min(F.when(F.col("_down"), F.col("_at"))).alias("d"), F.min(F.when(F.col("_mark"), F.col("_at"))).alias("m"), F.min(F.struct("_at", "_key")).alias("first"), F.max(F.struct("_at", "_key")).alias("last"))
+    named = [f"_key{k}" for k in range(len(keys))]
+    own = df.select(*by, F.col(ordinal).alias("_at"), *[F.col(c).alias(k) for c, k in zip(keys, named, strict=True)], F.col(mark).alias("_mark")).withColumn("_run", F.expr(f"_at div {RUN}"))
+    near = Window.partitionBy(*by, "_run").orderBy("_at")
+    within = own.withColumns({"_down": F.struct(*named) < F.lag(F.struct(*named)).over(near), "_begins": F.lag("_at").over(near).isNull(), "_ends": F.lead("_at").over(near).isNull()})
+    # one row begins a run and one ends it; plain numbers are summed up by hashing, structs would be sorted
+    of = lambda flag: [F.max(F.when(F.col(flag), F.col(k))).alias(flag + k) for k in named]
+    runs = within.groupBy(*by, "_run").agg(F.min(F.when(F.col("_down"), F.col("_at"))).alias("d"), F.min(F.when(F.col("_mark"), F.col("_at"))).alias("m"), F.min("_at").alias("_from"), *of("_begins"), *of("_ends"))
     # a row a run
-    ends = runs.withColumn("e", F.when(F.col("first._key") < F.lag("last._key").over(Window.partitionBy(*by).orderBy("_run")), F.col("first._at")))
+    before = F.lag(F.struct(*["_ends" + k for k in named])).over(Window.partitionBy(*by).orderBy("_run"))
+    ends = runs.withColumn("e", F.when(F.struct(*["_begins" + k for k in named]) < before, F.col("_from")))
     return ends.groupBy(*by).agg(F.min(F.least("d", "e")).alias("descent"), F.min("m").alias("marked"))
 
 

@@ -271,7 +271,7 @@ def read_variants(spark: SparkSession, path: str, fmt: str = "auto") -> DataFram
 
 
 def _with_stop(records: DataFrame) -> DataFrame:
-    return records.withColumn("stop", F.coalesce(F.regexp_extract("info", r"(?:^|;)END=(\d+)", 1).try_cast("bigint"), F.col("pos") + F.length("ref") - 1))
+    return records.withColumn("stop", F.coalesce(F.when(F.col("info").contains("END="), F.regexp_extract("info", r"(?:^|;)END=(\d+)", 1)).try_cast("bigint"), F.col("pos") + F.length("ref") - 1))
 
 
 def vcf_occurrences(spark: SparkSession, path: str, genome: str, target_sample: str | None = None) -> DataFrame:

@@ -52,3 +52,18 @@ def test_parts_of_an_augmented_vcf_follow_the_ordinals(spark, tmp_path, monkeypa
     texts = ["GF_STATUS=x", "A=1;;B", "", ".", "XGF_A=1;GF_A;C", None]
     got = spark.createDataFrame([(x,) for x in texts], "x string").select(augment.without_own_info(F.col("x"), "GF").alias("y")).collect()
     assert [r.y for r in got] == [".", "A=1;;B", "", ".", "XGF_A=1;C", None]
+
+
+def test_order_is_checked_by_hashed_sums_and_across_gaps(spark, monkeypatch):
+    from genoframe.operators import ingest, ordinal
+
+    monkeypatch.setattr(ordinal, "RUN", 4)
+    # (ordinal, rid, pos, mark); 3 and 4 are missing, as blank lines leave gaps
+    rows = [("a", k, 1, k, False) for k in (0, 1, 2)] + [("a", 5, 1, 1, False), ("a", 6, 1, 0, True), ("b", 0, 2, 9, False), ("b", 9, 2, 9, True), ("c", 0, None, 5, False), ("c", 1, 1, 4, False), ("c", 2, None, 3, False)]
+    df = spark.createDataFrame(rows, "f string, o long, rid int, pos long, mark boolean")
+    found = ordinal.first_wrong_by(df, ["f"], "o", ["rid", "pos"], "mark")
+    assert {r.f: (r.descent, r.marked) for r in found.collect()} == {"a": (5, 6), "b": (None, 9), "c": (2, None)}
+    assert "SortAggregate" not in ordinal.first_wrong_by(df, ["f"], "o", ["rid", "pos"], "mark")._jdf.queryExecution().executedPlan().toString()
+    alts = ["A", "A,<NON_REF>", "<*>", "A<*>", "<*>X,A", ".", None, "A,<*>,C"]
+    got = spark.createDataFrame([(x, 5, 5) for x in alts], "alt_raw string, pos long, stop long").select(ingest.is_genomic().alias("g")).collect()
+    assert [r.g for r in got] == [False, True, True, False, False, False, False, True]
