@@ -19,7 +19,7 @@ from genoframe.operators import augment, contigs, family, ingest, intervals, reg
 from genoframe.plans import jobs
 from genoframe.plans.oracles import _CODE, _ORDER, _SEQ, ORACLES, _with
 from genoframe.plans.queries import CONTIGS, QUERIES, SPAN
-from genoframe.plans.views import ORDER, V_SQL, Views
+from genoframe.plans.views import ORDER, SEQUENCE, V_SQL, Views
 from genoframe.sources import bucketed, readers, shards, sinks
 from genoframe.streaming import batches
 
@@ -151,10 +151,10 @@ def augmented_vcf(v):
 @query(f"SELECT contig, chunk, substring(seq, chunk * {contigs.SIZE} + 1, {contigs.SIZE + contigs.OVERLAP}) AS seq FROM (SELECT *, unnest(range(0, (length(seq) - 1) // {contigs.SIZE} + 1)) AS chunk FROM (SELECT 'd' || doc_id AS contig, regexp_replace({_SEQ}, '[^ACGTN]', 'N', 'g') AS seq FROM documents WHERE length(text) > 0))")
 def fasta_chunks(v):
     path = folder(v)
-    text = v.contigs.where("length(seq) > 0").select("contig", F.regexp_replace("seq", "[^ACGTN]", "N").alias("seq"))
-    lines = text.select("contig", F.posexplode(F.regexp_extract_all("seq", F.lit("(.{1,60})"), F.lit(1))).alias("k", "value"))
-    names = text.select("contig", F.lit(-1).alias("k"), F.concat(F.lit(">d"), F.col("contig").cast("string"), F.lit(" made of prose")).alias("value"))
-    write_lines([], names.unionByName(lines), ["contig", "k"], path)
+    # documents are put in order before their letters and lines are made; a row is a contig's lines
+    docs = v.table("documents").where("length(text) > 0").select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    lines = F.regexp_replace(F.regexp_replace(F.expr(SEQUENCE), "[^ACGTN]", "N"), "(.{60})(?=.)", "$1\n")
+    docs.select(F.concat(F.lit(">d"), F.col("doc_id").cast("string"), F.lit(" made of prose\n"), lines).alias("value")).write.text(path)
     return readers.read_fasta_chunks(v.spark, path)
 
 

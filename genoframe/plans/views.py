@@ -56,6 +56,9 @@ FAMILY = {
 }
 
 
+SEQUENCE = "translate(lower(text), 'bdefhijklmnopqrsuvwxyz .acgt', 'ACGTACGTACGTACGTACGTACGTACGT')"
+
+
 def select_sql(columns: dict[str, str], tail: str, *more: str) -> str:
     return "SELECT " + ", ".join([*more, *(f"{e} AS {c}" for c, e in columns.items())]) + " " + tail
 
@@ -133,8 +136,7 @@ class Views:
     @property
     def contigs(self) -> DataFrame:
         """Prose as sequence; some letters stay as they are and break the alphabet's rules."""
-        seq = F.expr("translate(lower(text), 'bdefhijklmnopqrsuvwxyz .acgt', 'ACGTACGTACGTACGTACGTACGTACGT')")
-        return self.table("documents").select(F.col("doc_id").alias("contig"), seq.alias("seq"))
+        return self.table("documents").select(F.col("doc_id").alias("contig"), F.expr(SEQUENCE).alias("seq"))
 
     @property
     def sequence_variants(self) -> DataFrame:

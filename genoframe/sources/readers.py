@@ -379,16 +379,18 @@ def read_fasta_chunks(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = _text(spark, path).select("line", F.rtrim("value").alias("value")).where("value <> ''")
     head = F.col("value").startswith(">")
-    sized = lines.withColumn("_block", F.expr(f"line div {LINE_BLOCK}")).withColumn("_len", F.when(head, 0).otherwise(F.length("value")).cast("long"))
+    # names are taken before lines move, so that what sums up the blocks moves numbers and names only
+    name = F.when(head, F.regexp_extract("value", r"^>(\S*)", 1)).alias("_name")
+    sized = lines.select("line", "value", F.expr(f"line div {LINE_BLOCK}").alias("_block"), F.when(head, 0).otherwise(F.length("value")).cast("long").alias("_len"), name)
     within = Window.partitionBy("_block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     run = sized.withColumn("_run", F.sum("_len").over(within))
-    run = run.withColumn("_head", F.last(F.when(head, F.struct(F.regexp_extract("value", r"^>(\S*)", 1).alias("name"), F.col("_run").alias("start"))), ignorenulls=True).over(within))
+    run = run.withColumn("_head", F.last(F.when(F.col("_name").isNotNull(), F.struct(F.col("_name").alias("name"), F.col("_run").alias("start"))), ignorenulls=True).over(within))
     blocks = run.groupBy("_block").agg(F.sum("_len").alias("_size"), F.max_by("_head", "line").alias("_end"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     shifted = blocks.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0).cast("long")))
     shifted = shifted.withColumn("_end", F.when(F.col("_end").isNotNull(), F.struct(F.col("_end.name").alias("name"), (F.col("_end.start") + F.col("_offset")).alias("start"))))
     shifted = shifted.select("_block", "_offset", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
-    placed = run.where(~head).join(shifted, "_block")
+    placed = run.where("_name IS NULL").join(shifted, "_block")
     own = F.when(F.col("_head").isNotNull(), F.struct(F.col("_head.name").alias("name"), (F.col("_head.start") + F.col("_offset")).alias("start"))).otherwise(F.col("_carried"))
     placed = placed.withColumn("_own", own).where("_own IS NOT NULL")
     return contigs.from_lines(placed.select(F.col("_own.name").alias("contig"), (F.col("_offset") + F.col("_run") - F.col("_len") - F.col("_own.start")).alias("at"), "value"))
