@@ -8,8 +8,9 @@ questions wait in a file of the task's own once they are more than SPOOL bytes,
 distinct in its shard, however many blocks ask. A block then has for each of its tokens the exact count of the word and the tries' answers, and sums over its
 documents. N-grams are dealt by their context (all words but the last), so a shard has whole contexts; contexts with a large part of
 a shard's tokens and more than 1 / HOT of all (fewer than HOT of them) are dealt by the n-gram. Which these are is known beforehand:
-a context occurs as often as the shorter n-gram that it is, which the order before has counted. Nothing that grows with
-the corpus comes to the driver or is broadcast but the counts of these hot contexts, fewer than HOT.
+a context occurs as often as the shorter n-gram that it is, which the order before has counted. Questions of an order are asked in
+up to ROUNDS rounds, each for its own shards, and texts are scored in as many, each for its own blocks, so that only a part of what is
+moved lies on the disks at a time. Nothing that grows with the corpus comes to the driver or is broadcast but the counts of these hot contexts, fewer than HOT.
 
 Probabilities: the unigram is discounted by D1 = n1 / (n1 + 2 n2) from word counts, and what is left is the
 probability of all unknown words together; with a context h, whose shorter form is h',
@@ -26,6 +27,7 @@ import os
 import pickle
 import tempfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,8 @@ from genoframe.llm.workers import tidy
 BLOCK_BYTES, SHARD_TOKENS = 4 << 20, 1_000_000
 #: Contexts with HOT_SHARE of a shard's tokens or more are dealt by pair, if they are among the HOT most frequent ones that a corpus can have.
 HOT, HOT_SHARE, DISCOUNT = 1 << 20, 0.25, 0.75
+#: An order's questions, and the scoring, take so many rounds at most, each of so many tokens at least.
+ROUNDS, ROUND_TOKENS = 4, 6_000_000
 NAME_BITS = HEAD_BITS + TAIL_BITS
 #: A shard sums up, and answers, about so many entries of its messages at once; bytes of questions that wait in memory.
 PART, SPOOL = 1 << 19, 16 << 20
@@ -149,36 +153,46 @@ def _chain(key: np.ndarray, name: np.ndarray) -> np.ndarray:
 
 
 def _contexts(tokens: np.ndarray, vocabulary: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(number of each token's context of ``order - 1`` words, key of each number); before a text stand end tokens."""
+    """(local number of the word before each token, key of each token's context of ``order - 1`` words); before a text stand end tokens."""
     end = int(np.flatnonzero(vocabulary == END)[0])
     history = [np.concatenate([[end], tokens[:-1]])]
-    if order == 2:
-        return history[0], vocabulary
     for _ in range(order - 2):
         nearer = history[-1]
         history.append(np.where(nearer == end, end, np.concatenate([[end], nearer[:-1]])))
-    names = _names(vocabulary)
     key = vocabulary[history[-1]]
+    names = _names(vocabulary) if order > 2 else None
     for words in history[-2::-1]:
         key = _chain(key, names[words])
-    keys, number = np.unique(key, return_inverse=True)
-    return number, keys
+    return history[0], key
 
 
-def _grams(tokens: np.ndarray, vocabulary: np.ndarray, order: int, shards: int, hot: np.ndarray):
-    """Distinct n-grams of a block: (keys of contexts, context, last word, n-gram of each token, order by shard, parts)."""
-    number, keys = _contexts(tokens, vocabulary, order)
+def _grams(tokens: np.ndarray, vocabulary: np.ndarray, order: int, shards: int, hot: np.ndarray, asked: tuple[int, int] = (0, 1)):
+    """Distinct n-grams of a block: (keys of contexts, context, last word, n-gram of each token, order by shard, parts, the tokens).
+
+    ``asked``: (k, of), only those whose shard has the remainder k; their order within a shard is the same.
+    """
+    before, key = _contexts(tokens, vocabulary, order)
+    k, of = asked
+    at = slice(None)
+    if of > 1:
+        deal = wa.mix(key * np.uint64(7))
+        if len(hot):
+            heavy = np.flatnonzero(np.isin(key, hot))
+            deal[heavy] = wa.mix(deal[heavy] + vocabulary[tokens[heavy]])
+        at = np.flatnonzero(_deal(deal, shards) % of == k)
+        before, key, tokens = before[at], key[at], tokens[at]
+    keys, number = (vocabulary, before) if order == 2 else np.unique(key, return_inverse=True)
     gram, which = np.unique(number << 32 | tokens, return_inverse=True)
     first, second = gram >> 32, gram & 0xFFFFFFFF
     deal = wa.mix(keys * np.uint64(7))[first]
     heavy = np.isin(keys, hot)[first]
     deal = np.where(heavy, wa.mix(deal + vocabulary[second]), deal)
     by_shard, parts = _split(_deal(deal, shards))
-    return keys, first, second, which, by_shard, parts
+    return keys, first, second, which, by_shard, parts, at
 
 
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.flatnonzero(np.diff(x, prepend=-1))
+    starts = np.flatnonzero(np.concatenate([np.ones(min(len(x), 1), bool), x[1:] != x[:-1]]))
     return x[starts], np.diff(np.append(starts, len(x)))
 
 
@@ -252,6 +266,8 @@ def _summed_up(entries: Iterator[tuple[np.ndarray, ...]], none: tuple[np.ndarray
 
 def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
     *keys, count = columns
+    if _ascends(*keys):
+        return *keys, count
     order = np.lexsort(keys[::-1])
     keys = [k[order] for k in keys]
     new = np.ones(len(order), bool)
@@ -259,6 +275,14 @@ def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
     return *[k[new] for k in keys], _added(np.cumsum(new) - 1, count[order], int(new.sum()))
 
 
+def _ascends(*keys: np.ndarray) -> bool:
+    """Whether rows are distinct and in order already."""
+    above = np.zeros(max(len(keys[0]) - 1, 0), bool)
+    for k in keys[::-1]:
+        above = (k[1:] > k[:-1]) | ((k[1:] == k[:-1]) & above)
+    return bool(above.all())
+
+
 def _added(at: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
     """Sums of whole numbers by place, exact beyond what a double holds."""
     return np.bincount(at, count & 0xFFFFFF, n).astype(np.int64) + (np.bincount(at, count >> 24, n).astype(np.int64) << 24)
@@ -306,7 +330,7 @@ def _word_answers(questions: DataFrame, most: float) -> DataFrame:
     return questions.repartition("shard").sortWithinPartitions("shard", "block").mapInArrow(tidy(run), _MESSAGE)
 
 
-def _gram_questions(table: DataFrame, order: int, shards: int, hot: np.ndarray) -> DataFrame:
+def _gram_questions(table: DataFrame, order: int, shards: int, hot: np.ndarray, asked: tuple[int, int] = (0, 1)) -> DataFrame:
     shared = table.sparkSession.sparkContext.broadcast(hot)  # fewer than HOT contexts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,8 +338,8 @@ def _gram_questions(table: DataFrame, order: int, shards: int, hot: np.ndarray)
             for row in _rows(batch):
                 vocabulary, tokens = np.frombuffer(row["vocabulary"], np.uint64), _from_planes(row["tokens"])
                 learned = np.repeat(np.frombuffer(row["held"], np.uint8) == 0, _from_planes(row["lengths"]))
-                keys, first, second, which, by_shard, parts = _grams(tokens, vocabulary, order, shards, shared.value)
-                count = np.bincount(which[learned], minlength=len(first))
+                keys, first, second, which, by_shard, parts, at = _grams(tokens, vocabulary, order, shards, shared.value, asked)
+                count = np.bincount(which[learned[at]], minlength=len(first))
                 for s, a, b in parts:
                     some = by_shard[a:b]
                     context, n = _runs(first[some])
@@ -333,8 +357,8 @@ def shard_trie(context: np.ndarray, name: np.ndarray, count: np.ndarray, hot: np
     """
     seen = count > 0
     context, names, c = _distinct(context[seen], name[seen], count[seen])
-    contexts, rank = np.unique(context, return_inverse=True)
-    kinds = np.bincount(rank, minlength=len(contexts))
+    contexts, kinds = _runs(context)
+    rank = np.repeat(np.arange(len(contexts)), kinds)
     total = _added(rank, c, len(contexts))
     split = np.isin(contexts, hot)
     total[split] = often[np.searchsorted(hot, contexts[split])]
@@ -426,7 +450,7 @@ def _scores(table: DataFrame, answers: DataFrame, shards: int, hots: list[tuple[
                 count[by_shard[a:b]] = _from_planes(told[WORDS, s]["a"])
             p = (np.where(count > 0, count - discount, discount * v) / max(n, 1) if n else np.ones(len(vocabulary)))[tokens]
             for order, (hot, hot_left) in enumerate(shared.value, 2):
-                keys, first, second, which, by_shard, parts = _grams(tokens, vocabulary, order, shards, hot)
+                keys, first, second, which, by_shard, parts, _ = _grams(tokens, vocabulary, order, shards, hot)
                 code, left = np.zeros(len(first), np.uint16), np.zeros(len(first), np.uint16)
                 for s, a, b in parts:
                     some, told_here = by_shard[a:b], told[GRAMS + order, s]
@@ -477,11 +501,12 @@ def score(docs: DataFrame, scratch: Scratch, order: int = 2) -> DataFrame:
     """
     if order < 2:
         raise ValueError("the order must be 2 at least")
-    table = scratch.put(blocks(docs), "blocks")
+    table = scratch.put(blocks(docs), "blocks", "zstd")
     n, size = table.agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     shards = max(8, -(-size // SHARD_TOKENS))
     most = max(n / HOT, HOT_SHARE * SHARD_TOKENS)
-    words = scratch.put(_word_answers(_word_questions(table, shards), most), "words")
+    words = scratch.put(_word_answers(_word_questions(table, shards), most), "words", "zstd")
+    scratch.release()
     stats = words.where(F.col("kind") == KNOWN)
     known = np.zeros(3, np.int64)
     for r in stats.select("a").toLocalIterator():  # three counts of each task
@@ -490,15 +515,27 @@ def score(docs: DataFrame, scratch: Scratch, order: int = 2) -> DataFrame:
     hot, often = _hot(stats, "b", "c", {})
     ends = dict(zip(hot.tolist(), often.tolist(), strict=True)).get(int(END))
     answers, hots, start = words.where(F.col("kind") == WORDS), [], np.array([END])
+    rounds = max(1, min(ROUNDS, size // ROUND_TOKENS))
     for k in range(2, order + 1):
-        grams = scratch.put(_gram_answers(_gram_questions(table, k, shards, hot), k, hot, often, most), f"grams{k}")
+        made = []
+        for r in range(rounds):
+            made.append(scratch.put(_gram_answers(_gram_questions(table, k, shards, hot, (r, rounds)), k, hot, often, most), f"grams{k}", "zstd"))
+            scratch.release()
+        grams = reduce(DataFrame.unionByName, made)
         answers = answers.unionByName(grams.where(F.col("kind") == GRAMS + k))
         hots.append((hot, _hot_left(grams, hot, often)))
         start = _chain(start, _names(np.array([END])))  # the context of a text's first word comes as often as texts do
         if k < order:
             hot, often = _hot(grams.where(F.col("kind") == NEXT), "a", "b", {int(start[0]): ends} if ends else {})
     discount = n1 / (n1 + 2 * n2) if n1 else 0.5
-    named = _scores(table, answers, shards, hots, n, v, discount).withColumn("train_tokens", F.lit(n).cast("long"))
+    scored = []
+    for r in range(rounds):
+        its = F.pmod(F.xxhash64("block"), F.lit(rounds)) == r
+        scored.append(_scores(table.where(its), answers.where(its), shards, hots, n, v, discount))
+        if rounds > 1:
+            scored[-1] = scratch.put(scored[-1], "scores")
+            scratch.release()
+    named = reduce(DataFrame.unionByName, scored).withColumn("train_tokens", F.lit(n).cast("long"))
     named = named.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     held = F.coalesce(~learns(), F.lit(False))
     return named.withColumn("held_out", held)

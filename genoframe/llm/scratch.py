@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -29,15 +30,21 @@ class Scratch:
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._next = 0
 
-    def put(self, df: DataFrame, label: str = "step") -> DataFrame:
-        """Writes ``df`` as Parquet and reads it again."""
+    def put(self, df: DataFrame, label: str = "step", compression: str | None = None) -> DataFrame:
+        """Writes ``df`` as Parquet, compressed as the session says unless told, and reads it again."""
         self._next += 1
         path = f"{self.root}/{self._next:03d}-{label}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
+    def release(self) -> None:
+        """Gives back the shuffle files of written steps: Spark deletes them when the driver has collected their plans as garbage, which
+        large steps cannot wait for."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that no later plan reads."""
         jvm = self.spark.sparkContext._jvm

@@ -583,3 +583,30 @@ def test_the_query_learns_trigrams(spark, sf_dir):
     scores = lambda df: {r.doc_id: r.score for r in df.collect()}
     got = scores(queries.op8_ngram_lm(spark, sf_dir))
     assert got == scores(lm.score(docs, Scratch(spark, "trigrams"), order=3)) != scores(lm.score(docs, Scratch(spark, "bigrams"), order=2))
+
+
+def test_questions_are_asked_and_texts_scored_in_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    docs = spark.createDataFrame([(k, " ".join(f"w{min(int(x), 300)}" for x in rng.zipf(1.2, 40))) for k in range(300)], schema)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(lm, "HOT", 64)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 1000)
+    put, steps = Scratch.put, {}
+
+    def kept(self, df, label="step", *more):
+        out = put(self, df, label, *more)
+        steps.setdefault(label, []).append({(r.block, r.shard) for r in out.where(F.col("kind") >= lm.GRAMS).select("block", "shard").collect()} if label.startswith("grams") else out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "put", kept)
+    scores = []
+    for tokens in (1 << 40, 1000):
+        steps.clear()
+        monkeypatch.setattr(lm, "ROUND_TOKENS", tokens)
+        scores.append({tuple(r) for r in lm.score(docs, Scratch(spark, "t"), order=3).collect()})
+        rounds = 1 if tokens > 1000 else lm.ROUNDS
+        for label in ("grams2", "grams3"):  # no message of a round is one of another, and together they are those of one round
+            assert len(steps[label]) == rounds and sum(map(len, steps[label])) == len(set().union(*steps[label])) and max(map(len, steps[label])) < 2 / rounds * sum(map(len, steps[label]))
+    assert scores[0] == scores[1] and len(scores[0]) == 300
+    assert len(steps["scores"]) == lm.ROUNDS and sum(steps["scores"]) == 300
