@@ -2,13 +2,15 @@
 
 A monotone sequence of n values below u keeps the low log2(u / n) bits of each value packed, and the high parts as a
 unary bit vector: a one for each value, a zero at the end of each high part; a count of zeros for each 64 bits of it is its
-directory. Nothing is unpacked to be read. Levels of the trie are such sequences: contexts, pointers to their successors, and
-the successors, made monotone by the rank of their context. A successor is searched in its context's range only, which the
-pointers give. Probabilities are quantised.
+directory. The places of its ones or zeros, 4 bytes each, are listed when they are first asked for; values are not unpacked to be
+read. Levels of the trie are such sequences: contexts, pointers to their successors, and the successors, made monotone by the rank of
+their context. A successor is searched in its context's range only, which the pointers give. Probabilities are quantised.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 
 #: Steps of quantised -log10 values; code 0 says that there is none.
@@ -16,7 +18,6 @@ STEPS = 4000.0
 #: Bits of a successor's name within its context: those of the sequence, and those kept beside it.
 HEAD_BITS, TAIL_BITS = 40, 16
 _BYTE_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-_SELECT = np.array([([k for k in range(8) if b >> k & 1] + [0] * 8)[:8] for b in range(256)], np.uint8)
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
@@ -28,16 +29,6 @@ def probability(code: np.ndarray) -> np.ndarray:
     return np.where(code > 0, 10.0 ** ((1.0 - code.astype(np.float64)) / STEPS), 0.0)
 
 
-def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the one number ``k`` (from 0) of each 64-bit word."""
-    octets = word.view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_BYTE_ONES[octets], axis=1, dtype=np.uint8)
-    at = (upto <= k[:, None]).sum(1)
-    row = np.arange(len(word))
-    before = np.where(at > 0, upto[row, np.maximum(at - 1, 0)], 0)
-    return at * 8 + _SELECT[octets[row, at], k - before]
-
-
 class EliasFano:
     """Random access and successor search, for whole arrays of queries at once."""
 
@@ -89,24 +80,27 @@ class EliasFano:
     def get(self, i: np.ndarray) -> np.ndarray:
         """Values at places ``i`` (below n): the one number i of the unary vector has as many zeros before it as the high part says."""
         i = np.asarray(i, np.int64)
-        lo, hi = np.zeros(len(i), np.int64), np.full(len(i), max(self.high_words - 1, 0))
-        while (lo < hi).any():  # the last word with at most i ones before it
-            mid = (lo + hi + 1) >> 1
-            fits = mid * 64 - self.zeros[mid] <= i
-            lo, hi = np.where(fits, mid, lo), np.where(fits, hi, mid - 1)
-        place = _select_in_word(self.high[lo], i - (lo * 64 - self.zeros[lo])) + lo * 64
-        return (place - i).astype(np.uint64) << np.uint64(self.low_bits) | self._low(i)
+        return (self._ones[i] - i).astype(np.uint64) << np.uint64(self.low_bits) | self._low(i)
 
     def _end(self, high: np.ndarray) -> np.ndarray:
         """How many values have high parts up to ``high`` (-1: none): the ones before its zero."""
         out = np.zeros(len(high), np.int64)
         inside = np.flatnonzero((high >= 0) & (high < int(self.zeros[-1])))
         k = high[inside]
-        word = np.searchsorted(self.zeros, k, "right") - 1
-        out[inside] = word * 64 + _select_in_word(~self.high[word], k - self.zeros[word]) - k
+        out[inside] = self._zeros[k] - k
         out[high >= int(self.zeros[-1])] = self.n
         return np.minimum(out, self.n)
 
+    @cached_property
+    def _ones(self) -> np.ndarray:
+        """Place of each one of the unary vector; made when the first value is read."""
+        return np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little")).astype(np.uint32 if len(self.high) < 1 << 26 else np.int64)
+
+    @cached_property
+    def _zeros(self) -> np.ndarray:
+        """Place of each zero; made when the first value is searched."""
+        return np.flatnonzero(np.unpackbits(~self.high.view(np.uint8), bitorder="little")).astype(np.uint32 if len(self.high) < 1 << 26 else np.int64)
+
     def successor(self, x: np.ndarray, lo: np.ndarray | None = None, hi: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(place of the first value of x or more in the range lo to hi, else hi; whether it is x)."""
         x = np.asarray(x, np.uint64)
