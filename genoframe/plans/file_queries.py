@@ -230,11 +230,12 @@ def buckets_scan(v):
 
 @query(ORACLES["augment_merge"])
 def bucketed_merge(v):
-    """Alleles and results are stored in the same buckets, and merged where they lie."""
+    """Alleles and results are stored in the same buckets, and merged where they lie. Results are made of the stored alleles, so records are
+    numbered once, and lie in the buckets of the results already."""
     path = folder(v)
-    alleles = bucketed.write(v.ordered_occurrences.select(*augment.KEY, "alt", "error_code"), f"{path}/alleles", augment.KEY)
+    v.ordered_occurrences = bucketed.write(v.ordered_occurrences.select(*augment.KEY, "alt", "error_code", "l_extendedprice", "l_partkey"), f"{path}/alleles", augment.KEY)
     results = bucketed.write(v.results.select(*augment.KEY, "result_variant_id", "score", "gene"), f"{path}/results", augment.KEY)
-    return augment.merge(alleles, results, check=False)
+    return augment.merge(v.ordered_occurrences.select(*augment.KEY, "alt", "error_code"), results, check=False)
 
 
 @query(ORACLES["region_routing"])

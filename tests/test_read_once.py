@@ -83,3 +83,24 @@ def test_exons_are_read_once_for_all_that_is_derived(spark, tmp_path):
     apart = pick(exons, F.lit("exon")).unionByName(pick(gaps, F.lit("intron"))).unionByName(pick(regions.splice_sites(gaps), F.col("kind"))).unionByName(pick(regions.splice_regions(gaps), F.lit("splice_region"))).unionByName(pick(regions.promoters(genes), F.lit("promoter")))
     assert sorted(map(tuple, table.collect())) == sorted(map(tuple, apart.collect()))
     assert regions.region_table(exons, genes)._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_results_of_stored_alleles_are_stored_without_another_numbering(spark, sf_dir, monkeypatch):
+    from genoframe.plans import file_queries
+    from genoframe.sources import bucketed
+
+    write, plans = bucketed.write, []
+
+    def kept(df, path, keys, *more, **told):
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        plans.append(df.repartition(buckets, *keys)._jdf.queryExecution().executedPlan().toString())  # as it is stored
+        return write(df, path, keys, *more, **told)
+
+    monkeypatch.setattr(bucketed, "write", kept)
+    merged = file_queries.FILE_QUERIES["bucketed_merge"](spark, sf_dir)
+    alleles, results = plans
+    # alleles are dealt to slices and then to buckets; results lie in their buckets and are not numbered
+    assert alleles.count("Exchange") > 1 and "monotonically_increasing_id" in alleles
+    assert "Exchange" not in results and "monotonically_increasing_id" not in results
+    assert merged.columns == ["record_ordinal", "alt_index", "alt", "error_code", "result_variant_id", "score", "gene"]
+    assert "hashpartitioning" not in merged._jdf.queryExecution().executedPlan().toString()
