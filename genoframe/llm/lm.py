@@ -8,7 +8,7 @@ questions wait in a file of the task's own once they are more than SPOOL bytes,
 distinct in its shard, however many blocks ask. A block then has for each of its tokens the exact count of the word and the tries' answers, and sums over its
 documents. N-grams are dealt by their context (all words but the last), so a shard has whole contexts; contexts with a large part of
 a shard's tokens and more than 1 / HOT of all (fewer than HOT of them) are dealt by the n-gram. Which these are is known beforehand:
-a context occurs as often as the shorter n-gram that it is, which the order before has counted. Questions of an order from trigrams on are asked in
+a context occurs as often as the shorter n-gram that it is, which the order before has counted. Questions of an order are asked in
 up to ROUNDS rounds, each for its own shards, and texts are scored in as many, each for its own blocks, so that only a part of what is
 moved lies on the disks at a time. Nothing that grows with the corpus comes to the driver or is broadcast but the counts of these hot contexts, fewer than HOT.
 
@@ -45,8 +45,8 @@ from genoframe.llm.workers import tidy
 BLOCK_BYTES, SHARD_TOKENS = 4 << 20, 1_000_000
 #: Contexts with HOT_SHARE of a shard's tokens or more are dealt by pair, if they are among the HOT most frequent ones that a corpus can have.
 HOT, HOT_SHARE, DISCOUNT = 1 << 20, 0.25, 0.75
-#: An order's questions from trigrams on, and the scoring, take so many rounds at most, each of so many tokens at least.
-ROUNDS, ROUND_TOKENS = 3, 6_000_000
+#: An order's questions, and the scoring, take so many rounds at most (pairs half as many), each of so many tokens at least.
+ROUNDS, ROUND_TOKENS = 4, 6_000_000
 NAME_BITS = HEAD_BITS + TAIL_BITS
 #: A shard sums up, and answers, about so many entries of its messages at once; bytes of questions that wait in memory.
 PART, SPOOL = 1 << 19, 16 << 20
@@ -517,7 +517,7 @@ def score(docs: DataFrame, scratch: Scratch, order: int = 2) -> DataFrame:
     answers, hots, start = words.where(F.col("kind") == WORDS), [], np.array([END])
     rounds = max(1, min(ROUNDS, size // ROUND_TOKENS))
     for k in range(2, order + 1):
-        made, of = [], 1 if k == 2 else rounds  # pairs come before there are answers of n-grams to lie beside them
+        made, of = [], -(-rounds // 2) if k == 2 else rounds  # pairs come before there are answers of n-grams to lie beside them
         for r in range(of):
             made.append(scratch.put(_gram_answers(_gram_questions(table, k, shards, hot, (r, of)), k, hot, often, most), f"grams{k}", "zstd"))
             scratch.release()
