@@ -1,10 +1,11 @@
 """Elias-Fano sequences and a two-level n-gram trie, in one buffer that can be memory-mapped.
 
 A monotone sequence of n values below u keeps the low log2(u / n) bits of each value packed, and the high parts as a
-unary bit vector: a one for each value, a zero at the end of each high part; a count of zeros for each 64 bits of it is its
-directory. The places of its ones or zeros, 4 bytes each, are listed when they are first asked for; values are not unpacked to be
+unary bit vector: a one for each value, a zero at the end of each high part. The places of its ones, or the values before its
+zeros, 4 bytes each, are listed when they are first asked for; values are not unpacked to be
 read. Levels of the trie are such sequences: contexts, pointers to their successors, and the successors, made monotone by the rank of
 their context. A successor is searched in its context's range only, which the pointers give. Probabilities are quantised.
+Questions are searched in the order of the sequence, equal ones once, so that what is read of it lies together.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ import numpy as np
 STEPS = 4000.0
 #: Bits of a successor's name within its context: those of the sequence, and those kept beside it.
 HEAD_BITS, TAIL_BITS = 40, 16
-_BYTE_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
+#: The probability of each code.
+_PROBABILITY = np.append(0.0, 10.0 ** (-np.arange(65535.0) / STEPS))
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
@@ -26,7 +28,7 @@ def quantised(p: np.ndarray) -> np.ndarray:
 
 
 def probability(code: np.ndarray) -> np.ndarray:
-    return np.where(code > 0, 10.0 ** ((1.0 - code.astype(np.float64)) / STEPS), 0.0)
+    return _PROBABILITY[code]
 
 
 class EliasFano:
@@ -34,10 +36,8 @@ class EliasFano:
 
     def __init__(self, words: np.ndarray):
         self.n, self.low_bits, self.high_words = (int(x) for x in words[:3])
-        self.zeros = words[3 : 3 + self.high_words // 2 + 1].view(np.uint32)[: self.high_words + 1]
-        at = 3 + self.high_words // 2 + 1
-        self.high = words[at : at + self.high_words]
-        self.low = words[at + self.high_words :]
+        self.high = words[3 : 3 + self.high_words]
+        self.low = words[3 + self.high_words :]
         self.mask = np.uint64((1 << self.low_bits) - 1)
 
     @staticmethod
@@ -53,8 +53,6 @@ class EliasFano:
         bits = np.zeros(-(-length // 64) * 64, np.uint8)
         bits[high + np.arange(n)] = 1
         unary = np.packbits(bits, bitorder="little").view(np.uint64)
-        zeros = np.zeros(len(unary) // 2 * 2 + 2, np.uint32)
-        zeros[1 : len(unary) + 1] = np.cumsum(64 - _BYTE_ONES[unary.view(np.uint8).reshape(-1, 8)].sum(1))
         packed = np.zeros(-(-n * low_bits // 64) + 1, np.uint64)
         if low_bits and n:
             at = np.arange(n, dtype=np.uint64) * shift
@@ -65,7 +63,7 @@ class EliasFano:
             packed[word[first]] = np.bitwise_or.reduceat(low << off, first)
             over = off + shift > np.uint64(64)
             packed[word[over] + 1] |= low[over] >> (np.uint64(64) - off[over])
-        return np.concatenate([np.array([n, low_bits, len(unary)], np.uint64), zeros.view(np.uint64), unary, packed])
+        return np.concatenate([np.array([n, low_bits, len(unary)], np.uint64), unary, packed])
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -82,42 +80,35 @@ class EliasFano:
         i = np.asarray(i, np.int64)
         return (self._ones[i] - i).astype(np.uint64) << np.uint64(self.low_bits) | self._low(i)
 
-    def _end(self, high: np.ndarray) -> np.ndarray:
-        """How many values have high parts up to ``high`` (-1: none): the ones before its zero."""
-        out = np.zeros(len(high), np.int64)
-        inside = np.flatnonzero((high >= 0) & (high < int(self.zeros[-1])))
-        k = high[inside]
-        out[inside] = self._zeros[k] - k
-        out[high >= int(self.zeros[-1])] = self.n
-        return np.minimum(out, self.n)
-
     @cached_property
     def _ones(self) -> np.ndarray:
         """Place of each one of the unary vector; made when the first value is read."""
         return np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little")).astype(np.uint32 if len(self.high) < 1 << 26 else np.int64)
 
     @cached_property
-    def _zeros(self) -> np.ndarray:
-        """Place of each zero; made when the first value is searched."""
-        return np.flatnonzero(np.unpackbits(~self.high.view(np.uint8), bitorder="little")).astype(np.uint32 if len(self.high) < 1 << 26 else np.int64)
+    def _ends(self) -> np.ndarray:
+        """How many values have a high part below 0, 1 and so on; made when the first value is searched."""
+        zeros = np.flatnonzero(np.unpackbits(~self.high.view(np.uint8), bitorder="little"))
+        return np.append(0, zeros - np.arange(len(zeros))).astype(np.uint32 if len(self.high) < 1 << 26 else np.int64)
 
     def successor(self, x: np.ndarray, lo: np.ndarray | None = None, hi: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(place of the first value of x or more in the range lo to hi, else hi; whether it is x)."""
         x = np.asarray(x, np.uint64)
-        high = np.minimum(x >> np.uint64(self.low_bits), np.uint64(1 << 62)).astype(np.int64)
-        lo = np.zeros(len(x), np.int64) if lo is None else lo
-        hi = np.full(len(x), self.n) if hi is None else hi
-        end = np.clip(self._end(high), lo, hi)
-        left, right = np.clip(self._end(high - 1), lo, hi), end.copy()
+        high = np.minimum(x >> np.uint64(self.low_bits), np.uint64(len(self._ends) - 1)).astype(np.int64)
+        lo = np.int64(0) if lo is None else lo
+        hi = np.int64(self.n) if hi is None else hi
+        left = np.clip(self._ends[high].astype(np.int64), lo, hi)
+        end = np.clip(self._ends[np.minimum(high + 1, len(self._ends) - 1)].astype(np.int64), lo, hi)
         low, hit = x & self.mask, np.zeros(len(x), bool)
-        while True:  # halves the runs of one high part; they hold a value or two mostly
-            open_ = np.flatnonzero(left < right)
-            if not len(open_):
-                break
-            mid = (left[open_] + right[open_]) >> 1
-            less = self._low(mid) < low[open_]
-            left[open_] = np.where(less, mid + 1, left[open_])
-            right[open_] = np.where(less, right[open_], mid)
+        open_ = np.flatnonzero(left < end)
+        a, b, wanted = left[open_], end[open_], low[open_]
+        while len(open_):  # halves the runs of one high part; they hold a value or two mostly
+            mid = (a + b) >> 1
+            less = self._low(mid) < wanted
+            a, b = np.where(less, mid + 1, a), np.where(less, b, mid)
+            left[open_] = a
+            more = np.flatnonzero(a < b)
+            open_, a, b, wanted = open_[more], a[more], b[more], wanted[more]
         inside = np.flatnonzero(left < end)
         hit[inside] = self._low(left[inside]) == low[inside]
         return left, hit
@@ -158,23 +149,38 @@ class NgramTrie:
         """(code of the successor's probability, code of the context's left weight); 0 where there is none."""
         code, left = np.zeros(len(context), np.uint16), np.zeros(len(context), np.uint16)
         starts = np.flatnonzero(np.diff(context, prepend=~context[:1]) != 0)  # queries come in runs of one context
-        run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(context))))
-        place, known = self.contexts.successor(context[starts])
-        here = np.flatnonzero(known)
-        lo, hi = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
-        lo[here], hi[here] = self.pointers.get(place[here]).astype(np.int64), self.pointers.get(place[here] + 1).astype(np.int64)
+        distinct, which = np.unique(context[starts], return_inverse=True)
+        place, known = self.contexts.successor(distinct)
+        run = np.repeat(which, np.diff(np.append(starts, len(context))))
         at = np.flatnonzero(known[run])
-        of = run[at]
-        left[at] = self.left[place[of]]
-        head = name[at] >> np.uint64(TAIL_BITS) | place[of].astype(np.uint64) << np.uint64(HEAD_BITS)
-        tail = (name[at] & np.uint64((1 << TAIL_BITS) - 1)).astype(np.uint16)
-        found, hit = self.successors.successor(head, lo[of], hi[of])
+        if not len(at):
+            return code, left
+        rank, asked = place[run[at]], name[at]
+        left[at] = self.left[rank]
+        # in the order of rank and the name's leading bits, as far as they fit beside the row: the same questions follow each other
+        rows, ranks = len(at).bit_length(), int(rank.max()).bit_length()
+        heads = max(0, min(HEAD_BITS, 64 - rows - ranks))
+        by = rank.astype(np.uint64) << np.uint64(heads) | asked >> np.uint64(HEAD_BITS + TAIL_BITS - heads)
+        by = (np.sort(by << np.uint64(rows) | np.arange(len(at), dtype=np.uint64)) & np.uint64((1 << rows) - 1)).astype(np.int64)
+        at, rank, asked = at[by], rank[by], asked[by]
+        new = np.ones(len(at), bool)
+        new[1:] = (rank[1:] != rank[:-1]) | (asked[1:] != asked[:-1])
+        code[at] = self._codes(rank[new], asked[new])[np.cumsum(new) - 1]
+        return code, left
+
+    def _codes(self, rank: np.ndarray, name: np.ndarray) -> np.ndarray:
+        """Codes of the successors of contexts of these ranks; 0 where there is none."""
+        code, at = np.zeros(len(rank), np.uint16), np.arange(len(rank))
+        lo, hi = self.pointers.get(rank).astype(np.int64), self.pointers.get(rank + 1).astype(np.int64)
+        head = name >> np.uint64(TAIL_BITS) | rank.astype(np.uint64) << np.uint64(HEAD_BITS)
+        tail = (name & np.uint64((1 << TAIL_BITS) - 1)).astype(np.uint16)
+        found, hit = self.successors.successor(head, lo, hi)
         while True:  # names that differ in their tails only follow each other
-            at, found, head, tail, of = at[hit], found[hit], head[hit], tail[hit], of[hit]
+            at, found, head, tail, hi = at[hit], found[hit], head[hit], tail[hit], hi[hit]
             if not len(at):
-                return code, left
+                return code
             same = self.tails[found] == tail
             code[at[same]] = self.codes[found[same]]
-            at, found, head, tail, of = at[~same], found[~same] + 1, head[~same], tail[~same], of[~same]
-            hit = found < hi[of]
+            at, found, head, tail, hi = at[~same], found[~same] + 1, head[~same], tail[~same], hi[~same]
+            hit = found < hi
             hit[hit] = self.successors.get(found[hit]) == head[hit]

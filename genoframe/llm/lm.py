@@ -50,6 +50,8 @@ ROUNDS, ROUND_TOKENS = 4, 6_000_000
 NAME_BITS = HEAD_BITS + TAIL_BITS
 #: A shard sums up, and answers, about so many entries of its messages at once; bytes of questions that wait in memory.
 PART, SPOOL = 1 << 19, 16 << 20
+#: Bytes of freed memory that a worker holds on to within a task: arrays of a block or part are made and dropped all the time.
+KEEP = 256 << 20
 #: A message counts as so many entries more than it has.
 MESSAGE = 16
 #: Kinds of messages: counts of a block's words; statistics of words; successors of hot contexts; hot contexts of the next order; and
@@ -121,7 +123,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield done()
 
-    return docs.select("doc_id", "text", F.coalesce(learns(), F.lit(False)).alias("learns")).mapInArrow(tidy(run), schema)
+    return docs.select("doc_id", "text", F.coalesce(learns(), F.lit(False)).alias("learns")).mapInArrow(tidy(run, KEEP), schema)
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
@@ -152,43 +154,87 @@ def _chain(key: np.ndarray, name: np.ndarray) -> np.ndarray:
     return wa.mix(key * np.uint64(0x9E3779B97F4A7C15) + name)
 
 
+def _pairs(major: np.ndarray, minor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct pairs of whole numbers below 2^31, in order; the number of each row's pair among them)."""
+    if not len(major):
+        return major, minor, np.zeros(0, np.int64)
+    rows, width = len(major).bit_length(), int(minor.max()).bit_length()
+    pair = major << width | minor
+    if int(major.max()).bit_length() + width + rows < 64:  # rows fit beside their pairs: numbers are sorted faster than places
+        pair = np.sort(pair << rows | np.arange(len(pair)))
+        at = pair & ((1 << rows) - 1)
+        pair >>= rows
+    else:
+        at = np.argsort(pair)
+        pair = pair[at]
+    new = np.ones(len(pair), bool)
+    new[1:] = pair[1:] != pair[:-1]
+    which = np.empty(len(pair), np.int64)
+    which[at] = np.cumsum(new) - 1
+    pair = pair[new]
+    return pair >> width, pair & ((1 << width) - 1), which
+
+
+def _among(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which keys are hot; ``hot`` ascends."""
+    leading = np.zeros(1 << 16, bool)
+    leading[hot >> np.uint64(48)] = True
+    out = leading[keys >> np.uint64(48)]
+    at = np.flatnonzero(out)
+    if len(at):
+        out[at] = hot[np.minimum(np.searchsorted(hot, keys[at]), len(hot) - 1)] == keys[at]
+    return out
+
+
 def _contexts(tokens: np.ndarray, vocabulary: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(local number of the word before each token, key of each token's context of ``order - 1`` words); before a text stand end tokens."""
-    end = int(np.flatnonzero(vocabulary == END)[0])
-    history = [np.concatenate([[end], tokens[:-1]])]
+    """(number of each token's context of ``order - 1`` words, keys of the contexts). Contexts are in order of their words' local
+    numbers; before a text stand end tokens, which have the highest number there, so that the context of its first word comes last."""
+    end, start = int(np.flatnonzero(vocabulary == END)[0]), len(vocabulary)
+    before = np.concatenate([[start], tokens[:-1]])
+    before[before == end] = start
+    keys = words = np.append(vocabulary, END)
+    number, names = before, _names(words)
     for _ in range(order - 2):
-        nearer = history[-1]
-        history.append(np.where(nearer == end, end, np.concatenate([[end], nearer[:-1]])))
-    key = vocabulary[history[-1]]
-    names = _names(vocabulary) if order > 2 else None
-    for words in history[-2::-1]:
-        key = _chain(key, names[words])
-    return history[0], key
+        farther = np.concatenate([number[:1], number[:-1]])
+        farther[before == start] = len(keys) - 1
+        first, second, number = _pairs(farther, before)
+        keys = _chain(keys[first], names[second])
+    return number, keys
 
 
 def _grams(tokens: np.ndarray, vocabulary: np.ndarray, order: int, shards: int, hot: np.ndarray, asked: tuple[int, int] = (0, 1)):
-    """Distinct n-grams of a block: (keys of contexts, context, last word, n-gram of each token, order by shard, parts, the tokens).
+    """Distinct n-grams of a block: (keys of contexts, context and last word, n-gram of each token, order by shard, parts, the tokens, their contexts).
 
     ``asked``: (k, of), only those whose shard has the remainder k; their order within a shard is the same.
     """
-    before, key = _contexts(tokens, vocabulary, order)
+    number, keys = _contexts(tokens, vocabulary, order)
+    deal, among = wa.mix(keys * np.uint64(7)), _among(keys, hot)
+    shard = _deal(deal, shards)
+    own = lambda context, word: _deal(wa.mix(deal[context] + vocabulary[word]), shards)
     k, of = asked
     at = slice(None)
     if of > 1:
-        deal = wa.mix(key * np.uint64(7))
-        if len(hot):
-            heavy = np.flatnonzero(np.isin(key, hot))
-            deal[heavy] = wa.mix(deal[heavy] + vocabulary[tokens[heavy]])
-        at = np.flatnonzero(_deal(deal, shards) % of == k)
-        before, key, tokens = before[at], key[at], tokens[at]
-    keys, number = (vocabulary, before) if order == 2 else np.unique(key, return_inverse=True)
-    gram, which = np.unique(number << 32 | tokens, return_inverse=True)
-    first, second = gram >> 32, gram & 0xFFFFFFFF
-    deal = wa.mix(keys * np.uint64(7))[first]
-    heavy = np.isin(keys, hot)[first]
-    deal = np.where(heavy, wa.mix(deal + vocabulary[second]), deal)
-    by_shard, parts = _split(_deal(deal, shards))
-    return keys, first, second, which, by_shard, parts, at
+        mine = (shard % of == k)[number]
+        if among.any():
+            heavy = np.flatnonzero(among[number])
+            mine[heavy] = own(number[heavy], tokens[heavy]) % of == k
+        at = np.flatnonzero(mine)
+        number, tokens = number[at], tokens[at]
+    first, second, which = _pairs(number, tokens)
+    its = shard[first]
+    heavy = np.flatnonzero(among[first])
+    its[heavy] = own(first[heavy], second[heavy])
+    by_shard, parts = _split(its)
+    return keys, first, second, which, by_shard, parts, at, number
+
+
+def _context_runs(context: np.ndarray, parts: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(starts and lengths of the runs of one context within a shard), of n-grams in order of shards."""
+    new = np.ones(len(context), bool)
+    new[1:] = context[1:] != context[:-1]
+    new[[a for _, a, _ in parts]] = True
+    starts = np.flatnonzero(new)
+    return starts, np.diff(np.append(starts, len(context)))
 
 
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -268,11 +314,41 @@ def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
     *keys, count = columns
     if _ascends(*keys):
         return *keys, count
-    order = np.lexsort(keys[::-1])
+    order = _ordered(*keys)
     keys = [k[order] for k in keys]
     new = np.ones(len(order), bool)
     new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    return *[k[new] for k in keys], _added(np.cumsum(new) - 1, count[order], int(new.sum()))
+    return *[k[new] for k in keys], np.add.reduceat(count[order], np.flatnonzero(new))
+
+
+def _ordered(key: np.ndarray, name: np.ndarray | None = None) -> np.ndarray:
+    """Rows in order of keys, then of names (below 2^NAME_BITS). Leading bits are sorted with the row beside them, which is faster than to
+    sort places; rows that these bits do not tell apart are put in order after."""
+    if name is None:
+        return np.argsort(key)
+    rows = len(key).bit_length()
+    here, row = np.uint64(rows), np.arange(len(key), dtype=np.uint64)
+    places = lambda by: (by & np.uint64((1 << rows) - 1)).astype(np.int64)
+    order = places(np.sort(key >> here << here | row))
+    k = key[order]
+    rank = np.zeros(len(key), np.uint64)
+    np.cumsum(k[1:] != k[:-1], out=rank[1:])
+    ranks = int(rank[-1]).bit_length()
+    bits = min(NAME_BITS, 64 - rows - ranks)
+    if bits < 1 or (k[1:] < k[:-1]).any():  # keys that share their leading bits: hardly ever
+        return np.lexsort((name, key))
+    by = np.sort((rank << np.uint64(bits) | name[order] >> np.uint64(NAME_BITS - bits)) << here | row)
+    order = order[places(by)]
+    by >>= here
+    n, same = name[order], by[1:] == by[:-1]
+    wrong = np.flatnonzero(same & (n[1:] < n[:-1]))
+    if len(wrong):
+        group = np.concatenate([[0], np.cumsum(~same)])
+        tied = np.zeros(int(group[-1]) + 1, bool)
+        tied[group[wrong]] = True
+        at = np.flatnonzero(tied[group])
+        order[at] = order[at][np.lexsort((n[at], group[at]))]
+    return order
 
 
 def _ascends(*keys: np.ndarray) -> bool:
@@ -296,7 +372,7 @@ def _word_questions(table: DataFrame, shards: int) -> DataFrame:
                 order, parts = _split(_deal(vocabulary, shards))
                 yield _messages([(WORDS, s, row["block"], vocabulary[order[a:b]].tobytes(), _planes(counts[order[a:b]]), None, None) for s, a, b in parts])
 
-    return table.select("block", "vocabulary", "counts").mapInArrow(tidy(run), _MESSAGE)
+    return table.select("block", "vocabulary", "counts").mapInArrow(tidy(run, KEEP), _MESSAGE)
 
 
 def _word_sums(rows: Iterator[dict], held) -> tuple[np.ndarray, np.ndarray]:
@@ -327,7 +403,7 @@ def _word_answers(questions: DataFrame, most: float) -> DataFrame:
         if hot:
             yield _messages([(KNOWN, None, None, known.tobytes(), np.concatenate(hot).tobytes(), np.concatenate(often).tobytes(), None)])
 
-    return questions.repartition("shard").sortWithinPartitions("shard", "block").mapInArrow(tidy(run), _MESSAGE)
+    return questions.repartition("shard").sortWithinPartitions("shard", "block").mapInArrow(tidy(run, KEEP), _MESSAGE)
 
 
 def _gram_questions(table: DataFrame, order: int, shards: int, hot: np.ndarray, asked: tuple[int, int] = (0, 1)) -> DataFrame:
@@ -338,14 +414,16 @@ def _gram_questions(table: DataFrame, order: int, shards: int, hot: np.ndarray,
             for row in _rows(batch):
                 vocabulary, tokens = np.frombuffer(row["vocabulary"], np.uint64), _from_planes(row["tokens"])
                 learned = np.repeat(np.frombuffer(row["held"], np.uint8) == 0, _from_planes(row["lengths"]))
-                keys, first, second, which, by_shard, parts, at = _grams(tokens, vocabulary, order, shards, shared.value, asked)
-                count = np.bincount(which[learned[at]], minlength=len(first))
+                keys, first, second, which, by_shard, parts, at, _ = _grams(tokens, vocabulary, order, shards, shared.value, asked)
+                count = np.bincount(which[learned[at]], minlength=len(first))[by_shard]
+                context, word = first[by_shard], vocabulary[second[by_shard]]
+                starts, lengths = _context_runs(context, parts)
+                context = keys[context[starts]]
                 for s, a, b in parts:
-                    some = by_shard[a:b]
-                    context, n = _runs(first[some])
-                    yield _messages([(GRAMS + order, s, row["block"], keys[context].tobytes(), _planes(n), _pack_names(vocabulary[second[some]]), _planes(count[some]))])
+                    i, j = np.searchsorted(starts, (a, b))
+                    yield _messages([(GRAMS + order, s, row["block"], context[i:j].tobytes(), _planes(lengths[i:j]), _pack_names(word[a:b]), _planes(count[a:b]))])
 
-    return table.select("block", "vocabulary", "tokens", "held", "lengths").mapInArrow(tidy(run), _MESSAGE)
+    return table.select("block", "vocabulary", "tokens", "held", "lengths").mapInArrow(tidy(run, KEEP), _MESSAGE)
 
 
 def shard_trie(context: np.ndarray, name: np.ndarray, count: np.ndarray, hot: np.ndarray, often: np.ndarray, most: float) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -360,7 +438,7 @@ def shard_trie(context: np.ndarray, name: np.ndarray, count: np.ndarray, hot: np
     contexts, kinds = _runs(context)
     rank = np.repeat(np.arange(len(contexts)), kinds)
     total = _added(rank, c, len(contexts))
-    split = np.isin(contexts, hot)
+    split = _among(contexts, hot)
     total[split] = often[np.searchsorted(hot, contexts[split])]
     left = DISCOUNT * kinds / np.maximum(total, 1)
     heavy = (c > most) & (names != _names(np.array([END]))[0])
@@ -412,7 +490,7 @@ def _gram_answers(questions: DataFrame, order: int, hot: np.ndarray, often: np.n
                         yield _messages(answers)
                     del trie
 
-    return questions.repartition("shard").sortWithinPartitions("shard", "block").mapInArrow(tidy(run), _MESSAGE)
+    return questions.repartition("shard").sortWithinPartitions("shard", "block").mapInArrow(tidy(run, KEEP), _MESSAGE)
 
 
 def _hot_left(answers: DataFrame, hot: np.ndarray, often: np.ndarray) -> np.ndarray:
@@ -450,20 +528,15 @@ def _scores(table: DataFrame, answers: DataFrame, shards: int, hots: list[tuple[
                 count[by_shard[a:b]] = _from_planes(told[WORDS, s]["a"])
             p = (np.where(count > 0, count - discount, discount * v) / max(n, 1) if n else np.ones(len(vocabulary)))[tokens]
             for order, (hot, hot_left) in enumerate(shared.value, 2):
-                keys, first, second, which, by_shard, parts, _ = _grams(tokens, vocabulary, order, shards, hot)
-                code, left = np.zeros(len(first), np.uint16), np.zeros(len(first), np.uint16)
-                for s, a, b in parts:
-                    some, told_here = by_shard[a:b], told[GRAMS + order, s]
-                    _, runs = _runs(first[some])
-                    code[some] = np.frombuffer(told_here["a"], np.uint16)
-                    left[some] = np.repeat(np.frombuffer(told_here["b"], np.uint16), runs)
+                keys, first, _, which, by_shard, parts, _, number = _grams(tokens, vocabulary, order, shards, hot)
+                code, left = np.zeros(len(first), np.uint16), np.zeros(len(keys), np.uint16)
+                context = first[by_shard]
+                code[by_shard] = np.concatenate([np.frombuffer(told[GRAMS + order, s]["a"], np.uint16) for s, *_ in parts])
+                left[context[_context_runs(context, parts)[0]]] = np.concatenate([np.frombuffer(told[GRAMS + order, s]["b"], np.uint16) for s, *_ in parts])
                 weight = np.where(left > 0, probability(left), 1.0)  # a context never seen leaves all
-                heavy = np.flatnonzero(np.isin(keys, hot))
-                if len(heavy):  # a shard knows its part of a hot context only
-                    own_left = np.full(len(keys), np.nan)
-                    own_left[heavy] = hot_left[np.searchsorted(hot, keys[heavy])]
-                    weight = np.where(np.isnan(own_left[first]), weight, own_left[first])
-                p = probability(code)[which] + weight[which] * p
+                heavy = np.flatnonzero(_among(keys, hot))
+                weight[heavy] = hot_left[np.searchsorted(hot, keys[heavy])]  # a shard knows its part of a hot context only
+                p = probability(code)[which] + weight[number] * p
             base = np.log10((count + 1) / (n + v + 1))
             lengths = _from_planes(block["d"])
             ends = np.cumsum(lengths)
@@ -480,7 +553,7 @@ def _scores(table: DataFrame, answers: DataFrame, shards: int, hots: list[tuple[
                 out.fieldNames(),
             )
 
-    return both.repartition("block").sortWithinPartitions("block", "kind", "shard").mapInArrow(tidy(run), out)
+    return both.repartition("block").sortWithinPartitions("block", "kind", "shard").mapInArrow(tidy(run, KEEP), out)
 
 
 def _hot(rows: DataFrame, at: str, times: str, more: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:

@@ -20,19 +20,28 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+#: glibc's numbers for how much freed memory a process holds on to, and from which size on an array is mapped by itself.
+_TRIM_THRESHOLD, _MMAP_THRESHOLD = -1, -3
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: int = 0) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, whose worker gives freed memory back to the system when the task ends: workers wait for more tasks, and
-    what they hold counts against their executor. Made on the driver, where it also sees to small batches."""
+    what they hold counts against their executor. ``keep``: bytes of freed memory that a worker holds on to while its tasks run, for
+steps that make and drop large arrays all the time. Made on the driver, where it also sees to small batches."""
     session = SparkSession.getActiveSession()
     if session is not None:
         small_batches(session)
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        libc = ctypes.CDLL(None)
+        if keep and hasattr(libc, "mallopt"):
+            libc.mallopt(_MMAP_THRESHOLD, 32 << 20)
+            libc.mallopt(_TRIM_THRESHOLD, keep)
         try:
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            trim = getattr(libc, "malloc_trim", None)  # of glibc
             if trim is not None:
                 trim(0)
 

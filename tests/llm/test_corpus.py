@@ -394,6 +394,44 @@ def test_counts_and_names_are_wide():
     assert not any(x.any() for x in trie.lookup(np.full(3, 8, np.uint64), names[:3]))
 
 
+def test_a_part_searches_equal_questions_once_and_in_order(monkeypatch):
+    rng = np.random.default_rng(4)
+    names = np.unique(rng.integers(0, 1 << 56, 600, dtype=np.uint64))
+    context = np.repeat(np.unique(rng.integers(0, 1 << 63, 20, dtype=np.uint64)), 30)[: len(names)]
+    order = np.lexsort((names, context))
+    context, names = context[order], names[order]
+    made, *_ = lm.shard_trie(context, names, np.arange(1, len(names) + 1), np.zeros(0, np.uint64), np.zeros(0, np.int64), 1e9)
+    trie, asked, search = eliasfano.NgramTrie(made), [], eliasfano.EliasFano.successor
+
+    def successor(self, x, *more):
+        asked.append(x)
+        return search(self, x, *more)
+
+    once = trie.lookup(context, names)
+    monkeypatch.setattr(eliasfano.EliasFano, "successor", successor)
+    blocks = [order[rng.permutation(len(order))] for _ in range(50)]  # many blocks ask the same, in orders of their own
+    at = np.concatenate(blocks)
+    code, left = trie.lookup(context[at], names[at])
+    assert (code == once[0][at]).all() and (left == once[1][at]).all() and once[0].all() and once[1].all()
+    assert sum(map(len, asked)) == len(names) + len(np.unique(context)) and all((x[1:] >= x[:-1]).all() for x in asked)
+
+
+def test_pairs_and_order_of_rows():
+    rng = np.random.default_rng(6)
+    for n, most in ((0, 1), (1, 1), (500, 8), (500, 2**30)):  # the last do not fit beside their rows
+        major, minor = rng.integers(0, most, (2, n))
+        first, second, which = lm._pairs(major, minor)
+        assert list(zip(first.tolist(), second.tolist())) == sorted(set(zip(major.tolist(), minor.tolist())))
+        assert (first[which] == major).all() and (second[which] == minor).all()
+    few = rng.integers(0, 4, 900, dtype=np.uint64)
+    close = rng.integers(0, 9, 900, dtype=np.uint64)
+    for key, name in ((few << np.uint64(60), close), (few, close), (rng.integers(0, 1 << 63, 900, dtype=np.uint64), close << np.uint64(40)), (few << np.uint64(60), rng.integers(0, 1 << 56, 900, dtype=np.uint64))):
+        order = lm._ordered(key, name)  # the first two: keys or names that differ in their last bits only
+        assert list(zip(key[order].tolist(), name[order].tolist())) == sorted(zip(key.tolist(), name.tolist())) and (np.sort(order) == np.arange(900)).all()
+    hot = np.unique(np.concatenate([few[:2], rng.integers(0, 1 << 63, 50, dtype=np.uint64)]))
+    assert (lm._among(few, hot) == np.isin(few, hot)).all() and not lm._among(few, hot[:0]).any() and not len(lm._among(few[:0], hot))
+
+
 def _asked(blocks, rng):
     """Messages of many blocks that share a word, and a context with its successor, and have a few others each."""
     shared = np.array([5], np.uint64)
